@@ -1,0 +1,37 @@
+"""Size checks behind every choice between a one-task and a split plan."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows one task may sort and scan as a single ordered group.
+MAX_GROUP_ROWS = 2_000_000
+
+# Rows of a narrow lookup every executor may hold: some tens of megabytes.
+BROADCAST_ROWS = 200_000
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows in the biggest key group.  Counts are combined map-side; one number returns."""
+    if not keys:
+        return df.count()
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    return counts.agg(F.max("n").alias("n")).first()["n"] or 0
+
+
+def fits_one_task(
+    df: DataFrame,
+    keys: Sequence[str],
+    group_rows: int | None,
+    max_rows: int,
+) -> bool:
+    """Whether every group of ``keys`` is known to stay under ``max_rows``.
+
+    ``group_rows`` is a bound the caller already has (for instance the row count of
+    a dimension); without it the groups are counted.
+    """
+    bound = largest_group(df, keys) if group_rows is None else group_rows
+    return bound <= max_rows
