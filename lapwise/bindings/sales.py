@@ -198,9 +198,9 @@ def sales_star(spark: SparkSession, folder: str) -> Star:
     star.sizes.update(
         race=MAX_MONTHS,
         status=len(OUTCOMES),
-        driver=table(spark, folder, "customer").count(),
-        constructor=table(spark, folder, "nation").count(),
-        circuit=table(spark, folder, "region").count(),
+        driver=table(spark, folder, "customer").count,
+        constructor=table(spark, folder, "nation").count,
+        circuit=table(spark, folder, "region").count,
     )
     return star
 
@@ -236,9 +236,9 @@ def shipping_star(spark: SparkSession, folder: str) -> Star:
         pit_stop=pit_stops(lineitem, orders),
     )
     star.sizes.update(
-        race=orders.count(),
-        driver=table(spark, folder, "supplier").count(),
-        constructor=region.count(),
+        race=orders.count,
+        driver=table(spark, folder, "supplier").count,
+        constructor=region.count,
     )
     return star
 

@@ -1,0 +1,100 @@
+"""Bucketed Parquet snapshots that change only where a batch touches them.
+
+A table folder holds one data folder per version with the buckets that version
+rewrote, and one manifest per version naming the newest version of every bucket.  A
+manifest counts once Spark has committed it, so a reader sees the old table or the new
+one, and an interrupted write leaves nothing visible.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BUCKET = "bucket"
+MANIFEST = T.StructType(
+    [
+        T.StructField(BUCKET, T.LongType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("rows", T.LongType()),
+    ]
+)
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.schema = schema
+
+    def _committed(self) -> list[int]:
+        """Versions whose manifest is complete."""
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest/v=*/_SUCCESS")
+        fs = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = fs.globStatus(pattern) or []
+        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
+    def version(self) -> int:
+        return max(self._committed(), default=0)
+
+    def buckets(self) -> dict[int, tuple[int, int]]:
+        """Bucket -> (version holding it, rows); one small entry per bucket."""
+        version = self.version()
+        if not version:
+            return {}
+        manifest = self.spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest/v={version}")
+        return {r[BUCKET]: (r["version"], r["rows"]) for r in manifest.collect()}
+
+    def read(self, only: Iterable[int] | None = None) -> DataFrame:
+        """Current rows, of all buckets or of the given ones; ``bucket`` is kept as a column."""
+        wanted = None if only is None else set(only)
+        paths = [
+            f"{self.path}/data/v={version}/{BUCKET}={bucket}"
+            for bucket, (version, rows) in sorted(self.buckets().items())
+            if rows and (wanted is None or bucket in wanted)
+        ]
+        full = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.LongType())])
+        if not paths:
+            return self.spark.createDataFrame([], full)
+        rows = self.spark.read.schema(self.schema).parquet(*paths)
+        # The path holds the bucket; reading by path keeps versions apart.
+        bucket = F.regexp_extract(F.col("_metadata.file_path"), rf"/{BUCKET}=(-?[0-9]+)/", 1)
+        return rows.select("*", bucket.cast("bigint").alias(BUCKET))
+
+    def replace(
+        self, rows: DataFrame, touched: Iterable[int], version: int | None = None
+    ) -> int:
+        """Make ``rows`` the whole content of the ``touched`` buckets; returns the version.
+
+        The version is the next one unless a higher number is given.  A touched bucket
+        without rows becomes empty.  The rebalance hint lets AQE split a bucket that is too
+        large for one writer.  One writer per table at a time.
+        """
+        current = self.buckets()
+        version = max(self.version() + 1, version or 0)
+        data = f"{self.path}/data/v={version}"
+        (
+            rows.select(*self.schema.fieldNames(), BUCKET)
+            .hint("rebalance", BUCKET)
+            .write.mode("overwrite")
+            .partitionBy(BUCKET)
+            .parquet(data)
+        )
+        written = self.spark.read.schema(
+            T.StructType([self.schema.fields[0], T.StructField(BUCKET, T.LongType())])
+        ).parquet(data)
+        counts = {r[BUCKET]: r["count"] for r in written.groupBy(BUCKET).count().collect()}
+        for bucket in touched:
+            current[bucket] = (version, counts.get(bucket, 0))
+        entries = [(b, v, n) for b, (v, n) in sorted(current.items())]
+        (
+            self.spark.createDataFrame(entries, MANIFEST)
+            .coalesce(1)
+            .write.mode("overwrite")
+            .parquet(f"{self.path}/manifest/v={version}")
+        )
+        return version

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -24,44 +25,48 @@ class Star:
     status: DataFrame
     result: DataFrame
     pit_stop: DataFrame
-    # Known upper bounds on table rows; a missing one is counted once on demand.
-    sizes: dict[str, int] = field(default_factory=dict)
+    # Upper bounds on table rows, or how to get them; a missing one is counted on demand.
+    sizes: dict[str, int | Callable[[], int]] = field(default_factory=dict)
 
     def rows(self, table: str) -> int:
         """Upper bound on the rows of a table; for stored Parquet the count reads footers only."""
-        if table not in self.sizes:
-            self.sizes[table] = getattr(self, table).count()
-        return self.sizes[table]
+        known = self.sizes.get(table, getattr(self, table).count)
+        if callable(known):
+            known = self.sizes[table] = known()
+        return known
 
     def lookup(self, table: str, df: DataFrame) -> DataFrame:
         """``df``, at most as long as ``table``, marked for broadcast if that is short enough."""
         return F.broadcast(df) if self.rows(table) <= BROADCAST_ROWS else df
 
 
-def driver_dim(typed: DataFrame) -> DataFrame:
+def driver_dim(typed: DataFrame, *keep: str) -> DataFrame:
     return typed.select(
         "driver_id", "driver_ref", "driver_code", "permanent_number", "forename", "surname",
-        "full_name", "date_of_birth", "nationality",
+        "full_name", "date_of_birth", "nationality", *keep,
     )
 
 
-def constructor_dim(typed: DataFrame) -> DataFrame:
-    return typed.select("constructor_id", "constructor_ref", "constructor_name", "nationality")
+def constructor_dim(typed: DataFrame, *keep: str) -> DataFrame:
+    return typed.select(
+        "constructor_id", "constructor_ref", "constructor_name", "nationality", *keep
+    )
 
 
-def circuit_dim(typed: DataFrame) -> DataFrame:
+def circuit_dim(typed: DataFrame, *keep: str) -> DataFrame:
     return typed.select(
         "circuit_id", "circuit_ref", "circuit_name", "location", "country", "latitude",
-        "longitude", "altitude_m",
+        "longitude", "altitude_m", *keep,
     )
 
 
-def race_dim(typed: DataFrame) -> DataFrame:
+def race_dim(typed: DataFrame, *keep: str) -> DataFrame:
     return typed.select(
         "race_id", "season_year", "round_number", "circuit_id", "race_name", "race_date",
         "race_start_utc",
         F.month("race_date").alias("race_month"),
         day_name("race_date").alias("race_day_name"),
+        *keep,
     )
 
 
@@ -79,12 +84,13 @@ def retirement_category(classified: Column, description: Column) -> Column:
     )
 
 
-def status_dim(typed: DataFrame) -> DataFrame:
+def status_dim(typed: DataFrame, *keep: str) -> DataFrame:
     return typed.select(
         "status_id", "status_description", "is_classified_finish",
         retirement_category(
             F.col("is_classified_finish"), F.col("status_description")
         ).alias("retirement_category"),
+        *keep,
     )
 
 
@@ -93,7 +99,7 @@ def positions_gained(grid: Column, finish: Column) -> Column:
     return F.when((grid != 0) & finish.isNotNull(), grid - finish)
 
 
-def result_fact(typed: DataFrame) -> DataFrame:
+def result_fact(typed: DataFrame, *keep: str) -> DataFrame:
     grid, finish = F.col("grid_position"), F.col("finish_position")
     return typed.select(
         "result_id", "race_id", "driver_id", "constructor_id", "status_id", "grid_position",
@@ -103,20 +109,23 @@ def result_fact(typed: DataFrame) -> DataFrame:
         positions_gained(grid, finish).alias("positions_gained"),
         flag(finish == 1).alias("is_win"),
         flag(finish <= 3).alias("is_podium"),
+        *keep,
     )
 
 
-def pit_stop_fact(typed: DataFrame) -> DataFrame:
+def pit_stop_fact(typed: DataFrame, *keep: str) -> DataFrame:
     """Timing artefacts stay in the typed table and are left out here."""
     return typed.filter(F.col("duration_ms").between(MIN_STOP_MS, MAX_STOP_MS)).select(
         "pit_stop_key", "race_id", "driver_id", "stop_number", "lap_number", "duration_ms",
         F.round(F.col("duration_ms").cast("decimal(18,0)") / 1000, 3)
         .cast("decimal(18,3)")
         .alias("duration_seconds"),
+        *keep,
     )
 
 
-# Typed table -> star table and the projection between them.
+# Typed table -> star table and the projection between them.  A projection also passes
+# the named ``keep`` columns through.
 PROJECTIONS = {
     "drivers": ("driver", driver_dim),
     "constructors": ("constructor", constructor_dim),
