@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from lapwise.bindings import oracle_star, star_queries
+from lapwise.bindings import (
+    oracle_star,
+    oracle_storage,
+    oracle_text,
+    star_queries,
+    storage_queries,
+    text_queries,
+)
 
-QUERIES = {**star_queries.QUERIES}
-ORACLE_SQL = {**oracle_star.QUERIES}
+QUERIES = {**star_queries.QUERIES, **text_queries.QUERIES, **storage_queries.QUERIES}
+ORACLE_SQL = {**oracle_star.QUERIES, **oracle_text.QUERIES, **oracle_storage.QUERIES}

@@ -17,8 +17,9 @@ from lapwise import functions as fx
 LINEAGE = ("dw_file_name", "dw_file_row_number", "dw_file_last_modified", "dw_loaded_at")
 HOUSEKEEPING = ("row_hash", "dw_source_file", "dw_inserted_at", "dw_updated_at")
 
-# File-name patterns of the season-partitioned entities.
-SEASON_FILE = r".*{name}_[0-9]{{4}}[.]csv([.]gz)?$"
+# File-name patterns.  A season's files are named after it, or lie in its
+# folder under the names Spark gives its own output.
+SEASON_FILE = r".*({name}_[0-9]{{4}}|season=[0-9]{{4}}/part-[^/]*)[.]csv([.]gz)?$"
 ANY_FILE = r".*[.]csv([.]gz)?$"
 
 CASTS = {

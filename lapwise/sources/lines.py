@@ -80,12 +80,12 @@ def number_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def judged(lines: DataFrame) -> DataFrame:
+def judged(lines: DataFrame, header_lines: int = 1) -> DataFrame:
     """Data lines (no header, no blank lines) with the reason for rejection, if any."""
     value = F.col("value")
     return (
         number_lines(lines)
-        .filter((F.col("line_number") > 1) & (F.trim(value) != ""))
+        .filter((F.col("line_number") > header_lines) & (F.trim(value) != ""))
         .withColumn(
             "error",
             F.when(F.length(value) > MAX_RECORD_CHARS, F.lit(TOO_LONG)).when(

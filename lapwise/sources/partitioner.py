@@ -59,7 +59,9 @@ def with_season(
     return Partitioned(rows, tagged.filter(season.isNull()).drop("season"))
 
 
-def write_seasons(rows: DataFrame, path: str, compression: str = "gzip") -> None:
+def write_seasons(
+    rows: DataFrame, path: str, compression: str = "gzip", null_token: str = ""
+) -> None:
     """One directory per season with the season out of the payload.
 
     The rebalance hint gathers a small season into one file and lets AQE cut a large
@@ -69,12 +71,20 @@ def write_seasons(rows: DataFrame, path: str, compression: str = "gzip") -> None
         rows.hint("rebalance", "season")
         .write.mode("overwrite")
         .partitionBy("season")
-        .csv(path, header=True, quote='"', escape='"', compression=compression, emptyValue="")
+        .options(**_csv(compression, null_token))
+        .csv(path)
     )
 
 
-def write_whole(rows: DataFrame, path: str, compression: str = "none") -> None:
+def write_whole(
+    rows: DataFrame, path: str, compression: str = "none", null_token: str = ""
+) -> None:
     """A dimension copied through unpartitioned."""
-    rows.write.mode("overwrite").csv(
-        path, header=True, quote='"', escape='"', compression=compression, emptyValue=""
-    )
+    rows.write.mode("overwrite").options(**_csv(compression, null_token)).csv(path)
+
+
+def _csv(compression: str, null_token: str) -> dict[str, str]:
+    return {
+        "header": "true", "quote": '"', "escape": '"', "emptyValue": "",
+        "nullValue": null_token, "compression": compression,
+    }
