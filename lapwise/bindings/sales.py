@@ -177,24 +177,33 @@ def pit_stops(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def typed_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    def read(name: str) -> DataFrame:
-        return table(spark, folder, name)
-
-    orders, customer, nation = read("orders"), read("customer"), read("nation")
-    return {
-        "drivers": drivers(customer, nation),
-        "constructors": constructors(nation, read("region")),
-        "circuits": circuits(read("region")),
-        "races": races(orders),
-        "status": statuses(orders),
-        "results": results(orders, customer),
-        "pit_stops": pit_stops(read("lineitem"), orders),
-    }
+def typed_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One of the seven typed tables."""
+
+    def read(source: str) -> DataFrame:
+        return table(spark, folder, source)
+
+    if name == "drivers":
+        return drivers(read("customer"), read("nation"))
+    if name == "constructors":
+        return constructors(read("nation"), read("region"))
+    if name == "circuits":
+        return circuits(read("region"))
+    if name == "races":
+        return races(read("orders"))
+    if name == "status":
+        return statuses(read("orders"))
+    if name == "results":
+        return results(read("orders"), read("customer"))
+    if name == "pit_stops":
+        return pit_stops(read("lineitem"), read("orders"))
+    raise KeyError(name)
 
 
 def sales_star(spark: SparkSession, folder: str) -> Star:
-    star = star_plans.build_star(typed_tables(spark, folder))
+    star = star_plans.build_star(
+        {name: typed_table(spark, folder, name) for name in star_plans.PROJECTIONS}
+    )
     star.sizes.update(
         race=MAX_MONTHS,
         status=len(OUTCOMES),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ SUPPLIER_KEYS = 10**12
 KEYS_PER_BUCKET = 10**6
 SPLIT_SEASON = 1997
 SEASON_WINDOW = (1996, 2000)
+AT_ONCE = 4
 
 
 # -- upsert ----------------------------------------------------------------------------
@@ -108,10 +110,9 @@ def upsert_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def source_rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One entity's file content as text, in file column order, without the season."""
-    typed = sales.typed_tables(spark, folder)
+    rows = sales.typed_table(spark, folder, name)
     cells: dict[str, Column]
     if name == "circuits":
-        rows = typed[name]
         cells = {
             "circuitId": F.col("circuit_id"), "circuitRef": F.col("circuit_ref"),
             "name": F.col("circuit_name"), "location": F.col("location"),
@@ -119,13 +120,11 @@ def source_rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
             "alt": F.col("altitude_m"),
         }
     elif name == "constructors":
-        rows = typed[name]
         cells = {
             "constructorId": F.col("constructor_id"), "constructorRef": F.col("constructor_ref"),
             "name": F.col("constructor_name"), "nationality": F.col("nationality"),
         }
     elif name == "drivers":
-        rows = typed[name]
         cells = {
             "driverId": F.col("driver_id"), "driverRef": F.col("driver_ref"),
             "number": F.col("permanent_number"), "code": F.col("driver_code"),
@@ -135,17 +134,14 @@ def source_rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
             "dob": F.col("date_of_birth"), "nationality": F.col("nationality"),
         }
     elif name == "status":
-        rows = typed[name]
         cells = {"statusId": F.col("status_id"), "status": F.col("status_description")}
     elif name == "races":
-        rows = typed[name]
         cells = {
             "raceId": F.col("race_id"), "year": F.col("season_year"),
             "round": F.col("round_number"), "circuitId": F.col("circuit_id"),
             "name": F.col("race_name"), "date": F.col("race_date"),
         }
     elif name == "results":
-        rows = typed[name]
         cells = {
             "resultId": F.col("result_id"), "raceId": F.col("race_id"),
             "driverId": F.col("driver_id"), "constructorId": F.col("constructor_id"),
@@ -156,7 +152,7 @@ def source_rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
         }
     else:
         # The longest stop per race, driver and number, so that keys are unique.
-        rows = typed["pit_stops"].groupBy("race_id", "driver_id", "stop_number").agg(
+        rows = rows.groupBy("race_id", "driver_id", "stop_number").agg(
             F.max("duration_ms").alias("duration_ms")
         )
         cells = {
@@ -179,7 +175,8 @@ def stage(
 ) -> None:
     """Write the entities as gzipped CSV, the season ones into season folders."""
     races = source_rows(spark, folder, "races")
-    for name in names:
+
+    def write(name: str) -> None:
         rows = races if name == "races" else source_rows(spark, folder, name)
         if ENTITIES[name].by_season:
             split = partitioner.with_season(
@@ -192,6 +189,9 @@ def stage(
         else:
             partitioner.write_whole(rows, f"{root}/{name}", "gzip", NULL_TOKEN)
 
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        list(pool.map(write, names))
+
 
 def _loaded_archive(
     spark: SparkSession, folder: str, names: tuple[str, ...] = tuple(ENTITIES)
@@ -199,8 +199,7 @@ def _loaded_archive(
     staged = scratch_path(spark, "staged")
     stage(spark, folder, staged, names)
     archive = Archive(spark, scratch_path(spark, "archive"))
-    for name in names:
-        archive.load(ENTITIES[name], staged, "first", T0)
+    archive.for_each(lambda entity: archive.load(entity, staged, "first", T0), names)
     return archive, staged
 
 
@@ -251,10 +250,10 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def archive_standings(spark: SparkSession, folder: str) -> DataFrame:
     """The flagship answer read from the stored star, all seven files having gone through it."""
-    archive, _ = _loaded_archive(spark, folder)
-    for entity in ENTITIES.values():
-        archive.conform(entity, T0)
-        archive.refresh(entity)
+    staged = scratch_path(spark, "staged")
+    stage(spark, folder, staged)
+    archive = Archive(spark, scratch_path(spark, "archive"))
+    archive.bring_up(staged, "first", T0)
     progression = views.season_progression(archive.star())
     return to_serving(analysis.final_standings(progression)).drop("driver_name")
 

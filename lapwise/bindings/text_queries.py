@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapwise import functions as fx
-from lapwise.bindings.sales import OUTCOMES, month_id, sales_star, status_id, table, typed_tables
+from lapwise.bindings.sales import OUTCOMES, month_id, sales_star, status_id, table, typed_table
 from lapwise.operators import quality
 from lapwise.operators.masking import PRIVILEGED_ROLES
 from lapwise.plans import conform, verification
@@ -263,7 +263,6 @@ def orphan_checks(spark: SparkSession, folder: str) -> DataFrame:
 
 def _history(spark: SparkSession, folder: str, measured: str, late: bool) -> DataFrame:
     """Metrics of the sales-derived typed tables at one time."""
-    typed = typed_tables(spark, folder)
     lines = table(spark, folder, "lineitem").withColumn(
         "shipped", F.when(F.col("l_linestatus") == "F", F.col("l_shipdate"))
     )
@@ -277,10 +276,10 @@ def _history(spark: SparkSession, folder: str, measured: str, late: bool) -> Dat
         ("orders", table(spark, folder, "orders"),
          [quality.row_count(), quality.freshness("o_orderdate", newest_order)],
          [["o_orderkey"], ["o_custkey"]]),
-        ("results", typed["results"],
+        ("results", typed_table(spark, folder, "results"),
          [quality.null_count("finish_position"),
           quality.out_of_range("DMF_GRID_POSITION_OUT_OF_RANGE", "grid_position", 0, 40)], []),
-        ("pit_stops", typed["pit_stops"],
+        ("pit_stops", typed_table(spark, folder, "pit_stops"),
          [quality.out_of_range("DMF_IMPLAUSIBLE_PIT_DURATION", "duration_ms", 1000, 300000)],
          []),
     ]

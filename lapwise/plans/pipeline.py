@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +34,9 @@ AUDIT = (
 )
 
 
+Outcome = TypeVar("Outcome")
+
+
 class NothingStaged(RuntimeError):
     """A first load found no file at all: usually a wrong prefix or pattern."""
 
@@ -44,6 +50,7 @@ class Archive:
     bucket_width: dict[str, int] = field(
         default_factory=lambda: {"results": 1_000_000, "pit_stops": 1_000}
     )
+    _schemas: dict[str, T.StructType] = field(default_factory=dict, repr=False)
 
     # -- tables ---------------------------------------------------------------
 
@@ -83,16 +90,20 @@ class Archive:
         return self._log("ledger", LEDGER, entity.name)
 
     def typed_table(self, entity: Entity) -> SnapshotTable:
-        schema = conform.table_schema(
-            self.spark.createDataFrame([], landing_schema(entity)), entity
-        )
-        return SnapshotTable(self.spark, f"{self.root}/typed/{entity.name}", schema)
+        if entity.name not in self._schemas:
+            empty = self.spark.createDataFrame([], landing_schema(entity))
+            self._schemas[entity.name] = conform.table_schema(empty, entity)
+        path = f"{self.root}/typed/{entity.name}"
+        return SnapshotTable(self.spark, path, self._schemas[entity.name])
 
     def star_table(self, entity: Entity) -> SnapshotTable:
         table, project = PROJECTIONS[entity.name]
-        empty = self.spark.createDataFrame([], self.typed_table(entity).schema)
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in project(empty).schema])
-        return SnapshotTable(self.spark, f"{self.root}/star/{table}", schema)
+        key = f"star/{table}"
+        if key not in self._schemas:
+            empty = self.spark.createDataFrame([], self.typed_table(entity).schema)
+            fields = [T.StructField(f.name, f.dataType) for f in project(empty).schema]
+            self._schemas[key] = T.StructType(fields)
+        return SnapshotTable(self.spark, f"{self.root}/star/{table}", self._schemas[key])
 
     def typed(self, entity: Entity) -> DataFrame:
         return self.typed_table(entity).read().drop(BUCKET)
@@ -106,6 +117,28 @@ class Archive:
 
     # -- steps ----------------------------------------------------------------
 
+    def for_each(
+        self,
+        step: Callable[[Entity], Outcome],
+        names: Iterable[str] = tuple(ENTITIES),
+        at_once: int = 4,
+    ) -> dict[str, Outcome]:
+        """Run a step for several entities; they are independent, so their jobs overlap."""
+        names = tuple(names)
+        with ThreadPoolExecutor(at_once) as pool:
+            return dict(zip(names, pool.map(lambda n: step(ENTITIES[n]), names)))
+
+    def bring_up(self, staged_root: str, batch: str, now: dt.datetime) -> dict[str, UpsertReport]:
+        """Load what is new, upsert it and refresh the star, for all seven entities."""
+
+        def step(entity: Entity) -> UpsertReport:
+            taken = self.load(entity, staged_root, batch, now)
+            report = self.conform(entity, now, [batch]) if taken else UpsertReport(0, 0, 0)
+            self.refresh(entity)
+            return report
+
+        return self.for_each(step)
+
     def load(
         self,
         entity: Entity,
