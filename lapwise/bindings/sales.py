@@ -52,6 +52,20 @@ def status_id(status: Column, priority: Column) -> Column:
     return ((letter - 1) * 5 + F.substring(priority, 1, 1).cast("int")).cast("bigint")
 
 
+def outcome(status: Column) -> Column:
+    """Outcome text of a status id; ``OUTCOMES`` lists them in id order."""
+    return F.element_at(F.array(*[F.lit(t) for t in OUTCOMES.values()]), status.cast("int"))
+
+
+def duration_text(ms: Column, minutes: bool = True) -> Column:
+    """Milliseconds as ``m:ss.SSS``, or ``s.SSS`` without minutes."""
+    fraction = F.lpad((ms % 1000).cast("string"), 3, "0")
+    if not minutes:
+        return F.concat(F.floor(ms / 1000), F.lit("."), fraction)
+    seconds = F.lpad(F.floor(ms % 60000 / 1000).cast("string"), 2, "0")
+    return F.concat(F.floor(ms / 60000), F.lit(":"), seconds, F.lit("."), fraction)
+
+
 def races(orders: DataFrame) -> DataFrame:
     """Typed races: one per month with orders."""
     months = orders.select(
@@ -72,17 +86,9 @@ def races(orders: DataFrame) -> DataFrame:
 def statuses(orders: DataFrame) -> DataFrame:
     """Typed outcomes: the status and priority pairs that occur."""
     seen = orders.select(
-        F.col("o_orderstatus").alias("letter"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("digit"),
-        status_id(F.col("o_orderstatus"), F.col("o_orderpriority")).alias("status_id"),
+        status_id(F.col("o_orderstatus"), F.col("o_orderpriority")).alias("status_id")
     ).distinct()
-    text = F.coalesce(
-        *[
-            F.when((F.col("letter") == letter) & (F.col("digit") == digit), F.lit(outcome))
-            for (letter, digit), outcome in OUTCOMES.items()
-        ]
-    )
-    described = seen.select("status_id", text.alias("status_description"))
+    described = seen.select("status_id", outcome(F.col("status_id")).alias("status_description"))
     return described.withColumn(
         "is_classified_finish",
         (F.col("status_id") == 1) | F.col("status_description").ilike("+%Lap%"),
@@ -201,15 +207,13 @@ def typed_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def sales_star(spark: SparkSession, folder: str) -> Star:
-    star = star_plans.build_star(
-        {name: typed_table(spark, folder, name) for name in star_plans.PROJECTIONS}
-    )
+    star = star_plans.build_star(lambda name: typed_table(spark, folder, name))
     star.sizes.update(
         race=MAX_MONTHS,
         status=len(OUTCOMES),
-        driver=table(spark, folder, "customer").count,
-        constructor=table(spark, folder, "nation").count,
-        circuit=table(spark, folder, "region").count,
+        driver=lambda: table(spark, folder, "customer").count(),
+        constructor=lambda: table(spark, folder, "nation").count(),
+        circuit=lambda: table(spark, folder, "region").count(),
     )
     return star
 
@@ -224,32 +228,31 @@ def shipping_star(spark: SparkSession, folder: str) -> Star:
     entries = lineitem.join(
         supplier.select(F.col("s_suppkey").alias("l_suppkey"), "n_regionkey"), "l_suppkey"
     )
-    star = Star(
-        driver=supplier.select(
-            F.col("s_suppkey").alias("driver_id"), F.col("s_name").alias("full_name")
-        ),
-        constructor=region.select(
-            F.col("r_regionkey").alias("constructor_id"), F.col("r_name").alias("constructor_name")
-        ),
-        circuit=circuits(region),
-        race=orders.select(
-            F.col("o_orderkey").alias("race_id"), F.year("o_orderdate").alias("season_year")
-        ),
-        status=statuses(orders),
-        result=entries.select(
-            F.col("l_orderkey").alias("race_id"),
-            F.col("l_suppkey").alias("driver_id"),
-            F.col("n_regionkey").alias("constructor_id"),
-            F.col("l_linenumber").alias("position_order"),
-        ),
-        pit_stop=pit_stops(lineitem, orders),
-    )
-    star.sizes.update(
-        race=orders.count,
-        driver=table(spark, folder, "supplier").count,
-        constructor=region.count,
+    return Star(
+        {
+            "driver": lambda: supplier.select(
+                F.col("s_suppkey").alias("driver_id"), F.col("s_name").alias("full_name")
+            ),
+            "constructor": lambda: region.select(
+                F.col("r_regionkey").alias("constructor_id"),
+                F.col("r_name").alias("constructor_name"),
+            ),
+            "race": lambda: orders.select(
+                F.col("o_orderkey").alias("race_id"), F.year("o_orderdate").alias("season_year")
+            ),
+            "result": lambda: entries.select(
+                F.col("l_orderkey").alias("race_id"),
+                F.col("l_suppkey").alias("driver_id"),
+                F.col("n_regionkey").alias("constructor_id"),
+                F.col("l_linenumber").alias("position_order"),
+            ),
+        },
+        {
+            "race": orders.count,
+            "driver": lambda: table(spark, folder, "supplier").count(),
+            "constructor": region.count,
+        },
     )
-    return star
 
 
 def event_results(spark: SparkSession, folder: str) -> DataFrame:

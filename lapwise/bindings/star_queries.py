@@ -71,7 +71,9 @@ QUERIES: dict[str, Query] = {
     "season_index": _on_star(views.season_summary),
     "season_shape": _on_star(lambda s: analysis.season_shape(s, FIRST_SEASON)),
     "event_classification": _on_star(lambda s: analysis.classification(views.race_result(s))),
-    "leader_gap": _on_star(lambda s: analysis.leader_gap(views.season_progression(s))),
+    "leader_gap": _on_star(
+        lambda s: analysis.leader_gap(views.season_progression(s), s.rows("driver"))
+    ),
     "rolling_form": _on_events(lambda r: analysis.rolling_form(r, slice_by=_hour())),
     "pairwise_head_to_head": _head_to_head,
     "stop_performance": _on_star(_pit),

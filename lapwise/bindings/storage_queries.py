@@ -158,7 +158,7 @@ def source_rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
         cells = {
             "raceId": F.col("race_id"), "driverId": F.col("driver_id"),
             "stop": F.col("stop_number"),
-            "duration": F.format_string("%.3f", F.col("duration_ms") / 1000),
+            "duration": sales.duration_text(F.col("duration_ms"), minutes=False),
         }
     nothing = F.lit(None).cast("string")
     landing = ENTITIES[name].landing

@@ -8,7 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapwise import functions as fx
-from lapwise.bindings.sales import OUTCOMES, month_id, sales_star, status_id, table, typed_table
+from lapwise.bindings.sales import (
+    duration_text,
+    month_id,
+    outcome,
+    sales_star,
+    status_id,
+    table,
+    typed_table,
+)
 from lapwise.operators import quality
 from lapwise.operators.masking import PRIVILEGED_ROLES
 from lapwise.plans import conform, verification
@@ -30,11 +38,11 @@ def duration_parse(spark: SparkSession, folder: str) -> DataFrame:
     """Event values written as durations in several shapes, junk included, and parsed back."""
     kind = F.col("event_type")
     ms = F.round(F.col("value") * 1000).cast("bigint")
-    minutes = F.format_string("%d:%06.3f", F.floor(ms / 60000), (ms % 60000) / 1000)
+    minutes = duration_text(ms)
     text = (
         F.when(kind == "purchase", minutes)
         .when(kind == "view", F.concat(minutes, F.lit(":ignored")))
-        .when(kind == "click", F.format_string("%.3f", ms / 1000))
+        .when(kind == "click", duration_text(ms, minutes=False))
         .when(kind == "error", F.concat(F.lit("n/a "), kind))
     )
     events = table(spark, folder, "events").select("event_id", text.alias("duration"))
@@ -153,16 +161,7 @@ def landing_rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
         F.col("o_orderdate"),
     )
     if name == "status":
-        outcome = F.coalesce(
-            *[
-                F.when(
-                    (F.col("o_orderstatus") == letter)
-                    & F.col("o_orderpriority").startswith(str(digit)), F.lit(text)
-                )
-                for (letter, digit), text in OUTCOMES.items()
-            ]
-        )
-        return _landing(orders, name, {"statusId": code, "status": outcome}, *order_lineage)
+        return _landing(orders, name, {"statusId": code, "status": outcome(code)}, *order_lineage)
     if name == "races":
         day = F.col("o_orderdate").cast("date")
         return _landing(
@@ -190,9 +189,7 @@ def landing_rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
                 "points": F.col("l_quantity").cast("decimal(8,2)") / 2,
                 "laps": F.col("l_quantity").cast("int"),
                 "milliseconds": ms,
-                "fastestLapTime": F.format_string(
-                    "%d:%06.3f", F.floor(ms / 60000), (ms % 60000) / 1000
-                ),
+                "fastestLapTime": duration_text(ms),
                 "fastestLapSpeed": F.col("l_quantity").cast("int") / 4,
                 "statusId": F.when(F.col("l_linestatus") == "O", F.lit("open")).otherwise(
                     F.col("l_linenumber").cast("string")
@@ -213,7 +210,7 @@ def landing_rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
                 ),
                 "stop": F.hour("ts"), "lap": F.minute("ts"),
                 "time": F.date_format("ts", "HH:mm:ss"),
-                "duration": F.format_string("%.3f", ms / 1000),
+                "duration": duration_text(ms, minutes=False),
                 "milliseconds": F.when(F.col("event_type") == "purchase", ms),
             },
             F.lit("events.csv"), F.col("event_id"), F.col("ts"),

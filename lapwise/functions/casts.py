@@ -14,12 +14,19 @@ def _column(value: Column | str) -> Column:
 
 
 def try_number(value: Column | str) -> Column:
-    """Whole number; fractions round half up, out-of-range text becomes NULL."""
-    return _column(value).try_cast("decimal(38,0)").try_cast("bigint")
+    """Whole number; fractions round half up, out-of-range text becomes NULL.
+
+    Plain digits take the cheap integer cast; only other text is read as a decimal.
+    """
+    text = _column(value)
+    return F.coalesce(
+        text.try_cast("bigint"), text.try_cast("decimal(38,0)").try_cast("bigint")
+    )
 
 
 def try_int(value: Column | str) -> Column:
-    return _column(value).try_cast("decimal(38,0)").try_cast("int")
+    text = _column(value)
+    return F.coalesce(text.try_cast("int"), text.try_cast("decimal(38,0)").try_cast("int"))
 
 
 def try_double(value: Column | str) -> Column:

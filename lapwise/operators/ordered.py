@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from lapwise.functions.ordering import ascending, descending
 from lapwise.operators.sizing import MAX_GROUP_ROWS, fits_one_task
+from lapwise.session import stored
 
 SLICE = "__slice"
 BEFORE = "__before"
@@ -209,6 +210,7 @@ def rank_by(
     if fits_one_task(df, keys, group_rows, max_rows):
         frame = W.partitionBy(*keys).orderBy(direction(value))
         return df.withColumn(out, F.rank().over(frame).cast("bigint"))
+    df = stored(df, "rank")
     weights = df.groupBy(*keys, value).agg(F.count("*").alias("__weight"))
     sliced = weights.withColumn(SLICE, leading_digits(F.col(value)))
     carry = _carry(sliced, keys, {BEFORE: F.sum("__weight")}, descending_=largest_first)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lapwise.functions import flag
 from lapwise.operators.ordered import null_safe_join
+from lapwise.session import stored
 
 # Entries of one group that are paired directly; at most half their square in pairs.
 MAX_MEMBERS = 200
@@ -75,7 +76,7 @@ def head_to_head(
     with the pair), ``member`` (orders the pair), ``name`` (identifies it) and ``position`` (smaller is
     ahead).  Repeated entries of a member in a group count once per combination.
     """
-    entries = _entries(rows, group)
+    entries = stored(_entries(rows, group), "entries")
     sizes = entries.groupBy(*group).agg(F.count("*").alias("members"))
     oversize = sizes.filter(F.col("members") > max_members).select(*group)
     pair = ["team", "name_a", "name_b"]

@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lapwise.functions import ascending, descending, flag, percentage
+from lapwise.functions import ascending, descending, percentage
 from lapwise.operators import ordered
 from lapwise.operators.pairs import MAX_MEMBERS, head_to_head
-from lapwise.operators.sizing import MAX_GROUP_ROWS
+from lapwise.operators.sizing import MAX_GROUP_ROWS, fits_one_task
 from lapwise.plans import views
 from lapwise.plans.star import Star
+from lapwise.session import stored
 
 # Defaults of the analyst questions.
 STANDINGS_SIZE = 20
@@ -71,29 +73,35 @@ def final_standings(progression: DataFrame, size: int = STANDINGS_SIZE) -> DataF
     )
 
 
-def leader_gap(progression: DataFrame) -> DataFrame:
+def leader_gap(
+    progression: DataFrame, field_rows: int | None = None, max_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
     """The two best running totals of every round and the gap to the leader.
 
-    The two totals are found among distinct values, two rows per round, and joined
-    back, so any number of drivers level on points is spread over the cluster.
+    ``field_rows`` bounds the drivers of a round.  Beyond ``max_rows`` the two totals are
+    found among distinct values, two rows per round, and joined back, so that any number
+    of drivers level on points is spread over the cluster.
     """
     rounds = ["season_year", "round_number"]
-    totals = progression.select(*rounds, "cumulative_points").distinct()
-    leading = ordered.top_per_group(totals, rounds, [descending("cumulative_points")], 2)
-    best = ordered.group_value(
-        leading, rounds, {"leader_points": F.max("cumulative_points")}, group_rows=2
-    )
-    return (
-        ordered.null_safe_join(progression, best, [*rounds, "cumulative_points"])
-        .select(
-            *rounds, "race_name", "driver_id", "driver_name", "cumulative_points",
-            (F.col("leader_points") - F.col("cumulative_points")).alias("points_behind_leader"),
+    points = F.col("cumulative_points")
+    if fits_one_task(progression, rounds, field_rows, max_rows):
+        leaders = (
+            progression.withColumn(
+                "place", F.dense_rank().over(W.partitionBy(*rounds).orderBy(descending(points)))
+            )
+            .filter(F.col("place") <= 2)
+            .withColumn("leader_points", F.max(points).over(W.partitionBy(*rounds)))
         )
-        .orderBy(
-            *[ascending(c) for c in rounds], descending("cumulative_points"),
-            ascending("driver_id"),
-        )
-    )
+    else:
+        progression = stored(progression, "progression")
+        totals = progression.select(*rounds, "cumulative_points").distinct()
+        leading = ordered.top_per_group(totals, rounds, [descending(points)], 2)
+        best = ordered.group_value(leading, rounds, {"leader_points": F.max(points)}, group_rows=2)
+        leaders = ordered.null_safe_join(progression, best, [*rounds, "cumulative_points"])
+    return leaders.select(
+        *rounds, "race_name", "driver_id", "driver_name", "cumulative_points",
+        (F.col("leader_points") - points).alias("points_behind_leader"),
+    ).orderBy(*[ascending(c) for c in rounds], descending(points), ascending("driver_id"))
 
 
 def rolling_form(

@@ -16,20 +16,20 @@ def typed(landing: DataFrame, entity: Entity) -> DataFrame:
     """One typed row per key: the newest arrival, rows with an unparsable key left out.
 
     Newest is by load time, then row number; file name and content settle the rest, so
-    that reruns agree.
+    that reruns agree.  Only the key is parsed before the choice; the other columns are
+    cast once per key however many generations of it were landed.
     """
-    rows = landing.select(
-        *entity.projection(),
-        F.col("dw_file_name").alias("dw_source_file"),
-        F.col("dw_loaded_at").alias("__loaded_at"),
-        F.col("dw_file_row_number").alias("__row_number"),
-    )
+    key = entity.expression(entity.key)
+    order = [
+        descending("dw_loaded_at"), descending("dw_file_row_number"), descending("dw_file_name"),
+        F.xxhash64(*[F.col(c) for c in entity.sources()]).desc(),
+    ]
+    rows = landing.withColumn("__key", key)
     for column in entity.required_columns:
-        rows = rows.filter(F.col(column).isNotNull())
-    content = F.xxhash64(*[F.col(c) for c in entity.business_columns()])
-    order = [descending("__loaded_at"), descending("__row_number"),
-             descending("dw_source_file"), content.desc()]
-    return newest(rows, [entity.key], order).drop("__loaded_at", "__row_number")
+        rows = rows.filter(entity.expression(column).isNotNull())
+    return newest(rows, ["__key"], order).select(
+        *entity.projection(), F.col("dw_file_name").alias("dw_source_file")
+    )
 
 
 def with_hash(rows: DataFrame, entity: Entity, narrow: bool = False, text: bool = False) -> DataFrame:

@@ -9,6 +9,7 @@ from lapwise.functions import ascending, descending, to_serving
 from lapwise.operators import ordered
 from lapwise.plans import views
 from lapwise.plans.star import Star
+from lapwise.session import stored
 
 # Lines on the progression chart, and the name shown for an empty season.
 CONTENDERS = 6
@@ -86,6 +87,7 @@ def _finals(rows: DataFrame) -> DataFrame:
 
 def top_contenders(rows: DataFrame, count: int = CONTENDERS) -> DataFrame:
     """All rounds of the ``count`` best drivers of each season; names settle ties."""
+    rows = stored(rows, "progression")
     best = ordered.top_per_group(
         _finals(rows), ["season_year"],
         [descending("cumulative_points"), ascending("driver_name")], count,
@@ -98,6 +100,7 @@ def title_margin(rows: DataFrame) -> DataFrame:
 
     With a single driver the lead is their own total.
     """
+    rows = stored(rows, "progression")
     best_two = ordered.top_per_group(
         _finals(rows), ["season_year"],
         [descending("cumulative_points"), ascending("driver_name")], 2,

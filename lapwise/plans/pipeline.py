@@ -109,11 +109,10 @@ class Archive:
         return self.typed_table(entity).read().drop(BUCKET)
 
     def star(self) -> Star:
-        tables = {
-            table: self.star_table(ENTITIES[name]).read().drop(BUCKET)
-            for name, (table, _) in PROJECTIONS.items()
-        }
-        return Star(**tables)
+        def source(entity: Entity) -> Callable[[], DataFrame]:
+            return lambda: self.star_table(entity).read().drop(BUCKET)
+
+        return Star({t: source(ENTITIES[name]) for name, (t, _) in PROJECTIONS.items()})
 
     # -- steps ----------------------------------------------------------------
 

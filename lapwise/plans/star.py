@@ -16,21 +16,24 @@ MIN_STOP_MS = 1000
 MAX_STOP_MS = 300000
 
 
-@dataclass(frozen=True)
+@dataclass
 class Star:
-    driver: DataFrame
-    constructor: DataFrame
-    circuit: DataFrame
-    race: DataFrame
-    status: DataFrame
-    result: DataFrame
-    pit_stop: DataFrame
+    """Dimension and fact tables by name, each built when first asked for."""
+
+    sources: dict[str, Callable[[], DataFrame]]
     # Upper bounds on table rows, or how to get them; a missing one is counted on demand.
     sizes: dict[str, int | Callable[[], int]] = field(default_factory=dict)
 
+    def __getattr__(self, table: str) -> DataFrame:
+        if table.startswith("_") or table not in self.sources:
+            raise AttributeError(table)
+        built = self.sources[table]()
+        setattr(self, table, built)
+        return built
+
     def rows(self, table: str) -> int:
         """Upper bound on the rows of a table; for stored Parquet the count reads footers only."""
-        known = self.sizes.get(table, getattr(self, table).count)
+        known = self.sizes.get(table) or getattr(self, table).count
         if callable(known):
             known = self.sizes[table] = known()
         return known
@@ -137,5 +140,10 @@ PROJECTIONS = {
 }
 
 
-def build_star(typed: dict[str, DataFrame]) -> Star:
-    return Star(**{table: project(typed[name]) for name, (table, project) in PROJECTIONS.items()})
+def build_star(typed: Callable[[str], DataFrame]) -> Star:
+    """Star over typed tables fetched by entity name."""
+
+    def source(name: str, project: Callable[..., DataFrame]) -> Callable[[], DataFrame]:
+        return lambda: project(typed(name))
+
+    return Star({table: source(name, project) for name, (table, project) in PROJECTIONS.items()})

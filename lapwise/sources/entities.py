@@ -79,9 +79,22 @@ class Entity:
             skipped |= set(self.narrow_unhashed)
         return [c for c in self.business_columns() if c not in skipped]
 
+    def sources(self) -> list[str]:
+        """Landing columns any business column is made of."""
+        used = {source for _, _, source in self.typed}
+        for name in self.derived:
+            used.update(DERIVATIONS[name][1])
+        return [c for c in self.landing if c in used]
+
+    def expression(self, name: str) -> Column:
+        """A business column out of landing columns."""
+        if name in self.derived:
+            return DERIVATIONS[name][0]()
+        cast, source = next((c, s) for out, c, s in self.typed if out == name)
+        return CASTS[cast](source)
+
     def projection(self) -> list[Column]:
-        plain = [CASTS[cast](source).alias(out) for out, cast, source in self.typed]
-        return plain + [DERIVATIONS[name]().alias(name) for name in self.derived]
+        return [self.expression(name).alias(name) for name in self.business_columns()]
 
 
 def _full_name() -> Column:
@@ -100,11 +113,12 @@ def _pit_duration() -> Column:
     return F.coalesce(fx.try_number("milliseconds"), fx.duration_to_ms("duration"))
 
 
+# Derived column -> its expression and the landing columns that go into it.
 DERIVATIONS = {
-    "full_name": _full_name,
-    "is_classified_finish": _classified,
-    "pit_stop_key": _pit_stop_key,
-    "duration_ms": _pit_duration,
+    "full_name": (_full_name, ("forename", "surname")),
+    "is_classified_finish": (_classified, ("statusId", "status")),
+    "pit_stop_key": (_pit_stop_key, ("raceId", "driverId", "stop")),
+    "duration_ms": (_pit_duration, ("milliseconds", "duration")),
 }
 
 CIRCUITS = Entity(
