@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession
+
 from lapwise.bindings import (
     oracle_star,
     oracle_storage,
@@ -11,5 +16,22 @@ from lapwise.bindings import (
     text_queries,
 )
 
-QUERIES = {**star_queries.QUERIES, **text_queries.QUERIES, **storage_queries.QUERIES}
+from lapwise.session import tune
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _tuned(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return query(tune(spark), folder)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {
+    name: _tuned(query)
+    for part in (star_queries, text_queries, storage_queries)
+    for name, query in part.QUERIES.items()
+}
 ORACLE_SQL = {**oracle_star.QUERIES, **oracle_text.QUERIES, **oracle_storage.QUERIES}

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapwise.bindings.sales import event_results, sales_star, shipping_star
+from lapwise.bindings.sales import event_results, sales_star, shipping_star, table
 from lapwise.functions import ascending, to_serving
 from lapwise.operators import ordered
+from lapwise.operators.sizing import largest_group
 from lapwise.plans import analysis, feeds, views
 from lapwise.plans.star import Star
 
@@ -31,9 +32,12 @@ def _on_star(plan: Callable[[Star], DataFrame]) -> Query:
     return query
 
 
-def _on_events(plan: Callable[[DataFrame], DataFrame]) -> Query:
+def _on_events(plan: Callable[..., DataFrame]) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return plan(event_results(spark, folder))
+        # One column of the stored table tells how long the longest history is.
+        longest = largest_group(table(spark, folder, "events"), ["user_id"])
+        slice_by = ordered.hour_slice(F.col("race_date"))
+        return plan(event_results(spark, folder), slice_by=slice_by, group_rows=longest)
 
     return query
 
@@ -59,10 +63,6 @@ def _head_to_head(spark: SparkSession, folder: str) -> DataFrame:
     return analysis.teammates(shipping_star(spark, folder), min_races=MIN_SHARED)
 
 
-def _hour() -> F.Column:
-    return ordered.hour_slice(F.col("race_date"))
-
-
 QUERIES: dict[str, Query] = {
     "season_standings": season_standings,
     "headline_top10": _on_star(_headline),
@@ -74,7 +74,7 @@ QUERIES: dict[str, Query] = {
     "leader_gap": _on_star(
         lambda s: analysis.leader_gap(views.season_progression(s), s.rows("driver"))
     ),
-    "rolling_form": _on_events(lambda r: analysis.rolling_form(r, slice_by=_hour())),
+    "rolling_form": _on_events(analysis.rolling_form),
     "pairwise_head_to_head": _head_to_head,
     "stop_performance": _on_star(_pit),
     "spread_quartile": _on_star(lambda s: analysis.pit_spread(_pit(s))),
@@ -85,7 +85,7 @@ QUERIES: dict[str, Query] = {
     "rank_divergence": _on_star(
         lambda s: analysis.rank_divergence(views.reliability(s), s.rows("constructor"))
     ),
-    "droughts": _on_events(lambda r: analysis.droughts(r, slice_by=_hour())),
+    "droughts": _on_events(analysis.droughts),
     "season_list": _on_star(feeds.seasons),
     "progression_feed": _on_star(feeds.progression),
     "season_feed": _on_star(lambda s: feeds.progression(s, FEED_SEASON)),

@@ -89,8 +89,7 @@ def upsert(table: SnapshotTable, source: DataFrame, key: str, now: Column) -> Up
         totals[row["change"]] += row["n"]
     touched = tuple(sorted({r[BUCKET] for r in counts if r["change"] != SAME}))
     if touched:
-        following = merged(
-            table.read(touched), staged.filter(F.col(BUCKET).isin(*touched)), key, now
-        )
-        table.replace(following, touched)
+        wanted = spark.createDataFrame([(b,) for b in touched], f"{BUCKET} bigint")
+        taken = staged.join(F.broadcast(wanted), BUCKET, "left_semi")
+        table.replace(merged(table.read(touched), taken, key, now), touched)
     return UpsertReport(totals[INSERT], totals[UPDATE], totals[SAME], touched)

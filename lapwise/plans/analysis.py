@@ -109,9 +109,13 @@ def rolling_form(
     races: int = FORM_RACES,
     order: Sequence[str] = ("race_date", "result_id"),
     slice_by: Column | None = None,
+    group_rows: int | None = None,
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Average finish over a driver's last ``races`` finishes, with the frame's row count."""
+    """Average finish over a driver's last ``races`` finishes, with the frame's row count.
+
+    ``group_rows`` bounds the rows of one driver, if that is known already.
+    """
     finished = results.filter(F.col("finish_position").isNotNull()).select(
         "driver_id", "driver_name", *order, "race_name", "finish_position"
     )
@@ -120,7 +124,7 @@ def rolling_form(
             finished, ["driver_id"], [ascending(c) for c in order], races - 1,
             {"form": F.avg("finish_position"), "races_in_window": F.count("*")},
             ordered.day_slice(F.col(order[0])) if slice_by is None else slice_by,
-            max_rows=max_rows,
+            group_rows=group_rows, max_rows=max_rows,
         )
         .withColumn("form", F.round("form", 2))
     )
@@ -137,7 +141,8 @@ def teammates(
     teams = star.constructor.select("constructor_id", F.col("constructor_name").alias("team"))
     races = views.season_races(star, season).select("race_id")
     rows = (
-        star.result.select("race_id", "constructor_id", "driver_id", "position_order")
+        views.of_season(star, star.result, season)
+        .select("race_id", "constructor_id", "driver_id", "position_order")
         .join(star.lookup("race", races), "race_id", "left_semi")
         .join(star.lookup("constructor", teams), "constructor_id")
         .join(star.lookup("driver", drivers), "driver_id")
@@ -227,6 +232,7 @@ def droughts(
     seasons: tuple[int, int] | None = None,
     order: Sequence[str] = ("race_date", "result_id"),
     slice_by: Column | None = None,
+    group_rows: int | None = None,
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Longest runs without a win after a first one.
@@ -240,7 +246,7 @@ def droughts(
     counted = ordered.running_sums(
         races, ["driver_id"], [ascending(c) for c in order], {"wins_so_far": "is_win"},
         ordered.day_slice(F.col(order[0])) if slice_by is None else slice_by,
-        max_rows=max_rows,
+        group_rows=group_rows, max_rows=max_rows,
     )
     start, end = F.col("drought_start"), F.col("drought_end")
     return (

@@ -23,6 +23,9 @@ from lapwise.plans.star import Star
 # Fixed value: teams with fewer stops in a season are not ranked.
 MIN_STOPS = 10
 
+# Race ids of one season that are spelled out in a filter.
+MAX_SEASON_RACES = 1000
+
 
 def race_result(star: Star) -> DataFrame:
     """Every result with its descriptions.  Only an unknown status keeps its row."""
@@ -64,6 +67,22 @@ def _placed_races(star: Star, season: int | None) -> DataFrame:
     return star.lookup("race", races)
 
 
+def of_season(star: Star, fact: DataFrame, season: int | None) -> DataFrame:
+    """A fact cut to one season's races before it is joined or grouped.
+
+    Facts hold no season, so the season's race ids, at most a calendar year of them, are
+    looked up first; as literals they reach the Parquet scan, and since ids rise with time
+    most row groups are skipped there.  A season with too many races is left to the join.
+    """
+    if season is None:
+        return fact
+    ids = [
+        r["race_id"]
+        for r in season_races(star, season).select("race_id").limit(MAX_SEASON_RACES + 1).collect()
+    ]
+    return fact if len(ids) > MAX_SEASON_RACES else fact.filter(F.col("race_id").isin(ids))
+
+
 def season_races(star: Star, season: int | None) -> DataFrame:
     """Races of one season, or all; the season is cast to int, never spliced into SQL text."""
     return star.race if season is None else star.race.filter(F.col("season_year") == int(season))
@@ -75,7 +94,8 @@ def _entry_totals(
     """The fact grouped on foreign keys, kept where race, driver and team are known."""
     drivers = star.driver.select("driver_id", "full_name", "driver_code")
     return (
-        star.result.groupBy("race_id", "driver_id", "constructor_id", *keys)
+        of_season(star, star.result, season)
+        .groupBy("race_id", "driver_id", "constructor_id", *keys)
         .agg(*measures)
         .join(_placed_races(star, season), "race_id")
         .join(star.lookup("driver", drivers), "driver_id")
@@ -142,11 +162,15 @@ def pit_performance(
     Percentiles are taken on whole milliseconds and rounded there, which is decimal
     rounding to three places of seconds.
     """
-    stops = star.pit_stop.groupBy("race_id", "driver_id", "duration_ms").agg(
-        F.count("*").alias("stops")
+    stops = (
+        of_season(star, star.pit_stop, season)
+        .groupBy("race_id", "driver_id", "duration_ms")
+        .agg(F.count("*").alias("stops"))
     )
-    entries = star.result.groupBy("race_id", "driver_id", "constructor_id").agg(
-        F.count("*").alias("entries")
+    entries = (
+        of_season(star, star.result, season)
+        .groupBy("race_id", "driver_id", "constructor_id")
+        .agg(F.count("*").alias("entries"))
     )
     races = season_races(star, season).select("race_id", "season_year")
     ms = F.col("duration_ms").cast("double")
