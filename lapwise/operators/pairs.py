@@ -84,9 +84,9 @@ def head_to_head(
         pairs = _meet(entries, entries, _same(group), ["team"])
     else:
         # At most rows / max_members groups are oversize.
-        hot = entries.join(F.broadcast(oversize), group, "left_semi")
+        hot = stored(entries.join(F.broadcast(oversize), group, "left_semi"), "hot")
         plain = entries.join(F.broadcast(oversize), group, "left_anti")
-        plain_pairs = _meet(plain, plain, _same(group), ["team"])
+        plain_pairs = stored(_meet(plain, plain, _same(group), ["team"]), "pairs")
         pairs = (
             plain_pairs.unionByName(_known_pairs(plain_pairs.select(*pair), hot, group))
             .unionByName(
