@@ -48,46 +48,64 @@ class Archive:
     spark: SparkSession
     root: str
     bucket_width: dict[str, int] = field(
-        default_factory=lambda: {"results": 1_000_000, "pit_stops": 1_000}
+        default_factory=lambda: {"results": 1_000_000, "pit_stops": 100}
     )
     _schemas: dict[str, T.StructType] = field(default_factory=dict, repr=False)
 
     # -- tables ---------------------------------------------------------------
 
-    def _log(self, name: str, schema: str | T.StructType, entity: str | None = None) -> DataFrame:
-        """Rows of an append-only log; a batch that replays overwrites its own folder."""
-        path = f"{self.root}/{name}"
-        if not self._exists(path):
-            if isinstance(schema, str):
-                schema = T.StructType.fromDDL(schema)
-            return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
-        return rows if entity is None else rows.filter(F.col("target_table") == entity)
-
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        location = jvm.org.apache.hadoop.fs.Path(path)
-        return location.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(location)
+    def _files(self, pattern: str) -> list[str]:
+        """Names matching a path pattern below the root."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return sorted(f.getPath().getName() for f in fs.globStatus(path) or [])
+
+    def _mark(self, kind: str, entity: Entity, batch: str) -> None:
+        """Create an empty marker file; one creation is the atomic step of a whole batch."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(
+            f"{self.root}/{kind}/{entity.name}/{batch}"
+        )
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path.getParent())
+        fs.createNewFile(path)
+
+    def batches(self, entity: Entity) -> list[str]:
+        """Batches that landed completely; anything else on disk is ignored."""
+        return self._files(f"landed/{entity.name}/[!.]*")
+
+    def unconformed(self, entity: Entity) -> list[str]:
+        """Landed batches not yet in the typed table."""
+        done = set(self._files(f"conformed/{entity.name}/[!.]*"))
+        return [b for b in self.batches(entity) if b not in done]
+
+    def _log(self, name: str, schema: str, entities: Iterable[Entity]) -> DataFrame:
+        """Rows of a per-batch log, of landed batches only."""
+        landed = {f"batch={e.name}-{b}" for e in entities for b in self.batches(e)}
+        found = [f for f in self._files(f"{name}/batch=*") if f in landed]
+        if not found:
+            return self.spark.createDataFrame([], T.StructType.fromDDL(schema))
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{name}/{f}" for f in found])
 
     def landing(self, entity: Entity, batches: list[str] | None = None) -> DataFrame:
         """Landed rows, of all batches or the named ones."""
-        schema = landing_schema(entity)
-        base = f"{self.root}/landing/{entity.name}"
-        if batches is None:
-            return self._log(f"landing/{entity.name}", schema)
-        paths = [p for b in batches if self._exists(p := f"{base}/batch={b}")]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        wanted = [b for b in self.batches(entity) if batches is None or b in batches]
+        if not wanted:
+            return self.spark.createDataFrame([], landing_schema(entity))
+        return self.spark.read.schema(landing_schema(entity)).parquet(
+            *[self._landing_path(entity, b) for b in wanted]
+        )
+
+    def _landing_path(self, entity: Entity, batch: str) -> str:
+        return f"{self.root}/landing/{entity.name}/batch={batch}"
 
     def rejects(self) -> DataFrame:
-        return self._log("rejects", REJECTS)
+        return self._log("rejects", REJECTS, ENTITIES.values())
 
     def audit(self) -> DataFrame:
-        return self._log("audit", AUDIT)
+        return self._log("audit", AUDIT, ENTITIES.values())
 
     def ledger(self, entity: Entity) -> DataFrame:
-        return self._log("ledger", LEDGER, entity.name)
+        return self._log("ledger", LEDGER, [entity])
 
     def typed_table(self, entity: Entity) -> SnapshotTable:
         if entity.name not in self._schemas:
@@ -128,11 +146,16 @@ class Archive:
             return dict(zip(names, pool.map(lambda n: step(ENTITIES[n]), names)))
 
     def bring_up(self, staged_root: str, batch: str, now: dt.datetime) -> dict[str, UpsertReport]:
-        """Load what is new, upsert it and refresh the star, for all seven entities."""
+        """Load what is new, upsert it and refresh the star, for all seven entities.
+
+        A run that died at any point is completed by the next one: batches landed but not
+        upserted are taken along, newest load first within a key.
+        """
 
         def step(entity: Entity) -> UpsertReport:
-            taken = self.load(entity, staged_root, batch, now)
-            report = self.conform(entity, now, [batch]) if taken else UpsertReport(0, 0, 0)
+            self.load(entity, staged_root, batch, now)
+            waiting = self.unconformed(entity)
+            report = self.conform(entity, now, waiting) if waiting else UpsertReport(0, 0, 0)
             self.refresh(entity)
             return report
 
@@ -159,15 +182,12 @@ class Archive:
             if not force and not known.take(1):
                 raise NothingStaged(f"no file for {entity.name} under {staged_root}")
             return 0
-        lines = line_source.read_lines(self.spark, [f["file_name"] for f in files])
-        self.land(entity, lines, batch, loaded_at)
-        # The ledger comes last: a load that dies before it is simply done again.
         taken = self.spark.createDataFrame(
             [(entity.name, *[f[k] for k in FILE_KEY]) for f in files], LEDGER
         )
-        taken.write.mode("overwrite").parquet(
-            f"{self.root}/ledger/batch={entity.name}-{batch}"
-        )
+        taken.write.mode("overwrite").parquet(f"{self.root}/ledger/batch={entity.name}-{batch}")
+        lines = line_source.read_lines(self.spark, [f["file_name"] for f in files])
+        self.land(entity, lines, batch, loaded_at)
         return len(files)
 
     def land(
@@ -175,11 +195,12 @@ class Archive:
     ) -> None:
         """Write landing, reject and audit rows of one batch.
 
-        Each goes to the batch's own folder, overwritten on a replay, so a batch that is
-        retried after a failure leaves every row once.
+        Each goes to the batch's own folder, overwritten on a replay, and counts only once
+        the batch is marked as landed, so a failure in between leaves no half batch and no
+        row twice.
         """
         judged = line_source.judged(lines)
-        landing_path = f"{self.root}/landing/{entity.name}/batch={batch}"
+        landing_path = self._landing_path(entity, batch)
         reject_path = f"{self.root}/rejects/batch={entity.name}-{batch}"
         seen = Observation()
         bad = F.count_if(F.col("error").isNotNull()).alias("rejected")
@@ -208,6 +229,7 @@ class Archive:
         history.withColumn("recorded_at", F.lit(loaded_at).cast("timestamp")).write.mode(
             "overwrite"
         ).parquet(f"{self.root}/audit/batch={entity.name}-{batch}")
+        self._mark("landed", entity, batch)
 
     def conform(
         self,
@@ -218,10 +240,14 @@ class Archive:
     ) -> UpsertReport:
         """Upsert landed rows into the typed table, from all batches or only the new ones."""
         width = self.bucket_width.get(entity.name, 1)
-        source = conform.source_rows(self.landing(entity, batches), entity, width, narrow)
-        return upsert(
+        taken = self.batches(entity) if batches is None else batches
+        source = conform.source_rows(self.landing(entity, taken), entity, width, narrow)
+        report = upsert(
             self.typed_table(entity), source, entity.key, F.lit(now).cast("timestamp")
         )
+        for batch in taken:
+            self._mark("conformed", entity, batch)
+        return report
 
     def refresh(self, entity: Entity) -> tuple[int, ...]:
         """Bring the star table up to the typed table; returns the buckets projected.

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 import racing_files
 
 from lapwise.plans.pipeline import Archive
@@ -76,3 +77,27 @@ def test_the_stream_reads_only_matching_files(spark, tmp_path):
     staged, archive = str(tmp_path / "staged"), Archive(spark, str(tmp_path / "archive"))
     racing_files.write(staged)
     assert arriving_lines(archive, RESULTS, staged).isStreaming
+
+
+def test_a_run_that_died_is_completed_by_the_next(spark, tmp_path, monkeypatch):
+    staged, archive = str(tmp_path / "staged"), Archive(spark, str(tmp_path / "archive"))
+    racing_files.write(staged)
+    status = ENTITIES["status"]
+
+    def die(*_):
+        raise RuntimeError("executor gone")
+
+    # Before the batch is marked: nothing is visible and the files are still due.
+    with monkeypatch.context() as patched:
+        patched.setattr(archive, "_mark", die)
+        with pytest.raises(RuntimeError):
+            archive.load(status, staged, "a", clock())
+    assert archive.landing(status).count() == archive.audit().count() == 0
+    assert archive.load(status, staged, "b", clock()) == 1
+    # After landing, before the upsert: the next run takes the batch along.
+    assert archive.load(status, staged, "c", clock()) == 0
+    assert archive.unconformed(status) == ["b"]
+    reports = archive.bring_up(staged, "d", clock())
+    assert reports["status"].inserted == 7 and archive.unconformed(status) == []
+    assert archive.landing(status).count() == 7
+    assert archive.star().status.count() == 7
