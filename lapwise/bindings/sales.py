@@ -9,6 +9,9 @@ with them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,12 +186,16 @@ def pit_stops(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def typed_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the seven typed tables."""
+def reader(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
+    """Stored tables by name, each opened once: opening one costs a job for its schema."""
+    return cache(lambda name: table(spark, folder, name))
 
-    def read(source: str) -> DataFrame:
-        return table(spark, folder, source)
 
+def typed_table(
+    spark: SparkSession, folder: str, name: str, read: Callable[[str], DataFrame] | None = None
+) -> DataFrame:
+    """One of the seven typed tables; ``read`` shares opened tables between several."""
+    read = read or reader(spark, folder)
     if name == "drivers":
         return drivers(read("customer"), read("nation"))
     if name == "constructors":
@@ -207,13 +214,14 @@ def typed_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def sales_star(spark: SparkSession, folder: str) -> Star:
-    star = star_plans.build_star(lambda name: typed_table(spark, folder, name))
+    read = reader(spark, folder)
+    star = star_plans.build_star(lambda name: typed_table(spark, folder, name, read))
     star.sizes.update(
         race=MAX_MONTHS,
         status=len(OUTCOMES),
-        driver=lambda: table(spark, folder, "customer").count(),
-        constructor=lambda: table(spark, folder, "nation").count(),
-        circuit=lambda: table(spark, folder, "region").count(),
+        driver=lambda: read("customer").count(),
+        constructor=lambda: read("nation").count(),
+        circuit=lambda: read("region").count(),
     )
     return star
 
