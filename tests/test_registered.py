@@ -6,9 +6,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_points
+from lapwise.bindings import registry
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = registry.QUERIES, registry.ORACLE_SQL
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 
