@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import licenses, oracles, quality_rules, sharding
+from lapwise.llm import licenses, mixing, oracles, quality_rules, sharding, token_files
 from lapwise.session import tune
 
 
@@ -18,17 +19,28 @@ def license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_documents(spark, folder))
 
 
+def token_output(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.round_trip(_documents(spark, folder), tokenizer, end_id=2)
+
+
 def quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.score(_documents(spark, folder))
 
 
+def mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_documents(spark, folder), weights=(1, 2, 3), max_repeat=3)
+
+
 def shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_documents(spark, folder), shards=40)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": license_scans,
+    "op2_token_output": token_output,
     "op3_quality_rules": quality,
+    "op5_mixing_sources": mixed_sources,
     "op9_sharding": shards,
 }
 
