@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import licenses, mixing, oracles, quality_rules, sharding, token_files
+from lapwise.llm import jaccard_join, licenses, mixing, oracles, quality_rules, sharding, token_files
 from lapwise.session import tune
 
 
@@ -32,6 +32,10 @@ def mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_documents(spark, folder), weights=(1, 2, 3), max_repeat=3)
 
 
+def jaccard_links(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join(_documents(spark, folder))
+
+
 def shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_documents(spark, folder), shards=40)
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": token_output,
     "op3_quality_rules": quality,
     "op5_mixing_sources": mixed_sources,
+    "op7_ngram_jaccard_join": jaccard_links,
     "op9_sharding": shards,
 }
 
