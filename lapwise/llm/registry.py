@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import jaccard_join, licenses, mixing, oracles, quality_rules, sharding, token_files
+from lapwise.llm import jaccard_join, licenses, mixing, oracles, quality_rules, sharding, suffix_dedup, token_files
 from lapwise.session import tune
 
 
@@ -36,6 +36,10 @@ def jaccard_links(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.join(_documents(spark, folder))
 
 
+def suffix_dedup_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup(_documents(spark, folder))
+
+
 def shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_documents(spark, folder), shards=40)
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": quality,
     "op5_mixing_sources": mixed_sources,
     "op7_ngram_jaccard_join": jaccard_links,
+    "op8_suffix_array_dedup": suffix_dedup_bytes,
     "op9_sharding": shards,
 }
 
