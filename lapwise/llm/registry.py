@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import jaccard_join, licenses, mixing, oracles, quality_rules, sharding, suffix_dedup, token_files
+from lapwise.llm import curve_neighbours, importance, jaccard_join, licenses, mixing, oracles, quality_rules, sharding, suffix_dedup, token_files
 from lapwise.session import tune
 
 
@@ -28,10 +28,20 @@ def quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.score(_documents(spark, folder))
 
 
+def neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = tune(spark).read.parquet(f"{folder}/embeddings.parquet")
+    return curve_neighbours.search(vectors, query_step=20, k=20)
+
+
 def mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_documents(spark, folder), weights=(1, 2, 3), max_repeat=3)
 
 
+def importance_weights(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return importance.resample(_documents(spark, folder), labels)
+
+
 def jaccard_links(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.join(_documents(spark, folder))
 
@@ -48,7 +58,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": license_scans,
     "op2_token_output": token_output,
     "op3_quality_rules": quality,
+    "op4_curve_neighbours": neighbours,
     "op5_mixing_sources": mixed_sources,
+    "op6_importance_resampling": importance_weights,
     "op7_ngram_jaccard_join": jaccard_links,
     "op8_suffix_array_dedup": suffix_dedup_bytes,
     "op9_sharding": shards,
