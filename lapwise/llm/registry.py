@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import curve_neighbours, importance, jaccard_join, licenses, mixing, oracles, quality_rules, sharding, suffix_dedup, token_files
+from lapwise.llm import curve_neighbours, importance, jaccard_join, licenses, mixing, oracles, piece_lattice, quality_rules, sharding, suffix_dedup, token_files
 from lapwise.session import tune
 
 
@@ -54,6 +54,11 @@ def shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_documents(spark, folder), shards=40)
 
 
+def pieces(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_lattice.round_trip(_documents(spark, folder), model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": license_scans,
     "op2_token_output": token_output,
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_ngram_jaccard_join": jaccard_links,
     "op8_suffix_array_dedup": suffix_dedup_bytes,
     "op9_sharding": shards,
+    "op10_sentencepiece": pieces,
 }
 
 ORACLE_SQL: dict[str, str] = {
