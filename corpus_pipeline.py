@@ -1,19 +1,48 @@
-"""The corpus pipeline: quality rules first."""
+"""From raw documents to token ids: five stages, each over all that the one before kept."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import quality_rules
+from lapwise.llm import jaccard_join, mixing, piece_lattice, quality_rules, suffix_dedup
 from lapwise.session import stored, tune
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the quality rules keep."""
+    """Documents that the quality rules keep."""
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality rules", quality)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return jaccard_join.keep_one(docs)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the long strings that occur earlier."""
+    return suffix_dedup.dedup_rows(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_rows(docs, weights=(1, 2, 3), max_repeat=3)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Checksums of each document's piece ids and of the text decoded from them."""
+    return piece_lattice.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("n-gram Jaccard join", near_copies),
+    ("suffix-array dedup", repeats),
+    ("mixing sources", mixed),
+    ("SentencePiece", encoded),
+]
+
+# Several stages are beyond SQL.
 ORACLE_SQL = None
 
 

@@ -402,11 +402,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return _with_spans(named).mapInArrow(report, RESULT)
 
 
-def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_rows(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars"
+) -> DataFrame:
     """The rows of ``docs`` with repeated strings cut from their text; no row goes.
 
     Characters that lose a byte go as a whole.  Rows with one id are ordered by a hash of
-    the row.
+    the row.  A column ``length_col``, if there is one, gets the new number of characters.
     """
     packed = with_row(docs, id_col, text_col).toDF("doc_id", "text", "row").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.hash("row").alias("u"), "row"
@@ -415,10 +417,10 @@ def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     cut = _with_spans(packed, "row").mapInArrow(
         rewrite, T.StructType([T.StructField("text", T.StringType()), T.StructField("row", kind)])
     )
-    at = docs.columns.index(text_col)
+    fresh = {text_col: F.col("text"), length_col: F.length("text").cast("long")}
     replaced = cut.select(
         F.struct(
-            *[F.col("text") if i == at else F.col(f"row.c{i}") for i in range(len(docs.columns))]
+            *[fresh.get(name, F.col(f"row.c{i}")).alias(f"c{i}") for i, name in enumerate(docs.columns)]
         ).alias("row")
     )
     return rows_of(replaced, docs)
