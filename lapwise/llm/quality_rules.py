@@ -139,7 +139,7 @@ def posteriors(voted: DataFrame, rounds: int = 25) -> DataFrame:
         " 0D, (s, x) -> s + x)"
     )
     judged = f"transform(ps, p -> struct(p.c as c, p.v as v, 1 / (1 + exp(-({log_odds}))) as q))"
-    total = "aggregate(qs, 0D, (s, x) -> s + x.c)"
+    total = "greatest(aggregate(qs, 0D, (s, x) -> s + x.c), 1D)"
     good = "aggregate(qs, 0D, (s, x) -> s + x.c * x.q)"
     right = (
         "aggregate(qs, 0D, (s, x) -> s + case x.v[j] when 1 then x.c * x.q"
