@@ -22,6 +22,9 @@ BLOCK_ROWS = 1024
 BLOCK_ENTRIES = 2_000_000
 BLOCK_COLUMNS = 4096
 
+# Bits of a gram's hash that the sieve compares; a false match there only keeps a set longer.
+SIEVE_BITS = np.int64((1 << 48) - 1)
+
 SKETCH = "doc_id long, content long, key long, n long, need long, prefix array<long>"
 SETS = "key long, n long, grams array<long>"
 PRODUCT = "key long, hub long, links long"
@@ -76,7 +79,7 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([set_key(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([max(1, least_overlap(len(s)) // 20) for s in sets], pa.int64()),
-                    ragged(cut),
+                    ragged([c & SIEVE_BITS for c in cut]),
                 ],
                 names=[c.split()[0] for c in SKETCH.split(", ")],
             )
@@ -153,33 +156,30 @@ def candidate_sets(docs: DataFrame, sketches: DataFrame) -> DataFrame:
     A set whose prefix shares too little with all other prefixes is left out, then a set of
     which less than the least overlap is found in other remaining sets.
     """
-    postings = sketches.select("key", "need", F.explode("prefix").alias("gram"))
+    postings = sketches.select("rid", F.explode("prefix").alias("gram"))
     shared = postings.groupBy("gram").count().where("count > 1").select("gram")
-    reaching = (
-        postings.join(shared, "gram")
-        .groupBy("key")
-        .agg(F.count("*").alias("hits"), F.first("need").alias("need"))
-        .where("hits >= need")
-        .select("key")
-    )
+    hits = postings.join(shared, "gram").groupBy("rid").agg(F.count("*").alias("hits"))
     # One document for each set is read again.
     owners = (
-        sketches.select("doc_id", "key").join(reaching, "key")
+        sketches.select("rid", "doc_id", "key", "need").join(hits, "rid").where("hits >= need")
         .groupBy("key").agg(F.min("doc_id").alias("owner"))
         .select("owner").distinct()
     )
     sets = stored(
         docs.join(owners, F.col("doc_id").eqNullSafe(F.col("owner")), "left_semi")
-        .select("text").mapInArrow(full_sets, SETS).where("n > 0").dropDuplicates(["key"]),
+        .select("text").mapInArrow(full_sets, SETS).where("n > 0").dropDuplicates(["key"])
+        .withColumn("rid", F.monotonically_increasing_id()),
         "gram-sets",
     )
-    entries = sets.select("key", "n", F.explode("grams").alias("gram"))
+    entries = sets.select("rid", F.explode("grams").alias("gram"))
     frequent = entries.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
     return stored(
         entries.join(frequent, "gram")
-        .groupBy("key")
-        .agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("grams"))
-        .where(100 * F.size("grams") >= PERCENT * F.col("n")),
+        .groupBy("rid")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("grams"))
+        .join(sets.select("rid", "key", "n"), "rid")
+        .where(100 * F.size("grams") >= PERCENT * F.col("n"))
+        .select("key", "n", "grams"),
         "gram-candidates",
     )
 
@@ -242,7 +242,12 @@ def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     named = pick(docs, id_col, text_col).toDF("doc_id", "text").withColumn(
         "content", F.xxhash64("text")
     )
-    sketches = stored(named.mapInArrow(sketch, SKETCH), "gram-sketches")
+    # Row numbers stand for documents and sets where their n-grams are shuffled: they are
+    # small, and fixed by being stored.
+    sketches = stored(
+        named.mapInArrow(sketch, SKETCH).withColumn("rid", F.monotonically_increasing_id()),
+        "gram-sketches",
+    )
     candidates = candidate_sets(named, sketches)
     weights = sketches.where("n > 0").groupBy("key").agg(F.count("*").alias("weight"))
     found = stored(
