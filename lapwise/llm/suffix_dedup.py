@@ -32,7 +32,15 @@ CHUNK = 1 << 17
 # Bytes of segments that one task sorts.
 BIN_BYTES = 4_000_000
 
-SEGMENTS = "h long, g long, doc_id long, u int, start int, windows int"
+# Bytes of text whose equal segments are found before anything is shuffled.
+CHUNK_BYTES = 16 << 20
+
+# Bits kept of the two hashes: of a piece, where a false match only costs a comparison, and
+# of a segment's bytes, which is compared among segments of one piece.
+HASH_BITS = np.int64((1 << 48) - 1)
+
+TEXTS = "doc_id long, u int, packed binary"
+SEGMENTS = "kind int, h long, g long, doc_id long, u int, start int, windows int"
 PIECES = "h long, doc_id long, u int, start int, piece binary"
 SPANS = "doc_id long, u int, begin int, finish int"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -98,34 +106,121 @@ def segments(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return gram[chosen[start]].view(np.int64), digest.view(np.int64), start, windows
 
 
+def _record(kinds: list[pa.DataType], names: str, columns: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)],
+        names=[n.split()[0] for n in names.split(", ")],
+    )
+
+
+SEGMENT_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+
+
+def chunk_segments(ids: pa.Array, u: np.ndarray, texts: list[bytes]) -> pa.RecordBatch:
+    """Segments of some documents: of equal ones the first as candidate, the rest as copies.
+
+    Copies that follow one another in a document are one row.
+    """
+    found = [segments(np.frombuffer(t, np.uint8)) for t in texts]
+    counts = [len(f[0]) for f in found]
+    h, g, start, windows = (np.concatenate([f[i] for f in found]) for i in range(4))
+    owner = np.repeat(np.arange(len(counts)), counts)
+    numbers = np.asarray(ids.fill_null(0))
+    # Documents in their order, null ids first.
+    place = np.empty(len(counts), np.int64)
+    place[np.lexsort((u, numbers, ~np.asarray(ids.is_null())))] = np.arange(len(counts))
+    order = np.lexsort((start, place[owner], g, h))
+    first = np.ones(len(order), bool)
+    first[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
+    copy = np.ones(len(order), bool)
+    copy[order[first]] = False
+    # Neighbouring segments of a document have neighbouring windows.
+    joined = np.zeros(len(order), bool)
+    joined[1:] = copy[1:] & copy[:-1] & (owner[1:] == owner[:-1])
+    begins = np.flatnonzero(~joined)
+    windows = np.add.reduceat(windows, begins) if len(begins) else windows
+    return _record(SEGMENT_KINDS, SEGMENTS, [
+        copy[begins].astype(np.int32), h[begins] & HASH_BITS, g[begins] & HASH_BITS,
+        ids.take(pa.array(owner[begins])), u[owner[begins]], start[begins].astype(np.int32),
+        windows.astype(np.int32),
+    ])
+
+
 def cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For `mapInArrow`: the segments of each document."""
+    """For `mapInArrow` over ``doc_id, u, text``: segments, chunk by chunk."""
+    for batch in batches:
+        at, texts, size = 0, [], 0
+        for i in range(batch.num_rows + 1):
+            if texts and (i == batch.num_rows or size >= CHUNK_BYTES):
+                part = batch.slice(at, i - at)
+                yield chunk_segments(part.column(0), part.column(1).to_numpy(), texts)
+                at, texts, size = i, [], 0
+            if i < batch.num_rows:
+                texts.append((batch.column(2)[i].as_py() or "").encode())
+                size += len(texts[-1])
+
+
+def matched_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For `mapInArrow` over candidates sorted by ``h, g`` and document order.
+
+    Candidates whose hash stands alone are dropped; further ones of equal bytes come out as
+    copies (kind 1), the first ones of a hash with different bytes to be compared (kind 0).
+    Only the first ones of the last hash wait for the next batch.
+    """
+    waiting: pa.RecordBatch | None = None
+    for batch in batches:
+        if waiting is not None:
+            batch = pa.Table.from_batches([waiting, batch]).combine_chunks().to_batches()[0]
+        h, g = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        if not len(h):
+            continue
+        new_hash = np.concatenate([[True], h[1:] != h[:-1]])
+        first = new_hash | np.concatenate([[True], g[1:] != g[:-1]])
+        run = np.cumsum(new_hash) - 1
+        several = np.bincount(run[first])[run] > 1
+        last = run == run[-1]
+        compared = first & several & ~last
+        kind = (~first).astype(np.int32)
+        out = np.flatnonzero(~first | compared)
+        yield _record(SEGMENT_KINDS, SEGMENTS, [
+            kind[out], *(batch.column(i).take(pa.array(out)) for i in range(1, 7))
+        ])
+        waiting = batch.take(pa.array(np.flatnonzero(first & last)))
+    if waiting is not None and waiting.num_rows > 1:
+        yield _record(SEGMENT_KINDS, SEGMENTS, waiting.columns)
+
+
+def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For `mapInArrow` over ``doc_id, u, text`` and more: the text compressed, to travel."""
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
-            found = [
-                segments(np.frombuffer((t.as_py() or "").encode(), np.uint8)) for t in part.column(1)
-            ]
-            counts = [len(f[0]) for f in found]
-            ids = part.column(0).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
-            h, g, start, windows = (np.concatenate([f[i] for f in found]) for i in range(4))
+            packed = [packed_text(t.as_py()) for t in part.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(h), pa.array(g), ids,
-                    pa.array(np.repeat(part.column(2).to_numpy(), counts)),
-                    pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int32)),
-                ],
-                names=[c.split()[0] for c in SEGMENTS.split(", ")],
+                [part.column(0), part.column(1), pa.array(packed, pa.binary()), *part.columns[3:]],
+                names=["doc_id", "u", "packed", *part.schema.names[3:]],
             )
 
 
+def packed_text(text: str | None) -> bytes | None:
+    """The size of the UTF-8 text and its compressed bytes."""
+    if text is None:
+        return None
+    data = text.encode()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True) if data else bytes(8)
+
+
+def unpacked(packed: bytes | None) -> bytes:
+    size = int.from_bytes(packed[:8], "little") if packed else 0
+    return pa.decompress(packed[8:], size, codec="zstd", asbytes=True) if size else b""
+
+
 def cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For `mapInArrow`: the bytes of the listed segments of each document."""
     names = [c.split()[0] for c in PIECES.split(", ")]
     for batch in batches:
         for row in batch.to_pylist():
-            text = row["text"].encode()
-            listed = row["listed"]
+            text, listed = unpacked(row["packed"]), row["listed"]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([x["h"] for x in listed], pa.int64()),
@@ -279,7 +374,7 @@ def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for row in batch.to_pylist():
-            text = (row["text"] or "").encode()
+            text = unpacked(row["packed"])
             own = removed_runs(row["begins"], row["finishes"])
             for copy in range(row["copies"]):
                 runs = all_runs(len(text)) if copy else own
@@ -315,11 +410,11 @@ def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, places = [], []
         for at, row in enumerate(batch.drop_columns(["row"]).to_pylist()):
-            text = (row["text"] or "").encode()
+            text = unpacked(row["packed"])
             own = removed_runs(row["begins"], row["finishes"])
             for copy in range(row["copies"]):
                 runs = whole_characters(text, all_runs(len(text)) if copy else own)
-                texts.append(row["text"] and kept_bytes(text, runs).decode())
+                texts.append(None if row["packed"] is None else kept_bytes(text, runs).decode())
                 places.append(at)
         yield pa.RecordBatch.from_arrays(
             [pa.array(texts, pa.string()), batch.column("row").take(pa.array(places, pa.int64()))],
@@ -332,37 +427,29 @@ def spans(docs: DataFrame) -> DataFrame:
 
     Document order is that of ``doc_id`` (null first), then ``u``.
     """
-    cut = docs.select("doc_id", "text", "u").mapInArrow(cut_segments, SEGMENTS)
-    repeated = stored(
-        cut.select("h").groupBy("h").count().where("count > 1").select("h"), "repeated-hashes"
-    )
-    found = stored(cut.join(repeated, "h"), "repeated-segments")
-    place = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "u", "start")
-    firsts = stored(
-        found.groupBy("h", "g").agg(
-            F.min(place).alias("place"), F.first("windows").alias("windows"), F.count("*").alias("n")
-        ),
-        "first-segments",
+    cut = docs.select("doc_id", "u", "text").mapInArrow(cut_segments, SEGMENTS)
+    named = F.col("doc_id").isNotNull()
+    found = stored(
+        cut.where("kind = 0").repartition("h")
+        .sortWithinPartitions("h", "g", named, "doc_id", "u", "start")
+        .mapInArrow(matched_segments, SEGMENTS)
+        .drop("g"),
+        "matched-segments",
     )
     copies = (
-        found.join(firsts.where("n > 1").select("h", "g", "place"), ["h", "g"])
-        .where(place != F.col("place"))
+        cut.where("kind = 1").drop("g").unionByName(found.where("kind = 1"))
         .select("doc_id", "u", F.col("start").alias("begin"),
                 (F.col("start") + F.col("windows") + (LENGTH - 1)).alias("finish"))
     )
-    several = firsts.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h")
-    listed = stored(
-        firsts.join(several, "h").select("h", "place.doc_id", "place.u", "place.start", "windows"),
-        "compared-segments",
-    )
+    listed = found.where("kind = 0").drop("kind")
     total = listed.agg(F.sum(F.col("windows") + LENGTH)).first()[0] or 0
     wanted = listed.groupBy(F.col("doc_id").alias("d"), F.col("u").alias("v")).agg(
         F.collect_list(F.struct("h", "start", "windows")).alias("listed")
     )
     pieces = (
-        docs.select("doc_id", "u", "text").dropDuplicates(["doc_id", "u"])
+        docs.select("doc_id", "u", "text").mapInArrow(pack_texts, TEXTS).dropDuplicates(["doc_id", "u"])
         .join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("u") == F.col("v")))
-        .select("doc_id", "u", "text", "listed")
+        .select("doc_id", "u", "packed", "listed")
         .mapInArrow(cut_pieces, PIECES)
         .withColumn("bin", F.expr(f"pmod(xxhash64(h), {total // BIN_BYTES + 1})"))
     )
@@ -370,20 +457,24 @@ def spans(docs: DataFrame) -> DataFrame:
     return copies.unionByName(compared)
 
 
-def _with_spans(docs: DataFrame, *more: str) -> DataFrame:
+def _with_spans(docs: DataFrame, more: T.StructType = T.StructType()) -> DataFrame:
     """One row for each ``doc_id, u`` with its number of copies and its spans."""
     listed = (
         spans(docs).groupBy(F.col("doc_id").alias("d"), F.col("u").alias("v"))
-        .agg(F.collect_set(F.struct("begin", "finish")).alias("s"))
-    )
-    once = docs.groupBy("doc_id", "u").agg(
-        *[F.first(c).alias(c) for c in ("text", *more)], F.count("*").alias("copies")
+        .agg(F.collect_list(F.struct("begin", "finish")).alias("s"))
     )
+    kinds = T.StructType([
+        T.StructField("doc_id", T.LongType()), T.StructField("u", T.IntegerType()),
+        T.StructField("packed", T.BinaryType()), *more.fields,
+    ])
+    once = docs.select("doc_id", "u", "text", *more.names).mapInArrow(pack_texts, kinds).groupBy(
+        "doc_id", "u"
+    ).agg(*[F.first(c).alias(c) for c in ("packed", *more.names)], F.count("*").alias("copies"))
     return once.join(
         listed, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("u") == F.col("v")), "left"
     ).select(
-        "doc_id", "text", "copies",
-        F.col("s.begin").alias("begins"), F.col("s.finish").alias("finishes"), *more,
+        "doc_id", "packed", "copies",
+        F.col("s.begin").alias("begins"), F.col("s.finish").alias("finishes"), *more.names,
     )
 
 
@@ -414,7 +505,7 @@ def dedup_rows(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.hash("row").alias("u"), "row"
     )
     kind = packed.schema["row"].dataType
-    cut = _with_spans(packed, "row").mapInArrow(
+    cut = _with_spans(packed, T.StructType([T.StructField("row", kind)])).mapInArrow(
         rewrite, T.StructType([T.StructField("text", T.StringType()), T.StructField("row", kind)])
     )
     fresh = {text_col: F.col("text"), length_col: F.length("text").cast("long")}
