@@ -153,7 +153,7 @@ stop_stats AS (
     SELECT season_year, constructor_id, constructor_name, count(*) AS stop_count,
            quantile_cont(ms, 0.5) AS median_ms, quantile_cont(ms, 0.9) AS p90_ms,
            sum(ms) / count(*) AS mean_ms, min(ms) AS fastest_ms
-    FROM stops GROUP BY ALL HAVING count(*) >= 400
+    FROM stops GROUP BY ALL HAVING count(*) >= 10
 ),
 v_pit AS (
     SELECT season_year, constructor_id, constructor_name, stop_count,
@@ -280,7 +280,7 @@ QUERIES = {
           ON a.race_id = b.race_id AND a.constructor_id = b.constructor_id
          AND a.driver_id < b.driver_id
         GROUP BY a.r_name, a.full_name, b.full_name
-        HAVING count(*) >= 10""",
+        HAVING count(*) >= 5""",
     "stop_performance": star_query("SELECT * FROM v_pit"),
     "spread_quartile": star_query("""
         SELECT season_year, constructor_name, stop_count, median_stop_seconds,

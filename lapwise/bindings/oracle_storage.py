@@ -60,7 +60,7 @@ QUERIES = {
             UNION ALL SELECT 'status', count(*) FROM dim_status
             UNION ALL SELECT 'races', count(*) FROM dim_race
             UNION ALL SELECT 'results', count(*) FROM fct_result
-            UNION ALL SELECT 'pit_stops', count(*) FROM longest
+            UNION ALL SELECT 'pit_stops', count(*) FROM typed_stop
         )
         SELECT tbl, row_count, row_count AS row_parsed, CAST(0 AS BIGINT) AS error_count,
                TRUE AS numbered, CAST(0 AS BIGINT) AS unmatched_files
@@ -101,11 +101,56 @@ QUERIES = {
     "reject_capture": f"""
         WITH {_MESSAGE}
         SELECT 'conversations' AS target_table,
-               'unclosed or misplaced quote' AS error_message, value AS rejected_record
+               'unclosed or misplaced quote' AS error_message,
+               CAST(position('"' IN value) AS BIGINT) AS character_pos,
+               value AS rejected_record, TIMESTAMP '2024-01-01' AS recorded_at
         FROM message WHERE role = 'user'""",
     "reject_counts": f"""
         WITH {_MESSAGE}
         SELECT 'conversations' AS target_table, count(*) FILTER (role = 'user') AS reject_count,
                count(*) FILTER (role <> 'user') AS landed
         FROM message""",
+    "audit_record": """
+        WITH size AS (
+            SELECT count(DISTINCT (lang, source)) AS files, count(*) AS row_count FROM documents
+        )
+        SELECT 1 AS call, files AS inserted, row_count FROM size
+        UNION ALL SELECT 2, 0, row_count FROM size""",
+    "metric_history": f"""
+        WITH {STAR}, {_LONGEST_STOP},
+        metric AS (
+            SELECT 'pit_stops' AS table_name, 'DMF_IMPLAUSIBLE_PIT_DURATION' AS metric_name,
+                   'duration_ms' AS argument_names,
+                   count(*) FILTER (duration_ms NOT BETWEEN 1000 AND 300000) AS metric_value
+            FROM longest
+            UNION ALL SELECT 'pit_stops', 'DUPLICATE_COUNT', 'pit_stop_key', 0
+            UNION ALL SELECT 'races', 'DUPLICATE_COUNT', 'race_id', 0
+            UNION ALL SELECT 'races', 'NULL_COUNT', 'season_year',
+                             count(*) FILTER (season_year IS NULL) FROM dim_race
+            UNION ALL SELECT 'results', 'DUPLICATE_COUNT', 'result_id', 0
+            UNION ALL SELECT 'results', 'ROW_COUNT', '', count(*) FROM fct_result
+            UNION ALL SELECT 'results', 'NULL_COUNT', 'race_id',
+                             count(*) FILTER (race_id IS NULL) FROM fct_result
+            UNION ALL SELECT 'results', 'NULL_COUNT', 'driver_id',
+                             count(*) FILTER (driver_id IS NULL) FROM fct_result
+            UNION ALL SELECT 'results', 'NULL_COUNT', 'constructor_id',
+                             count(*) FILTER (constructor_id IS NULL) FROM fct_result
+            UNION ALL SELECT 'results', 'DMF_GRID_POSITION_OUT_OF_RANGE', 'grid_position',
+                             count(*) FILTER (grid_position NOT BETWEEN 0 AND 40) FROM fct_result
+            UNION ALL SELECT 'results', 'DMF_POINTS_OUT_OF_RANGE', 'points',
+                             count(*) FILTER (points NOT BETWEEN 0 AND 50) FROM fct_result
+        )
+        SELECT *,
+               CASE WHEN metric_name = 'ROW_COUNT' AND metric_value = 0 THEN 'BREACH'
+                    WHEN metric_name <> 'ROW_COUNT' AND metric_value > 0 THEN 'BREACH'
+                    ELSE 'OK' END AS status,
+               TIMESTAMP '2024-01-01' AS measurement_time
+        FROM metric""",
+    "prepared_files": f"""
+        WITH {STAR}
+        SELECT CAST(race_id // 100 AS INTEGER) AS season, count(*) AS rows,
+               count(grid_position) AS padded,
+               count(*) FILTER (finish_position IS NULL) AS unplaced,
+               CAST(sum(points) AS DOUBLE) AS points
+        FROM fct_result WHERE race_id // 100 BETWEEN 1996 AND 2000 GROUP BY race_id // 100""",
 }

@@ -5,18 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from lapwise.bindings.sales import event_results, sales_star, shipping_star, table
+from lapwise.bindings.sales import event_results, sales_star, shipping_star
 from lapwise.functions import ascending, to_serving
-from lapwise.operators import ordered
-from lapwise.operators.sizing import largest_group
 from lapwise.plans import analysis, feeds, views
 from lapwise.plans.star import Star
 
-# Parameters of the registered calls; the library defaults are the smaller floors.
-MIN_STOPS = 400
-MIN_SHARED = 10
+# Parameters of the registered calls.
 PIVOT_SEASONS = (1996, 1997, 1998, 1999, 2000)
 FEED_SEASON = 1997
 FIRST_SEASON = 1997
@@ -34,10 +29,7 @@ def _on_star(plan: Callable[[Star], DataFrame]) -> Query:
 
 def _on_events(plan: Callable[..., DataFrame]) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        # One column of the stored table tells how long the longest history is.
-        longest = largest_group(table(spark, folder, "events"), ["user_id"])
-        slice_by = ordered.hour_slice(F.col("race_date"))
-        return plan(event_results(spark, folder), slice_by=slice_by, group_rows=longest)
+        return plan(event_results(spark, folder))
 
     return query
 
@@ -56,11 +48,11 @@ def _headline(star: Star) -> DataFrame:
 
 
 def _pit(star: Star) -> DataFrame:
-    return views.pit_performance(star, min_stops=MIN_STOPS)
+    return views.pit_performance(star)
 
 
 def _head_to_head(spark: SparkSession, folder: str) -> DataFrame:
-    return analysis.teammates(shipping_star(spark, folder), min_races=MIN_SHARED)
+    return analysis.teammates(shipping_star(spark, folder))
 
 
 QUERIES: dict[str, Query] = {
@@ -71,9 +63,7 @@ QUERIES: dict[str, Query] = {
     "season_index": _on_star(views.season_summary),
     "season_shape": _on_star(lambda s: analysis.season_shape(s, FIRST_SEASON)),
     "event_classification": _on_star(lambda s: analysis.classification(views.race_result(s))),
-    "leader_gap": _on_star(
-        lambda s: analysis.leader_gap(views.season_progression(s), s.rows("driver"))
-    ),
+    "leader_gap": _on_star(lambda s: analysis.leader_gap(views.season_progression(s))),
     "rolling_form": _on_events(analysis.rolling_form),
     "pairwise_head_to_head": _head_to_head,
     "stop_performance": _on_star(_pit),
@@ -82,14 +72,12 @@ QUERIES: dict[str, Query] = {
         lambda s: analysis.points_pivot(views.reliability(s), PIVOT_SEASONS)
     ),
     "reliability": _on_star(views.reliability),
-    "rank_divergence": _on_star(
-        lambda s: analysis.rank_divergence(views.reliability(s), s.rows("constructor"))
-    ),
+    "rank_divergence": _on_star(lambda s: analysis.rank_divergence(views.reliability(s))),
     "droughts": _on_events(analysis.droughts),
     "season_list": _on_star(feeds.seasons),
     "progression_feed": _on_star(feeds.progression),
     "season_feed": _on_star(lambda s: feeds.progression(s, FEED_SEASON)),
-    "stop_feed": _on_star(lambda s: feeds.pit_performance(s, min_stops=MIN_STOPS)),
+    "stop_feed": _on_star(feeds.pit_performance),
     "reliability_feed": _on_star(feeds.reliability),
     "top_contenders": _on_star(
         lambda s: feeds.top_contenders(views.season_progression(s)).orderBy(

@@ -11,15 +11,17 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapwise.bindings import sales
 from lapwise.bindings.sales import month_id, table
 from lapwise.functions import exact_hash, to_serving
+from lapwise.operators import quality
 from lapwise.operators.snapshots import BUCKET, SnapshotTable
 from lapwise.operators.upsert import UpsertReport, upsert
-from lapwise.plans import analysis, views
+from lapwise.plans import analysis, verification, views
 from lapwise.plans.pipeline import Archive
 from lapwise.session import scratch_path
 from lapwise.sources import audit, inventory, partitioner
@@ -151,10 +153,9 @@ def source_rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
             "statusId": F.col("status_id"),
         }
     else:
-        # The longest stop per race, driver and number, so that keys are unique.
-        rows = rows.groupBy("race_id", "driver_id", "stop_number").agg(
-            F.max("duration_ms").alias("duration_ms")
-        )
+        # Several stops share a key; with one duration each, any of them may be the newest.
+        same = W.partitionBy("race_id", "driver_id", "stop_number")
+        rows = rows.withColumn("duration_ms", F.max("duration_ms").over(same))
         cells = {
             "raceId": F.col("race_id"), "driverId": F.col("driver_id"),
             "stop": F.col("stop_number"),
@@ -374,7 +375,64 @@ def _judged_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def reject_capture(spark: SparkSession, folder: str) -> DataFrame:
     rejected = line_source.rejects(_judged_messages(spark, folder), MESSAGES, T0)
-    return rejected.select("target_table", "error_message", "rejected_record")
+    return rejected.select(
+        "target_table", "error_message", "character_pos", "rejected_record",
+        F.col("recorded_at").cast("timestamp_ntz").alias("recorded_at"),
+    )
+
+
+def audit_record(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows added by the audit step when it is run once, and again with nothing new."""
+    rows = table(spark, folder, "documents").select(
+        F.col("lang").alias("target_table"), F.col("source").alias("file_name"),
+        F.lit(T0).cast("timestamp").alias("last_load_time"),
+    )
+    none = spark.createDataFrame(
+        [], "target_table string, file_name string, last_load_time timestamp,"
+        " line_number bigint, error_message string",
+    )
+    history = audit.load_history(rows, none)
+    archive = Archive(spark, scratch_path(spark, "archive"))
+    calls = [(n, archive.record_history(history, T0, hours)) for n, hours in ((1, 24), (2, 24))]
+    total = archive.audit().agg(F.sum("row_count").alias("row_count"))
+    inserted = spark.createDataFrame(calls, "call int, inserted bigint")
+    label = F.lit(MESSAGES.name).alias("k")
+    return inserted.select("*", label).join(total.select("*", label), "k").drop("k")
+
+
+def metric_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Newest stored metrics after two loads, of which the second changes nothing."""
+    names = ("results", "races", "pit_stops")
+    archive, _ = _loaded_archive(spark, folder, names)
+    for at in (T0, T1):
+        reports = archive.for_each(lambda entity, at=at: archive.conform(entity, at), names)
+        verification.measure_changes(archive, reports, F.lit(at))
+    return verification.latest_metrics(archive).select(
+        *quality.RESULT_KEY, "metric_value", "status",
+        F.col("measurement_time").cast("timestamp_ntz").alias("measurement_time"),
+    ).filter("metric_name <> 'FRESHNESS'")
+
+
+def prepared_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Results and pit stops per season after a source folder was laid out, text kept."""
+    source, target = scratch_path(spark, "source"), scratch_path(spark, "prepared")
+    for name in ENTITIES:
+        rows = source_rows(spark, folder, name)
+        if name == "results":
+            # Leading zeros and padding are text and have to survive.
+            rows = rows.withColumn("grid", F.concat(F.lit("0"), "grid", F.lit(" ")))
+        partitioner.write_whole(rows, f"{source}/{name}.csv", null_token=NULL_TOKEN)
+    files = partitioner.prepare(spark, source, target, *SEASON_WINDOW)
+    if not files:
+        raise ValueError("no file was written")
+    written = partitioner.read_source(spark, f"{target}/results")
+    season = F.substring("raceId", 1, 4).cast("int").alias("season")
+    return written.groupBy(season).agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("grid").rlike("^0[0-9]+ $")).alias("padded"),
+        F.count_if(F.col("position") == NULL_TOKEN).alias("unplaced"),
+        F.sum(F.col("points").cast("decimal(18,2)")).cast("double").alias("points"),
+    )
 
 
 def reject_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -382,8 +440,10 @@ def reject_counts(spark: SparkSession, folder: str) -> DataFrame:
     judged = _judged_messages(spark, folder)
     rejected = audit.rejects_per_table(line_source.rejects(judged, MESSAGES, T0))
     good = judged.filter(F.col("error").isNull())
-    landed = line_source.landed(good, MESSAGES, T0).agg(F.count("*").alias("landed"))
-    return rejected.join(F.broadcast(landed))
+    landed = line_source.landed(good, MESSAGES, T0).agg(F.count("*").alias("landed")).select(
+        F.lit(MESSAGES.name).alias("target_table"), "landed"
+    )
+    return landed.join(rejected, "target_table", "left").fillna(0, ["reject_count"])
 
 
 QUERIES: dict[str, Query] = {
@@ -397,4 +457,7 @@ QUERIES: dict[str, Query] = {
     "season_partition": season_partition,
     "reject_capture": reject_capture,
     "reject_counts": reject_counts,
+    "audit_record": audit_record,
+    "metric_history": metric_history,
+    "prepared_files": prepared_files,
 }

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Fixed value: a clock time with one or two hour digits.
 CLOCK_PATTERN = r"^([01]?[0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
 
+# Fixed value: a decimal number, without type suffix, hexadecimal or named values.
+REAL_PATTERN = r"^\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
 
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -30,7 +33,8 @@ def try_int(value: Column | str) -> Column:
 
 
 def try_double(value: Column | str) -> Column:
-    return _column(value).try_cast("double")
+    text = _column(value).cast("string")
+    return F.when(text.rlike(REAL_PATTERN), text.try_cast("double"))
 
 
 def try_decimal(value: Column | str, precision: int = 8, scale: int = 2) -> Column:

@@ -1,11 +1,11 @@
 """Ordered operators that stay parallel when one group holds most of the rows.
 
-A Spark window runs each key group in one task.  That is the best plan while
-groups are small, so every operator here first checks the largest group and uses
-the plain window if it fits.  Beyond that the group is cut into *slices*: a coarse,
-monotone function of the order column (an hour, the leading digits of a number).
-Each slice is processed on its own, and the small table of slice totals carries the
-running state from one slice to the next.  Results are identical on both paths.
+A Spark window runs each key group in one task.  Here a group is first cut into *slices*
+of its order: every group's approximate quantiles are taken, a sketch that is combined
+before the shuffle, and a row's slice is the number of quantiles below it.  Slices are
+windowed on their own, and the small table of slice totals carries the running state from
+one slice to the next.  The same plan serves groups of every size, no job runs while it is
+composed, and results have the types of the plain window.
 """
 
 from __future__ import annotations
@@ -18,34 +18,23 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lapwise.functions.ordering import ascending, descending
-from lapwise.operators.sizing import MAX_GROUP_ROWS, fits_one_task
-from lapwise.session import stored
 
 SLICE = "__slice"
 BEFORE = "__before"
-NULL_SLICE = 10**12
+ALL = "__all"
 
+# Slices of a group, and consecutive rows that one task takes for a sliding frame.
+SLICES = 32
+CHUNK_ROWS = 100_000
 
-def hour_slice(timestamp: Column) -> Column:
-    """Slice by clock hour; no key can have more slices than the calendar has hours."""
-    return F.unix_seconds(F.date_trunc("hour", timestamp.cast("timestamp")))
 
-
-def day_slice(date: Column) -> Column:
-    return F.unix_date(date.cast("date"))
-
-
-def leading_digits(number: Column, digits: int = 3, decimals: int = 2) -> Column:
-    """Slice by magnitude and leading digits, so that wide and narrow ranges both split.
-
-    Built from the decimal text of the number: equal numbers always share a slice and
-    the result does not depend on the machine.  NULL goes above every number.
-    """
-    scaled = number.cast("decimal(38,6)") * F.lit(10**decimals)
-    whole = F.floor(F.abs(scaled)).cast("string")
-    lead = F.rpad(F.substring(whole, 1, digits), digits, "0").cast("bigint")
-    size = F.length(whole).cast("bigint") * F.lit(10**digits) + lead
-    return F.coalesce(F.when(scaled < 0, -size).otherwise(size), F.lit(NULL_SLICE))
+def as_number(value: Column, kind: str) -> Column:
+    """A number that never falls where ``value`` rises; ``kind`` is its type's name."""
+    if kind.startswith("timestamp"):
+        return F.unix_micros(value.cast("timestamp")).cast("double")
+    if kind == "date":
+        return F.unix_date(value).cast("double")
+    return value.cast("double")
 
 
 def null_safe_join(
@@ -62,26 +51,24 @@ def null_safe_join(
     return left.join(renamed, condition, how).drop(*right_keys.values())
 
 
-def _hot_slices(
-    df: DataFrame, keys: Sequence[str], slice_by: Column, max_rows: int
-) -> DataFrame:
-    """Add the slice number: 0 for ordinary groups, ``slice_by`` for oversize ones.
+def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """A frame without keys gets a constant one, so that every join has a key."""
+    return (df, list(keys)) if keys else (df.withColumn(ALL, F.lit(0)), [ALL])
 
-    The oversize list has at most ``rows / max_rows`` entries, which bounds the
-    broadcast.
-    """
-    if not keys:
-        return df.withColumn(SLICE, slice_by)
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("__n"))
-        .filter(F.col("__n") > max_rows)
-        .select(*keys, F.lit(True).alias("__hot"))
+
+def _sliced(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+    """Add the slice number of the column ``by``; NULL, the largest value, has the last."""
+    number = as_number(F.col(by), dict(df.dtypes)[by])
+    steps = F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)])
+    bounds = df.groupBy(*keys).agg(
+        F.percentile_approx(number, steps, F.lit(1000)).alias("__bounds")
+    )
+    below = F.size(F.filter(F.col("__bounds"), lambda b: b <= number))
+    return (
+        null_safe_join(df, bounds, keys)
+        .withColumn(SLICE, F.when(number.isNull(), SLICES).otherwise(below))
+        .drop("__bounds")
     )
-    tagged = null_safe_join(df, F.broadcast(hot), keys, "left")
-    return tagged.withColumn(
-        SLICE, F.when(F.col("__hot"), slice_by).otherwise(F.lit(0))
-    ).drop("__hot")
 
 
 def _carry(
@@ -98,24 +85,28 @@ def _carry(
     )
 
 
+def _sum_type(df: DataFrame, column: str):
+    return df.select(F.sum(column)).schema[0].dataType
+
+
 def running_sums(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     sums: dict[str, str],
-    slice_by: Column,
-    group_rows: int | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Running totals ``{output: input column}`` from the group's first row to this one."""
-    if fits_one_task(df, keys, group_rows, max_rows):
-        frame = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-        return df.withColumns({out: F.sum(c).over(frame) for out, c in sums.items()})
-    sliced = _hot_slices(df, keys, slice_by, max_rows)
+    """Running totals ``{output: input column}`` from the group's first row to this one.
+
+    ``order`` names ascending columns, NULL last; the first one, a number or a point in
+    time, is what slices are cut by.
+    """
+    kinds = {out: _sum_type(df, c) for out, c in sums.items()}
+    keyed, keys = _keyed(df, keys)
+    sliced = _sliced(keyed, keys, order[0])
     carry = _carry(sliced, keys, {f"{BEFORE}_{out}": F.sum(c) for out, c in sums.items()})
     frame = (
         W.partitionBy(*keys, SLICE)
-        .orderBy(*order)
+        .orderBy(*map(ascending, order))
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     local = sliced.withColumns({out: F.sum(c).over(frame) for out, c in sums.items()})
@@ -125,59 +116,42 @@ def running_sums(
         {
             out: F.coalesce(
                 F.col(out) + F.col(f"{BEFORE}_{out}"), F.col(out), F.col(f"{BEFORE}_{out}")
-            )
-            for out in sums
+            ).cast(kind)
+            for out, kind in kinds.items()
         }
-    ).drop(SLICE, *[f"{BEFORE}_{out}" for out in sums])
+    ).drop(SLICE, ALL, *[f"{BEFORE}_{out}" for out in sums])
 
 
 def row_index(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    slice_by: Column,
-    out: str = "row_index",
-    group_rows: int | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "row_index"
 ) -> DataFrame:
     """Row number from 1 within each group.  ``order`` must leave no ties."""
-    if fits_one_task(df, keys, group_rows, max_rows):
-        frame = W.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(frame).cast("bigint"))
-    sliced = _hot_slices(df, keys, slice_by, max_rows)
+    keyed, keys = _keyed(df, keys)
+    sliced = _sliced(keyed, keys, order[0])
     carry = _carry(sliced, keys, {BEFORE: F.count("*")})
-    local = sliced.withColumn(
-        out, F.row_number().over(W.partitionBy(*keys, SLICE).orderBy(*order)).cast("bigint")
-    )
+    frame = W.partitionBy(*keys, SLICE).orderBy(*map(ascending, order))
+    local = sliced.withColumn(out, F.row_number().over(frame).cast("bigint"))
     joined = null_safe_join(local, carry, [*keys, SLICE], "left")
     return joined.withColumn(
         out, F.col(out) + F.coalesce(F.col(BEFORE), F.lit(0))
-    ).drop(SLICE, BEFORE)
+    ).drop(SLICE, BEFORE, ALL)
 
 
 def sliding(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     preceding: int,
     measures: dict[str, Column],
-    slice_by: Column,
-    group_rows: int | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Aggregates over the current row and its ``preceding`` predecessors.
 
-    Oversize groups are cut into chunks of ``max_rows`` consecutive rows; the last
-    ``preceding`` rows of a chunk are repeated at the head of the next one and
-    dropped again afterwards.
+    Groups are cut into chunks of ``chunk_rows`` consecutive rows; the last ``preceding``
+    rows of a chunk are repeated at the head of the next one and dropped again afterwards.
     """
-    if fits_one_task(df, keys, group_rows, max_rows):
-        frame = W.partitionBy(*keys).orderBy(*order).rowsBetween(-preceding, W.currentRow)
-        return df.withColumns({out: m.over(frame) for out, m in measures.items()})
-    size = max(max_rows, preceding + 1)
-    indexed = row_index(
-        df, keys, order, slice_by, out="__row", group_rows=max_rows + 1, max_rows=max_rows
-    )
+    size = max(chunk_rows, preceding + 1)
+    indexed = row_index(df, keys, order, out="__row")
     position = F.col("__row") - 1
     chunk = F.floor(position / size)
     copies = F.when(
@@ -193,26 +167,16 @@ def sliding(
 
 
 def rank_by(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    out: str,
-    largest_first: bool = True,
-    group_rows: int | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
+    df: DataFrame, keys: Sequence[str], value: str, out: str, largest_first: bool = True
 ) -> DataFrame:
     """``RANK`` of ``value`` within each group, NULL counting as the largest value.
 
-    The split path ranks the distinct values, weighted by how many rows hold each,
-    so rows tied on one value never meet in a single task before the join back.
+    Distinct values are ranked, weighted by how many rows hold each, so rows tied on one
+    value never meet in a single task before the join back.
     """
     direction = descending if largest_first else ascending
-    if fits_one_task(df, keys, group_rows, max_rows):
-        frame = W.partitionBy(*keys).orderBy(direction(value))
-        return df.withColumn(out, F.rank().over(frame).cast("bigint"))
-    df = stored(df, "rank")
     weights = df.groupBy(*keys, value).agg(F.count("*").alias("__weight"))
-    sliced = weights.withColumn(SLICE, leading_digits(F.col(value)))
+    sliced = _sliced(weights, keys, value)
     carry = _carry(sliced, keys, {BEFORE: F.sum("__weight")}, descending_=largest_first)
     ahead = (
         W.partitionBy(*keys, SLICE)
@@ -230,22 +194,10 @@ def rank_by(
     return null_safe_join(df, ranks, [*keys, value])
 
 
-def tiles(
-    df: DataFrame,
-    count: int,
-    order: Sequence[Column],
-    slice_by: Column,
-    out: str,
-    group_rows: int | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+def tiles(df: DataFrame, count: int, order: Sequence[str], out: str) -> DataFrame:
     """``NTILE(count)`` over the whole frame; earlier tiles take the surplus rows."""
-    if fits_one_task(df, [], group_rows, max_rows):
-        return df.withColumn(out, F.ntile(count).over(W.orderBy(*order)).cast("bigint"))
-    total = df.agg(F.count("*").alias("__total"))
-    indexed = row_index(
-        df, [], order, slice_by, out="__row", group_rows=max_rows + 1, max_rows=max_rows
-    ).join(F.broadcast(total))
+    total = df.agg(F.count("*").alias("__total")).withColumn(ALL, F.lit(0))
+    indexed = row_index(df, [], order, out="__row").withColumn(ALL, F.lit(0)).join(total, ALL)
     base = F.floor(F.col("__total") / count)
     surplus = F.col("__total") % count
     in_surplus = surplus * (base + 1)
@@ -253,22 +205,14 @@ def tiles(
     tile = F.when(position < in_surplus, F.floor(position / (base + 1))).otherwise(
         surplus + F.floor((position - in_surplus) / F.nullif(base, F.lit(0)))
     )
-    return indexed.withColumn(out, (tile + 1).cast("bigint")).drop("__row", "__total")
+    return indexed.withColumn(out, (tile + 1).cast("bigint")).drop("__row", "__total", ALL)
 
 
-def group_value(
-    df: DataFrame,
-    keys: Sequence[str],
-    measures: dict[str, Column],
-    group_rows: int | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+def group_value(df: DataFrame, keys: Sequence[str], measures: dict[str, Column]) -> DataFrame:
     """Attach a whole-group aggregate to every row of the group."""
-    if fits_one_task(df, keys, group_rows, max_rows):
-        frame = W.partitionBy(*keys)
-        return df.withColumns({out: m.over(frame) for out, m in measures.items()})
-    totals = df.groupBy(*keys).agg(*[m.alias(out) for out, m in measures.items()])
-    return null_safe_join(df, totals, keys) if keys else df.join(F.broadcast(totals))
+    keyed, keys = _keyed(df, keys)
+    totals = keyed.groupBy(*keys).agg(*[m.alias(out) for out, m in measures.items()])
+    return null_safe_join(keyed, totals, keys).drop(ALL)
 
 
 def newest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -1,16 +1,10 @@
 """Head-to-head counts over members of the same group, each unordered pair once.
 
-Emitting every pair of a group is quadratic in the group, so only groups of at most
-``max_members`` entries are paired directly.  Oversize groups are handled by what a
-pair needs in order to be reported at all, ``min_shared`` meetings:
-
-* a pair that also meets in an ordinary group is already listed there, and its
-  meetings in oversize groups are looked up by joining both members to them;
-* a pair that meets only in oversize groups can reach ``min_shared`` only if each
-  member's largest possible number of meetings there does.  Only such members are
-  paired, with the work for one group spread over many tasks.
-
-The counts are exact for every reported pair.
+A pair is reported if it meets ``min_shared`` times.  A member's meetings with any one
+other member are bounded by its entries in each group times the most that another name has
+there, so members whose bound stays below the floor are left out before anybody is paired.
+The self-join runs on the group's key, where AQE splits skewed groups, and meetings are
+summed up before pairs are shuffled.
 """
 
 from __future__ import annotations
@@ -20,13 +14,6 @@ from pyspark.sql import functions as F
 
 from lapwise.functions import flag
 from lapwise.operators.ordered import null_safe_join
-from lapwise.session import stored
-
-# Entries of one group that are paired directly; at most half their square in pairs.
-MAX_MEMBERS = 200
-SALTS = 64
-
-MEASURES = ("shared", "a_ahead", "b_ahead")
 
 
 def _entries(rows: DataFrame, group: list[str]) -> DataFrame:
@@ -64,72 +51,26 @@ def _same(columns: list[str]) -> Column:
     return condition
 
 
-def head_to_head(
-    rows: DataFrame,
-    group: list[str],
-    min_shared: int,
-    max_members: int = MAX_MEMBERS,
-) -> DataFrame:
-    """Pairs with at least ``min_shared`` meetings.
-
-    ``rows`` holds the ``group`` columns plus ``team`` (fixed within a group, reported
-    with the pair), ``member`` (orders the pair), ``name`` (identifies it) and ``position`` (smaller is
-    ahead).  Repeated entries of a member in a group count once per combination.
-    """
-    entries = stored(_entries(rows, group), "entries")
-    sizes = entries.groupBy(*group).agg(F.count("*").alias("members"))
-    oversize = sizes.filter(F.col("members") > max_members).select(*group)
-    pair = ["team", "name_a", "name_b"]
-    if not oversize.take(1):
-        pairs = _meet(entries, entries, _same(group), ["team"])
-    else:
-        # At most rows / max_members groups are oversize.
-        hot = stored(entries.join(F.broadcast(oversize), group, "left_semi"), "hot")
-        plain = entries.join(F.broadcast(oversize), group, "left_anti")
-        plain_pairs = stored(_meet(plain, plain, _same(group), ["team"]), "pairs")
-        pairs = (
-            plain_pairs.unionByName(_known_pairs(plain_pairs.select(*pair), hot, group))
-            .unionByName(
-                null_safe_join(
-                    _hot_only_pairs(hot, group, min_shared),
-                    plain_pairs.select(*pair), pair, "left_anti",
-                )
-            )
-            .groupBy(*pair)
-            .agg(*[F.sum(m).alias(m) for m in MEASURES])
-        )
-    return pairs.filter(F.col("shared") >= min_shared)
-
-
-def _known_pairs(pairs: DataFrame, hot: DataFrame, group: list[str]) -> DataFrame:
-    """Meetings of already listed pairs inside the oversize groups."""
-    first = hot.alias("h").join(
-        pairs.alias("p"),
-        F.col("h.team").eqNullSafe(F.col("p.team"))
-        & F.col("h.name").eqNullSafe(F.col("p.name_a")),
-    ).select("h.*", "p.name_b")
-    return _meet(
-        first, hot, _same(group) & F.col("a.name_b").eqNullSafe(F.col("b.name")), ["team"]
-    )
-
-
-def _hot_only_pairs(hot: DataFrame, group: list[str], min_shared: int) -> DataFrame:
-    """Pairs of members that could reach ``min_shared`` inside oversize groups alone."""
-    per_member = hot.groupBy(*group, "team", "member", "name").agg(F.sum("n").alias("n"))
-    per_name = per_member.groupBy(*group, "team", "name").agg(F.sum("n").alias("n"))
-    # A name meets at most all entries of one other name in the group.
+def _able(entries: DataFrame, group: list[str], min_shared: int) -> DataFrame:
+    """Names that could meet some other name ``min_shared`` times over all groups."""
+    per_name = entries.groupBy(*group, "team", "name").agg(F.sum("n").alias("n"))
     most = per_name.groupBy(*group).agg(F.max("n").alias("most"))
-    able = (
-        per_name.join(F.broadcast(most), group)
+    return (
+        per_name.join(most, group)
         .groupBy("team", "name")
         .agg(F.sum(F.col("n") * F.col("most")).alias("reach"))
         .filter(F.col("reach") >= min_shared)
         .select("team", "name")
     )
-    strong = null_safe_join(hot, able, ["team", "name"], "left_semi")
-    left = strong.withColumn("salt", F.pmod(F.xxhash64("member"), F.lit(SALTS)))
-    right = strong.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return _meet(
-        left, right.withColumn("salt", F.col("salt").cast("bigint")),
-        _same([*group, "salt"]), ["team"],
-    )
+
+
+def head_to_head(rows: DataFrame, group: list[str], min_shared: int) -> DataFrame:
+    """Pairs with at least ``min_shared`` meetings.
+
+    ``rows`` holds the ``group`` columns plus ``team`` (fixed within a group, reported
+    with the pair), ``member`` (orders the pair), ``name`` (identifies it) and ``position``
+    (smaller is ahead).  Repeated entries of a member in a group count once per combination.
+    """
+    entries = _entries(rows, group)
+    strong = null_safe_join(entries, _able(entries, group, min_shared), ["team", "name"], "left_semi")
+    return _meet(strong, strong, _same(group), ["team"]).filter(F.col("shared") >= min_shared)

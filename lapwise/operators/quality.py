@@ -20,6 +20,10 @@ FRESHNESS = "FRESHNESS"
 CUSTOM_PATTERN = "DMF_%"
 
 RESULT_KEY = ["table_name", "metric_name", "argument_names"]
+RESULT = (
+    "table_name string, metric_name string, argument_names string, metric_value bigint, "
+    "measurement_time timestamp"
+)
 
 
 @dataclass(frozen=True)
@@ -121,14 +125,20 @@ def latest_results(history: DataFrame) -> DataFrame:
 
 
 class QualityBreach(RuntimeError):
-    """Raised by ``enforce`` when a metric is in breach."""
+    """Raised by ``enforce``; ``breaches`` is the frame of all metrics in breach."""
+
+    def __init__(self, count: int, breaches: DataFrame) -> None:
+        super().__init__(f"{count} metrics in breach")
+        self.count = count
+        self.breaches = breaches
 
 
 def enforce(latest: DataFrame) -> None:
     """Optional gate: measuring alone never stops a run."""
-    breaches = latest.filter(F.col("status") == "BREACH").select(*RESULT_KEY).limit(20).collect()
-    if breaches:
-        raise QualityBreach("; ".join(".".join(map(str, row)) for row in breaches))
+    breaches = latest.filter(F.col("status") == "BREACH")
+    count = breaches.count()
+    if count:
+        raise QualityBreach(count, breaches)
 
 
 def orphan_count(

@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapwise.functions import ascending, descending, percentage
 from lapwise.operators import ordered
-from lapwise.operators.pairs import MAX_MEMBERS, head_to_head
-from lapwise.operators.sizing import MAX_GROUP_ROWS, fits_one_task
+from lapwise.operators.pairs import head_to_head
 from lapwise.plans import views
 from lapwise.plans.star import Star
-from lapwise.session import stored
 
 # Defaults of the analyst questions.
 STANDINGS_SIZE = 20
@@ -73,31 +70,18 @@ def final_standings(progression: DataFrame, size: int = STANDINGS_SIZE) -> DataF
     )
 
 
-def leader_gap(
-    progression: DataFrame, field_rows: int | None = None, max_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def leader_gap(progression: DataFrame) -> DataFrame:
     """The two best running totals of every round and the gap to the leader.
 
-    ``field_rows`` bounds the drivers of a round.  Beyond ``max_rows`` the two totals are
-    found among distinct values, two rows per round, and joined back, so that any number
-    of drivers level on points is spread over the cluster.
+    The two totals are found among distinct values, two rows per round, and joined back,
+    so any number of drivers level on points is spread over the cluster.
     """
     rounds = ["season_year", "round_number"]
     points = F.col("cumulative_points")
-    if fits_one_task(progression, rounds, field_rows, max_rows):
-        leaders = (
-            progression.withColumn(
-                "place", F.dense_rank().over(W.partitionBy(*rounds).orderBy(descending(points)))
-            )
-            .filter(F.col("place") <= 2)
-            .withColumn("leader_points", F.max(points).over(W.partitionBy(*rounds)))
-        )
-    else:
-        progression = stored(progression, "progression")
-        totals = progression.select(*rounds, "cumulative_points").distinct()
-        leading = ordered.top_per_group(totals, rounds, [descending(points)], 2)
-        best = ordered.group_value(leading, rounds, {"leader_points": F.max(points)}, group_rows=2)
-        leaders = ordered.null_safe_join(progression, best, [*rounds, "cumulative_points"])
+    totals = progression.select(*rounds, "cumulative_points").distinct()
+    leading = ordered.top_per_group(totals, rounds, [descending(points)], 2)
+    best = ordered.group_value(leading, rounds, {"leader_points": F.max(points)})
+    leaders = ordered.null_safe_join(progression, best, [*rounds, "cumulative_points"])
     return leaders.select(
         *rounds, "race_name", "driver_id", "driver_name", "cumulative_points",
         (F.col("leader_points") - points).alias("points_behind_leader"),
@@ -108,25 +92,19 @@ def rolling_form(
     results: DataFrame,
     races: int = FORM_RACES,
     order: Sequence[str] = ("race_date", "result_id"),
-    slice_by: Column | None = None,
-    group_rows: int | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
+    chunk_rows: int = ordered.CHUNK_ROWS,
 ) -> DataFrame:
-    """Average finish over a driver's last ``races`` finishes, with the frame's row count.
-
-    ``group_rows`` bounds the rows of one driver, if that is known already.
-    """
+    """Average finish over a driver's last ``races`` finishes, with the frame's row count."""
     finished = results.filter(F.col("finish_position").isNotNull()).select(
         "driver_id", "driver_name", *order, "race_name", "finish_position"
     )
     return (
         ordered.sliding(
-            finished, ["driver_id"], [ascending(c) for c in order], races - 1,
-            {"form": F.avg("finish_position"), "races_in_window": F.count("*")},
-            ordered.day_slice(F.col(order[0])) if slice_by is None else slice_by,
-            group_rows=group_rows, max_rows=max_rows,
+            finished, ["driver_id"], order, races - 1,
+            {"form": F.avg("finish_position"), "races_in_window": F.count("*")}, chunk_rows,
         )
         .withColumn("form", F.round("form", 2))
+        .orderBy(ascending("driver_name"), *[ascending(c) for c in order])
     )
 
 
@@ -134,7 +112,6 @@ def teammates(
     star: Star,
     season: int | None = None,
     min_races: int = MIN_SHARED_RACES,
-    max_members: int = MAX_MEMBERS,
 ) -> DataFrame:
     """Team-mates compared over the races both entered for the team."""
     drivers = star.driver.select("driver_id", F.col("full_name").alias("name"))
@@ -143,16 +120,16 @@ def teammates(
     rows = (
         views.of_season(star, star.result, season)
         .select("race_id", "constructor_id", "driver_id", "position_order")
-        .join(star.lookup("race", races), "race_id", "left_semi")
-        .join(star.lookup("constructor", teams), "constructor_id")
-        .join(star.lookup("driver", drivers), "driver_id")
+        .join(races, "race_id", "left_semi")
+        .join(teams, "constructor_id")
+        .join(drivers, "driver_id")
         .select(
             "race_id", "constructor_id", "team", F.col("driver_id").alias("member"), "name",
             F.col("position_order").alias("position"),
         )
     )
     return (
-        head_to_head(rows, ["race_id", "constructor_id"], min_races, max_members)
+        head_to_head(rows, ["race_id", "constructor_id"], min_races)
         .select(
             F.col("team").alias("constructor_name"),
             F.col("name_a").alias("driver_a"),
@@ -169,22 +146,14 @@ def teammates(
     )
 
 
-def pit_spread(
-    performance: DataFrame, team_rows: int | None = None, max_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def pit_spread(performance: DataFrame) -> DataFrame:
     """Median and tail of stop times, with the speed quartile over the whole field."""
-    order = [
-        ascending(c) for c in ("median_stop_seconds", "season_year", "constructor_id")
-    ]
+    order = ["median_stop_seconds", "season_year", "constructor_id"]
     spread = (F.col("p90_stop_seconds") - F.col("median_stop_seconds")).alias(
         "consistency_spread"
     )
     return (
-        ordered.tiles(
-            performance, 4, order,
-            ordered.leading_digits(F.col("median_stop_seconds"), decimals=3),
-            "speed_quartile", group_rows=team_rows, max_rows=max_rows,
-        )
+        ordered.tiles(performance, 4, order, "speed_quartile")
         .select(
             "season_year", "constructor_name", "stop_count", "median_stop_seconds",
             "p90_stop_seconds", spread, "season_rank", "seconds_vs_field_median",
@@ -207,15 +176,11 @@ def points_pivot(reliability: DataFrame, seasons: Sequence[int]) -> DataFrame:
     )
 
 
-def rank_divergence(
-    reliability: DataFrame, team_rows: int | None = None, max_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def rank_divergence(reliability: DataFrame) -> DataFrame:
     """Reliability rank against points rank, per season."""
     ranked = reliability
     for value, out in (("finish_rate_pct", "reliability_rank"), ("season_points", "points_rank")):
-        ranked = ordered.rank_by(
-            ranked, ["season_year"], value, out, group_rows=team_rows, max_rows=max_rows
-        )
+        ranked = ordered.rank_by(ranked, ["season_year"], value, out)
     return ranked.select(
         "season_year", "constructor_name", "entries", "finish_rate_pct", "mechanical_dnfs",
         "incident_dnfs", "season_points", "reliability_rank", "points_rank",
@@ -231,9 +196,6 @@ def droughts(
     size: int = LONGEST_DROUGHTS,
     seasons: tuple[int, int] | None = None,
     order: Sequence[str] = ("race_date", "result_id"),
-    slice_by: Column | None = None,
-    group_rows: int | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Longest runs without a win after a first one.
 
@@ -243,11 +205,7 @@ def droughts(
     if seasons is not None:
         results = results.filter(F.col("season_year").between(*map(int, seasons)))
     races = results.select("driver_id", "driver_name", *order, "is_win")
-    counted = ordered.running_sums(
-        races, ["driver_id"], [ascending(c) for c in order], {"wins_so_far": "is_win"},
-        ordered.day_slice(F.col(order[0])) if slice_by is None else slice_by,
-        group_rows=group_rows, max_rows=max_rows,
-    )
+    counted = ordered.running_sums(races, ["driver_id"], order, {"wins_so_far": "is_win"})
     start, end = F.col("drought_start"), F.col("drought_end")
     return (
         counted.filter((F.col("wins_so_far") > 0) & (F.col("is_win") == 0))

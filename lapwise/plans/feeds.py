@@ -9,7 +9,6 @@ from lapwise.functions import ascending, descending, to_serving
 from lapwise.operators import ordered
 from lapwise.plans import views
 from lapwise.plans.star import Star
-from lapwise.session import stored
 
 # Lines on the progression chart, and the name shown for an empty season.
 CONTENDERS = 6
@@ -71,27 +70,28 @@ def reliability(star: Star, season: int | None = None) -> DataFrame:
 
 
 def _finals(rows: DataFrame) -> DataFrame:
-    """Points of each driver name after their last round of each season.
+    """Points of each driver name after their last round of each season, and that round.
 
     The last known total is wanted, so rows without one are passed over.
     """
-    return ordered.newest(
-        rows.filter(F.col("cumulative_points").isNotNull()).select(
-            "season_year", "driver_name", "round_number", "constructor_name",
-            "cumulative_points",
-        ),
-        ["season_year", "driver_name"],
-        [descending("round_number"), descending("constructor_name")],
+    # The latest round first, then the greatest team name, an unknown one counting as such.
+    last = F.struct("round_number", F.col("constructor_name").isNull(), "constructor_name")
+    known = F.when(F.col("cumulative_points").isNotNull(), last)
+    return rows.groupBy("season_year", "driver_name").agg(
+        F.max_by("cumulative_points", known).alias("cumulative_points"),
+        F.max("round_number").alias("rounds"),
     )
 
 
+def _best(finals: DataFrame, count: int) -> DataFrame:
+    known = finals.filter(F.col("cumulative_points").isNotNull())
+    order = [descending("cumulative_points"), ascending("driver_name")]
+    return ordered.top_per_group(known, ["season_year"], order, count)
+
+
 def top_contenders(rows: DataFrame, count: int = CONTENDERS) -> DataFrame:
     """All rounds of the ``count`` best drivers of each season; names settle ties."""
-    rows = stored(rows, "progression")
-    best = ordered.top_per_group(
-        _finals(rows), ["season_year"],
-        [descending("cumulative_points"), ascending("driver_name")], count,
-    ).select("season_year", "driver_name")
+    best = _best(_finals(rows), count).select("season_year", "driver_name")
     return rows.join(best, ["season_year", "driver_name"], "left_semi")
 
 
@@ -100,11 +100,8 @@ def title_margin(rows: DataFrame) -> DataFrame:
 
     With a single driver the lead is their own total.
     """
-    rows = stored(rows, "progression")
-    best_two = ordered.top_per_group(
-        _finals(rows), ["season_year"],
-        [descending("cumulative_points"), ascending("driver_name")], 2,
-    )
+    finals = _finals(rows)
+    best_two = _best(finals, 2)
     points = F.col("cumulative_points")
     # Largest total first, then the first name: the smallest (negated total, name).
     place = F.struct((-points).alias("behind"), F.col("driver_name").alias("name"))
@@ -114,7 +111,7 @@ def title_margin(rows: DataFrame) -> DataFrame:
         F.min(points).alias("second"),
         F.count("*").alias("drivers"),
     )
-    rounds = rows.groupBy("season_year").agg(F.max("round_number").alias("rounds"))
+    rounds = finals.groupBy("season_year").agg(F.max("rounds").alias("rounds"))
     margin = F.when(F.col("drivers") > 1, F.col("points") - F.col("second")).otherwise(
         F.col("points")
     )
@@ -126,12 +123,11 @@ def title_margin(rows: DataFrame) -> DataFrame:
 
 def season_headline(rows: DataFrame, season: int) -> DataFrame:
     """One row for a season, also when it has no results."""
-    spark = rows.sparkSession
-    empty = spark.range(1).select(
-        F.lit(NO_CHAMPION).alias("champion"), F.lit(0.0).alias("points"),
-        F.lit(0.0).alias("margin"), F.lit(0).alias("rounds"),
+    found = title_margin(rows.filter(F.col("season_year") == int(season))).drop("season_year")
+    # Grouped without keys, an empty season still is one row.
+    return found.agg(
+        F.coalesce(F.first("champion"), F.lit(NO_CHAMPION)).alias("champion"),
+        F.coalesce(F.first("points"), F.lit(0.0)).alias("points"),
+        F.coalesce(F.first("margin"), F.lit(0.0)).alias("margin"),
+        F.coalesce(F.first("rounds"), F.lit(0)).alias("rounds"),
     )
-    found = title_margin(rows.filter(F.col("season_year") == int(season)))
-    return empty.join(
-        found.select(*[F.col(c).alias(f"found_{c}") for c in empty.columns]), F.lit(True), "left"
-    ).select(*[F.coalesce(f"found_{c}", c).alias(c) for c in empty.columns])

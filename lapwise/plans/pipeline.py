@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapwise.operators import quality
 from lapwise.operators.incremental import require_row_local
 from lapwise.operators.snapshots import BUCKET, SnapshotTable
 from lapwise.operators.upsert import UpsertReport, upsert
@@ -73,6 +75,12 @@ class Archive:
         """Batches that landed completely; anything else on disk is ignored."""
         return self._files(f"landed/{entity.name}/[!.]*")
 
+    def fresh_name(self, entity: Entity, batch: str) -> str:
+        """``batch``, numbered if batches of that name have landed."""
+        landed = set(self.batches(entity))
+        names = itertools.chain([batch], (f"{batch}+{n}" for n in itertools.count(2)))
+        return next(n for n in names if n not in landed)
+
     def unconformed(self, entity: Entity) -> list[str]:
         """Landed batches not yet in the typed table."""
         done = set(self._files(f"conformed/{entity.name}/[!.]*"))
@@ -102,7 +110,33 @@ class Archive:
         return self._log("rejects", REJECTS, ENTITIES.values())
 
     def audit(self) -> DataFrame:
-        return self._log("audit", AUDIT, ENTITIES.values())
+        """Rows written with each load and those added by `record_history`."""
+        rows = self._log("audit", AUDIT, ENTITIES.values())
+        if not self._files("recorded/_SUCCESS"):
+            return rows
+        return rows.unionByName(self.spark.read.schema(AUDIT).parquet(f"{self.root}/recorded"))
+
+    def metrics(self) -> DataFrame:
+        """Every stored measurement."""
+        if not self._files("metrics/_SUCCESS"):
+            return self.spark.createDataFrame([], quality.RESULT)
+        return self.spark.read.schema(quality.RESULT).parquet(f"{self.root}/metrics")
+
+    def store_metrics(self, measured: DataFrame) -> None:
+        """Add measurements to the history."""
+        measured.write.mode("append").parquet(f"{self.root}/metrics")
+
+    def record_history(
+        self, history: DataFrame, now: dt.datetime, lookback_hours: int | None = None
+    ) -> int:
+        """Add the load history of the last hours that the audit lacks; returns how many rows."""
+        at = F.lit(now).cast("timestamp")
+        fresh = audit_rows.unrecorded(history, self.audit(), at, lookback_hours)
+        seen = Observation()
+        fresh.withColumn("recorded_at", at).observe(seen, F.count("*").alias("n")).select(
+            *T.StructType.fromDDL(AUDIT).fieldNames()
+        ).write.mode("append").parquet(f"{self.root}/recorded")
+        return seen.get["n"]
 
     def ledger(self, entity: Entity) -> DataFrame:
         return self._log("ledger", LEDGER, [entity])
@@ -172,8 +206,10 @@ class Archive:
         """Land the files of the entity's prefix that the ledger does not hold.
 
         Returns how many files were taken.  The file list is what Spark's own file index
-        holds on the driver for any scan.
+        holds on the driver for any scan.  A batch name that has landed before gets a
+        number, so no load replaces another.
         """
+        batch = self.fresh_name(entity, batch)
         staged = staged_files(self.spark, f"{staged_root}/{entity.name}", entity.file_pattern)
         known = self.ledger(entity)
         fresh = pending(staged, known, force).select(*FILE_KEY)

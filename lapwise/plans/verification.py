@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lapwise.functions import ascending
 from lapwise.operators import masking, quality
+from lapwise.operators.upsert import UpsertReport
 from lapwise.plans import views
 from lapwise.plans.pipeline import Archive
 from lapwise.plans.star import MAX_STOP_MS, MIN_STOP_MS, Star
@@ -109,7 +110,21 @@ def measure(
         for name, (metrics, unique) in suites(as_of).items()
         if name in wanted
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts, archive.spark.createDataFrame([], quality.RESULT))
+
+
+def measure_changes(
+    archive: Archive, reports: Mapping[str, UpsertReport], as_of: Column | None = None
+) -> None:
+    """Measure the tables that an upsert changed and add the numbers to the history."""
+    changed = [name for name, report in reports.items() if report.changed]
+    if changed:
+        archive.store_metrics(measure(archive, as_of, changed))
+
+
+def latest_metrics(archive: Archive) -> DataFrame:
+    """The newest stored measurement of every metric, with its verdict."""
+    return quality.latest_results(archive.metrics())
 
 
 def profile(star: Star, roles: Iterable[str], as_of: Column | None = None) -> DataFrame:

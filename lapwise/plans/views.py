@@ -5,8 +5,8 @@ the much smaller result.  Sums, minima and counts compose, so the answer is that
 join-then-group, while a race, driver or team holding a large share of the fact is
 already collapsed map-side before any shuffle on its key.
 
-A dimension is marked for broadcast only when its row count is known to be small
-(``Star.lookup``); the others are shuffle joins whose skewed partitions AQE splits.
+No join is hinted: Spark broadcasts a dimension that its own statistics show to be small
+and shuffles the others, whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -17,15 +17,11 @@ from pyspark.sql import functions as F
 
 from lapwise.functions import ascending, flag, percentage, year_boundaries
 from lapwise.operators import ordered
-from lapwise.operators.sizing import MAX_GROUP_ROWS
 from lapwise.plans.star import Star
 
 # Fixed value: teams with fewer stops in a season are not ranked.
 MIN_STOPS = 10
 
-# Race ids of one season that are spelled out in a filter.
-MAX_SEASON_RACES = 1000
-
 
 def race_result(star: Star) -> DataFrame:
     """Every result with its descriptions.  Only an unknown status keeps its row."""
@@ -38,11 +34,11 @@ def race_result(star: Star) -> DataFrame:
         F.col("nationality").alias("driver_nationality"),
     )
     return (
-        star.result.join(star.lookup("race", star.race), "race_id")
-        .join(star.lookup("circuit", circuits), "circuit_id")
-        .join(star.lookup("driver", drivers), "driver_id")
+        star.result.join(star.race, "race_id")
+        .join(circuits, "circuit_id")
+        .join(drivers, "driver_id")
         .join(_teams(star), "constructor_id")
-        .join(star.lookup("status", star.status), "status_id", "left")
+        .join(star.status, "status_id", "left")
         .select(
             "result_id", "season_year", "round_number", "race_name", "race_date",
             "circuit_name", "circuit_country", "latitude", "longitude", "driver_id",
@@ -57,30 +53,21 @@ def race_result(star: Star) -> DataFrame:
 
 def _teams(star: Star) -> DataFrame:
     teams = star.constructor.select("constructor_id", "constructor_name")
-    return star.lookup("constructor", teams)
+    return teams
 
 
 def _placed_races(star: Star, season: int | None) -> DataFrame:
     """Races of the season (or all) whose circuit is known."""
-    circuits = star.lookup("circuit", star.circuit.select("circuit_id"))
+    circuits = star.circuit.select("circuit_id")
     races = season_races(star, season).join(circuits, "circuit_id", "left_semi")
-    return star.lookup("race", races)
+    return races
 
 
 def of_season(star: Star, fact: DataFrame, season: int | None) -> DataFrame:
-    """A fact cut to one season's races before it is joined or grouped.
-
-    Facts hold no season, so the season's race ids, at most a calendar year of them, are
-    looked up first; as literals they reach the Parquet scan, and since ids rise with time
-    most row groups are skipped there.  A season with too many races is left to the join.
-    """
+    """A fact cut to one season's races before it is joined or grouped."""
     if season is None:
         return fact
-    ids = [
-        r["race_id"]
-        for r in season_races(star, season).select("race_id").limit(MAX_SEASON_RACES + 1).collect()
-    ]
-    return fact if len(ids) > MAX_SEASON_RACES else fact.filter(F.col("race_id").isin(ids))
+    return fact.join(season_races(star, season).select("race_id"), "race_id", "left_semi")
 
 
 def season_races(star: Star, season: int | None) -> DataFrame:
@@ -98,19 +85,16 @@ def _entry_totals(
         .groupBy("race_id", "driver_id", "constructor_id", *keys)
         .agg(*measures)
         .join(_placed_races(star, season), "race_id")
-        .join(star.lookup("driver", drivers), "driver_id")
+        .join(drivers, "driver_id")
         .join(_teams(star), "constructor_id")
     )
 
 
-def season_progression(
-    star: Star, season: int | None = None, max_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def season_progression(star: Star, season: int | None = None) -> DataFrame:
     """Running points and standing after each round.
 
     Per driver the running frame holds one row per round and team, so it is bounded
-    by the calendar.  The standing ranks everybody in a round; how many that can be is
-    read from the driver dimension, and large fields are ranked split.
+    by the calendar.  The standing ranks everybody in a round, in slices.
     """
     per_round = (
         _entry_totals(
@@ -140,7 +124,7 @@ def season_progression(
     )
     return ordered.rank_by(
         cumulative, ["season_year", "round_number"], "cumulative_points",
-        "championship_position", group_rows=star.rows("driver"), max_rows=max_rows,
+        "championship_position",
     ).select(
         "season_year", "round_number", "race_name", "race_date", "driver_id", "driver_name",
         "driver_code", "constructor_name", "round_points", "finish_position",
@@ -152,33 +136,26 @@ def pit_performance(
     star: Star,
     season: int | None = None,
     min_stops: int = MIN_STOPS,
-    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Stop times per season and team: exact median, mean, minimum, 90th percentile.
 
-    Stops are counted per (race, driver, millisecond) and entries per (race, driver,
-    team) before the two facts meet; the fact's duration filter leaves at most 299,001
-    distinct values per team, so the exact percentiles read a bounded histogram.
+    The two facts meet on race and driver, and stops are then counted once per season,
+    team and millisecond; the fact's duration filter leaves at most 299,001 distinct
+    values per team, so the exact percentiles read a bounded histogram.
     Percentiles are taken on whole milliseconds and rounded there, which is decimal
     rounding to three places of seconds.
     """
-    stops = (
-        of_season(star, star.pit_stop, season)
-        .groupBy("race_id", "driver_id", "duration_ms")
-        .agg(F.count("*").alias("stops"))
-    )
-    entries = (
-        of_season(star, star.result, season)
-        .groupBy("race_id", "driver_id", "constructor_id")
-        .agg(F.count("*").alias("entries"))
+    stops = of_season(star, star.pit_stop, season).select("race_id", "driver_id", "duration_ms")
+    entries = of_season(star, star.result, season).select(
+        "race_id", "driver_id", "constructor_id"
     )
     races = season_races(star, season).select("race_id", "season_year")
     ms = F.col("duration_ms").cast("double")
     histogram = (
         stops.join(entries, ["race_id", "driver_id"])
-        .join(star.lookup("race", races), "race_id")
+        .join(races, "race_id")
         .groupBy("season_year", "constructor_id", "duration_ms")
-        .agg(F.sum(F.col("stops") * F.col("entries")).alias("weight"))
+        .agg(F.count("*").alias("weight"))
     )
     per_team = (
         histogram.groupBy("season_year", "constructor_id")
@@ -192,15 +169,10 @@ def pit_performance(
         .join(_teams(star), "constructor_id")
         .filter(F.col("stop_count") >= min_stops)
     )
-    teams = star.rows("constructor")
     ranked = ordered.rank_by(
-        per_team, ["season_year"], "median_ms", "season_rank", largest_first=False,
-        group_rows=teams, max_rows=max_rows,
-    )
-    with_field = ordered.group_value(
-        ranked, ["season_year"], {"field_ms": F.avg("median_ms")},
-        group_rows=teams, max_rows=max_rows,
+        per_team, ["season_year"], "median_ms", "season_rank", largest_first=False
     )
+    with_field = ordered.group_value(ranked, ["season_year"], {"field_ms": F.avg("median_ms")})
 
     def seconds(value: Column) -> Column:
         return F.round(value).cast("decimal(18,0)") / F.lit(1000).cast("decimal(4,0)")
@@ -232,7 +204,7 @@ def reliability(star: Star, season: int | None = None) -> DataFrame:
             star, season, ("status_id",),
             F.count("*").alias("n"), F.sum("points").alias("points"),
         )
-        .join(star.lookup("status", star.status), "status_id", "left")
+        .join(star.status, "status_id", "left")
         .groupBy("season_year", "constructor_name")
         .agg(
             F.sum("n").alias("entries"),
@@ -255,7 +227,7 @@ def season_summary(star: Star) -> DataFrame:
         star.result.select("race_id", "driver_id", "constructor_id")
         .distinct()
         .join(_placed_races(star, None), "race_id")
-        .join(star.lookup("driver", star.driver.select("driver_id")), "driver_id", "left_semi")
+        .join(star.driver.select("driver_id"), "driver_id", "left_semi")
         .join(_teams(star), "constructor_id", "left_semi")
         .groupBy("season_year")
         .agg(

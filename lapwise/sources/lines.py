@@ -13,14 +13,15 @@ from pyspark.sql import functions as F
 
 from lapwise.sources.entities import Entity
 
-# Tokens read as NULL, and the largest record accepted.
+# Tokens read as NULL.
 NULL_TOKENS = ("\\N", "N", "", "NULL", "null")
-MAX_RECORD_CHARS = 16_777_216
 
 # A comma-separated record whose quoted fields are closed.
 _QUOTED = r'\s*+"[^"]*+(?:""[^"]*+)*+"\s*+'
 _BARE = r'(?!\s*+")[^,]*+'
-RECORD_PATTERN = rf"^(?:{_QUOTED}|{_BARE})(?:,(?:{_QUOTED}|{_BARE}))*+$"
+_FIELD = rf"(?:{_QUOTED}|{_BARE})"
+RECORD_PATTERN = rf"^{_FIELD}(?:,{_FIELD})*+$"
+SOUND_START = rf"^(?:{_FIELD},)*+"
 
 CSV_OPTIONS = {
     "sep": ",",
@@ -32,7 +33,6 @@ CSV_OPTIONS = {
 }
 
 UNCLOSED_QUOTE = "unclosed or misplaced quote"
-TOO_LONG = "record too long"
 
 
 def with_lineage(lines: DataFrame) -> DataFrame:
@@ -88,9 +88,7 @@ def judged(lines: DataFrame, header_lines: int = 1) -> DataFrame:
         .filter((F.col("line_number") > header_lines) & (F.trim(value) != ""))
         .withColumn(
             "error",
-            F.when(F.length(value) > MAX_RECORD_CHARS, F.lit(TOO_LONG)).when(
-                ~value.rlike(RECORD_PATTERN), F.lit(UNCLOSED_QUOTE)
-            ),
+            F.when(~value.rlike(RECORD_PATTERN), F.lit(UNCLOSED_QUOTE)),
         )
     )
 
@@ -98,9 +96,14 @@ def judged(lines: DataFrame, header_lines: int = 1) -> DataFrame:
 def parse(records: DataFrame, entity: Entity, keep_tokens: bool = False) -> DataFrame:
     """First columns by position as text: short records are padded with NULL, long ones cut.
 
-    ``keep_tokens`` leaves the NULL tokens as they are written.
+    ``keep_tokens`` leaves the NULL tokens as they are written.  A record with more fields
+    is cut before it is parsed, so no number of surplus fields is too many for the parser.
     """
-    fields = F.from_csv(F.col("value"), entity.landing_schema.toDDL(), CSV_OPTIONS)
+    value, wanted = F.col("value"), len(entity.landing)
+    first = F.regexp_extract(value, rf"^{_FIELD}(?:,{_FIELD}){{{wanted - 1}}}", 0)
+    commas = F.length(value) - F.length(F.replace(value, F.lit(","), F.lit("")))
+    kept = F.when((commas >= wanted) & (first != ""), first).otherwise(value)
+    fields = F.from_csv(kept, entity.landing_schema.toDDL(), CSV_OPTIONS)
     parsed = records.withColumn("__fields", fields)
 
     def cell(name: str) -> F.Column:
@@ -123,12 +126,15 @@ def landed(records: DataFrame, entity: Entity, loaded_at) -> DataFrame:
 
 
 def rejects(records: DataFrame, entity: Entity, recorded_at) -> DataFrame:
+    """Rejected records; ``character_pos`` is where the first unsound field begins, from 1."""
     return records.filter(F.col("error").isNotNull()).select(
         F.lit(entity.name).alias("target_table"),
         F.col("error").alias("error_message"),
         F.col("file_path").alias("file_name"),
         "line_number",
-        F.lit(None).cast("bigint").alias("character_pos"),
+        (F.length(F.regexp_extract("value", SOUND_START, 0)) + 1)
+        .cast("bigint")
+        .alias("character_pos"),
         F.col("value").alias("rejected_record"),
         F.lit(recorded_at).cast("timestamp").alias("recorded_at"),
     )

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapwise.operators.sizing import BROADCAST_ROWS
+from lapwise.sources.entities import ENTITIES
+from lapwise.sources.inventory import staged_files
 
 
 def read_source(spark: SparkSession, path: str) -> DataFrame:
@@ -23,6 +25,49 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
     return text.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in text.columns])
 
 
+class SourceError(ValueError):
+    """A source file is missing or lacks the columns that its season is found by."""
+
+
+def prepare(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    min_season: int | None = None,
+    max_season: int | None = None,
+    null_token: str = "",
+) -> int:
+    """Lay out a folder of seven CSV files as staged files; returns how many were written.
+
+    Facts are split by the season of the race they name, within the inclusive window; the
+    other files are copied whole.  All values stay the text they are written as.
+    """
+    tables = {name: _opened(spark, f"{source}/{name}.csv") for name in ENTITIES}
+    races = _requiring(tables["races"], "races", "raceId", "year")
+    for name, entity in ENTITIES.items():
+        if entity.by_season:
+            facts = _requiring(tables[name], name, "raceId")
+            split = with_season(facts, races, min_season=min_season, max_season=max_season)
+            write_seasons(split.rows, f"{target}/{name}", null_token=null_token)
+        else:
+            write_whole(tables[name], f"{target}/{name}", "gzip", null_token)
+    return staged_files(spark, target, r".*[.]csv([.]gz)?$").count()
+
+
+def _opened(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return read_source(spark, path)
+    except AnalysisException as error:
+        raise SourceError(f"cannot read {path}: {error.getCondition()}") from error
+
+
+def _requiring(df: DataFrame, name: str, *columns: str) -> DataFrame:
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise SourceError(f"{name}.csv lacks {', '.join(missing)}")
+    return df
+
+
 @dataclass(frozen=True)
 class Partitioned:
     rows: DataFrame
@@ -47,8 +92,6 @@ def with_season(
         lookup = races.groupBy(race_key).agg(
             F.min(F.col(season_key).try_cast("int")).alias("season")
         )
-        if races.count() <= BROADCAST_ROWS:
-            lookup = F.broadcast(lookup)
         tagged = facts.join(lookup, race_key, "left").select(*facts.columns, "season")
     season = F.col("season")
     rows = tagged.filter(season.isNotNull())
@@ -87,4 +130,5 @@ def _csv(compression: str, null_token: str) -> dict[str, str]:
     return {
         "header": "true", "quote": '"', "escape": '"', "emptyValue": "",
         "nullValue": null_token, "compression": compression,
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
     }

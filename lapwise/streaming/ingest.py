@@ -47,15 +47,16 @@ def ingest(
 ) -> StreamingQuery:
     """Start the query; by default it takes what is there and stops.
 
-    A micro-batch writes to folders named after its id and overwrites them on a replay,
-    so landing, rejects and audit agree whatever fails between them.  With ``upserting``
+    A micro-batch writes to folders named after the query's id, which belongs to its
+    checkpoint, and its own; it overwrites them on a replay, so landing, rejects and audit agree whatever fails between them.  With ``upserting``
     each batch also goes through the typed table and the star; repeating that is
     harmless, since unchanged hashes write nothing and a refresh follows table versions.
     """
 
     def take(batch: DataFrame, batch_id: int) -> None:
         now = clock()
-        name = f"stream-{batch_id:09d}"
+        query_id = archive.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        name = f"stream-{query_id}-{batch_id:09d}"
         archive.land(entity, batch, name, now)
         if upserting:
             archive.conform(entity, now, batches=[name])

@@ -71,3 +71,13 @@ def test_null_is_the_largest_value(spark):
     frame = spark.createDataFrame([(1,), (None,), (2,)], "v int")
     assert [r["v"] for r in frame.orderBy(fx.ascending("v")).collect()] == [1, 2, None]
     assert [r["v"] for r in frame.orderBy(fx.descending("v")).collect()] == [None, 2, 1]
+
+
+def test_numbers_have_no_suffix_or_hexadecimal_form(spark):
+    texts = ["1.5d", "1.5f", "0x1p3", "NaN", "Infinity", "1e3", " -2.5 ", ".5", "5.", "1e", ""]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r["v"] for r in frame.select("t", fx.try_double("t").alias("v")).collect()}
+    assert got == {"1.5d": None, "1.5f": None, "0x1p3": None, "NaN": None, "Infinity": None,
+                   "1e3": 1000.0, " -2.5 ": -2.5, ".5": 0.5, "5.": 5.0, "1e": None, "": None}
+    late = spark.createDataFrame([("22.879f",), ("1:22.879d",), ("1:22.879",)], "t string")
+    assert [r[0] for r in late.select(fx.duration_to_ms("t")).collect()] == [None, None, 82879]

@@ -1,6 +1,7 @@
 """Reading, numbering and judging text lines."""
 
 import gzip
+import datetime as dt
 import re
 
 import pytest
@@ -60,3 +61,25 @@ def test_file_patterns():
         assert re.search(pattern, path)
     for path in ("s/results/results_2020.txt", "s/results/results_20.csv", "s/results/part-0.csv"):
         assert not re.search(pattern, path)
+
+
+def test_a_very_wide_record_is_cut_to_its_first_fields(spark):
+    entity = ENTITIES["status"]
+    wide = '7,"a, ""b""",' + ",".join(["x"] * 21_000)
+    frame = spark.createDataFrame([(wide,), ("8,plain",), ("9",)], "value string")
+    got = {r["statusId"]: r["status"] for r in lines.parse(frame, entity).collect()}
+    assert got == {"7": 'a, "b"', "8": "plain", "9": None}
+
+
+def test_a_very_long_record_is_no_reject(spark, tmp_path):
+    (tmp_path / "status.csv").write_text("statusId,status\n1," + "x" * 17_000_000 + "\n")
+    judged = lines.judged(lines.read_lines(spark, str(tmp_path)))
+    assert judged.filter("error is null").count() == 1
+
+
+def test_position_of_the_first_unsound_field(spark):
+    records = [('1,"open', 3), ('"', 1), ('a,b,"c"d,e', 5), ('"x, y",2, "z', 10)]
+    frame = spark.createDataFrame(
+        [(v, "f", 1, "bad") for v, _ in records], "value string, file_path string, line_number long, error string")
+    got = lines.rejects(frame, ENTITIES["status"], dt.datetime(2024, 1, 1)).collect()
+    assert {r["rejected_record"]: r["character_pos"] for r in got} == dict(records)

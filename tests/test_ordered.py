@@ -1,4 +1,4 @@
-"""Split and plain plans of the ordered operators against brute force."""
+"""The ordered operators against brute force."""
 
 import datetime as dt
 import random
@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lapwise.functions import ascending, descending
+from lapwise.functions import descending
 from lapwise.operators import ordered
 
 START = dt.datetime(2024, 1, 1)
@@ -40,11 +40,9 @@ def by_key(rows):
     return groups
 
 
-@pytest.mark.parametrize("max_rows", [10_000, 20])
-def test_running_sums(frame, rows, max_rows):
+def test_running_sums(frame, rows):
     got = ordered.running_sums(
-        frame, ["k"], [ascending("ts"), ascending("id")], {"wins": "win", "total": "v"},
-        ordered.hour_slice(F.col("ts")), max_rows=max_rows,
+        frame, ["k"], ["ts", "id"], {"wins": "win", "total": "v"}
     )
     actual = {r["id"]: (r["wins"], r["total"]) for r in got.collect()}
     for group in by_key(rows).values():
@@ -60,12 +58,11 @@ def test_running_sums(frame, rows, max_rows):
     assert len(actual) == len(rows)
 
 
-@pytest.mark.parametrize("max_rows", [10_000, 20])
-def test_sliding_frame(frame, rows, max_rows):
+@pytest.mark.parametrize("chunk_rows", [10_000, 20, 1])
+def test_sliding_frame(frame, rows, chunk_rows):
     got = ordered.sliding(
-        frame, ["k"], [ascending("ts"), ascending("id")], 4,
-        {"form": F.avg("v"), "n": F.count("*")}, ordered.hour_slice(F.col("ts")),
-        max_rows=max_rows,
+        frame, ["k"], ["ts", "id"], 4,
+        {"form": F.avg("v"), "n": F.count("*")}, chunk_rows,
     )
     actual = {r["id"]: (r["form"], r["n"]) for r in got.collect()}
     assert len(actual) == len(rows) == got.count()
@@ -81,9 +78,8 @@ def test_sliding_frame(frame, rows, max_rows):
 
 
 @pytest.mark.parametrize("largest_first", [True, False])
-@pytest.mark.parametrize("max_rows", [10_000, 20])
-def test_rank(frame, rows, max_rows, largest_first):
-    got = ordered.rank_by(frame, ["k"], "v", "place", largest_first, max_rows=max_rows)
+def test_rank(frame, rows, largest_first):
+    got = ordered.rank_by(frame, ["k"], "v", "place", largest_first)
     actual = {r["id"]: r["place"] for r in got.collect()}
     assert len(actual) == len(rows)
     for group in by_key(rows).values():
@@ -93,38 +89,38 @@ def test_rank(frame, rows, max_rows, largest_first):
             assert actual[row[0]] == ahead + 1
 
 
-@pytest.mark.parametrize("max_rows", [10_000, 20])
-def test_tiles_and_global_rank(frame, rows, max_rows):
-    got = ordered.tiles(
-        frame, 4, [ascending("v"), ascending("id")],
-        ordered.leading_digits(F.col("v")), "quartile", max_rows=max_rows,
-    )
+def test_tiles_over_the_whole_frame(frame, rows):
+    got = ordered.tiles(frame, 4, ["v", "id"], "quartile")
     ranked = sorted(rows, key=lambda r: (float("inf") if r[3] is None else r[3], r[0]))
     expected = {r[0]: at * 4 // len(rows) + 1 for at, r in enumerate(ranked)}
     assert {r["id"]: r["quartile"] for r in got.collect()} == expected
-    few = frame.filter("id < 3")
-    one = ordered.tiles(few, 4, [ascending("id")], ordered.day_slice(F.col("ts")), "q", max_rows=1)
-    plain = ordered.tiles(few, 4, [ascending("id")], ordered.day_slice(F.col("ts")), "q")
-    assert sorted(r["q"] for r in plain.collect()) == [1, 2, 3]
-    assert one.count() == 3
+    few = ordered.tiles(frame.filter("id < 3"), 4, ["id"], "q")
+    assert sorted(r["q"] for r in few.collect()) == [1, 2, 3]
 
 
-@pytest.mark.parametrize("max_rows", [10_000, 20])
-def test_group_value(frame, rows, max_rows):
-    got = ordered.group_value(frame, ["k"], {"top": F.max("v")}, max_rows=max_rows)
+def test_group_value(frame, rows):
+    got = ordered.group_value(frame, ["k"], {"top": F.max("v")})
     best = {k: max(r[3] for r in g if r[3] is not None) for k, g in by_key(rows).items()}
     assert all(r["top"] == best[r["k"]] for r in got.collect())
+    assert {r["n"] for r in ordered.group_value(frame, [], {"n": F.count("*")}).collect()} == {600}
+
+
+def test_types_are_those_of_the_plain_window_and_any_number_ranks(spark):
+    frame = spark.createDataFrame(
+        [("a", 1, 1e36), ("a", 2, -1e36), ("a", 3, 0.5), ("a", 4, None)], "k string, i int, v double"
+    ).selectExpr("k", "i", "v", "cast(i as decimal(18,2)) as d")
+    plain = dict(frame.selectExpr("sum(d) over (order by i) as t", "sum(i) over (order by i) as n").dtypes)
+    got = dict(ordered.running_sums(frame, ["k"], ["i"], {"t": "d", "n": "i"}).dtypes)
+    assert got["t"] == plain["t"] and got["n"] == plain["n"]
+    ranked = ordered.rank_by(frame, ["k"], "v", "place").collect()
+    assert {r["i"]: r["place"] for r in ranked} == {4: 1, 1: 2, 3: 3, 2: 4}
 
 
-def test_leading_digits_is_monotone(spark):
-    values = [None, -1000.0, -12.5, -0.01, 0.0, 0.004, 0.01, 0.99, 1.0, 9.99, 10.0, 123.45,
-              999.99, 1000.0, 1234.56, 10000.0, 1e9]
-    frame = spark.createDataFrame([(v,) for v in values], "v double")
-    slices = {r["v"]: r["s"] for r in
-              frame.select("v", ordered.leading_digits(F.col("v")).alias("s")).collect()}
-    numbers = [slices[v] for v in values[1:]]
-    assert numbers == sorted(numbers)
-    assert slices[None] > max(numbers)
+def test_composing_starts_no_job(spark, frame):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    ordered.sliding(ordered.running_sums(frame, ["k"], ["ts", "id"], {"t": "v"}), ["k"], ["ts", "id"], 4, {"n": F.count("*")})
+    ordered.tiles(ordered.rank_by(frame, ["k"], "v", "place"), 4, ["v", "id"], "q")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
 
 
 def test_newest_is_limited_before_the_shuffle(frame, rows):

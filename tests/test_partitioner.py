@@ -1,6 +1,9 @@
 """Season split of season-less facts."""
 
+import pytest
+
 from lapwise.sources import partitioner
+from lapwise.sources.entities import ENTITIES
 
 FACTS = "resultId,raceId,note\n01,10,\\N\n2,11,\n3,99,lost\n4,20, padded \n5,10,\"a,\"\"b\"\"\"\n"
 RACES = "raceId,year\n10,2019\n11,2020\n20,2021\n"
@@ -52,3 +55,32 @@ def test_files_leave_the_season_out_and_rerun_replaces(spark, tmp_path):
     whole = str(tmp_path / "whole")
     partitioner.write_whole(races, whole)
     assert partitioner.read_source(spark, whole).count() == 3
+
+
+def write_sources(spark, root, drop=None, without=None):
+    for name, entity in ENTITIES.items():
+        if name == drop:
+            continue
+        columns = [c for c in entity.landing if (name, c) != without]
+        cells = {"raceId": "10", "year": "2020", "resultId": "01", "name": " padded ", "position": "\\N"}
+        frame = spark.createDataFrame([tuple(cells.get(c, c) for c in columns)], columns)
+        partitioner.write_whole(frame, f"{root}/{name}.csv")
+
+
+def test_prepare_lays_out_seven_files(spark, tmp_path):
+    write_sources(spark, str(tmp_path / "in"))
+    target = str(tmp_path / "out")
+    assert partitioner.prepare(spark, str(tmp_path / "in"), target, 2020, 2020) == 7
+    result = partitioner.read_source(spark, f"{target}/results").first()
+    assert (result["resultId"], result["position"]) == ("01", "\\N")
+    assert partitioner.read_source(spark, f"{target}/circuits").first()["name"] == " padded "
+    assert partitioner.prepare(spark, str(tmp_path / "in"), str(tmp_path / "none"), 2021) == 4
+
+
+def test_prepare_names_what_is_missing(spark, tmp_path):
+    write_sources(spark, str(tmp_path / "a"), drop="status")
+    with pytest.raises(partitioner.SourceError, match="status.csv"):
+        partitioner.prepare(spark, str(tmp_path / "a"), str(tmp_path / "out"))
+    write_sources(spark, str(tmp_path / "b"), without=("races", "year"))
+    with pytest.raises(partitioner.SourceError, match="races.csv lacks year"):
+        partitioner.prepare(spark, str(tmp_path / "b"), str(tmp_path / "out"))

@@ -1,4 +1,4 @@
-"""Split plans give the plain answers, and physical plans keep their shape."""
+"""Parts agree with the whole, and physical plans keep their shape."""
 
 import os
 import re
@@ -7,8 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lapwise.bindings import sales, star_queries, text_queries
-from lapwise.operators import ordered, sizing
-from lapwise.plans import analysis, views
+from lapwise.plans import analysis, feeds, views
 from lapwise.plans.star import Star
 
 FOLDER = "/root/testdata/sf0.001"
@@ -33,37 +32,6 @@ def progression(star):
     return views.season_progression(star)
 
 
-def test_split_rank_over_the_field(star, progression):
-    assert content(views.season_progression(star, max_rows=0)) == content(progression)
-
-
-def test_split_leader_gap(star, progression):
-    plain = analysis.leader_gap(progression, star.rows("driver"))
-    assert content(analysis.leader_gap(progression, max_rows=0)) == content(plain)
-
-
-def test_split_team_windows(star):
-    pit = views.pit_performance(star, min_stops=5)
-    assert content(views.pit_performance(star, min_stops=5, max_rows=0)) == content(pit)
-    assert content(analysis.pit_spread(pit, max_rows=0)) == content(analysis.pit_spread(pit))
-    teams = views.reliability(star)
-    assert content(analysis.rank_divergence(teams, max_rows=0)) == content(
-        analysis.rank_divergence(teams))
-
-
-@pytest.mark.parametrize("question", [analysis.rolling_form, analysis.droughts])
-def test_split_histories(spark, question):
-    events = sales.event_results(spark, FOLDER)
-    hour = ordered.hour_slice(F.col("race_date"))
-    assert content(question(events, slice_by=hour, max_rows=7)) == content(question(events))
-
-
-def test_split_pairs(spark):
-    shipping = sales.shipping_star(spark, FOLDER)
-    plain = analysis.teammates(shipping, min_races=3)
-    assert content(analysis.teammates(shipping, min_races=3, max_members=2)) == content(plain)
-
-
 def test_one_season_equals_its_part_of_all(star, progression):
     season = 1997
     part = F.col("season_year") == season
@@ -80,12 +48,34 @@ def test_running_total_ends_at_the_plain_sum(star, progression):
     assert last == star.result.agg(F.sum("points")).first()[0]
 
 
-def test_large_dimensions_are_not_hinted(star):
-    few = Star(star.sources, {**star.sizes, "driver": sizing.BROADCAST_ROWS + 1})
-    drivers = star.driver.select("driver_id")
-    hinted = star.lookup("driver", drivers)._jdf.queryExecution().analyzed().toString()
-    plain = few.lookup("driver", drivers)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" in hinted and "ResolvedHint" not in plain
+def test_composing_a_view_starts_no_job(spark, star):
+    def jobs():
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+    # Opening the tables lists files; that is done by the fixture.
+    for table in ("driver", "constructor", "circuit", "race", "status", "result", "pit_stop"):
+        getattr(star, table)
+    before = jobs()
+    progression = views.season_progression(star, 1997)
+    for built in (
+        feeds.title_margin(progression), feeds.top_contenders(progression),
+        feeds.season_headline(progression, 1997), analysis.pit_spread(views.pit_performance(star)),
+        analysis.leader_gap(progression), analysis.rank_divergence(views.reliability(star)),
+    ):
+        assert built.columns
+    assert jobs() == before
+
+
+def test_floor_of_stops_bites(star):
+    every = views.pit_performance(star, min_stops=1)
+    floor = views.pit_performance(star)
+    assert floor.count() == every.filter(F.col("stop_count") >= views.MIN_STOPS).count()
+    assert views.pit_performance(star, min_stops=10**9).count() == 0
+
+
+def test_an_empty_season_has_a_headline(star):
+    row = feeds.season_headline(views.season_progression(star), 1066).collect()
+    assert [tuple(r) for r in row] == [("—", 0.0, 0.0, 0)]
 
 
 def test_plans_stay_in_the_jvm_without_cross_joins(spark):
@@ -105,7 +95,7 @@ def test_scans_read_only_what_is_used(spark, star):
 def test_season_reaches_the_scan(spark, tmp_path, star):
     folder = str(tmp_path / "result")
     star.result.repartitionByRange(8, "race_id").write.parquet(folder)
-    held = Star({**star.sources, "result": lambda: spark.read.parquet(folder)}, dict(star.sizes))
+    held = Star({**star.sources, "result": lambda: spark.read.parquet(folder)})
     text = plan(views.reliability(held, 1997))
     assert re.search(r"PushedFilters: \[[^\]]*race_id", text)
 

@@ -36,12 +36,38 @@ def test_two_arrivals_and_a_replay(spark, tmp_path):
     lines = spark.read.text(late).selectExpr(
         "value", "_metadata.file_path", "_metadata.file_modification_time as file_modified",
         "_metadata.file_block_start as block_start")
-    archive.land(RESULTS, lines, "stream-000000001", clock())
+    second = next(b for b in archive.batches(RESULTS) if b.endswith("-000000001"))
+    archive.land(RESULTS, lines, second, clock())
     assert archive.landing(RESULTS).count() == 10 and archive.rejects().count() == 1
-    assert not archive.conform(RESULTS, clock(), ["stream-000000001"]).changed
+    assert not archive.conform(RESULTS, clock(), [second]).changed
     assert archive.refresh(RESULTS) == ()
 
 
+def test_a_lost_checkpoint_replaces_no_batch(spark, tmp_path):
+    staged, archive = str(tmp_path / "staged"), Archive(spark, str(tmp_path / "archive"))
+    racing_files.write(staged, seasons=(2021,))
+    ingest(archive, RESULTS, staged, clock, upserting=True).awaitTermination()
+    os.rename(f"{archive.root}/checkpoints", f"{archive.root}/old")
+    racing_files.write(staged, seasons=(2020,))
+    ingest(archive, RESULTS, staged, clock, upserting=True).awaitTermination()
+    # The files of the first start land once more, under the new checkpoint's names.
+    assert len(archive.batches(RESULTS)) == 2
+    assert archive.landing(RESULTS).select("resultId").distinct().count() == 10
+    assert archive.typed(RESULTS).count() == 10
+
+
+def test_two_arrivals_under_one_name(spark, tmp_path):
+    staged, archive = str(tmp_path / "staged"), Archive(spark, str(tmp_path / "archive"))
+    racing_files.write(staged, seasons=(2020,))
+    archive.bring_up(staged, "b1", clock())
+    racing_files.write(staged, seasons=(2021,))
+    reports = archive.bring_up(staged, "b1", clock())
+    assert archive.landing(RESULTS).select("resultId").distinct().count() == 10
+    assert archive.typed(RESULTS).count() == 10
+    assert reports["results"].inserted == 2
+    assert archive.batches(RESULTS) == ["b1", "b1+2"]
+
+
 def test_a_missed_refresh_is_caught_up(spark, tmp_path):
     staged, archive = str(tmp_path / "staged"), Archive(spark, str(tmp_path / "archive"))
     racing_files.write(staged, seasons=(2021,))
