@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import io
 import itertools
+import os
+import re
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -23,8 +27,11 @@ SEQUENCE = 2048
 BATCH_SEQUENCES = 64
 FILE_TOKENS = 4_000_000
 
-# Different words whose ids a task remembers.
-REMEMBERED = 500_000
+# Texts encoded at once.
+BATCH_TEXTS = 200
+
+# Different words whose ids a Python worker remembers.
+REMEMBERED = 1_000_000
 
 WRITTEN = "part int, file string, ahead long, n_tokens long"
 READ = "part int, ahead long, doc_id long, first long, n_tokens long, ids_crc32 long, n_sequences long"
@@ -38,6 +45,8 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, end_id: int):
+        # Tasks share the cores already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -51,32 +60,66 @@ class WordEncoder:
         self.starts = np.zeros(1, np.int64)
 
     def learn(self, words: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         self.places.update(zip(words, itertools.count(len(self.places))))
-        flat = np.fromiter(itertools.chain.from_iterable(encoded), self.kind)
-        ends = self.starts[-1] + np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded)))
+        flat = np.fromiter(itertools.chain.from_iterable(lists), self.kind)
+        ends = self.starts[-1] + np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
         self.ids = np.concatenate([self.ids, flat])
         self.starts = np.concatenate([self.starts, ends])
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """Ids of one text with the end id."""
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text with the end id."""
         if len(self.places) > REMEMBERED:
             self.forget()
-        # Separators are ASCII white space; other spaces are left to the tokenizer.
-        words = (text or "").translate(SPACES).split(" ")
-        places = self.places
-        if new := {w for w in words if w not in places}:
+        split = list(map(split_words, texts))
+        new = set(itertools.chain.from_iterable(split)).difference(self.places)
+        if new:
             self.learn(list(new))
-        which = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
+        # All words of all texts, and behind each text a place for the end id.
+        which = np.fromiter(
+            map(self.places.__getitem__, itertools.chain.from_iterable(split)),
+            np.int64, sum(map(len, split)),
+        )
         begin, count = self.starts[which], self.starts[which + 1] - self.starts[which]
-        out = np.empty(int(count.sum()) + 1, self.kind)
-        out[-1] = self.end_id
-        inside = np.arange(len(out) - 1) - np.repeat(np.cumsum(count) - count, count)
-        out[:-1] = self.ids[np.repeat(begin, count) + inside]
-        return out
+        inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        ids = self.ids[np.repeat(begin, count) + inside]
+        ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum(list(map(len, split)))]
+        whole = np.insert(ids, ends, self.end_id)
+        return np.split(whole, (ends + np.arange(1, len(ends) + 1))[:-1])
+
+
+def worker_encoder(path: str, end_id: int) -> WordEncoder:
+    """The encoder of this Python worker, which serves many tasks, with what it has learned."""
+    held = sys.modules.setdefault("lapwise_llm_worker", types.ModuleType("lapwise_llm_worker"))
+    encoders = held.__dict__.setdefault("encoders", {})
+    if (path, end_id) not in encoders:
+        encoders[path, end_id] = WordEncoder(path, end_id)
+    return encoders[path, end_id]
+
 
+# White space to Python but not to the tokenizer.
+CONTROL_SEPARATORS = "\x1c\x1d\x1e\x1f"
 
-SPACES = {ord(c): " " for c in "\t\n\x0b\x0c\r"}
+# A mark that ends a word, behind a letter or digit, is a token of its own.
+CLOSING_MARK = re.compile(r"[.,;:!?](?<=[^\W_].)(?=\s|$)")
+
+
+def split_words(text: str) -> list[str]:
+    """Strings whose ids together are those of the text, few of them different.
+
+    In Latin-1 the tokenizer's change of case is Python's; its special tokens, which it
+    looks for before, are kept as they are.
+    """
+    if any(c in text for c in CONTROL_SEPARATORS):
+        return re.split("[ \t\n\x0b\x0c\r]+", text)
+    if "<|" not in text:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            pass
+        else:
+            text = text.lower()
+    return CLOSING_MARK.sub(r" \g<0>", text).split()
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -165,7 +208,7 @@ def writer(folder: str, path: str, end_id: int, length: int):
     """For `mapInArrow`: writes the files of one partition and names them."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encoder = TaskContext.get().partitionId(), WordEncoder(path, end_id)
+        part, encoder = TaskContext.get().partitionId(), worker_encoder(path, end_id)
         fs, root = filesystem(folder)
         fs.create_dir(root, recursive=True)
         written, ahead, pending, waiting = 0, 0, [], 0
@@ -186,12 +229,14 @@ def writer(folder: str, path: str, end_id: int, length: int):
             return row
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                ids = encoder.encode(text.as_py())
-                pending.append((doc_id.as_py(), ids))
-                waiting += len(ids)
-                if waiting >= FILE_TOKENS:
-                    yield close()
+            for at in range(0, batch.num_rows, BATCH_TEXTS):
+                some = batch.slice(at, BATCH_TEXTS)
+                texts = [t or "" for t in some.column(1).to_pylist()]
+                for doc_id, ids in zip(some.column(0).to_pylist(), encoder.encode(texts)):
+                    pending.append((doc_id, ids))
+                    waiting += len(ids)
+                    if waiting >= FILE_TOKENS:
+                        yield close()
         if pending:
             yield close()
 

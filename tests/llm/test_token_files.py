@@ -41,9 +41,14 @@ def test_repeated_and_null_ids_keep_every_row(spark):
 def test_words_encode_like_whole_texts():
     encoder = token_files.WordEncoder(PATH, 2)
     tokenizer = Tokenizer.from_file(PATH)
-    for text in ["", " ", "ÀÉ é́ ́x Σας\tΣ\n", "it's 'TIS a1b2  x", "<|endoftext|> a<|endoftext|>", "é" * 5000]:
-        ids = tokenizer.encode(text, add_special_tokens=False).ids
-        assert encoder.encode(text).tolist() == ids + [2]
+    texts = [
+        "", " ", "ÀÉ é́ ́x Σας\tΣ\n", "it's 'TIS a1b2  x", "<|endoftext|> a<|endoftext|>", "é" * 5000,
+        "a\x1cb c\x1f.\x85d\xa0e\u2003f\u2028g\u3000h\u200bi\ufeff", "<|ENDOFTEXT|>, <|endoftext|>.",
+        "The, THE. the!? İx, ẞ. ÀÉÎ×ß.", "'s, don't. x's. 12, 1.5, a..., .b ,c a.b", "\x1c \x1d\n\n",
+        "K Å ﬁ, ½. ²! x². _. a_, é́. ª.", "A\xa0B.\x85C", "word.\nNext,\tline;",
+    ]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [2], repr(text)
 
 
 def test_file_layout():
