@@ -19,7 +19,7 @@ from lapwise.bindings import sales
 from lapwise.bindings.sales import month_id, table
 from lapwise.functions import exact_hash, to_serving
 from lapwise.operators import quality
-from lapwise.operators.snapshots import BUCKET, SnapshotTable
+from lapwise.operators.tables import BUCKET, BucketTable
 from lapwise.operators.upsert import UpsertReport, upsert
 from lapwise.plans import analysis, verification, views
 from lapwise.plans.pipeline import Archive
@@ -81,8 +81,8 @@ def _account_batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataF
     return _accounts(first, "first.csv"), _accounts(second, "second.csv")
 
 
-def _run_upserts(spark: SparkSession, folder: str) -> tuple[SnapshotTable, list[UpsertReport]]:
-    accounts = SnapshotTable(spark, scratch_path(spark, "accounts"), ACCOUNT)
+def _run_upserts(spark: SparkSession, folder: str) -> tuple[BucketTable, list[UpsertReport]]:
+    accounts = BucketTable(spark, scratch_path(spark, "accounts"), ACCOUNT)
     first, second = _account_batches(spark, folder)
     runs = ((first, T0), (second, T1), (second, T1 + dt.timedelta(days=1)))
     reports = [

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapwise.operators.snapshots import BUCKET, SnapshotTable
-from lapwise.session import scratch_path
+from lapwise.operators.tables import BUCKET, BucketTable
+from lapwise.session import stored
 
 INSERT, UPDATE, SAME = "insert", "update", "same"
 
@@ -19,7 +19,6 @@ class UpsertReport:
     inserted: int
     updated: int
     unchanged: int
-    touched: tuple[int, ...] = ()
 
     @property
     def changed(self) -> bool:
@@ -70,26 +69,39 @@ def merged(
     )
 
 
-def upsert(table: SnapshotTable, source: DataFrame, key: str, now: Column) -> UpsertReport:
+def upsert(
+    table: BucketTable,
+    source: DataFrame,
+    key: str,
+    now: Column,
+    announce: Callable[[DataFrame], None] | None = None,
+) -> UpsertReport:
     """Apply ``source`` (unique keys, with ``bucket`` and ``row_hash``) to a stored table.
 
     The source is written once to the shared folder and read back from there.  Only
     buckets holding an insert or update are rewritten; a batch without changes writes
-    nothing.
+    nothing.  ``announce`` is given those buckets before the table changes.  A run that
+    dies is completed by repeating it.
     """
-    spark = table.spark
-    staged_at = scratch_path(spark, "upsert")
-    source.write.parquet(staged_at)
-    staged = spark.read.parquet(staged_at)
-    reached = [r[BUCKET] for r in staged.select(BUCKET).distinct().collect()]
-    changes = classify(table.read(reached), staged.select(key, BUCKET, "row_hash"), key)
-    counts = changes.groupBy(BUCKET, "change").agg(F.count("*").alias("n")).collect()
+    staged = stored(source, "upsert")
+    current = table.read()
+    reached = current.join(staged.select(BUCKET).distinct(), BUCKET, "left_semi")
+    changes = classify(reached, staged.select(key, BUCKET, "row_hash"), key)
+    counts = stored(
+        changes.groupBy(BUCKET, "change").agg(F.count("*").alias("n")), "upsert-counts"
+    )
     totals = {INSERT: 0, UPDATE: 0, SAME: 0}
-    for row in counts:
-        totals[row["change"]] += row["n"]
-    touched = tuple(sorted({r[BUCKET] for r in counts if r["change"] != SAME}))
-    if touched:
-        wanted = spark.createDataFrame([(b,) for b in touched], f"{BUCKET} bigint")
-        taken = staged.join(F.broadcast(wanted), BUCKET, "left_semi")
-        table.replace(merged(table.read(touched), taken, key, now), touched)
-    return UpsertReport(totals[INSERT], totals[UPDATE], totals[SAME], touched)
+    # One row for each of the three kinds.
+    totals |= {r["change"]: r["n"] for r in counts.groupBy("change").agg(F.sum("n").alias("n")).collect()}
+    report = UpsertReport(totals[INSERT], totals[UPDATE], totals[SAME])
+    if report.changed:
+        touched = counts.filter(F.col("change") != SAME).select(BUCKET).distinct()
+        if announce is not None:
+            announce(touched)
+        rows = merged(
+            current.join(touched, BUCKET, "left_semi"),
+            staged.join(touched, BUCKET, "left_semi"),
+            key, now,
+        )
+        table.replace(rows, touched)
+    return report

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from lapwise.functions import change_hash, descending, exact_hash
 from lapwise.operators.ordered import newest
-from lapwise.operators.snapshots import BUCKET
+from lapwise.operators.tables import BUCKET
 from lapwise.sources.entities import Entity
 
 

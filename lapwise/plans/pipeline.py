@@ -15,10 +15,11 @@ from pyspark.sql import types as T
 
 from lapwise.operators import quality
 from lapwise.operators.incremental import require_row_local
-from lapwise.operators.snapshots import BUCKET, SnapshotTable
+from lapwise.operators.tables import BUCKET, BucketTable, read_if_written
 from lapwise.operators.upsert import UpsertReport, upsert
 from lapwise.plans import conform
 from lapwise.plans.star import PROJECTIONS, Star
+from lapwise.session import stored
 from lapwise.sources import audit as audit_rows
 from lapwise.sources import lines as line_source
 from lapwise.sources.entities import ENTITIES, LINEAGE, Entity
@@ -112,15 +113,11 @@ class Archive:
     def audit(self) -> DataFrame:
         """Rows written with each load and those added by `record_history`."""
         rows = self._log("audit", AUDIT, ENTITIES.values())
-        if not self._files("recorded/_SUCCESS"):
-            return rows
-        return rows.unionByName(self.spark.read.schema(AUDIT).parquet(f"{self.root}/recorded"))
+        return rows.unionByName(read_if_written(self.spark, f"{self.root}/recorded", AUDIT))
 
     def metrics(self) -> DataFrame:
         """Every stored measurement."""
-        if not self._files("metrics/_SUCCESS"):
-            return self.spark.createDataFrame([], quality.RESULT)
-        return self.spark.read.schema(quality.RESULT).parquet(f"{self.root}/metrics")
+        return read_if_written(self.spark, f"{self.root}/metrics", quality.RESULT)
 
     def store_metrics(self, measured: DataFrame) -> None:
         """Add measurements to the history."""
@@ -141,21 +138,21 @@ class Archive:
     def ledger(self, entity: Entity) -> DataFrame:
         return self._log("ledger", LEDGER, [entity])
 
-    def typed_table(self, entity: Entity) -> SnapshotTable:
+    def typed_table(self, entity: Entity) -> BucketTable:
         if entity.name not in self._schemas:
             empty = self.spark.createDataFrame([], landing_schema(entity))
             self._schemas[entity.name] = conform.table_schema(empty, entity)
         path = f"{self.root}/typed/{entity.name}"
-        return SnapshotTable(self.spark, path, self._schemas[entity.name])
+        return BucketTable(self.spark, path, self._schemas[entity.name])
 
-    def star_table(self, entity: Entity) -> SnapshotTable:
+    def star_table(self, entity: Entity) -> BucketTable:
         table, project = PROJECTIONS[entity.name]
         key = f"star/{table}"
         if key not in self._schemas:
             empty = self.spark.createDataFrame([], self.typed_table(entity).schema)
             fields = [T.StructField(f.name, f.dataType) for f in project(empty).schema]
             self._schemas[key] = T.StructType(fields)
-        return SnapshotTable(self.spark, f"{self.root}/star/{table}", self._schemas[key])
+        return BucketTable(self.spark, f"{self.root}/star/{table}", self._schemas[key])
 
     def typed(self, entity: Entity) -> DataFrame:
         return self.typed_table(entity).read().drop(BUCKET)
@@ -279,28 +276,33 @@ class Archive:
         taken = self.batches(entity) if batches is None else batches
         source = conform.source_rows(self.landing(entity, taken), entity, width, narrow)
         report = upsert(
-            self.typed_table(entity), source, entity.key, F.lit(now).cast("timestamp")
+            self.typed_table(entity), source, entity.key, F.lit(now).cast("timestamp"),
+            announce=lambda buckets: buckets.write.mode("append").parquet(self._stale_path(entity)),
         )
         for batch in taken:
             self._mark("conformed", entity, batch)
         return report
 
-    def refresh(self, entity: Entity) -> tuple[int, ...]:
-        """Bring the star table up to the typed table; returns the buckets projected.
+    def _stale_path(self, entity: Entity) -> str:
+        return f"{self.root}/stale/{entity.name}"
 
-        A star version carries the number of the typed version it reflects, so the buckets
-        to project are those written since, all of them the first time, and a refresh that
-        failed is caught up by the next one.  The projection is row-local (checked), so a
-        bucket of the star depends on the same bucket of the typed table and nothing else.
+    def refresh(self, entity: Entity) -> int:
+        """Bring the star table up to the typed table; returns how many buckets it projected.
+
+        An upsert lists the buckets it is about to rewrite, and the list is emptied here
+        when they are projected, so a refresh that failed is caught up by the next one.
+        The projection is row-local (checked), so a bucket of the star depends on the same
+        bucket of the typed table and nothing else.
         """
-        source, target = self.typed_table(entity), self.star_table(entity)
-        reflected, current = target.version(), source.version()
-        changed = tuple(b for b, (v, _) in source.buckets().items() if v > reflected)
-        if changed:
+        path, schema = self._stale_path(entity), f"{BUCKET} bigint"
+        buckets = stored(read_if_written(self.spark, path, schema).distinct(), "stale")
+        count = buckets.count()
+        if count:
             _, project = PROJECTIONS[entity.name]
-            rows = require_row_local(project(source.read(changed), BUCKET))
-            target.replace(rows, changed, version=current)
-        return changed
+            rows = require_row_local(project(self.typed_table(entity).read(), BUCKET))
+            self.star_table(entity).replace(rows.join(buckets, BUCKET, "left_semi"), buckets)
+            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+        return count
 
 
 def landing_schema(entity: Entity) -> T.StructType:

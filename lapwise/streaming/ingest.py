@@ -50,7 +50,7 @@ def ingest(
     A micro-batch writes to folders named after the query's id, which belongs to its
     checkpoint, and its own; it overwrites them on a replay, so landing, rejects and audit agree whatever fails between them.  With ``upserting``
     each batch also goes through the typed table and the star; repeating that is
-    harmless, since unchanged hashes write nothing and a refresh follows table versions.
+    harmless, since unchanged hashes write nothing and a refresh takes only listed buckets.
     """
 
     def take(batch: DataFrame, batch_id: int) -> None:

@@ -40,7 +40,7 @@ def test_two_arrivals_and_a_replay(spark, tmp_path):
     archive.land(RESULTS, lines, second, clock())
     assert archive.landing(RESULTS).count() == 10 and archive.rejects().count() == 1
     assert not archive.conform(RESULTS, clock(), [second]).changed
-    assert archive.refresh(RESULTS) == ()
+    assert archive.refresh(RESULTS) == 0
 
 
 def test_a_lost_checkpoint_replaces_no_batch(spark, tmp_path):
@@ -79,7 +79,7 @@ def test_a_missed_refresh_is_caught_up(spark, tmp_path):
     archive.conform(RESULTS, clock(), ["b"])
     # The driver died here; the next run finds nothing new to load but refreshes.
     assert archive.load(RESULTS, staged, "c", clock()) == 0
-    assert archive.refresh(RESULTS) == (0,)
+    assert archive.refresh(RESULTS) == 1
     assert archive.star_table(RESULTS).read().count() == 10
 
 

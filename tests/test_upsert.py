@@ -1,4 +1,4 @@
-"""Upsert and snapshots: idempotent, order-insensitive, untouched buckets stay."""
+"""Upserts: idempotent, order-insensitive, untouched buckets stay."""
 
 import datetime as dt
 import os
@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lapwise.functions import exact_hash
 from lapwise.operators.incremental import NotIncremental, require_row_local
-from lapwise.operators.snapshots import BUCKET, SnapshotTable
+from lapwise.operators.tables import BUCKET, BucketTable
 from lapwise.operators.upsert import upsert
 from lapwise.plans import conform
 from lapwise.sources.entities import ENTITIES
@@ -37,39 +37,52 @@ def state(table):
             for r in table.read().collect()}
 
 
+def files(table):
+    return {b: sorted(os.listdir(f"{table.path}/{b}")) for b in sorted(os.listdir(table.path)) if "=" in b}
+
+
 @pytest.fixture
 def table(spark):
-    return SnapshotTable(spark, scratch_path(spark, "table"), SCHEMA)
+    return BucketTable(spark, scratch_path(spark, "table"), SCHEMA)
 
 
 def test_insert_update_keep(spark, table):
     assert upsert(table, batch(spark, [(1, "a"), (2, None), (11, "c"), (25, "d")]), "k", at(1)) \
         .inserted == 4
+    before = files(table)
     report = upsert(table, batch(spark, [(1, "A"), (2, None), (12, "n")]), "k", at(2))
     assert (report.inserted, report.updated, report.unchanged) == (1, 1, 1)
-    assert report.touched == (0, 1)
     assert state(table) == {1: ("A", 1, 2), 2: (None, 1, 1), 11: ("c", 1, 1),
                             12: ("n", 2, 2), 25: ("d", 1, 1)}
-    # Bucket 2 was not rewritten.
-    assert {b: v for b, (v, _) in table.buckets().items()} == {0: 2, 1: 2, 2: 1}
+    # Bucket 2 was not rewritten, and a batch without changes writes nothing.
+    after = files(table)
+    assert [b for b in after if after[b] == before[b]] == [f"{BUCKET}=2"]
     again = upsert(table, batch(spark, [(1, "A"), (2, None), (12, "n")]), "k", at(3))
-    assert not again.changed and table.version() == 2
+    assert not again.changed and files(table) == after
+
+
+def test_a_failed_write_leaves_the_table(spark, table):
+    upsert(table, batch(spark, [(1, "a"), (11, "b")]), "k", at(1))
+    broken = table.read().withColumn(
+        "v", F.when(F.col("k") == 11, F.raise_error(F.lit("stop"))).otherwise(F.lit("half")))
+    with pytest.raises(Exception, match="stop"):
+        table.replace(broken, table.read().select(BUCKET).distinct())
+    assert state(table) == {1: ("a", 1, 1), 11: ("b", 1, 1)}
 
 
-def test_an_interrupted_write_is_invisible(spark, table):
-    upsert(table, batch(spark, [(1, "a")]), "k", at(1))
-    debris = table.read().withColumn("v", F.lit("half"))
-    debris.write.partitionBy(BUCKET).parquet(f"{table.path}/data/v=2")
-    debris.limit(0).select("k").write.parquet(f"{table.path}/manifest/v=2")
-    os.remove(f"{table.path}/manifest/v=2/_SUCCESS")
-    assert state(table) == {1: ("a", 1, 1)}
-    upsert(table, batch(spark, [(1, "b")]), "k", at(2))
-    assert state(table) == {1: ("b", 1, 2)} and table.version() == 2
+def test_buckets_are_announced_before_the_table_changes(spark, table):
+    upsert(table, batch(spark, [(1, "a"), (11, "b")]), "k", at(1))
+    seen = []
+    upsert(
+        table, batch(spark, [(1, "a"), (12, "n")]), "k", at(2),
+        lambda buckets: seen.append((sorted(r[0] for r in buckets.collect()), set(state(table)))),
+    )
+    assert seen == [([1], {1, 11})]
 
 
 def test_emptied_bucket(spark, table):
     upsert(table, batch(spark, [(1, "a"), (11, "b")]), "k", at(1))
-    table.replace(table.read([0]).limit(0), [0])
+    table.replace(table.read().limit(0), spark.createDataFrame([(0,)], f"{BUCKET} bigint"))
     assert set(state(table)) == {11}
 
 
