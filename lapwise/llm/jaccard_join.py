@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwise.llm.common import SEPARATORS, pick, rows_of, with_row
+from lapwise.llm.common import SEPARATORS, packed_text, pick, rows_of, unpacked, with_row
 from lapwise.llm.graphs import components
 from lapwise.session import stored
 
@@ -30,14 +30,14 @@ SETS = "key long, n long, grams array<long>"
 PRODUCT = "key long, hub long, links long"
 
 
-def shingles(text: str | None) -> np.ndarray:
+def shingles(text: bytes) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct word 5-grams; a shorter text is one n-gram.
 
     ASCII letters are lower-cased; ASCII white space separates words.
     """
     from xxhash import xxh3_64_intdigest
 
-    words = (text or "").encode().lower().split()
+    words = text.lower().split()
     grams = {
         xxh3_64_intdigest(b" ".join(words[i : i + WORDS]))
         for i in range(max(1, len(words) - WORDS + 1) if words else 0)
@@ -70,7 +70,7 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
             part = batch.slice(at, 1000)
-            sets = [shingles(t.as_py()) for t in part.column(1)]
+            sets = [shingles((t.as_py() or "").encode()) for t in part.column(1)]
             cut = [s[: len(s) - least_overlap(len(s)) + max(1, len(s) // 20)] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -85,11 +85,20 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For `mapInArrow` over ``doc_id, text``: the texts compressed, to travel."""
+    for batch in batches:
+        texts = [packed_text(t.as_py()) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).cast(pa.int64()), pa.array(texts, pa.binary())], names=["doc_id", "packed"]
+        )
+
+
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For `mapInArrow`: key, size and all grams of each document."""
+    """For `mapInArrow` over packed texts: key, size and all grams of each document."""
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
-            sets = [shingles(t.as_py()) for t in batch.column(0).slice(at, 1000)]
+            sets = [shingles(unpacked(t.as_py())) for t in batch.column(0).slice(at, 1000)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([set_key(s) for s in sets], pa.int64()),
@@ -166,8 +175,9 @@ def candidate_sets(docs: DataFrame, sketches: DataFrame) -> DataFrame:
         .select("owner").distinct()
     )
     sets = stored(
-        docs.join(owners, F.col("doc_id").eqNullSafe(F.col("owner")), "left_semi")
-        .select("text").mapInArrow(full_sets, SETS).where("n > 0").dropDuplicates(["key"])
+        docs.select("doc_id", "text").mapInArrow(pack, "doc_id long, packed binary")
+        .join(owners, F.col("doc_id").eqNullSafe(F.col("owner")), "left_semi")
+        .select("packed").mapInArrow(full_sets, SETS).where("n > 0").dropDuplicates(["key"])
         .withColumn("rid", F.monotonically_increasing_id()),
         "gram-sets",
     )

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapwise.llm.common import pick, rows_of, with_row
+from lapwise.llm.common import packed_text, pick, rows_of, unpacked, with_row
 from lapwise.session import stored
 
 LENGTH = 100
@@ -202,19 +202,6 @@ def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def packed_text(text: str | None) -> bytes | None:
-    """The size of the UTF-8 text and its compressed bytes."""
-    if text is None:
-        return None
-    data = text.encode()
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True) if data else bytes(8)
-
-
-def unpacked(packed: bytes | None) -> bytes:
-    size = int.from_bytes(packed[:8], "little") if packed else 0
-    return pa.decompress(packed[8:], size, codec="zstd", asbytes=True) if size else b""
-
-
 def cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For `mapInArrow`: the bytes of the listed segments of each document."""
     names = [c.split()[0] for c in PIECES.split(", ")]
