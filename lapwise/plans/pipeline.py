@@ -220,14 +220,21 @@ class Archive:
         )
         taken.write.mode("overwrite").parquet(f"{self.root}/ledger/batch={entity.name}-{batch}")
         lines = line_source.read_lines(self.spark, [f["file_name"] for f in files])
-        self.land(entity, lines, batch, loaded_at)
+        self.land(entity, lines, batch, loaded_at, taken.select("target_table", "file_name"))
         return len(files)
 
     def land(
-        self, entity: Entity, lines: DataFrame, batch: str, loaded_at: dt.datetime
+        self,
+        entity: Entity,
+        lines: DataFrame,
+        batch: str,
+        loaded_at: dt.datetime,
+        files: DataFrame | None = None,
     ) -> None:
         """Write landing, reject and audit rows of one batch.
 
+        Of the listed ``files`` those without any record get an audit row as well.
+
         Each goes to the batch's own folder, overwritten on a replay, and counts only once
         the batch is marked as landed, so a failure in between leaves no half batch and no
         row twice.
@@ -259,6 +266,8 @@ class Archive:
                 "line_number", "error_message",
             ),
         )
+        if files is not None:
+            history = audit_rows.with_empty_files(history, files, F.lit(loaded_at).cast("timestamp"))
         history.withColumn("recorded_at", F.lit(loaded_at).cast("timestamp")).write.mode(
             "overwrite"
         ).parquet(f"{self.root}/audit/batch={entity.name}-{batch}")

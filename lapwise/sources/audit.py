@@ -38,6 +38,24 @@ def load_history(rows: DataFrame, rejected: DataFrame) -> DataFrame:
     )
 
 
+def with_empty_files(history: DataFrame, files: DataFrame, loaded_at: Column) -> DataFrame:
+    """``history`` with a row for each of the ``files`` (target_table, file_name) it lacks."""
+    # One file may be written with one or three slashes behind its scheme.
+    name = F.regexp_replace("file_name", "^([a-z0-9]+):/+", "$1:/")
+    seen = history.select(name.alias("__name")).distinct()
+    empty = files.withColumn("__name", name).join(seen, "__name", "left_anti")
+    return history.unionByName(
+        empty.select(
+            "target_table",
+            "file_name",
+            loaded_at.alias("last_load_time"),
+            *[F.lit(0).cast("bigint").alias(c) for c in ("row_count", "row_parsed", "error_count")],
+            F.lit(None).cast("string").alias("first_error_message"),
+            F.lit("LOADED").alias("load_status"),
+        )
+    )
+
+
 def unrecorded(
     history: DataFrame, audit: DataFrame, now: Column, lookback_hours: int | None = None
 ) -> DataFrame:

@@ -211,6 +211,18 @@ def test_second_run_changes_nothing(archive, staged):
         assert before == {b: os.listdir(f"{path}/{b}") for b in os.listdir(path) if "=" in b}
 
 
+def test_a_file_without_records_has_an_audit_row(spark, tmp_path):
+    folder = tmp_path / "staged" / "status"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("statusId,status\n")
+    (folder / "b.csv").write_text("statusId,status\n1,Finished\n")
+    archive = Archive(spark, str(tmp_path / "a"))
+    assert archive.load(ENTITIES["status"], str(tmp_path / "staged"), "b1", T0) == 2
+    got = {os.path.basename(r["file_name"]): (r["row_count"], r["load_status"])
+           for r in archive.audit().collect()}
+    assert got == {"a.csv": (0, "LOADED"), "b.csv": (1, "LOADED")}
+
+
 def test_a_wrong_prefix_is_not_a_successful_empty_load(spark, staged, tmp_path):
     empty = tmp_path / "staged" / "races"
     empty.mkdir(parents=True)
