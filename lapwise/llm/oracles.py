@@ -32,3 +32,58 @@ SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law,
   CAST(NULL AS INTEGER) AS grown_shard
 FROM cut JOIN texts USING (text)
 """
+
+# Links are found by joining all shingles and followed until nothing new is reached.
+JACCARD_LINKS = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'),
+    lambda x: x <> '') AS ws
+  FROM documents),
+grams AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) = 0 THEN []
+      WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END)) AS g
+  FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+reach AS (
+  SELECT doc_id AS d, doc_id AS r FROM documents
+  UNION SELECT d, y FROM reach JOIN links ON x = r),
+smallest AS (SELECT d, min(r) AS r FROM reach GROUP BY d),
+degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT doc_id, coalesce(s.n, 0) AS n_shingles, m.r AS component_id, coalesce(g.n, 0) AS n_links
+FROM documents JOIN smallest m ON d = doc_id LEFT JOIN sizes s USING (doc_id)
+LEFT JOIN degree g ON g.x = doc_id
+"""
+
+# Every window of 100 bytes but the first of its kind marks the bytes it covers.
+REPEATED_BYTES = """
+WITH data AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+windows AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY md5(b[i:i + 99]) ORDER BY doc_id, i) AS nth
+  FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 98)) AS i FROM data)),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i - lag(i) OVER o <= 100 THEN 0 ELSE 1 END AS fresh
+  FROM windows WHERE nth > 1 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+runs AS (
+  SELECT doc_id, min(i) AS first, max(i) + 100 AS after
+  FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked)
+  GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, first, after, lag(after, 1, 1) OVER (PARTITION BY doc_id ORDER BY first) AS begin
+  FROM runs),
+cut AS (
+  SELECT doc_id, CAST(sum(after - first) AS BIGINT) AS n_removed, count(*) AS n_spans,
+    max(after) AS tail, string_agg(hex(b[begin:first - 1]), '' ORDER BY first) AS head
+  FROM gaps JOIN data USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans,
+  sha256(CASE WHEN n_spans IS NULL THEN b
+    ELSE unhex(head || hex(b[tail:octet_length(b)])) END) AS kept_sha256
+FROM data LEFT JOIN cut USING (doc_id)
+"""

@@ -74,5 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_license_scans": licenses.reference_sql(),
+    "op7_ngram_jaccard_join": oracles.JACCARD_LINKS,
+    "op8_suffix_array_dedup": oracles.REPEATED_BYTES,
     "op9_sharding": oracles.SHARDS,
 }

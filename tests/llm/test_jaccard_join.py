@@ -1,10 +1,13 @@
+import os
 import random
 from itertools import combinations
 
 import numpy as np
+import oracle
+import pytest
 from cases import edge_docs, edge_rows, prose
 
-from lapwise.llm import jaccard_join
+from lapwise.llm import jaccard_join, oracles
 
 
 def gram_set(text):
@@ -93,3 +96,10 @@ def test_empty(spark):
     docs = edge_docs(spark).limit(0)
     assert jaccard_join.join(docs).count() == 0
     assert jaccard_join.keep_one(docs).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_reference_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert oracle.differences(jaccard_join.join(docs), oracle.connect(folder), oracles.JACCARD_LINKS) == []

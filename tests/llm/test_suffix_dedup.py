@@ -1,12 +1,14 @@
 import hashlib
+import os
 import random
 
 import numpy as np
+import oracle
 import pytest
 from cases import edge_docs, edge_rows, order_key, prose
 from pyspark.sql import functions as F
 
-from lapwise.llm import suffix_dedup
+from lapwise.llm import oracles, suffix_dedup
 
 
 def by_hand(ordered):
@@ -103,3 +105,10 @@ def test_empty(spark):
     docs = edge_docs(spark).limit(0)
     assert suffix_dedup.dedup(docs).count() == 0
     assert suffix_dedup.dedup_rows(docs).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_reference_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert oracle.differences(suffix_dedup.dedup(docs), oracle.connect(folder), oracles.REPEATED_BYTES) == []
