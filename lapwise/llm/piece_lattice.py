@@ -16,6 +16,7 @@ import itertools
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from lapwise.session import scratch_path
 MARK = "▁"
 
 # Bytes of text that are numbered, and later put together, by one task.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 24 << 20
 
 # Longest atom; only unbroken runs of like characters come near it.
 ATOM_CHARS = 1000
@@ -40,12 +41,16 @@ ATOM_CHARS = 1000
 # What a character that is no piece costs beyond the worst piece.
 FALLBACK_COST = 10.0
 
-ASKED = "chunk string, code int, atom string"
+ASKED = "chunk long, code int, atom string"
 RESULT = "doc_id long, n_pieces long, ids_crc32 long, decoded_crc32 long, restored boolean"
 
 # A literal mark is kept apart from a space as an atom no text is cut into.
 LITERAL_MARK = "?" + MARK
 
+# Stands between the strings of a path.  No piece holds it, so as a character of a text it
+# is an atom of its own.
+CUT = "\x01"
+
 
 class Pieces:
     """The piece table of a model file."""
@@ -92,19 +97,37 @@ def atoms_of(word: str, pairs: frozenset[str]) -> list[str]:
 
 def marked_words(text: str) -> list[str]:
     """The text's words with the spaces in front of each as marks, one added in front."""
-    if MARK in text:
-        first, *rest = text.split(MARK)
-        out = WORDS.findall(MARK + first.replace(" ", MARK))
-        for part in rest:
-            out.append(LITERAL_MARK)
-            out += WORDS.findall(part.replace(" ", MARK))
-        return out
-    return WORDS.findall(MARK + text.replace(" ", MARK)) if text else []
+    return list(map(marked, split_words(text)))
+
+
+def split_words(text: str) -> list[str]:
+    """The text's words as keys of which `marked` makes the words.
+
+    In the usual text, without a mark or spaces that follow one another, the word itself.
+    """
+    if MARK not in text and "  " not in text and text and text[0] != " " and text[-1] != " ":
+        return text.split(" ")
+    first, *rest = text.split(MARK)
+    out = WORDS.findall(MARK + first.replace(" ", MARK)) if text else []
+    for part in rest:
+        out.append(LITERAL_MARK)
+        # Without a space in front, a word's key starts with the cut.
+        out += [w if w[0] == MARK else CUT + w for w in WORDS.findall(part.replace(" ", MARK))]
+    return out
+
+
+def marked(key: str) -> str:
+    if key[0] == MARK or key == LITERAL_MARK:
+        return key
+    return key[1:] if key[0] == CUT and len(key) > 1 else MARK + key
 
 
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
+LITERAL_PATH = CUT.join(LITERAL_MARK)
+
+
 def gathered(flat: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Runs of ``flat`` of the given begins and lengths, one after the other."""
     inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -118,15 +141,17 @@ class Chunk:
         self.pairs = pairs
         self.words: dict[str, int] = {}
         self.atoms: dict[str, int] = {}
-        self.cut: list[list[int]] = []
+        self.cut, self.counts = array("i"), array("i")
         self.documents: list[tuple[int | None, int, np.ndarray]] = []
         self.size = 0
 
     def add(self, doc_id: int | None, text: str) -> None:
-        listed, known, atoms = marked_words(text), self.words, self.atoms
+        listed, known, atoms = split_words(text), self.words, self.atoms
         for w in set(listed).difference(known):
             known[w] = len(known)
-            self.cut.append([atoms.setdefault(a, len(atoms)) for a in atoms_of(w, self.pairs)])
+            cut = atoms_of(marked(w), self.pairs)
+            self.cut.extend([atoms.setdefault(a, len(atoms)) for a in cut])
+            self.counts.append(len(cut))
         codes = np.fromiter(map(known.__getitem__, listed), np.int32, len(listed))
         data = text.encode()
         self.size += len(data)
@@ -134,14 +159,15 @@ class Chunk:
 
     def finished(self) -> tuple[bytes, list[str]]:
         """The chunk's file, and its atoms in the order of their numbers there."""
-        counts = np.fromiter(map(len, self.cut), np.int64, len(self.cut))
-        flat = np.fromiter(itertools.chain.from_iterable(self.cut), np.int64, counts.sum())
-        words = np.concatenate([np.empty(0, np.int32), *(c for _, _, c in self.documents)])
-        numbers = gathered(flat, (np.cumsum(counts) - counts)[words], counts[words])
-        lengths = [int(counts[c].sum()) for _, _, c in self.documents]
+        counts, flat = np.asarray(self.counts, np.int32), np.asarray(self.cut, np.int32)
+        begin = np.cumsum(counts, dtype=np.int64) - counts
+        parts = [gathered(flat, begin[c], counts[c]) for _, _, c in self.documents]
+        lengths = list(map(len, parts))
+        numbers = np.concatenate([np.empty(0, np.int32), *parts])
+        del parts
         by_use = np.argsort(-np.bincount(numbers, minlength=len(self.atoms)), kind="stable")
-        rank = np.empty(len(by_use), np.int64)
-        rank[by_use] = np.arange(len(by_use))
+        rank = np.empty(len(by_use), np.int32)
+        rank[by_use] = np.arange(len(by_use), dtype=np.int32)
         numbers = rank[numbers]
         table = pa.table({
             "doc_id": pa.array([[d for d, _, _ in self.documents]], pa.list_(pa.int64())),
@@ -169,20 +195,20 @@ def number_atoms(folder: str, pairs: frozenset[str]):
 
         def close(chunk: Chunk) -> Iterator[pa.RecordBatch]:
             nonlocal written
-            name = f"{part:06d}-{written:06d}"
+            name = (part << 24) + written
             written += 1
             data, atoms = chunk.finished()
             # A task that is run again writes the same file; it appears as a whole.
             draft = f"{root}/_{uuid.uuid4().hex}"
             with fs.open_output_stream(draft) as out:
                 out.write(data)
-            fs.move(draft, f"{root}/{name}")
+            fs.move(draft, f"{root}/{name:020d}")
             # A chunk without atoms asks for one all the same, so that it is read.
             atoms = atoms or [MARK]
             for at in range(0, len(atoms), 50_000):
                 listed = atoms[at : at + 50_000]
                 yield pa.RecordBatch.from_pydict({
-                    "chunk": [name] * len(listed),
+                    "chunk": pa.array([name] * len(listed), pa.int64()),
                     "code": pa.array(range(at, at + len(listed)), pa.int32()),
                     "atom": listed,
                 })
@@ -200,69 +226,62 @@ def number_atoms(folder: str, pairs: frozenset[str]):
     return number
 
 
-def encoded_atoms(
-    atoms: DataFrame, pieces: DataFrame, longest: int, fallback: float, bytes_first: int, kind: str
-) -> DataFrame:
-    """``atom, ids`` of distinct ``atom`` rows.
+def encoded_atoms(atoms: DataFrame, pieces: DataFrame, longest: int, fallback: float, kind: str) -> DataFrame:
+    """``atom, path`` of distinct ``atom`` rows: the atom with its cuts marked.
 
-    ``pieces`` is the model's bounded table and broadcast.  A character that is no piece
-    becomes its UTF-8 bytes, in a unigram model at the cost ``fallback``; among equal paths
-    the one whose last piece is longer wins there, place by place.  All rows of an atom
-    stay in the partition that the atom came in.
+    ``pieces`` is the model's bounded table and broadcast.  A string of one character need
+    not be a piece; in a unigram model it then costs ``fallback``, and among equal paths
+    the one whose last piece is longer wins, place by place.  Atoms without an edge are
+    left out: they are cut into characters.  All rows of an atom stay in the partition that
+    the atom came in.
     """
-    substrings = atoms.select(
-        "atom",
-        F.explode(F.expr(
-            "flatten(transform(sequence(0, length(atom) - 1), b -> transform("
-            f"sequence(1, least({longest}, length(atom) - b)),"
-            " n -> named_struct('b', b, 'e', b + n, 'piece', substring(atom, b + 1, n)))))"
-        )).alias("x"),
-    ).select("atom", "x.b", "x.e", "x.piece")
-    in_bytes = (
-        "transform(sequence(1, octet_length(piece)), i -> cast(conv(substring(hex(encode(piece, 'utf-8')),"
-        f" 2 * i - 1, 2), 16, 10) as int) + {bytes_first})"
+    least = 1 if kind == "unigram" else 2
+    spans = (
+        # Not a filter, which would move below the exchange that the atoms share.
+        atoms.select("atom", F.explode(F.expr(
+            f"if(length(atom) >= {least}, sequence(0, length(atom) - {least}), cast(array() as array<int>))"
+        )).alias("b"))
+        .select("atom", "b", F.explode(F.expr(f"sequence(b + {least}, least(b + {longest}, length(atom)))")).alias("e"))
+        .select("atom", "b", "e", F.expr("substring(atom, b + 1, e - b)").alias("piece"))
     )
-    edges = (
-        substrings.join(F.broadcast(pieces), "piece", "left")
-        .where("id is not null or e - b = 1")
-        .select(
-            "atom", "e", "b",
-            F.coalesce("score", F.lit(fallback)).alias("score"),
-            F.expr(f"if(id is null, {in_bytes}, array(id))").alias("ids"),
-        )
+    found = spans.join(
+        F.broadcast(pieces.select("piece", "score")), "piece", "left" if kind == "unigram" else "inner"
     )
-    lattice = edges.groupBy("atom").agg(
-        F.sort_array(F.collect_list(F.struct("e", "b", "score", "ids"))).alias("edges")
+    if kind == "unigram":
+        found = found.where("score is not null or e - b = 1").fillna(fallback, ["score"])
+    edges = found.groupBy("atom").agg(
+        F.sort_array(F.collect_list(F.struct("e", "b", "score"))).alias("edges")
     )
-    path = VITERBI if kind == "unigram" else MERGES
-    return lattice.select("atom", F.expr(path).alias("ids"))
+    path = F.expr(VITERBI if kind == "unigram" else MERGES)
+    return edges.select("atom", F.array_join(path, CUT).alias("path"))
 
 
-_REACHED = "named_struct('score', best[x.b].score + x.score, 'b', x.b, 'ids', x.ids)"
+_REACHED = "named_struct('score', best[x.b].score + x.score, 'b', x.b)"
 
 # The best path to every place, from the edges in the order of their ends, and back again.
 VITERBI = f"""
 transform(array(
-  aggregate(edges, array(named_struct('score', 0D, 'b', -1, 'ids', cast(array() as array<int>))),
+  aggregate(edges, array(named_struct('score', 0D, 'b', -1)),
     (best, x) -> case
       when size(best) = x.e then concat(best, array({_REACHED}))
       when best[x.b].score + x.score > best[x.e].score then concat(slice(best, 1, x.e), array({_REACHED}))
       else best end)),
   best -> aggregate(sequence(1, length(atom)),
-    named_struct('at', length(atom), 'ids', cast(array() as array<int>)),
-    (s, i) -> if(s.at > 0, named_struct('at', best[s.at].b, 'ids', concat(best[s.at].ids, s.ids)), s),
-    s -> s.ids))[0]
+    named_struct('at', length(atom), 'path', cast(array() as array<string>)),
+    (s, i) -> if(s.at > 0, named_struct('at', best[s.at].b, 'path',
+      concat(array(substring(atom, best[s.at].b + 1, s.at - best[s.at].b)), s.path)), s),
+    s -> s.path))[0]
 """
 
 # ``ends`` holds where the symbol that starts at a place ends, 0 where none starts.  An edge
 # over two neighbouring symbols can merge; the one with the greatest score, then the
 # leftmost, does, until there is none.
 MERGES = """
-transform(array(array_sort(filter(edges, x -> x.e - x.b > 1),
+transform(array(array_sort(edges,
     (x, y) -> case when x.score > y.score then -1 when x.score < y.score then 1 else x.b - y.b end)),
   merges -> transform(array(
     aggregate(sequence(1, length(atom)),
-      named_struct('ends', concat(sequence(1, length(atom)), array(0)), 'open', size(merges) > 0),
+      named_struct('ends', concat(sequence(1, length(atom)), array(0)), 'open', true),
       (s, i) -> if(s.open,
         transform(array(filter(merges, x -> s.ends[x.b] > 0 and s.ends[s.ends[x.b]] = x.e)),
           m -> case when size(m) = 0 then named_struct('ends', s.ends, 'open', false)
@@ -271,45 +290,51 @@ transform(array(array_sort(filter(edges, x -> x.e - x.b > 1),
             end)[0],
         s),
       s -> s.ends)),
-    ends -> flatten(transform(filter(edges, x -> ends[x.b] = x.e), x -> x.ids)))[0])[0]
+    ends -> transform(filter(transform(ends, (e, b) -> named_struct('b', b, 'e', e)), x -> x.e > 0),
+      x -> substring(atom, x.b + 1, x.e - x.b)))[0])[0]
 """
 
 
-def assembled(folder: str, spelled: list[bytes], bytes_first: int):
-    """For `applyInArrow` on one chunk's ``chunk, code, atom, ids``: its documents."""
+def assembled(folder: str, pieces: Pieces):
+    """For `applyInArrow` on one chunk's ``chunk, code, path``: its documents."""
+    spelled = pieces.spelled
+    known = {p: [i] for p, i, _ in pieces.rows}
+
+    def in_bytes(text: str) -> list[int]:
+        return [pieces.bytes_first + b for b in text.encode()]
 
     def assemble(table: pa.Table) -> pa.Table:
         fs, root = filesystem(folder)
-        with fs.open_input_stream(f"{root}/{table['chunk'][0].as_py()}") as source:
+        with fs.open_input_stream(f"{root}/{table['chunk'][0].as_py():020d}") as source:
             chunk = pa.ipc.open_stream(source.read()).read_all()
         planes = [np.frombuffer(chunk[f"plane{k}"][0].as_py(), np.uint8) for k in range(4)]
-        numbers = sum(p.astype(np.int64) << 8 * k for k, p in enumerate(planes))
-        code = table["code"].to_numpy()
-        lists = table["ids"].combine_chunks()
-        offsets, flat = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
-        begin, count = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
-        begin[code], count[code] = offsets[:-1], np.diff(offsets)
-        literal = table["atom"].to_pylist().index(LITERAL_MARK) if LITERAL_MARK in set(table["atom"].to_pylist()) else None
-        if literal is not None:
-            # The bytes of the mark itself, in place of what its stand-in was encoded as.
-            own = np.frombuffer(MARK.encode(), np.uint8).astype(flat.dtype) + bytes_first
-            begin[code[literal]], count[code[literal]] = len(flat), len(own)
-            flat = np.concatenate([flat, own])
-        lengths = np.asarray(chunk["length"][0].as_py(), np.int64)
-        per_atom = count[numbers]
-        ids = gathered(flat, begin[numbers], per_atom).astype("<u4")
-        atom_ends = np.concatenate([[0], np.cumsum(per_atom)])
-        ends = atom_ends[np.concatenate([[0], np.cumsum(lengths)])]
+        numbers = np.stack(planes, axis=1).view("<u4").ravel()
+        lists: list[list[int]] = [[]] * table.num_rows
+        for code, path in zip(table["code"].to_pylist(), table["path"].to_pylist()):
+            if path == LITERAL_PATH:
+                lists[code] = in_bytes(MARK)
+            elif path in known:
+                lists[code] = known[path]
+            else:
+                found = [known.get(p) or in_bytes(p) for p in path.split(CUT)] if path != CUT else [in_bytes(CUT)]
+                lists[code] = list(itertools.chain.from_iterable(found))
+        count = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.fromiter(itertools.chain.from_iterable(lists), np.int64, count.sum())
+        begin = np.cumsum(count) - count
         size = np.fromiter(map(len, spelled), np.int64, len(spelled))
         spelling = np.frombuffer(b"".join(spelled), np.uint8)
         spelled_at = np.cumsum(size) - size
+        lengths = np.asarray(chunk["length"][0].as_py(), np.int64)
+        ends = np.concatenate([[0], np.cumsum(lengths)])
         rows = []
         for doc_id, crc, a, b in zip(chunk["doc_id"][0].as_py(), chunk["crc"][0].as_py(), ends[:-1], ends[1:]):
-            own = ids[a:b]
+            own = gathered(flat, begin[numbers[a:b]], count[numbers[a:b]])
             # The first byte is the space put in front of every text.
             text = gathered(spelling, spelled_at[own], size[own])[1:].tobytes()
             decoded = zlib.crc32(text)
-            rows.append((doc_id, len(own), zlib.crc32(own.tobytes()), decoded, decoded == crc))
+            rows.append(
+                (doc_id, len(own), zlib.crc32(own.astype("<u4").tobytes()), decoded, decoded == crc)
+            )
         columns = list(zip(*rows)) or [[]] * 5
         kinds = [pa.int64()] * 4 + [pa.bool_()]
         return pa.table(
@@ -341,13 +366,17 @@ def round_trip(
     table = Pieces(model)
     folder = scratch_path(spark, "atom-chunks")
     named = pick(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("doc_id"), text_col)
-    asked = named.mapInArrow(number_atoms(folder, table.pairs), ASKED).repartition("atom")
+    asked = (
+        named.mapInArrow(number_atoms(folder, table.pairs), ASKED)
+        .where("atom is not null").repartition("atom")
+    )
     # Both uses of ``asked`` need all its columns, so they read one and the same exchange.
     atoms = asked.groupBy("atom").agg(
         F.count("chunk").alias("chunks"), F.max("code").alias("code")
     ).where("chunks > 0 and code >= 0").select("atom")
-    encoded = encoded_atoms(atoms, table.frame(spark), table.longest, table.fallback, table.bytes_first, kind)
-    answered = asked.join(encoded, "atom").select("chunk", "code", "atom", "ids")
-    return answered.groupBy("chunk").applyInArrow(
-        assembled(folder, table.spelled, table.bytes_first), RESULT
+    encoded = encoded_atoms(atoms, table.frame(spark), table.longest, table.fallback, kind)
+    alone = F.array_join(F.split("atom", ""), CUT)
+    answered = asked.join(encoded, "atom", "left").select(
+        "chunk", "code", F.coalesce("path", alone).alias("path")
     )
+    return answered.groupBy("chunk").applyInArrow(assembled(folder, table), RESULT)
