@@ -149,7 +149,14 @@ class Chunk:
         listed, known, atoms = split_words(text), self.words, self.atoms
         for w in set(listed).difference(known):
             known[w] = len(known)
-            cut = atoms_of(marked(w), self.pairs)
+            word = marked(w)
+            # What is an atom already has no place to cut; most words are one, or one and a mark.
+            if word in atoms or word == LITERAL_MARK:
+                cut = [word]
+            elif word[:-1] in atoms and word[-2:] not in self.pairs:
+                cut = [word[:-1], word[-1]]
+            else:
+                cut = atoms_of(word, self.pairs)
             self.cut.extend([atoms.setdefault(a, len(atoms)) for a in cut])
             self.counts.append(len(cut))
         codes = np.fromiter(map(known.__getitem__, listed), np.int32, len(listed))

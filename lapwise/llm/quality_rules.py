@@ -193,9 +193,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
-    rows = stored(
-        with_row(docs, text_col).select(measured(F.col(text_col)).alias("f"), "row").select("f.*", "row"),
-        "quality-rows",
-    )
-    return rows_of(judged(rows).where("kept"), docs)
+    """The rows of ``docs`` that the rules keep, with all their columns.
+
+    Features are taken twice, for the vote patterns and for the verdicts, so that no copy
+    of the texts is written.
+    """
+    rows = with_row(docs, text_col).select(measured(F.col(text_col)).alias("f"), "row")
+    return rows_of(judged(rows.select("f.*", "row")).where("kept"), docs)
