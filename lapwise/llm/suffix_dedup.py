@@ -488,8 +488,12 @@ def dedup_rows(
     Characters that lose a byte go as a whole.  Rows with one id are ordered by a hash of
     the row.  A column ``length_col``, if there is one, gets the new number of characters.
     """
+    at = docs.columns.index(text_col)
+    # The text travels compressed and not in the row as well.
+    textless = F.col("row").withField(f"c{at}", F.lit(None).cast("string"))
     packed = with_row(docs, id_col, text_col).toDF("doc_id", "text", "row").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.hash("row").alias("u"), "row"
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.hash("row").alias("u"),
+        textless.alias("row"),
     )
     kind = packed.schema["row"].dataType
     cut = _with_spans(packed, T.StructType([T.StructField("row", kind)])).mapInArrow(
