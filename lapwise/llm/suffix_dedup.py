@@ -39,10 +39,9 @@ CHUNK_BYTES = 16 << 20
 # of a segment's bytes, which is compared among segments of one piece.
 HASH_BITS = np.int64((1 << 48) - 1)
 
-TEXTS = "doc_id long, u int, packed binary"
-SEGMENTS = "kind int, h long, g long, doc_id long, u int, start int, windows int"
-PIECES = "h long, doc_id long, u int, start int, piece binary"
-SPANS = "doc_id long, u int, begin int, finish int"
+SEGMENTS = "kind int, h long, g long, rid long, start int, windows int"
+PIECES = "h long, rid long, start int, piece binary"
+SPANS = "rid long, begin int, finish int"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 # Odd multipliers of the hashes, from the golden ratio and the square roots of primes.
@@ -113,10 +112,10 @@ def _record(kinds: list[pa.DataType], names: str, columns: list) -> pa.RecordBat
     )
 
 
-SEGMENT_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+SEGMENT_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 
 
-def chunk_segments(ids: pa.Array, u: np.ndarray, texts: list[bytes]) -> pa.RecordBatch:
+def chunk_segments(rid: np.ndarray, texts: list[bytes]) -> pa.RecordBatch:
     """Segments of some documents: of equal ones the first as candidate, the rest as copies.
 
     Copies that follow one another in a document are one row.
@@ -125,11 +124,7 @@ def chunk_segments(ids: pa.Array, u: np.ndarray, texts: list[bytes]) -> pa.Recor
     counts = [len(f[0]) for f in found]
     h, g, start, windows = (np.concatenate([f[i] for f in found]) for i in range(4))
     owner = np.repeat(np.arange(len(counts)), counts)
-    numbers = np.asarray(ids.fill_null(0))
-    # Documents in their order, null ids first.
-    place = np.empty(len(counts), np.int64)
-    place[np.lexsort((u, numbers, ~np.asarray(ids.is_null())))] = np.arange(len(counts))
-    order = np.lexsort((start, place[owner], g, h))
+    order = np.lexsort((start, rid[owner], g, h))
     first = np.ones(len(order), bool)
     first[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
     copy = np.ones(len(order), bool)
@@ -141,22 +136,20 @@ def chunk_segments(ids: pa.Array, u: np.ndarray, texts: list[bytes]) -> pa.Recor
     windows = np.add.reduceat(windows, begins) if len(begins) else windows
     return _record(SEGMENT_KINDS, SEGMENTS, [
         copy[begins].astype(np.int32), h[begins] & HASH_BITS, g[begins] & HASH_BITS,
-        ids.take(pa.array(owner[begins])), u[owner[begins]], start[begins].astype(np.int32),
-        windows.astype(np.int32),
+        rid[owner[begins]], start[begins].astype(np.int32), windows.astype(np.int32),
     ])
 
 
 def cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For `mapInArrow` over ``doc_id, u, text``: segments, chunk by chunk."""
+    """For `mapInArrow` over ``rid, packed``: segments, chunk by chunk."""
     for batch in batches:
-        at, texts, size = 0, [], 0
+        rid, at, texts, size = batch.column(0).to_numpy(), 0, [], 0
         for i in range(batch.num_rows + 1):
             if texts and (i == batch.num_rows or size >= CHUNK_BYTES):
-                part = batch.slice(at, i - at)
-                yield chunk_segments(part.column(0), part.column(1).to_numpy(), texts)
+                yield chunk_segments(rid[at:i], texts)
                 at, texts, size = i, [], 0
             if i < batch.num_rows:
-                texts.append((batch.column(2)[i].as_py() or "").encode())
+                texts.append(unpacked(batch.column(1)[i].as_py()))
                 size += len(texts[-1])
 
 
@@ -183,7 +176,7 @@ def matched_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         kind = (~first).astype(np.int32)
         out = np.flatnonzero(~first | compared)
         yield _record(SEGMENT_KINDS, SEGMENTS, [
-            kind[out], *(batch.column(i).take(pa.array(out)) for i in range(1, 7))
+            kind[out], *(batch.column(i).take(pa.array(out)) for i in range(1, 6))
         ])
         waiting = batch.take(pa.array(np.flatnonzero(first & last)))
     if waiting is not None and waiting.num_rows > 1:
@@ -191,14 +184,14 @@ def matched_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For `mapInArrow` over ``doc_id, u, text`` and more: the text compressed, to travel."""
+    """For `mapInArrow` over ``text`` and more: the text compressed, to travel."""
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
-            packed = [packed_text(t.as_py()) for t in part.column(2)]
+            packed = [packed_text(t.as_py()) for t in part.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(packed, pa.binary()), *part.columns[3:]],
-                names=["doc_id", "u", "packed", *part.schema.names[3:]],
+                [pa.array(packed, pa.binary()), *part.columns[1:]],
+                names=["packed", *part.schema.names[1:]],
             )
 
 
@@ -211,8 +204,7 @@ def cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([x["h"] for x in listed], pa.int64()),
-                    pa.array([row["doc_id"]] * len(listed), pa.int64()),
-                    pa.array([row["u"]] * len(listed), pa.int32()),
+                    pa.array([row["rid"]] * len(listed), pa.int64()),
                     pa.array([x["start"] for x in listed], pa.int32()),
                     pa.array([text[x["start"] : x["start"] + x["windows"] + LENGTH - 1] for x in listed], pa.binary()),
                 ],
@@ -303,10 +295,7 @@ def adjacent_common(text: np.ndarray, suffixes: np.ndarray) -> np.ndarray:
 
 def repeated_spans(table: pa.Table) -> pa.Table:
     """For `applyInArrow` on one bin of pieces: spans of windows that occur earlier in it."""
-    table = table.sort_by([(c, "ascending") for c in ("doc_id", "u", "start")])
-    # Null ids come first.
-    null = table["doc_id"].is_null().to_numpy()
-    table = table.take(pa.array(np.argsort(~null, kind="stable")))
+    table = table.sort_by([(c, "ascending") for c in ("rid", "start")])
     pieces = table["piece"].to_pylist()
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     # Pieces in document order, each with a zero byte behind; places then sort like windows.
@@ -327,8 +316,7 @@ def repeated_spans(table: pa.Table) -> pa.Table:
     where = pa.array(piece[begin])
     start = table["start"].to_numpy()
     return pa.table({
-        "doc_id": table["doc_id"].take(where),
-        "u": table["u"].take(where),
+        "rid": table["rid"].take(where),
         "begin": pa.array((start[piece[begin]] + inside[begin]).astype(np.int32)),
         "finish": pa.array((start[piece[finish]] + inside[finish] + LENGTH).astype(np.int32)),
     })
@@ -351,24 +339,17 @@ def kept_bytes(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(text[e:s] for e, s in zip(ends, starts))
 
 
-def all_runs(size: int) -> list[tuple[int, int]]:
-    """What a further copy of a text loses."""
-    return [(0, size)] if size >= LENGTH else []
-
-
 def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For `mapInArrow`: the result row of each document and its further copies."""
+    """For `mapInArrow`: the result row of each document."""
     for batch in batches:
         rows = []
         for row in batch.to_pylist():
             text = unpacked(row["packed"])
-            own = removed_runs(row["begins"], row["finishes"])
-            for copy in range(row["copies"]):
-                runs = all_runs(len(text)) if copy else own
-                rows.append((
-                    row["doc_id"], len(text), sum(f - b for b, f in runs), len(runs),
-                    hashlib.sha256(kept_bytes(text, runs)).hexdigest(),
-                ))
+            runs = removed_runs(row["begins"], row["finishes"])
+            rows.append((
+                row["doc_id"], len(text), sum(f - b for b, f in runs), len(runs),
+                hashlib.sha256(kept_bytes(text, runs)).hexdigest(),
+            ))
         columns = list(zip(*rows)) if rows else [[]] * 5
         types = [pa.int64()] * 4 + [pa.string()]
         yield pa.RecordBatch.from_arrays(
@@ -395,48 +376,59 @@ def whole_characters(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int
 def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For `mapInArrow`: what is left of each text, beside the packed row."""
     for batch in batches:
-        texts, places = [], []
-        for at, row in enumerate(batch.drop_columns(["row"]).to_pylist()):
+        texts = []
+        for row in batch.drop_columns(["row"]).to_pylist():
             text = unpacked(row["packed"])
-            own = removed_runs(row["begins"], row["finishes"])
-            for copy in range(row["copies"]):
-                runs = whole_characters(text, all_runs(len(text)) if copy else own)
-                texts.append(None if row["packed"] is None else kept_bytes(text, runs).decode())
-                places.append(at)
+            runs = whole_characters(text, removed_runs(row["begins"], row["finishes"]))
+            texts.append(None if row["packed"] is None else kept_bytes(text, runs).decode())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(texts, pa.string()), batch.column("row").take(pa.array(places, pa.int64()))],
-            names=["text", "row"],
+            [pa.array(texts, pa.string()), batch.column("row")], names=["text", "row"]
         )
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """``doc_id, u, begin, finish`` of repeated strings in ``doc_id, text, u``.
+def numbered(docs: DataFrame, more: T.StructType = T.StructType()) -> DataFrame:
+    """Every row of ``doc_id, u, v, text`` once, stored with a number ``rid`` of its own.
 
-    Document order is that of ``doc_id`` (null first), then ``u``.
+    The numbers ascend with ``doc_id`` (null first), ``u`` and ``v``; a random last key
+    spreads equal rows over partitions.
     """
-    cut = docs.select("doc_id", "u", "text").mapInArrow(cut_segments, SEGMENTS)
-    named = F.col("doc_id").isNotNull()
+    order = ["doc_id", "u", "v", "tie"]
+    kinds = T.StructType([
+        T.StructField("packed", T.BinaryType()), T.StructField("doc_id", T.LongType()),
+        T.StructField("u", T.IntegerType()), T.StructField("v", T.LongType()),
+        T.StructField("tie", T.DoubleType()), *more.fields,
+    ])
+    return stored(
+        docs.withColumn("tie", F.rand(1)).select("text", *order, *more.names)
+        .mapInArrow(pack_texts, kinds)
+        .repartitionByRange(*order).sortWithinPartitions(*order)
+        .select(F.monotonically_increasing_id().alias("rid"), "doc_id", "packed", *more.names),
+        "numbered-texts",
+    )
+
+
+def spans(texts: DataFrame) -> DataFrame:
+    """``rid, begin, finish`` of repeated strings in ``rid, packed``, in the order of ``rid``."""
+    cut = texts.select("rid", "packed").mapInArrow(cut_segments, SEGMENTS)
     found = stored(
         cut.where("kind = 0").repartition("h")
-        .sortWithinPartitions("h", "g", named, "doc_id", "u", "start")
+        .sortWithinPartitions("h", "g", "rid", "start")
         .mapInArrow(matched_segments, SEGMENTS)
         .drop("g"),
         "matched-segments",
     )
     copies = (
         cut.where("kind = 1").drop("g").unionByName(found.where("kind = 1"))
-        .select("doc_id", "u", F.col("start").alias("begin"),
+        .select("rid", F.col("start").alias("begin"),
                 (F.col("start") + F.col("windows") + (LENGTH - 1)).alias("finish"))
     )
     listed = found.where("kind = 0").drop("kind")
     total = listed.agg(F.sum(F.col("windows") + LENGTH)).first()[0] or 0
-    wanted = listed.groupBy(F.col("doc_id").alias("d"), F.col("u").alias("v")).agg(
+    wanted = listed.groupBy("rid").agg(
         F.collect_list(F.struct("h", "start", "windows")).alias("listed")
     )
     pieces = (
-        docs.select("doc_id", "u", "text").mapInArrow(pack_texts, TEXTS).dropDuplicates(["doc_id", "u"])
-        .join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("u") == F.col("v")))
-        .select("doc_id", "u", "packed", "listed")
+        texts.select("rid", "packed").join(wanted, "rid")
         .mapInArrow(cut_pieces, PIECES)
         .withColumn("bin", F.expr(f"pmod(xxhash64(h), {total // BIN_BYTES + 1})"))
     )
@@ -445,22 +437,11 @@ def spans(docs: DataFrame) -> DataFrame:
 
 
 def _with_spans(docs: DataFrame, more: T.StructType = T.StructType()) -> DataFrame:
-    """One row for each ``doc_id, u`` with its number of copies and its spans."""
-    listed = (
-        spans(docs).groupBy(F.col("doc_id").alias("d"), F.col("u").alias("v"))
-        .agg(F.collect_list(F.struct("begin", "finish")).alias("s"))
-    )
-    kinds = T.StructType([
-        T.StructField("doc_id", T.LongType()), T.StructField("u", T.IntegerType()),
-        T.StructField("packed", T.BinaryType()), *more.fields,
-    ])
-    once = docs.select("doc_id", "u", "text", *more.names).mapInArrow(pack_texts, kinds).groupBy(
-        "doc_id", "u"
-    ).agg(*[F.first(c).alias(c) for c in ("packed", *more.names)], F.count("*").alias("copies"))
-    return once.join(
-        listed, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("u") == F.col("v")), "left"
-    ).select(
-        "doc_id", "packed", "copies",
+    """Each row with its spans."""
+    texts = numbered(docs, more)
+    listed = spans(texts).groupBy("rid").agg(F.collect_list(F.struct("begin", "finish")).alias("s"))
+    return texts.join(listed, "rid", "left").select(
+        "doc_id", "packed",
         F.col("s.begin").alias("begins"), F.col("s.finish").alias("finishes"), *more.names,
     )
 
@@ -470,12 +451,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     A byte is removed if a string of ``LENGTH`` bytes that covers it also starts earlier, in
     a smaller id or earlier in the same text; strings are judged on the input.  A null text
-    is empty.  Null ids come before all others.  Rows with one id are ordered by a hash of
+    is empty.  Null ids come before all others.  Rows with one id are ordered by hashes of
     their text; of rows with equal id and text one counts as first and the others lose
     every byte if they have ``LENGTH``.  An empty table gives no rows.
     """
     named = pick(docs, id_col, text_col).toDF("doc_id", "text").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.hash("text").alias("u")
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.hash("text").alias("u"),
+        F.xxhash64("text").alias("v"),
     )
     return _with_spans(named).mapInArrow(report, RESULT)
 
@@ -485,7 +467,7 @@ def dedup_rows(
 ) -> DataFrame:
     """The rows of ``docs`` with repeated strings cut from their text; no row goes.
 
-    Characters that lose a byte go as a whole.  Rows with one id are ordered by a hash of
+    Characters that lose a byte go as a whole.  Rows with one id are ordered by hashes of
     the row.  A column ``length_col``, if there is one, gets the new number of characters.
     """
     at = docs.columns.index(text_col)
@@ -493,7 +475,7 @@ def dedup_rows(
     textless = F.col("row").withField(f"c{at}", F.lit(None).cast("string"))
     packed = with_row(docs, id_col, text_col).toDF("doc_id", "text", "row").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.hash("row").alias("u"),
-        textless.alias("row"),
+        F.xxhash64("row").alias("v"), textless.alias("row"),
     )
     kind = packed.schema["row"].dataType
     cut = _with_spans(packed, T.StructType([T.StructField("row", kind)])).mapInArrow(

@@ -101,6 +101,15 @@ def test_rows_keep_columns_and_whole_characters(spark):
     assert len(got[4][0]) < len(rows[3][1])
 
 
+def test_first_of_equal_rows_keeps_its_text(spark):
+    rows = edge_rows() + [(200, prose(970, 40), "s")] * 3 + [(None, prose(971, 40), "s")] * 2 + [(201, prose(972, 40), "t")]
+    docs = edge_docs(spark, rows)
+    assert answer(suffix_dedup.dedup(docs)) == by_hand(document_order(spark, rows))
+    left = suffix_dedup.dedup_rows(docs).toDF(*[f"c{i}" for i in range(len(docs.columns))]).collect()
+    assert sorted(r.c1 for r in left if r.c0 == 200) == ["", "", rows[-6][1]]
+    assert len(left) == len(rows)
+
+
 def test_empty(spark):
     docs = edge_docs(spark).limit(0)
     assert suffix_dedup.dedup(docs).count() == 0
