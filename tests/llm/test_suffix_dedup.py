@@ -110,6 +110,22 @@ def test_first_of_equal_rows_keeps_its_text(spark):
     assert len(left) == len(rows)
 
 
+def test_rows_of_one_id_are_told_apart_whatever_their_hash(spark):
+    """Different texts whose 32-bit hashes are equal, without an id."""
+    hashed = spark.range(300_000).select(
+        F.concat(F.lit("item "), F.col("id").cast("string"), F.lit(" "), F.sha2(F.col("id").cast("string"), 512)).alias("t")
+    )
+    found = hashed.groupBy(F.hash("t")).agg(F.collect_list("t").alias("ts")).where("size(ts) > 1").collect()
+    assert found
+    texts = [t for r in found for t in r.ts]
+    got = answer(suffix_dedup.dedup(edge_docs(spark, [(None, t, "s") for t in texts])))
+    assert got == sorted(
+        ((None, len(t), 0, 0, hashlib.sha256(t.encode()).hexdigest()) for t in texts), key=repr
+    )
+    cut = suffix_dedup.dedup_rows(edge_docs(spark, [(None, t, t[:12]) for t in texts]))
+    assert sorted((r[1], r[2]) for r in cut.collect()) == sorted((t, t[:12]) for t in texts)
+
+
 def test_empty(spark):
     docs = edge_docs(spark).limit(0)
     assert suffix_dedup.dedup(docs).count() == 0
