@@ -5,7 +5,8 @@ pieces.  Texts are therefore cut into segments of consecutive windows with one s
 piece; equal windows always lie in different segments, of that piece's hash.  Hashes that occur once are done
 with.  Of the others, segments with equal bytes keep their first occurrence, and where a
 hash has different segments these meet in a bin, whose suffix array shows the windows that
-occur more than once.
+occur more than once.  Segments of a hash too large for a bin are taken apart into windows,
+of which equal ones meet.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +42,7 @@ HASH_BITS = np.int64((1 << 48) - 1)
 
 SEGMENTS = "kind int, h long, g long, rid long, start int, windows int"
 PIECES = "h long, rid long, start int, piece binary"
+WINDOWS = "w binary, rid long, start int"
 SPANS = "rid long, begin int, finish int"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -153,34 +155,64 @@ def cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size += len(texts[-1])
 
 
-def matched_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def matched_segments(most: int):
     """For `mapInArrow` over candidates sorted by ``h, g`` and document order.
 
     Candidates whose hash stands alone are dropped; further ones of equal bytes come out as
     copies (kind 1), the first ones of a hash with different bytes to be compared (kind 0).
-    Only the first ones of the last hash wait for the next batch.
+    A hash whose first ones have more than ``most`` bytes is named (kind 2).  Only the first
+    one of the last hash waits, for a second one.
     """
-    waiting: pa.RecordBatch | None = None
-    for batch in batches:
-        if waiting is not None:
-            batch = pa.Table.from_batches([waiting, batch]).combine_chunks().to_batches()[0]
-        h, g = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-        if not len(h):
-            continue
-        new_hash = np.concatenate([[True], h[1:] != h[:-1]])
-        first = new_hash | np.concatenate([[True], g[1:] != g[:-1]])
-        run = np.cumsum(new_hash) - 1
-        several = np.bincount(run[first])[run] > 1
-        last = run == run[-1]
-        compared = first & several & ~last
-        kind = (~first).astype(np.int32)
-        out = np.flatnonzero(~first | compared)
-        yield _record(SEGMENT_KINDS, SEGMENTS, [
-            kind[out], *(batch.column(i).take(pa.array(out)) for i in range(1, 6))
-        ])
-        waiting = batch.take(pa.array(np.flatnonzero(first & last)))
-    if waiting is not None and waiting.num_rows > 1:
-        yield _record(SEGMENT_KINDS, SEGMENTS, waiting.columns)
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last hash and digest, the row that waits, and how many first ones and bytes
+        # the last hash has so far.
+        last_h = last_g = waiting = None
+        number = size = 0
+
+        def named(large: np.ndarray) -> pa.RecordBatch:
+            none = np.zeros(len(large), np.int64)
+            kind = np.full(len(large), 2, np.int32)
+            return _record(SEGMENT_KINDS, SEGMENTS, [
+                kind, large, none, none, none.astype(np.int32), none.astype(np.int32)
+            ])
+
+        for batch in batches:
+            h, g = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            if not len(h):
+                continue
+            new_hash = np.concatenate([[h[0] != last_h], h[1:] != h[:-1]])
+            first = new_hash | np.concatenate([[g[0] != last_g], g[1:] != g[:-1]])
+            # Run 0 goes on with the hash of the batch before.
+            run = np.cumsum(new_hash)
+            numbers = np.bincount(run[first], minlength=run[-1] + 1)
+            bytes_here = np.where(first, batch.column(5).to_numpy().astype(np.int64) + LENGTH, 0)
+            sizes = np.bincount(run, bytes_here, minlength=run[-1] + 1).astype(np.int64)
+            numbers[0] += number
+            sizes[0] += size
+            if waiting is not None and numbers[0] > 1:
+                yield waiting
+                waiting = None
+            out = np.flatnonzero(~first | (numbers[run] > 1))
+            yield _record(SEGMENT_KINDS, SEGMENTS, [
+                (~first[out]).astype(np.int32), *(batch.column(i).take(pa.array(out)) for i in range(1, 6))
+            ])
+            hash_of_run = np.zeros(run[-1] + 1, np.int64)
+            hash_of_run[0] = last_h if last_h is not None else 0
+            hash_of_run[run] = h
+            yield named(hash_of_run[:-1][sizes[:-1] > most])
+            number, size = int(numbers[-1]), int(sizes[-1])
+            if run[-1] > 0:
+                waiting = None
+            alone = np.flatnonzero(first & (run == run[-1]))
+            if number == 1 and len(alone):
+                waiting = _record(SEGMENT_KINDS, SEGMENTS, [
+                    batch.column(i).slice(int(alone[0]), 1) for i in range(6)
+                ])
+            last_h, last_g = h[-1], g[-1]
+        if size > most:
+            yield named(np.array([last_h], np.int64))
+
+    return match
 
 
 def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,6 +244,22 @@ def cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For `mapInArrow`: digests of the windows of the listed segments of each document."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            text = unpacked(row["packed"])
+            places = [i for x in row["listed"] for i in range(x["start"], x["start"] + x["windows"])]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([hashlib.md5(text[i : i + LENGTH]).digest() for i in places], pa.binary()),
+                    pa.array([row["rid"]] * len(places), pa.int64()),
+                    pa.array(places, pa.int32()),
+                ],
+                names=[c.split()[0] for c in WINDOWS.split(", ")],
+            )
+
+
 def _word(text: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The eight bytes at each place as one number that sorts like them."""
     return text[at[:, None] + np.arange(8)].view(">u8").ravel().astype(np.uint64)
@@ -413,7 +461,7 @@ def spans(texts: DataFrame) -> DataFrame:
     found = stored(
         cut.where("kind = 0").repartition("h")
         .sortWithinPartitions("h", "g", "rid", "start")
-        .mapInArrow(matched_segments, SEGMENTS)
+        .mapInArrow(matched_segments(BIN_BYTES), SEGMENTS)
         .drop("g"),
         "matched-segments",
     )
@@ -423,16 +471,28 @@ def spans(texts: DataFrame) -> DataFrame:
                 (F.col("start") + F.col("windows") + (LENGTH - 1)).alias("finish"))
     )
     listed = found.where("kind = 0").drop("kind")
-    total = listed.agg(F.sum(F.col("windows") + LENGTH)).first()[0] or 0
-    wanted = listed.groupBy("rid").agg(
-        F.collect_list(F.struct("h", "start", "windows")).alias("listed")
-    )
-    pieces = (
-        texts.select("rid", "packed").join(wanted, "rid")
-        .mapInArrow(cut_pieces, PIECES)
-        .withColumn("bin", F.expr(f"pmod(xxhash64(h), {total // BIN_BYTES + 1})"))
+    # At most one for each ``BIN_BYTES`` of segments.
+    large = found.where("kind = 2").select("h")
+    some_large = not large.isEmpty()
+    binned = listed.join(F.broadcast(large), "h", "left_anti") if some_large else listed
+    total = binned.agg(F.sum(F.col("windows") + LENGTH)).first()[0] or 0
+
+    def beside_text(chosen: DataFrame) -> DataFrame:
+        wanted = chosen.groupBy("rid").agg(F.collect_list(F.struct("h", "start", "windows")).alias("listed"))
+        return texts.select("rid", "packed").join(wanted, "rid")
+
+    pieces = beside_text(binned).mapInArrow(cut_pieces, PIECES).withColumn(
+        "bin", F.expr(f"pmod(xxhash64(h), {total // BIN_BYTES + 1})")
     )
     compared = pieces.groupBy("bin").applyInArrow(repeated_spans, SPANS)
+    if some_large:
+        # However many windows are equal, they are sorted and passed one by one.
+        nth = F.row_number().over(Window.partitionBy("w").orderBy("rid", "start"))
+        windows = beside_text(listed.join(F.broadcast(large), "h", "left_semi")).mapInArrow(cut_windows, WINDOWS)
+        later = windows.withColumn("nth", nth).where("nth > 1")
+        compared = compared.unionByName(
+            later.select("rid", F.col("start").alias("begin"), (F.col("start") + LENGTH).alias("finish"))
+        )
     return copies.unionByName(compared)
 
 

@@ -126,6 +126,50 @@ def test_rows_of_one_id_are_told_apart_whatever_their_hash(spark):
     assert sorted((r[1], r[2]) for r in cut.collect()) == sorted((t, t[:12]) for t in texts)
 
 
+def test_a_phrase_of_many_texts_fills_no_bin(spark, monkeypatch):
+    """Segments around one phrase, all different, meet in no group larger than some bins."""
+    monkeypatch.setattr(suffix_dedup, "BIN_BYTES", 3000)
+    compare = suffix_dedup.repeated_spans
+
+    def bounded(table):
+        size = sum(map(len, table["piece"].to_pylist()))
+        if size > 30_000:
+            raise ValueError(f"{size} bytes in one group")
+        return compare(table)
+
+    monkeypatch.setattr(suffix_dedup, "repeated_spans", bounded)
+    phrase = "-- all rights in this notice are reserved, see the file of the same name for more --"
+    rng = random.Random(6)
+    left = ["".join(rng.choices("abcdefghij", k=150)) for _ in range(400)]
+    right = ["".join(rng.choices("klmnopqrst", k=150)) for _ in range(400)]
+    # Some share the neighbours on one side as well.
+    rows = [(i, left[i % 370] + phrase + right[i % 390 if i < 395 else i], "s") for i in range(400)]
+    assert answer(suffix_dedup.dedup(edge_docs(spark, rows))) == by_hand([r[:2] for r in rows])
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_matching_does_not_depend_on_batches(seed):
+    rng = np.random.default_rng(seed)
+    n = 60
+    h, g = np.sort(rng.integers(0, 12, n)), rng.integers(0, 3, n)
+    order = np.lexsort((g, h))
+    columns = [np.zeros(n, np.int32), h[order], g[order], np.arange(n), np.zeros(n, np.int32), rng.integers(1, 60, n).astype(np.int32)]
+    whole = suffix_dedup._record(suffix_dedup.SEGMENT_KINDS, suffix_dedup.SEGMENTS, columns)
+    groups = {}
+    for x in whole.to_pylist():
+        groups.setdefault(x["h"], {}).setdefault(x["g"], []).append(x)
+    want = []
+    for key, by_digest in groups.items():
+        want += [(1, key, x["rid"]) for rows in by_digest.values() for x in rows[1:]]
+        if len(by_digest) > 1:
+            want += [(0, key, rows[0]["rid"]) for rows in by_digest.values()]
+        if sum(rows[0]["windows"] + 100 for rows in by_digest.values()) > 280:
+            want.append((2, key, 0))
+    for step in (1, 2, 7, 60):
+        got = suffix_dedup.matched_segments(280)(iter([whole.slice(at, step) for at in range(0, n, step)]))
+        assert sorted((x["kind"], x["h"], x["rid"]) for b in got for x in b.to_pylist()) == sorted(want)
+
+
 def test_empty(spark):
     docs = edge_docs(spark).limit(0)
     assert suffix_dedup.dedup(docs).count() == 0
