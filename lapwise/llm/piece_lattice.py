@@ -5,12 +5,14 @@ many pairs of characters in no piece at all.  Texts are cut there into atoms, an
 different atom of the corpus is encoded once: its substrings of bounded length are exploded
 and joined to the piece table, the edges found are grouped by atom, and a fold over them
 finds the path: that of the greatest total score for a unigram model (Viterbi), and that of
-the merges in the order of their scores for a BPE model.  Between the first and the last step a chunk of documents waits in a
+the merges in the order of their scores for a BPE model.  Very long atoms take the same path
+by a heap of merges, or a Viterbi pass, where their documents are put together.  Between the first and the last step a chunk of documents waits in a
 file of atom numbers, so texts are never shuffled.
 """
 
 from __future__ import annotations
 
+import heapq
 import io
 import itertools
 import re
@@ -35,7 +37,8 @@ MARK = "▁"
 # Bytes of text that are numbered, and later put together, by one task.
 CHUNK_BYTES = 24 << 20
 
-# Longest atom; only unbroken runs of like characters come near it.
+# Longest atom of the lattice; only unbroken runs of like characters come near it.  Longer
+# ones are encoded whole, outside it.
 ATOM_CHARS = 1000
 
 # What a character that is no piece costs beyond the worst piece.
@@ -67,6 +70,7 @@ class Pieces:
             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
         ]
         self.longest = max(len(p) for p, _, _ in self.rows)
+        self.scores = {p: score for p, _, score in self.rows}
         self.fallback = min(s for _, _, s in self.rows if s > -1e8) - FALLBACK_COST
         self.pairs = frozenset(p[i : i + 2] for p, _, _ in self.rows for i in range(len(p) - 1))
         # The bytes that each id stands for, the mark as a space.
@@ -80,21 +84,71 @@ class Pieces:
         return spark.createDataFrame(self.rows, "piece string, id int, score double")
 
 
-def atoms_of(word: str, pairs: frozenset[str]) -> list[str]:
+def atoms_of(word: str, pairs: frozenset[str], longest: int | None = ATOM_CHARS) -> list[str]:
     """A word with its space mark, cut between characters that no piece has side by side.
 
-    What is then still longer than ``ATOM_CHARS`` is cut there.
+    What is then still longer than ``longest`` is cut there, if that is given.
     """
     if word == LITERAL_MARK:
         return [word]
     cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in pairs]
     return [
-        word[at : min(at + ATOM_CHARS, b)]
+        word[at : min(at + (longest or b - a), b)]
         for a, b in zip([0, *cuts], [*cuts, len(word)])
-        for at in range(a, b, ATOM_CHARS)
+        for at in range(a, b, longest or b - a)
     ]
 
 
+def merged_path(atom: str, scores: dict[str, float]) -> list[str]:
+    """The strings that the merges of a BPE model leave, by a heap of them."""
+    # The symbols as a linked list of their begins; 0 long once merged into the one before.
+    size = len(atom)
+    length = [1] * size
+    before, after = list(range(-1, size - 1)), list(range(1, size + 1))
+    heap: list[tuple[float, int, int]] = []
+
+    def offer(b: int) -> None:
+        if b >= 0 and after[b] < size:
+            e = after[after[b]]
+            score = scores.get(atom[b:e])
+            if score is not None:
+                heapq.heappush(heap, (-score, b, e))
+
+    for b in range(size):
+        offer(b)
+    while heap:
+        _, b, e = heapq.heappop(heap)
+        # Left over if one of the two has merged meanwhile.
+        if not length[b] or after[b] >= size or after[after[b]] != e:
+            continue
+        right = after[b]
+        length[b], length[right] = e - b, 0
+        after[b] = e
+        if e < size:
+            before[e] = b
+        offer(before[b])
+        offer(b)
+    return [atom[b : b + n] for b, n in enumerate(length) if n]
+
+
+def greatest_path(atom: str, scores: dict[str, float], longest: int, fallback: float) -> list[str]:
+    """The strings of the path of the greatest score; the longer last one among equals."""
+    best, back = [0.0], [-1]
+    for e in range(1, len(atom) + 1):
+        found, origin = float("-inf"), -1
+        for b in range(max(0, e - longest), e):
+            score = scores.get(atom[b:e], fallback if e - b == 1 else None)
+            if score is not None and best[b] + score > found:
+                found, origin = best[b] + score, b
+        best.append(found)
+        back.append(origin)
+    out, e = [], len(atom)
+    while e > 0:
+        out.append(atom[back[e] : e])
+        e = back[e]
+    return out[::-1]
+
+
 def marked_words(text: str) -> list[str]:
     """The text's words with the spaces in front of each as marks, one added in front."""
     return list(map(marked, split_words(text)))
@@ -156,7 +210,7 @@ class Chunk:
             elif word[:-1] in atoms and word[-2:] not in self.pairs:
                 cut = [word[:-1], word[-1]]
             else:
-                cut = atoms_of(word, self.pairs)
+                cut = atoms_of(word, self.pairs, None)
             self.cut.extend([atoms.setdefault(a, len(atoms)) for a in cut])
             self.counts.append(len(cut))
         codes = np.fromiter(map(known.__getitem__, listed), np.int32, len(listed))
@@ -239,14 +293,15 @@ def encoded_atoms(atoms: DataFrame, pieces: DataFrame, longest: int, fallback: f
     ``pieces`` is the model's bounded table and broadcast.  A string of one character need
     not be a piece; in a unigram model it then costs ``fallback``, and among equal paths
     the one whose last piece is longer wins, place by place.  Atoms without an edge are
-    left out: they are cut into characters.  All rows of an atom stay in the partition that
+    left out: they are cut into characters.  So are those longer than ``ATOM_CHARS``, which
+    are not for the lattice.  All rows of an atom stay in the partition that
     the atom came in.
     """
     least = 1 if kind == "unigram" else 2
     spans = (
         # Not a filter, which would move below the exchange that the atoms share.
         atoms.select("atom", F.explode(F.expr(
-            f"if(length(atom) >= {least}, sequence(0, length(atom) - {least}), cast(array() as array<int>))"
+            f"if(length(atom) between {least} and {ATOM_CHARS}, sequence(0, length(atom) - {least}), cast(array() as array<int>))"
         )).alias("b"))
         .select("atom", "b", F.explode(F.expr(f"sequence(b + {least}, least(b + {longest}, length(atom)))")).alias("e"))
         .select("atom", "b", "e", F.expr("substring(atom, b + 1, e - b)").alias("piece"))
@@ -302,11 +357,16 @@ transform(array(array_sort(edges,
 """
 
 
-def assembled(folder: str, pieces: Pieces):
+def assembled(folder: str, pieces: Pieces, kind: str):
     """For `applyInArrow` on one chunk's ``chunk, code, path``: its documents."""
     spelled = pieces.spelled
     known = {p: [i] for p, i, _ in pieces.rows}
 
+    def long_path(atom: str) -> list[str]:
+        if kind == "unigram":
+            return greatest_path(atom, pieces.scores, pieces.longest, pieces.fallback)
+        return merged_path(atom, pieces.scores)
+
     def in_bytes(text: str) -> list[int]:
         return [pieces.bytes_first + b for b in text.encode()]
 
@@ -323,7 +383,9 @@ def assembled(folder: str, pieces: Pieces):
             elif path in known:
                 lists[code] = known[path]
             else:
-                found = [known.get(p) or in_bytes(p) for p in path.split(CUT)] if path != CUT else [in_bytes(CUT)]
+                # A long atom comes without cuts.
+                parts = long_path(path) if len(path) > ATOM_CHARS and CUT not in path else path.split(CUT)
+                found = [known.get(p) or in_bytes(p) for p in parts] if path != CUT else [in_bytes(CUT)]
                 lists[code] = list(itertools.chain.from_iterable(found))
         count = np.fromiter(map(len, lists), np.int64, len(lists))
         flat = np.fromiter(itertools.chain.from_iterable(lists), np.int64, count.sum())
@@ -382,8 +444,8 @@ def round_trip(
         F.count("chunk").alias("chunks"), F.max("code").alias("code")
     ).where("chunks > 0 and code >= 0").select("atom")
     encoded = encoded_atoms(atoms, table.frame(spark), table.longest, table.fallback, kind)
-    alone = F.array_join(F.split("atom", ""), CUT)
+    alone = F.when(F.length("atom") > ATOM_CHARS, F.col("atom")).otherwise(F.array_join(F.split("atom", ""), CUT))
     answered = asked.join(encoded, "atom", "left").select(
         "chunk", "code", F.coalesce("path", alone).alias("path")
     )
-    return answered.groupBy("chunk").applyInArrow(assembled(folder, table), RESULT)
+    return answered.groupBy("chunk").applyInArrow(assembled(folder, table, kind), RESULT)

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -75,6 +76,33 @@ def test_greatest_score_equals_brute_force(spark, pieces):
     assert sorted((repr(r.doc_id), r.n_pieces, r.ids_crc32) for r in got) == sorted(expected)
 
 
+def long_runs():
+    rng = random.Random(8)
+    return [
+        "x" * 3000, "a" + " " * 2501 + "b", "=" * 1999, "-" * 1000, "-" * 1001, "ab" * 1100, "é" * 1500,
+        "".join(rng.choices("acgt", k=2300)), "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4000)),
+        "the" * 900 + " and " + "stone" * 500,
+    ]
+
+
+def test_long_runs_equal_the_library(spark):
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    rows = [(i, t, "s") for i, t in enumerate(long_runs())]
+    got = {r.doc_id: r for r in piece_lattice.round_trip(edge_docs(spark, rows), PATH).collect()}
+    for i, t, _ in rows:
+        ids = model.encode(t)
+        assert got[i].restored and (got[i].n_pieces, got[i].ids_crc32) == (len(ids), crc(ids)), t[:20]
+
+
+def test_greatest_score_of_long_runs(spark, pieces):
+    table = {p: (i, s) for p, i, s in pieces.rows}
+    rows = [(i, t, "s") for i, t in enumerate(long_runs())]
+    got = {r.doc_id: r for r in piece_lattice.round_trip(edge_docs(spark, rows), PATH, kind="unigram").collect()}
+    for i, t, _ in rows:
+        ids = [x for w in piece_lattice.marked_words(t) for x in viterbi(w, table, pieces)]
+        assert got[i].restored and (got[i].n_pieces, got[i].ids_crc32) == (len(ids), crc(ids)), t[:20]
+
+
 def test_decoding_equals_the_library(pieces):
     model = sentencepiece.SentencePieceProcessor(model_file=PATH)
     for text in ("plain words", "  two  spaces\nand lines ", "日本語 😀"):
