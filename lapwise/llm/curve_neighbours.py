@@ -23,6 +23,10 @@ BLOCK_ROWS = 1024
 CHUNK_QUERIES = 4096
 REACH = 0.1
 
+# Index rows whose norms lie between two neighbouring powers of this power of two share a
+# scale and curves.
+BAND_BITS = 2
+
 KEYED = "curve int, curve_key long, counted long, ids array<long>, embedding array<double>"
 FOUND = "query_id long, found array<struct<score:double,rep:long,ids:array<long>>>"
 
@@ -67,35 +71,59 @@ def projections(size: int, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def keyed(size: int, longest: float, seed: int):
-    """For `mapInArrow` over ``ids, embedding, counted``: a row for each curve.
+def band_groups(counts: dict[int, int], block_rows: int) -> list[tuple[list[int], int]]:
+    """Norm bands that share their curves, and the number of these.
+
+    A band of more than a block has curves of its own; smaller ones fill blocks together,
+    and in one block the search is exact on one curve.
+    """
+    groups = [([band], CURVES) for band in sorted(counts) if counts[band] > block_rows]
+    left = 0
+    for band in sorted(b for b in counts if counts[b] <= block_rows):
+        if counts[band] > left:
+            groups.append(([], 1))
+            left = block_rows
+        groups[-1][0].append(band)
+        left -= counts[band]
+    return groups
+
+
+def keyed(size: int, groups: list[tuple[list[int], int]], seed: int):
+    """For `mapInArrow` over ``ids, embedding, counted, band``: a row for each curve.
 
-    An index row is scaled by the longest norm and gets one more component that makes it a
-    unit vector; a query is scaled to a unit vector with 0 there.  Their order by inner
-    product is then that by distance.
+    An index row is scaled by the end of its norm band and gets one more component that
+    makes it a unit vector; a query is scaled to a unit vector with 0 there and asks all
+    groups.  The order of a band by inner product is then that by distance.
     """
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         curves = projections(size + 1, seed)
         for batch in batches:
             rows = np.stack(batch.column(1).to_numpy(zero_copy_only=False)).astype(np.float64)
-            counted = batch.column(2).to_numpy()
-            norm = np.sqrt((rows * rows).sum(axis=1))
-            scale = np.where(counted == 1, longest, norm)
-            unit = rows / scale[:, None]
-            rest = np.sqrt(np.maximum(0, 1 - (norm / scale) ** 2))
-            unit = np.hstack([unit, rest[:, None]])
-            for number, (matrix, shift) in enumerate(curves):
-                # A shifted grid of twice the width of the unit ball's projection.
-                cell = ((unit @ matrix + 1) / 4 + shift / 2) * (1 << GRID_BITS)
-                cell = np.clip(cell, 0, (1 << GRID_BITS) - 1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(rows), number, np.int32)),
-                        pa.array(hilbert_keys(cell, GRID_BITS)),
-                        batch.column(2), batch.column(0), batch.column(1),
-                    ],
-                    names=[c.split()[0] for c in KEYED.split(", ")],
-                )
+            asks, band = batch.column(2).to_numpy() == 0, batch.column(3).to_numpy()
+            top = np.abs(rows).max(axis=1)[:, None]
+            unit = rows / top
+            unit /= np.sqrt((unit * unit).sum(axis=1))[:, None]
+            scaled = np.ldexp(rows, -BAND_BITS * (band + 1)[:, None])
+            unit = np.where(asks[:, None], unit, scaled)
+            rest = np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1)))
+            unit = np.hstack([unit, np.where(asks, 0, rest)[:, None]])
+            number = 0
+            for bands, own in groups:
+                taking = np.flatnonzero(asks | np.isin(band, bands))
+                part = batch.take(pa.array(taking))
+                for matrix, shift in curves[:own]:
+                    # A shifted grid of twice the width of the unit ball's projection.
+                    cell = ((unit[taking] @ matrix + 1) / 4 + shift / 2) * (1 << GRID_BITS)
+                    cell = np.clip(cell, 0, (1 << GRID_BITS) - 1)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(taking), number, np.int32)),
+                            pa.array(hilbert_keys(cell, GRID_BITS)),
+                            part.column(2), part.column(0), part.column(1),
+                        ],
+                        names=[c.split()[0] for c in KEYED.split(", ")],
+                    )
+                    number += 1
 
     return place
 
@@ -118,14 +146,17 @@ def nearest(wanted: int):
         asked = np.stack(queries["embedding"].to_numpy())
         ids = index["ids"].to_pylist()
         reps = np.fromiter((i[0] for i in ids), np.int64, len(ids))
-        rough = asked @ rows.T
+        with np.errstate(all="ignore"):
+            # Products beyond the range of doubles are infinite, or without a value and last.
+            rough = np.nan_to_num(asked @ rows.T, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
         count = min(wanted, len(rows))
         floor = np.partition(rough, len(rows) - count, axis=1)[:, len(rows) - count]
-        slack = 1e-9 * np.maximum(1, np.abs(floor))
+        slack = np.where(np.isfinite(floor), 1e-9 * np.maximum(1, np.abs(floor)), 0)
         found = []
         for q, row in enumerate(rough):
             near = np.flatnonzero(row >= floor[q] - slack[q])
-            score = (rows[near] * asked[q]).sum(axis=1)
+            with np.errstate(all="ignore"):
+                score = (rows[near] * asked[q]).sum(axis=1)
             order = np.lexsort((reps[near], -score))[:wanted]
             found.append([
                 {"score": float(score[o]), "rep": int(reps[near[o]]), "ids": ids[near[o]]}
@@ -166,7 +197,8 @@ def search(
     candidate but the query's own.  Equal vectors are one index row with their ``k + 1``
     smallest ids, so a crowd of copies fills no window.  On each curve a query meets the
     blocks around its place, a share ``reach`` of them; in vectors without any structure
-    recall follows this share, which is why it is one.  Scores are inner products in double
+    recall follows this share, which is why it is one.  Rows of like norms have curves of
+    their own, so a few long vectors do not push the others together.  Scores are inner products in double
     precision of the vectors as given; ties go to the smaller id.
 
     Vectors that are null, empty, zero or hold a null or non-finite component take no part,
@@ -182,40 +214,53 @@ def search(
         return spark.createDataFrame([], empty)
     size = first["size"]
     rows = rows.where(F.size("embedding") == size)
-    longest = rows.agg(
-        F.max(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)))
-    ).first()[0]
+    # The norm's exponent, taken without leaving the range of doubles.
+    top = F.array_max(F.transform("embedding", F.abs))
+    parts = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + (x / top) * (x / top))
+    exponent = F.log2(top) + F.log2(parts) / 2
+    band = F.floor(exponent / BAND_BITS).cast("int").alias("band")
+    counts = {r["band"]: r["count"] for r in rows.groupBy(band).count().collect()}
+    groups = band_groups(counts, BLOCK_ROWS)
     smallest = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
     classes = (
         rows.withColumn("n", smallest).where(F.col("n") <= k + 1)
         .groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-        .select("ids", "embedding", F.lit(1).cast("long").alias("counted"))
+        .select("ids", "embedding", F.lit(1).cast("long").alias("counted"), band)
     )
     asking = rows.where(F.col("vec_id") % query_step == 0).select(
-        F.array("vec_id").alias("ids"), "embedding", F.lit(0).cast("long").alias("counted")
+        F.array("vec_id").alias("ids"), "embedding", F.lit(0).cast("long").alias("counted"), F.lit(0).alias("band")
     )
-    placed = classes.unionByName(asking).mapInArrow(keyed(size, longest, seed), KEYED)
+    placed = classes.unionByName(asking).mapInArrow(keyed(size, groups, seed), KEYED)
     ordered = stored(
         running_totals(placed, ["curve", "curve_key"], {"before": "counted"}, "curve-rows"),
         "curve-places",
     )
-    total = (ordered.agg(F.max("all_before")).first()[0] or 0) // CURVES
+    totals = dict(ordered.groupBy("curve").agg(F.sum("counted")).collect())
     chunks = -(-(ordered.where("counted = 0 and curve = 0").count()) // CHUNK_QUERIES)
-    blocks = -(-total // BLOCK_ROWS)
-    width = min(blocks, int(np.ceil(reach * blocks)) + 1)
-    own = F.least(F.expr(f"(before - curve * {total}L) div {BLOCK_ROWS}"), F.lit(blocks - 1))
+    places, base = [], 0
+    for curve in sorted(totals):
+        blocks = -(-totals[curve] // BLOCK_ROWS)
+        places.append((curve, base, blocks, min(blocks, int(np.ceil(reach * blocks)) + 1)))
+        base += totals[curve]
+    # One row for each curve.
+    ordered = ordered.join(
+        F.broadcast(spark.createDataFrame(places, "curve int, base long, blocks int, width int")), "curve"
+    )
+    own = F.least(F.expr(f"cast((before - base) div {BLOCK_ROWS} as int)"), F.col("blocks") - 1)
     index = ordered.where("counted = 1").select(
         "curve", own.alias("block"), "ids", "embedding",
         F.explode(F.sequence(F.lit(0), F.lit(max(chunks, 1) - 1))).alias("chunk"),
     )
-    begin = F.greatest(F.lit(0), F.least(own - width // 2, F.lit(blocks - width)))
+    begin = F.greatest(F.lit(0), F.least(own - F.expr("cast(width div 2 as int)"), F.col("blocks") - F.col("width")))
     queries = ordered.where("counted = 0").select(
         "curve",
-        F.explode(F.sequence(begin, begin + (width - 1))).alias("block"),
+        F.explode(F.sequence(begin, begin + (F.col("width") - 1))).alias("block"),
         "ids", "embedding",
         F.pmod(F.xxhash64("ids"), F.lit(max(chunks, 1))).cast("int").alias("chunk"),
     )
     keys = ["curve", "block", "chunk"]
+    # Both sides come from one frame; their columns are named anew.
+    index, queries = (side.toDF(*side.columns) for side in (index, queries))
     found = index.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(nearest(k + 1), FOUND)
     merged = found.groupBy("query_id").agg(F.flatten(F.collect_list("found")).alias("found"))
     ids = F.flatten(F.transform(

@@ -76,6 +76,25 @@ def test_norms_decide_too(spark):
     assert all(len(rows) == 20 for rows in got.values())
 
 
+@pytest.mark.parametrize("tail", ["one long", "heavy", "huge"])
+def test_long_vectors_do_not_crowd_the_others(spark, monkeypatch, tail):
+    """Recall on groups of near vectors when some norms are far greater than the rest."""
+    rng = np.random.default_rng(5)
+    n = 6000
+    x = (rng.normal(size=(n // 20, 32))[:, None] + 0.2 * rng.normal(size=(n // 20, 20, 32))).reshape(n, 32)
+    if tail == "heavy":
+        x *= (1 + rng.pareto(0.7, n))[:, None]
+    else:
+        x[7] *= 1e4 if tail == "one long" else 1e200
+    monkeypatch.setattr(curve_neighbours, "BLOCK_ROWS", 50)
+    ids = list(range(n))
+    reach = 0.02 if tail == "heavy" else curve_neighbours.REACH
+    got = answer(curve_neighbours.search(frame(spark, ids, x), 20, 20, reach))
+    want = exact(ids, x, 20, 20)
+    recall = np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want])
+    assert recall >= 0.9
+
+
 def test_recall_on_the_test_table(spark):
     folder = "/root/testdata/sf0.1"
     if not os.path.isdir(folder):
