@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import curve_neighbours, importance, jaccard_join, licenses, mixing, oracles, piece_lattice, quality_rules, sharding, suffix_dedup, token_files
+from lapwise.llm import curve_neighbours, importance, jaccard_join, licenses, mixing, oracles, piece_lattice, quality_rules, sharding, suffix_dedup, token_files, whitening
 from lapwise.session import tune
 
 
@@ -59,6 +59,11 @@ def pieces(spark: SparkSession, folder: str) -> DataFrame:
     return piece_lattice.round_trip(_documents(spark, folder), model)
 
 
+def whitened(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = tune(spark).read.parquet(f"{folder}/embeddings.parquet")
+    return whitening.whiten(vectors, components=16, scale=64, shift=1_000_000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": license_scans,
     "op2_token_output": token_output,
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": suffix_dedup_bytes,
     "op9_sharding": shards,
     "op10_sentencepiece": pieces,
+    "op11_whitening": whitened,
 }
 
 ORACLE_SQL: dict[str, str] = {
