@@ -87,3 +87,66 @@ SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, coalesce(n_removed, 0
     ELSE unhex(head || hex(b[tail:octet_length(b)])) END) AS kept_sha256
 FROM data LEFT JOIN cut USING (doc_id)
 """
+
+_WHOLE_VECTORS = """
+whole AS (
+    SELECT row_number() OVER () AS r, vec_id, label,
+        list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+)
+"""
+
+# Scores are whole numbers well below 2^53, so doubles add them up exactly.
+HIGHEST_PRODUCTS = f"""
+WITH {_WHOLE_VECTORS},
+queries AS (
+    SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY x) AS copy FROM whole WHERE vec_id % 50 = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, q.copy, c.vec_id,
+        CAST(list_inner_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+    FROM queries q JOIN whole c ON c.r <> q.r
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score, CAST(copy AS INTEGER) AS copy
+FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id, copy ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+WHERE rank <= 5
+"""
+
+HARD_NEGATIVES = f"""
+WITH {_WHOLE_VECTORS},
+labelled AS (
+    SELECT r, vec_id, x, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+    FROM whole WHERE label IS NOT NULL
+),
+anchors AS (
+    SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY x, label) AS copy
+    FROM labelled WHERE vec_id % 100 = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, a.copy, c.vec_id, c.label = a.label AS same,
+        CAST(list_inner_product(CAST(a.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+    FROM anchors a JOIN labelled c ON c.r <> a.r
+),
+positives AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id, copy ORDER BY score DESC, vec_id) AS positive_rank
+    FROM scored WHERE same
+),
+negatives AS (
+    SELECT p.anchor_id, p.copy, p.positive_rank, p.vec_id AS positive_id, p.score AS positive_score,
+        n.vec_id AS negative_id, n.score AS negative_score,
+        row_number() OVER (
+            PARTITION BY p.anchor_id, p.copy, p.positive_rank ORDER BY n.score DESC, n.vec_id
+        ) AS rank
+    FROM positives p
+    JOIN scored n ON n.anchor_id = p.anchor_id AND n.copy = p.copy AND NOT n.same
+        AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+    WHERE p.positive_rank <= 5
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score,
+    CAST(copy AS INTEGER) AS copy, CAST(positive_rank AS INTEGER) AS positive_rank
+FROM negatives WHERE rank <= 10
+"""

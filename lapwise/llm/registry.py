@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lapwise.llm import curve_neighbours, importance, jaccard_join, licenses, mixing, oracles, piece_lattice, quality_rules, sharding, suffix_dedup, token_files, whitening
+from lapwise.llm import curve_neighbours, hard_negatives, importance, jaccard_join, licenses, mixing, oracles, piece_lattice, pivot_search, quality_rules, sharding, suffix_dedup, token_files, whitening
 from lapwise.session import tune
 
 
@@ -64,6 +65,20 @@ def whitened(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(vectors, components=16, scale=64, shift=1_000_000)
 
 
+def exact_top(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = tune(spark).read.parquet(f"{folder}/embeddings.parquet")
+    return pivot_search.search(vectors, query_step=50, k=5, scale=256)
+
+
+def mined_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = tune(spark).read.parquet(f"{folder}/embeddings.parquet")
+
+    def moved(vec_id: Column, label: Column) -> Column:
+        return F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+
+    return hard_negatives.mine(vectors, anchor_step=100, positives=5, negatives=10, relabel=moved)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": license_scans,
     "op2_token_output": token_output,
@@ -76,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": shards,
     "op10_sentencepiece": pieces,
     "op11_whitening": whitened,
+    "op12_pivot_search": exact_top,
+    "op13_hard_negatives": mined_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -83,4 +100,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_ngram_jaccard_join": oracles.JACCARD_LINKS,
     "op8_suffix_array_dedup": oracles.REPEATED_BYTES,
     "op9_sharding": oracles.SHARDS,
+    "op12_pivot_search": oracles.HIGHEST_PRODUCTS,
+    "op13_hard_negatives": oracles.HARD_NEGATIVES,
 }
