@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,14 +10,12 @@ BUCKET = "bucket"
 PRESENT = "present"
 
 
-def read_if_written(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """The Parquet rows under ``path``; none if nothing was written there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def table_at(
+    spark: SparkSession, path: str, schema: T.StructType | str, *partitions: str
+) -> DataFrame:
+    """The Parquet rows under ``path``; an empty table is started where there is none."""
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partitions).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 class BucketTable:
@@ -43,7 +40,7 @@ class BucketTable:
                 T.StructField(BUCKET, T.LongType()),
             ]
         )
-        return read_if_written(self.spark, self.path, stored).filter(PRESENT).drop(PRESENT)
+        return table_at(self.spark, self.path, stored, BUCKET).filter(PRESENT).drop(PRESENT)
 
     def replace(self, rows: DataFrame, buckets: DataFrame) -> None:
         """Make ``rows`` the whole content of the listed ``buckets``.

@@ -69,6 +69,19 @@ def merged(
     )
 
 
+def only_buckets(table: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Rows of the listed ``buckets``; files of others are not opened.
+
+    The range of the buckets is a filter on the partition column.  Within the range the join
+    prunes at run time (a filter on its small side is what makes Spark do so).
+    """
+    ends = buckets.agg(F.min(BUCKET).alias("low"), F.max(BUCKET).alias("high")).first()
+    if ends["low"] is None:
+        return table.limit(0)
+    within = F.col(BUCKET).between(ends["low"], ends["high"])
+    return table.filter(within).join(buckets.filter(within), BUCKET, "left_semi")
+
+
 def upsert(
     table: BucketTable,
     source: DataFrame,
@@ -85,7 +98,7 @@ def upsert(
     """
     staged = stored(source, "upsert")
     current = table.read()
-    reached = current.join(staged.select(BUCKET).distinct(), BUCKET, "left_semi")
+    reached = only_buckets(current, staged.select(BUCKET).distinct())
     changes = classify(reached, staged.select(key, BUCKET, "row_hash"), key)
     counts = stored(
         changes.groupBy(BUCKET, "change").agg(F.count("*").alias("n")), "upsert-counts"
@@ -99,9 +112,7 @@ def upsert(
         if announce is not None:
             announce(touched)
         rows = merged(
-            current.join(touched, BUCKET, "left_semi"),
-            staged.join(touched, BUCKET, "left_semi"),
-            key, now,
+            only_buckets(current, touched), staged.join(touched, BUCKET, "left_semi"), key, now
         )
         table.replace(rows, touched)
     return report

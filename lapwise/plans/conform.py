@@ -42,9 +42,13 @@ def with_hash(rows: DataFrame, entity: Entity, narrow: bool = False, text: bool
 
 
 def bucket(entity: Entity, width: int) -> Column:
-    """Bucket of a row, fixed by its key; entities without a bucket column have one bucket."""
+    """Bucket of a row, fixed by its key.
+
+    Entities with a bucket column put ``width`` neighbouring values of it into a bucket, the
+    others spread the hashes of their keys over ``width`` buckets.
+    """
     if entity.bucket_on is None:
-        return F.lit(0).cast("bigint")
+        return F.pmod(F.xxhash64(entity.key), F.lit(width)).cast("bigint")
     return F.floor(F.col(entity.bucket_on) / width).cast("bigint")
 
 

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-import itertools
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 
 from lapwise.operators import quality
 from lapwise.operators.incremental import require_row_local
-from lapwise.operators.tables import BUCKET, BucketTable, read_if_written
-from lapwise.operators.upsert import UpsertReport, upsert
+from lapwise.operators.tables import BUCKET, BucketTable, table_at
+from lapwise.operators.upsert import UpsertReport, only_buckets, upsert
 from lapwise.plans import conform
+from lapwise.plans.metrics import BucketMetrics, suites
 from lapwise.plans.star import PROJECTIONS, Star
 from lapwise.session import stored
 from lapwise.sources import audit as audit_rows
@@ -37,9 +38,18 @@ AUDIT = (
 )
 
 
+BATCH = "batch"
+
+# File names that the driver holds at once; a larger arrival lands as several batches.
+FILES_AT_ONCE = 10_000
+
 Outcome = TypeVar("Outcome")
 
 
+# Lists of rewritten buckets: one for the star's refresh, one for the metrics.
+FOLLOWERS = ("stale", "unmeasured")
+
+
 class NothingStaged(RuntimeError):
     """A first load found no file at all: usually a wrong prefix or pattern."""
 
@@ -53,76 +63,97 @@ class Archive:
     bucket_width: dict[str, int] = field(
         default_factory=lambda: {"results": 1_000_000, "pit_stops": 100}
     )
+    hash_buckets: int = 4
     _schemas: dict[str, T.StructType] = field(default_factory=dict, repr=False)
 
-    # -- tables ---------------------------------------------------------------
+    # -- batches --------------------------------------------------------------
 
-    def _files(self, pattern: str) -> list[str]:
-        """Names matching a path pattern below the root."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return sorted(f.getPath().getName() for f in fs.globStatus(path) or [])
+    def _marks(self, kind: str, entity: Entity) -> DataFrame:
+        """The batches an entity has gone through a step with, one row each."""
+        return table_at(self.spark, f"{self.root}/{kind}/{entity.name}", f"{BATCH} string")
 
-    def _mark(self, kind: str, entity: Entity, batch: str) -> None:
-        """Create an empty marker file; one creation is the atomic step of a whole batch."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(
-            f"{self.root}/{kind}/{entity.name}/{batch}"
-        )
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        fs.mkdirs(path.getParent())
-        fs.createNewFile(path)
+    def _mark(self, kind: str, entity: Entity, batches: DataFrame) -> None:
+        """Add batches to a step's table; this one write is what makes them count."""
+        batches.coalesce(1).write.mode("append").parquet(f"{self.root}/{kind}/{entity.name}")
 
-    def batches(self, entity: Entity) -> list[str]:
+    def _named(self, names: Iterable[str]) -> DataFrame:
+        return self.spark.createDataFrame([(n,) for n in names], f"{BATCH} string")
+
+    def landed_batches(self, entity: Entity) -> DataFrame:
         """Batches that landed completely; anything else on disk is ignored."""
-        return self._files(f"landed/{entity.name}/[!.]*")
+        return self._marks("landed", entity)
+
+    def waiting(self, entity: Entity) -> DataFrame:
+        """Landed batches not yet in the typed table."""
+        return self.landed_batches(entity).join(self._marks("conformed", entity), BATCH, "left_anti")
+
+    def batches(self, entity: Entity) -> list[str]:
+        """Names of the landed batches, for people; no step lists them."""
+        return sorted(r[BATCH] for r in self.landed_batches(entity).distinct().collect())
+
+    def unconformed(self, entity: Entity) -> list[str]:
+        return sorted(r[BATCH] for r in self.waiting(entity).distinct().collect())
 
     def fresh_name(self, entity: Entity, batch: str) -> str:
         """``batch``, numbered if batches of that name have landed."""
-        landed = set(self.batches(entity))
-        names = itertools.chain([batch], (f"{batch}+{n}" for n in itertools.count(2)))
-        return next(n for n in names if n not in landed)
+        number = F.regexp_extract(BATCH, r"[+]([0-9]+)$", 1)
+        last = self.landed_batches(entity).select(
+            F.when(F.col(BATCH) == batch, 1)
+            .when(F.col(BATCH) == F.concat(F.lit(f"{batch}+"), number), number.try_cast("int"))
+            .alias("n")
+        ).agg(F.max("n")).first()[0]
+        return batch if last is None else f"{batch}+{last + 1}"
 
-    def unconformed(self, entity: Entity) -> list[str]:
-        """Landed batches not yet in the typed table."""
-        done = set(self._files(f"conformed/{entity.name}/[!.]*"))
-        return [b for b in self.batches(entity) if b not in done]
-
-    def _log(self, name: str, schema: str, entities: Iterable[Entity]) -> DataFrame:
-        """Rows of a per-batch log, of landed batches only."""
-        landed = {f"batch={e.name}-{b}" for e in entities for b in self.batches(e)}
-        found = [f for f in self._files(f"{name}/batch=*") if f in landed]
-        if not found:
-            return self.spark.createDataFrame([], T.StructType.fromDDL(schema))
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{name}/{f}" for f in found])
-
-    def landing(self, entity: Entity, batches: list[str] | None = None) -> DataFrame:
-        """Landed rows, of all batches or the named ones."""
-        wanted = [b for b in self.batches(entity) if batches is None or b in batches]
-        if not wanted:
-            return self.spark.createDataFrame([], landing_schema(entity))
-        return self.spark.read.schema(landing_schema(entity)).parquet(
-            *[self._landing_path(entity, b) for b in wanted]
-        )
+    # -- tables ---------------------------------------------------------------
+
+    def _batch_path(self, kind: str, entity: Entity, batch: str) -> str:
+        return f"{self.root}/{kind}/{entity.name}/{BATCH}={batch}"
 
-    def _landing_path(self, entity: Entity, batch: str) -> str:
-        return f"{self.root}/landing/{entity.name}/batch={batch}"
+    def _rows(
+        self, kind: str, entity: Entity, schema: T.StructType | str,
+        batches: DataFrame | None = None,
+    ) -> DataFrame:
+        """Rows of an entity's table by batch: of landed batches, or of the given ones.
+
+        The table is read by its one path; batches are a partition column and a semi-join.
+        """
+        if isinstance(schema, str):
+            schema = T.StructType.fromDDL(schema)
+        whole = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
+        rows = table_at(self.spark, f"{self.root}/{kind}/{entity.name}", whole, BATCH)
+        kept = self.landed_batches(entity) if batches is None else batches
+        return rows.join(kept.filter(F.col(BATCH) != ""), BATCH, "left_semi").select(*schema.names)
+
+    def _every(self, kind: str, schema: str) -> DataFrame:
+        return reduce(DataFrame.unionByName, [self._rows(kind, e, schema) for e in ENTITIES.values()])
+
+    def landing(self, entity: Entity, batches: list[str] | DataFrame | None = None) -> DataFrame:
+        """Landed rows, of all batches or the given ones."""
+        if isinstance(batches, list):
+            batches = self.landed_batches(entity).filter(F.col(BATCH).isin(batches))
+        return self._rows("landing", entity, landing_schema(entity), batches)
 
     def rejects(self) -> DataFrame:
-        return self._log("rejects", REJECTS, ENTITIES.values())
+        return self._every("rejects", REJECTS)
 
     def audit(self) -> DataFrame:
         """Rows written with each load and those added by `record_history`."""
-        rows = self._log("audit", AUDIT, ENTITIES.values())
-        return rows.unionByName(read_if_written(self.spark, f"{self.root}/recorded", AUDIT))
+        return self._every("audit", AUDIT).unionByName(
+            table_at(self.spark, f"{self.root}/recorded", AUDIT)
+        )
 
     def metrics(self) -> DataFrame:
         """Every stored measurement."""
-        return read_if_written(self.spark, f"{self.root}/metrics", quality.RESULT)
+        return table_at(self.spark, f"{self.root}/metrics", quality.RESULT)
 
     def store_metrics(self, measured: DataFrame) -> None:
         """Add measurements to the history."""
         measured.write.mode("append").parquet(f"{self.root}/metrics")
 
+    def bucket_metrics(self, entity: Entity) -> BucketMetrics:
+        """What each bucket of a typed table contributes to its metrics."""
+        return BucketMetrics(self.spark, f"{self.root}/measured/{entity.name}", entity.name)
+
     def record_history(
         self, history: DataFrame, now: dt.datetime, lookback_hours: int | None = None
     ) -> int:
@@ -136,7 +167,8 @@ class Archive:
         return seen.get["n"]
 
     def ledger(self, entity: Entity) -> DataFrame:
-        return self._log("ledger", LEDGER, [entity])
+        """Files that have landed, by batch load or by stream."""
+        return self._rows("ledger", entity, LEDGER)
 
     def typed_table(self, entity: Entity) -> BucketTable:
         if entity.name not in self._schemas:
@@ -176,8 +208,10 @@ class Archive:
         with ThreadPoolExecutor(at_once) as pool:
             return dict(zip(names, pool.map(lambda n: step(ENTITIES[n]), names)))
 
-    def bring_up(self, staged_root: str, batch: str, now: dt.datetime) -> dict[str, UpsertReport]:
-        """Load what is new, upsert it and refresh the star, for all seven entities.
+    def bring_up(
+        self, staged_root: str, batch: str, now: dt.datetime, measuring: bool = True
+    ) -> dict[str, UpsertReport]:
+        """Load what is new, upsert it, refresh the star and measure what changed.
 
         A run that died at any point is completed by the next one: batches landed but not
         upserted are taken along, newest load first within a key.
@@ -185,12 +219,21 @@ class Archive:
 
         def step(entity: Entity) -> UpsertReport:
             self.load(entity, staged_root, batch, now)
-            waiting = self.unconformed(entity)
-            report = self.conform(entity, now, waiting) if waiting else UpsertReport(0, 0, 0)
-            self.refresh(entity)
-            return report
-
-        return self.for_each(step)
+            return self.catch_up(entity, now)
+
+        reports = self.for_each(step)
+        if measuring:
+            self.measure(now)
+        return reports
+
+    def catch_up(self, entity: Entity, now: dt.datetime) -> UpsertReport:
+        """Upsert the waiting batches and refresh the star."""
+        waiting = stored(self.waiting(entity).distinct(), "waiting")
+        report = UpsertReport(0, 0, 0)
+        if not waiting.isEmpty():
+            report = self.conform(entity, now, waiting)
+        self.refresh(entity)
+        return report
 
     def load(
         self,
@@ -202,26 +245,42 @@ class Archive:
     ) -> int:
         """Land the files of the entity's prefix that the ledger does not hold.
 
-        Returns how many files were taken.  The file list is what Spark's own file index
-        holds on the driver for any scan.  A batch name that has landed before gets a
-        number, so no load replaces another.
+        Returns how many files were taken.  A batch name that has landed before gets a number,
+        so no load replaces another.
         """
-        batch = self.fresh_name(entity, batch)
         staged = staged_files(self.spark, f"{staged_root}/{entity.name}", entity.file_pattern)
-        known = self.ledger(entity)
-        fresh = pending(staged, known, force).select(*FILE_KEY)
-        files = [r.asDict() for r in fresh.collect()]
-        if not files:
-            if not force and not known.take(1):
-                raise NothingStaged(f"no file for {entity.name} under {staged_root}")
-            return 0
-        taken = self.spark.createDataFrame(
-            [(entity.name, *[f[k] for k in FILE_KEY]) for f in files], LEDGER
-        )
-        taken.write.mode("overwrite").parquet(f"{self.root}/ledger/batch={entity.name}-{batch}")
-        lines = line_source.read_lines(self.spark, [f["file_name"] for f in files])
-        self.land(entity, lines, batch, loaded_at, taken.select("target_table", "file_name"))
-        return len(files)
+        taken = self.take(entity, staged, batch, loaded_at, force)
+        if not taken and not force and self.ledger(entity).isEmpty():
+            raise NothingStaged(f"no file for {entity.name} under {staged_root}")
+        return taken
+
+    def take(
+        self,
+        entity: Entity,
+        files: DataFrame,
+        batch: str,
+        loaded_at: dt.datetime,
+        force: bool = False,
+        replay: bool = False,
+    ) -> int:
+        """Land those of the ``files`` that the ledger does not hold; returns how many.
+
+        Batch loads and streams both come through here.  A reader needs its paths by name, so
+        the driver holds the names of one batch: files are dealt by a hash into as many
+        batches as `FILES_AT_ONCE` asks for.  ``replay`` keeps the name as it is: a batch that
+        did not count is written anew.
+        """
+        fresh = stored(pending(files, self.ledger(entity), force).select(*FILE_KEY).distinct(), "files")
+        count = fresh.count()
+        shares = -(-count // FILES_AT_ONCE)
+        for share in range(shares):
+            part = fresh.filter(F.pmod(F.xxhash64("file_name"), F.lit(shares)) == share)
+            listed = part.select(F.lit(entity.name).alias("target_table"), *FILE_KEY)
+            paths = [r["file_name"] for r in part.select("file_name").collect()]
+            if paths:
+                name = f"{batch}.{share}" if replay and shares > 1 else batch if replay else self.fresh_name(entity, batch)
+                self.land(entity, line_source.read_lines(self.spark, paths), name, loaded_at, listed)
+        return count
 
     def land(
         self,
@@ -231,29 +290,23 @@ class Archive:
         loaded_at: dt.datetime,
         files: DataFrame | None = None,
     ) -> None:
-        """Write landing, reject and audit rows of one batch.
+        """Write landing, reject, ledger and audit rows of one batch.
 
-        Of the listed ``files`` those without any record get an audit row as well.
+        ``files`` (target_table and the file's identity) go to the ledger; those without any
+        record get an audit row as well.
 
         Each goes to the batch's own folder, overwritten on a replay, and counts only once
         the batch is marked as landed, so a failure in between leaves no half batch and no
         row twice.
         """
         judged = line_source.judged(lines)
-        landing_path = self._landing_path(entity, batch)
-        reject_path = f"{self.root}/rejects/batch={entity.name}-{batch}"
-        seen = Observation()
-        bad = F.count_if(F.col("error").isNotNull()).alias("rejected")
-        good = judged.observe(seen, bad).filter(F.col("error").isNull())
+        landing_path = self._batch_path("landing", entity, batch)
+        reject_path = self._batch_path("rejects", entity, batch)
+        good = judged.filter(F.col("error").isNull())
         line_source.landed(good, entity, loaded_at).write.mode("overwrite").parquet(landing_path)
         loaded = self.spark.read.schema(landing_schema(entity)).parquet(landing_path)
-        rejected = self.spark.createDataFrame([], T.StructType.fromDDL(REJECTS))
-        # A clean batch, the usual case, needs no second pass over its text.
-        if seen.get["rejected"]:
-            line_source.rejects(judged, entity, loaded_at).write.mode("overwrite").parquet(
-                reject_path
-            )
-            rejected = self.spark.read.schema(REJECTS).parquet(reject_path)
+        line_source.rejects(judged, entity, loaded_at).write.mode("overwrite").parquet(reject_path)
+        rejected = self.spark.read.schema(REJECTS).parquet(reject_path)
         label = F.lit(entity.name).alias("target_table")
         history = audit_rows.load_history(
             loaded.select(
@@ -267,33 +320,52 @@ class Archive:
             ),
         )
         if files is not None:
-            history = audit_rows.with_empty_files(history, files, F.lit(loaded_at).cast("timestamp"))
+            files.write.mode("overwrite").parquet(self._batch_path("ledger", entity, batch))
+            named = files.select("target_table", "file_name")
+            history = audit_rows.with_empty_files(history, named, F.lit(loaded_at).cast("timestamp"))
         history.withColumn("recorded_at", F.lit(loaded_at).cast("timestamp")).write.mode(
             "overwrite"
-        ).parquet(f"{self.root}/audit/batch={entity.name}-{batch}")
-        self._mark("landed", entity, batch)
+        ).parquet(self._batch_path("audit", entity, batch))
+        known = self.landed_batches(entity).filter(F.col(BATCH) == batch)
+        if known.isEmpty():
+            self._mark("landed", entity, self._named([batch]))
 
     def conform(
         self,
         entity: Entity,
         now: dt.datetime,
-        batches: list[str] | None = None,
+        batches: list[str] | DataFrame | None = None,
         narrow: bool = False,
     ) -> UpsertReport:
-        """Upsert landed rows into the typed table, from all batches or only the new ones."""
-        width = self.bucket_width.get(entity.name, 1)
-        taken = self.batches(entity) if batches is None else batches
+        """Upsert landed rows into the typed table, from all batches or only the given ones."""
+        width = self.bucket_width.get(entity.name, self.hash_buckets)
+        if isinstance(batches, list):
+            batches = self._named(batches)
+        taken = self.landed_batches(entity).distinct()
+        if batches is not None:
+            taken = taken.join(batches, BATCH, "left_semi")
+        taken = stored(taken, "taken")
         source = conform.source_rows(self.landing(entity, taken), entity, width, narrow)
         report = upsert(
             self.typed_table(entity), source, entity.key, F.lit(now).cast("timestamp"),
-            announce=lambda buckets: buckets.write.mode("append").parquet(self._stale_path(entity)),
+            announce=lambda buckets: self._announce(entity, buckets),
         )
-        for batch in taken:
-            self._mark("conformed", entity, batch)
+        self._mark("conformed", entity, taken.join(self._marks("conformed", entity), BATCH, "left_anti"))
         return report
 
-    def _stale_path(self, entity: Entity) -> str:
-        return f"{self.root}/stale/{entity.name}"
+    def _announce(self, entity: Entity, buckets: DataFrame) -> None:
+        """List the buckets an upsert is about to rewrite, for those that follow the table."""
+        for kind in FOLLOWERS:
+            buckets.write.mode("append").parquet(f"{self.root}/{kind}/{entity.name}")
+
+    def _listed(self, kind: str, entity: Entity) -> DataFrame:
+        """The buckets listed for a follower."""
+        path = f"{self.root}/{kind}/{entity.name}"
+        return stored(table_at(self.spark, path, f"{BUCKET} bigint").distinct(), kind)
+
+    def _done(self, kind: str, entity: Entity) -> None:
+        empty = self.spark.createDataFrame([], f"{BUCKET} bigint")
+        empty.write.mode("overwrite").parquet(f"{self.root}/{kind}/{entity.name}")
 
     def refresh(self, entity: Entity) -> int:
         """Bring the star table up to the typed table; returns how many buckets it projected.
@@ -303,16 +375,35 @@ class Archive:
         The projection is row-local (checked), so a bucket of the star depends on the same
         bucket of the typed table and nothing else.
         """
-        path, schema = self._stale_path(entity), f"{BUCKET} bigint"
-        buckets = stored(read_if_written(self.spark, path, schema).distinct(), "stale")
+        buckets = self._listed("stale", entity)
         count = buckets.count()
         if count:
             _, project = PROJECTIONS[entity.name]
             rows = require_row_local(project(self.typed_table(entity).read(), BUCKET))
-            self.star_table(entity).replace(rows.join(buckets, BUCKET, "left_semi"), buckets)
-            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+            self.star_table(entity).replace(only_buckets(rows, buckets), buckets)
+            self._done("stale", entity)
         return count
 
+    def measure(self, now: dt.datetime, names: Iterable[str] | None = None) -> list[str]:
+        """Measure the tables that changed and add the numbers to the history.
+
+        Only buckets that were rewritten are read; the other buckets' shares of the counts
+        are kept from before.  Returns the names of the measured tables.
+        """
+        at = F.lit(now).cast("timestamp")
+        measured = []
+        for name in suites(at) if names is None else [n for n in names if n in suites(at)]:
+            entity = ENTITIES[name]
+            buckets = self._listed("unmeasured", entity)
+            if buckets.isEmpty():
+                continue
+            shares = self.bucket_metrics(entity)
+            shares.update(only_buckets(self.typed_table(entity).read(), buckets), buckets, at)
+            self.store_metrics(shares.totals(at))
+            self._done("unmeasured", entity)
+            measured.append(name)
+        return measured
+
 
 def landing_schema(entity: Entity) -> T.StructType:
     lineage = dict(

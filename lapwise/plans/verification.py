@@ -12,15 +12,12 @@ from lapwise.functions import ascending
 from lapwise.operators import masking, quality
 from lapwise.operators.upsert import UpsertReport
 from lapwise.plans import views
+from lapwise.plans.metrics import suites
 from lapwise.plans.pipeline import Archive
-from lapwise.plans.star import MAX_STOP_MS, MIN_STOP_MS, Star
+from lapwise.plans.star import Star
 from lapwise.sources import audit
 from lapwise.sources.entities import ENTITIES
 
-# Plausible grid slots and points of one entry.
-GRID_RANGE = (0, 40)
-POINTS_RANGE = (0, 50)
-
 # Child table, foreign key, parent table; the key has the same name on both sides.
 RELATIONSHIPS = (
     ("results", "race_id", "races"),
@@ -68,38 +65,6 @@ def orphan_results(archive: Archive) -> DataFrame:
     ).withColumnRenamed("orphan_count", "orphan_results")
 
 
-def suites(as_of: Column | None = None) -> dict[str, tuple[list[quality.Metric], list[list[str]]]]:
-    """Metrics attached to each typed table, and the keys checked for duplicates."""
-    return {
-        "results": (
-            [
-                quality.null_count("race_id"),
-                quality.null_count("driver_id"),
-                quality.null_count("constructor_id"),
-                quality.row_count(),
-                quality.out_of_range(
-                    "DMF_GRID_POSITION_OUT_OF_RANGE", "grid_position", *GRID_RANGE
-                ),
-                quality.out_of_range("DMF_POINTS_OUT_OF_RANGE", "points", *POINTS_RANGE),
-            ],
-            [["result_id"]],
-        ),
-        "drivers": ([quality.null_count("full_name")], [["driver_id"]]),
-        "races": (
-            [quality.null_count("season_year"), quality.freshness("dw_updated_at", as_of)],
-            [["race_id"]],
-        ),
-        "pit_stops": (
-            [
-                quality.out_of_range(
-                    "DMF_IMPLAUSIBLE_PIT_DURATION", "duration_ms", MIN_STOP_MS, MAX_STOP_MS
-                )
-            ],
-            [["pit_stop_key"]],
-        ),
-    }
-
-
 def measure(
     archive: Archive, as_of: Column | None = None, only: Iterable[str] | None = None
 ) -> DataFrame:

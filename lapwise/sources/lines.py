@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lapwise.session import stored
 from lapwise.sources.entities import Entity
 
 # Tokens read as NULL.
@@ -23,6 +24,13 @@ _FIELD = rf"(?:{_QUOTED}|{_BARE})"
 RECORD_PATTERN = rf"^{_FIELD}(?:,{_FIELD})*+$"
 SOUND_START = rf"^(?:{_FIELD},)*+"
 
+# A line that ends inside a quoted field, and lines that start inside one and stay
+# there or close the record.
+_TEXT = r'[^"]*+(?:""[^"]*+)*+'
+_OPENS = rf'^(?:{_FIELD},)*+\s*+"{_TEXT}$'
+_STAYS = rf'^{_TEXT}(?:"\s*+,(?:{_FIELD},)*+\s*+"{_TEXT})?+$'
+_CLOSES = rf'^{_TEXT}"\s*+(?:,{_FIELD})*+$'
+
 CSV_OPTIONS = {
     "sep": ",",
     "quote": '"',
@@ -32,6 +40,7 @@ CSV_OPTIONS = {
     "mode": "PERMISSIVE",
 }
 
+SPLIT = ["file_path", "block_start"]
 UNCLOSED_QUOTE = "unclosed or misplaced quote"
 
 
@@ -56,35 +65,163 @@ def read_lines(
     return lines if pattern is None else lines.filter(F.col("file_path").rlike(pattern))
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
-    """Add the 1-based line number within the file without shuffling the lines.
+def scanned(lines: DataFrame) -> DataFrame:
+    """The lines, read once and stored, with what each does to an open quoted field.
 
-    Rows of one scan split carry consecutive ids, so a row's place in its split is its
-    id less the split's smallest, and the lines of earlier splits of the file are added
-    to that.  The joined table has one row per split of the scan.
+    ``place`` rises within the lines of one scan split.  ``opens`` says that a line read from a
+    record's start ends inside a quoted field; ``within`` says what it does when it starts
+    inside one: ``stay`` there, ``close`` the record soundly, or ``break`` it.
     """
-    tagged = lines.withColumn("__id", F.monotonically_increasing_id())
-    splits = tagged.groupBy("file_path", "block_start").agg(
-        F.min("__id").alias("__first"), F.count("*").alias("__lines")
+    value = F.col("value")
+    quoted = value.contains('"')
+    return stored(
+        lines.select(
+            "value", "file_path", "file_modified", "block_start",
+            F.monotonically_increasing_id().alias("place"),
+            (quoted & value.rlike(_OPENS)).alias("opens"),
+            F.when(~quoted | value.rlike(_STAYS), "stay")
+            .when(value.rlike(_CLOSES), "close")
+            .otherwise("break")
+            .alias("within"),
+        ),
+        "lines",
+    )
+
+
+def _inside_before(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """``known`` and ``odd``: the state before each row as far as its group tells.
+
+    A row either ``sets`` whether a field is open, or ``flips`` that, or leaves it.  ``known`` is
+    the state if a row before sets it, else NULL; ``odd`` whether the flips before are odd.
+    """
+    before = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    counted = rows.withColumn(
+        "flipped", F.coalesce(F.sum(F.col("flips").cast("bigint")).over(before), F.lit(0))
+    )
+    setting = F.when(F.col("sets").isNotNull(), F.struct("sets", "flipped"))
+    last = F.last(setting, ignorenulls=True).over(before)
+    return counted.withColumn("last", last).select(
+        *rows.columns,
+        (F.col("last.sets") != ((F.col("flipped") - F.col("last.flipped")) % 2 == 1)).alias("known"),
+        (F.col("flipped") % 2 == 1).alias("odd"),
     )
-    earlier = W.partitionBy("file_path").orderBy("block_start").rowsBetween(
-        W.unboundedPreceding, -1
+
+
+def _moves(scan: DataFrame) -> DataFrame:
+    """Lines that change or may end an open field, without text, with the state before each."""
+    opens, within = F.col("opens"), F.col("within")
+    flips = opens & (within == "close")
+    moving = scan.filter(opens | (within != "stay")).select(
+        *SPLIT, "place", "opens", "within",
+        F.when(~flips, opens).alias("sets"), flips.alias("flips"),
     )
-    offsets = splits.select(
-        "file_path", "block_start", "__first",
-        F.coalesce(F.sum("__lines").over(earlier), F.lit(0)).alias("__before"),
+    return _inside_before(moving, SPLIT, "place")
+
+
+def split_states(scan: DataFrame) -> DataFrame:
+    """One row per scan split: its first place, the lines before it, and whether it starts inside.
+
+    Each split sums up what it does to an open field by itself; the sums of the splits before
+    it in the file give its start.
+    """
+    counts = scan.groupBy(*SPLIT).agg(F.min("place").alias("first"), F.count("*").alias("lines"))
+    end = _moves(scan).groupBy(*SPLIT).agg(
+        F.max_by(F.coalesce("sets", F.col("known") != F.col("flips")), "place").alias("sets"),
+        F.max_by(F.col("odd") != F.col("flips"), "place").alias("odd_flips"),
+    )
+    effect = end.select(*SPLIT, "sets", (F.col("sets").isNull() & F.col("odd_flips")).alias("flips"))
+    splits = counts.join(effect, SPLIT, "left").fillna(False, ["flips"])
+    earlier = W.partitionBy("file_path").orderBy("block_start").rowsBetween(W.unboundedPreceding, -1)
+    return _inside_before(splits, ["file_path"], "block_start").select(
+        *SPLIT, "first",
+        F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("before"),
+        F.coalesce("known", "odd").alias("inside"),
     )
-    return tagged.join(F.broadcast(offsets), ["file_path", "block_start"]).select(
+
+
+def joined_records(scan: DataFrame, splits: DataFrame) -> DataFrame:
+    """``file_path, from_line, to_line`` of every record that runs over several lines.
+
+    A record that opens a quoted field goes on to the line that closes it soundly.  Where a
+    line breaks the field, or none closes it, no lines are joined and each is judged alone.
+    """
+    inside = F.coalesce("known", F.col("odd") != F.col("inside"))
+    states = _moves(scan).join(splits, SPLIT)
+    events = states.withColumn("in", inside).select(
+        *SPLIT, (F.col("before") + F.col("place") - F.col("first") + 1).alias("line"),
+        (F.col("opens") & (~F.col("in") | (F.col("within") == "break"))).alias("starts"),
+        (F.col("in") & (F.col("within") == "close")).alias("ends"),
+        (F.col("in") & (F.col("within") == "break")).alias("breaks"),
+    ).filter("starts or ends or breaks")
+    following = W.partitionBy(*SPLIT).orderBy("line")
+    event = F.struct("line", "ends")
+    own = events.withColumn("next", F.lead(event).over(following))
+    # A split's last event is followed by the first one of a later split.
+    later = W.partitionBy("file_path").orderBy("block_start").rowsBetween(1, W.unboundedFollowing)
+    firsts = (
+        splits.select(*SPLIT)
+        .join(events.groupBy(*SPLIT).agg(F.min_by(event, "line").alias("first_event")), SPLIT, "left")
+        .select(*SPLIT, F.first("first_event", ignorenulls=True).over(later).alias("after"))
+    )
+    return (
+        own.filter("starts").join(firsts, SPLIT)
+        .withColumn("next", F.coalesce("next", "after"))
+        .filter("next.ends")
+        .select("file_path", F.col("line").alias("from_line"), F.col("next.line").alias("to_line"))
+    )
+
+
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Add the 1-based line number within the file."""
+    scan = scanned(lines)
+    return _numbered(scan, stored(split_states(scan), "splits"))
+
+
+def _numbered(scan: DataFrame, splits: DataFrame) -> DataFrame:
+    # Joined on the split, unhinted: Spark broadcasts the stored splits while they are small.
+    return scan.join(splits.select(*SPLIT, "first", "before"), SPLIT).select(
         "value", "file_path", "file_modified",
-        (F.col("__before") + F.col("__id") - F.col("__first") + 1).alias("line_number"),
+        (F.col("before") + F.col("place") - F.col("first") + 1).alias("line_number"),
+    )
+
+
+def read_records(lines: DataFrame) -> DataFrame:
+    """Records with the number of their first line; a line break inside quotes is kept as ``\\n``.
+
+    The text is read once.  Whether a split starts inside a quoted field follows from
+    the quotes of the splits before it, so every split finds its records by itself.  Only
+    lines of records that run over several lines are gathered, record by record.
+    """
+    scan = scanned(lines)
+    splits = stored(split_states(scan), "splits")
+    numbered = _numbered(scan, splits)
+    runs = stored(joined_records(scan, splits), "runs")
+    if runs.isEmpty():
+        return numbered
+    members = runs.select(
+        "file_path", "from_line", F.explode(F.sequence("from_line", "to_line")).alias("line_number")
+    )
+    marked = numbered.join(members, ["file_path", "line_number"], "left")
+    whole = (
+        marked.filter("from_line is not null")
+        .groupBy("file_path", F.col("from_line").alias("line_number"))
+        .agg(
+            F.array_join(
+                F.transform(F.sort_array(F.collect_list(F.struct("line_number", "value"))), lambda x: x["value"]),
+                "\n",
+            ).alias("value"),
+            F.max("file_modified").alias("file_modified"),
+        )
     )
+    alone = marked.filter("from_line is null").drop("from_line")
+    return alone.unionByName(whole).select("value", "file_path", "file_modified", "line_number")
 
 
 def judged(lines: DataFrame, header_lines: int = 1) -> DataFrame:
-    """Data lines (no header, no blank lines) with the reason for rejection, if any."""
+    """Records (no header, no blank lines) with the reason for rejection, if any."""
     value = F.col("value")
     return (
-        number_lines(lines)
+        read_records(lines)
         .filter((F.col("line_number") > header_lines) & (F.trim(value) != ""))
         .withColumn(
             "error",

@@ -11,29 +11,36 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lapwise.plans.pipeline import Archive
 from lapwise.sources.entities import Entity
-from lapwise.sources.lines import with_lineage
 
 Clock = Callable[[], dt.datetime]
 
+# The columns of a binary file row; the content is never asked for, so it is never read.
+FILE_ROW = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def _utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def arriving_lines(archive: Archive, entity: Entity, staged_root: str, **options: str) -> DataFrame:
-    """Lines of the entity's files as they arrive.
+def arriving_files(archive: Archive, entity: Entity, staged_root: str, **options: str) -> DataFrame:
+    """Name, size and time of the entity's files as they arrive, whatever they hold.
 
     ``maxFileAge`` is lifted far beyond the default week: an old-dated file that arrives
     late is still new.
     """
-    lines = (
-        archive.spark.readStream.format("text")
+    files = (
+        archive.spark.readStream.format("binaryFile")
+        .schema(FILE_ROW)
         .option("recursiveFileLookup", "true")
         .option("maxFileAge", "36500d")
         .options(**options)
         .load(f"{staged_root}/{entity.name}")
     )
-    return with_lineage(lines).filter(F.col("file_path").rlike(entity.file_pattern))
+    return files.select(
+        F.col("path").alias("file_name"),
+        F.col("length").alias("file_size"),
+        F.col("modificationTime").alias("file_modified"),
+    ).filter(F.col("file_name").rlike(entity.file_pattern))
 
 
 def ingest(
@@ -47,23 +54,25 @@ def ingest(
 ) -> StreamingQuery:
     """Start the query; by default it takes what is there and stops.
 
-    A micro-batch writes to folders named after the query's id, which belongs to its
-    checkpoint, and its own; it overwrites them on a replay, so landing, rejects and audit agree whatever fails between them.  With ``upserting``
-    each batch also goes through the typed table and the star; repeating that is
-    harmless, since unchanged hashes write nothing and a refresh takes only listed buckets.
+    The stream is one of files, not of their lines.  A micro-batch takes those that the
+    archive's ledger does not hold, which batch loads write as well, so no file lands twice
+    whichever way it came, and a file without records has its audit row.  What a micro-batch
+    writes is named after the query's id, which belongs to its checkpoint, and its own: a replay
+    finds its files in the ledger or overwrites what did not count.  With ``upserting`` each
+    batch also goes through the typed table, the star and the metrics; repeating that is harmless,
+    since unchanged hashes write nothing and only listed buckets are followed up.
     """
 
-    def take(batch: DataFrame, batch_id: int) -> None:
+    def take(files: DataFrame, batch_id: int) -> None:
         now = clock()
         query_id = archive.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        name = f"stream-{query_id}-{batch_id:09d}"
-        archive.land(entity, batch, name, now)
+        archive.take(entity, files, f"stream-{query_id}-{batch_id:09d}", now, replay=True)
         if upserting:
-            archive.conform(entity, now, batches=[name])
-            archive.refresh(entity)
+            archive.catch_up(entity, now)
+            archive.measure(now, [entity.name])
 
-    lines = arriving_lines(archive, entity, staged_root, **options)
-    writer = lines.writeStream.foreachBatch(take).option(
+    files = arriving_files(archive, entity, staged_root, **options)
+    writer = files.writeStream.foreachBatch(take).option(
         "checkpointLocation", f"{archive.root}/checkpoints/{entity.name}"
     )
     if processing_time is None:

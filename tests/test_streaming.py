@@ -8,7 +8,7 @@ import racing_files
 
 from lapwise.plans.pipeline import Archive
 from lapwise.sources.entities import ENTITIES
-from lapwise.streaming.ingest import arriving_lines, ingest
+from lapwise.streaming.ingest import arriving_files, ingest
 
 RESULTS = ENTITIES["results"]
 
@@ -102,7 +102,7 @@ def test_a_rewritten_file_loads_again_and_force_reloads_all(spark, tmp_path):
 def test_the_stream_reads_only_matching_files(spark, tmp_path):
     staged, archive = str(tmp_path / "staged"), Archive(spark, str(tmp_path / "archive"))
     racing_files.write(staged)
-    assert arriving_lines(archive, RESULTS, staged).isStreaming
+    assert arriving_files(archive, RESULTS, staged).isStreaming
 
 
 def test_a_run_that_died_is_completed_by_the_next(spark, tmp_path, monkeypatch):
