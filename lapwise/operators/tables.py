@@ -10,12 +10,17 @@ BUCKET = "bucket"
 PRESENT = "present"
 
 
-def table_at(
-    spark: SparkSession, path: str, schema: T.StructType | str, *partitions: str
-) -> DataFrame:
-    """The Parquet rows under ``path``; an empty table is started where there is none."""
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partitions).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system has ``path``; one request, no job."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def table_at(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The Parquet rows under ``path``; none if nothing was written there yet."""
+    if exists(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
 
 
 class BucketTable:
@@ -40,7 +45,7 @@ class BucketTable:
                 T.StructField(BUCKET, T.LongType()),
             ]
         )
-        return table_at(self.spark, self.path, stored, BUCKET).filter(PRESENT).drop(PRESENT)
+        return table_at(self.spark, self.path, stored).filter(PRESENT).drop(PRESENT)
 
     def replace(self, rows: DataFrame, buckets: DataFrame) -> None:
         """Make ``rows`` the whole content of the listed ``buckets``.

@@ -69,7 +69,7 @@ class Archive:
     # -- batches --------------------------------------------------------------
 
     def _marks(self, kind: str, entity: Entity) -> DataFrame:
-        """The batches an entity has gone through a step with, one row each."""
+        """The batches an entity has gone through a step with; repeated steps leave repeated rows."""
         return table_at(self.spark, f"{self.root}/{kind}/{entity.name}", f"{BATCH} string")
 
     def _mark(self, kind: str, entity: Entity, batches: DataFrame) -> None:
@@ -120,7 +120,7 @@ class Archive:
         if isinstance(schema, str):
             schema = T.StructType.fromDDL(schema)
         whole = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
-        rows = table_at(self.spark, f"{self.root}/{kind}/{entity.name}", whole, BATCH)
+        rows = table_at(self.spark, f"{self.root}/{kind}/{entity.name}", whole)
         kept = self.landed_batches(entity) if batches is None else batches
         return rows.join(kept.filter(F.col(BATCH) != ""), BATCH, "left_semi").select(*schema.names)
 
@@ -219,12 +219,12 @@ class Archive:
 
         def step(entity: Entity) -> UpsertReport:
             self.load(entity, staged_root, batch, now)
-            return self.catch_up(entity, now)
+            report = self.catch_up(entity, now)
+            if measuring:
+                self.measure(now, [entity.name])
+            return report
 
-        reports = self.for_each(step)
-        if measuring:
-            self.measure(now)
-        return reports
+        return self.for_each(step)
 
     def catch_up(self, entity: Entity, now: dt.datetime) -> UpsertReport:
         """Upsert the waiting batches and refresh the star."""
@@ -270,16 +270,23 @@ class Archive:
         batches as `FILES_AT_ONCE` asks for.  ``replay`` keeps the name as it is: a batch that
         did not count is written anew.
         """
-        fresh = stored(pending(files, self.ledger(entity), force).select(*FILE_KEY).distinct(), "files")
-        count = fresh.count()
-        shares = -(-count // FILES_AT_ONCE)
-        for share in range(shares):
-            part = fresh.filter(F.pmod(F.xxhash64("file_name"), F.lit(shares)) == share)
-            listed = part.select(F.lit(entity.name).alias("target_table"), *FILE_KEY)
-            paths = [r["file_name"] for r in part.select("file_name").collect()]
-            if paths:
-                name = f"{batch}.{share}" if replay and shares > 1 else batch if replay else self.fresh_name(entity, batch)
-                self.land(entity, line_source.read_lines(self.spark, paths), name, loaded_at, listed)
+        fresh = pending(files, self.ledger(entity), force).select(*FILE_KEY).distinct()
+        first = fresh.limit(FILES_AT_ONCE + 1).collect()
+        if not first:
+            return 0
+        parts, count = [first], len(first)
+        if count > FILES_AT_ONCE:
+            fresh = stored(fresh, "files")
+            count = fresh.count()
+            shares = -(-2 * count // FILES_AT_ONCE)
+            own = F.pmod(F.xxhash64("file_name"), F.lit(shares))
+            parts = (fresh.filter(own == share).collect() for share in range(shares))
+        for share, rows in enumerate(parts):
+            if rows:
+                name = (f"{batch}.{share}" if share else batch) if replay else self.fresh_name(entity, batch)
+                listed = self.spark.createDataFrame([(entity.name, *r) for r in rows], LEDGER)
+                lines = line_source.read_lines(self.spark, [r["file_name"] for r in rows])
+                self.land(entity, lines, name, loaded_at, listed)
         return count
 
     def land(
@@ -302,11 +309,18 @@ class Archive:
         judged = line_source.judged(lines)
         landing_path = self._batch_path("landing", entity, batch)
         reject_path = self._batch_path("rejects", entity, batch)
-        good = judged.filter(F.col("error").isNull())
+        seen = Observation()
+        bad = F.count_if(F.col("error").isNotNull()).alias("rejected")
+        good = judged.observe(seen, bad).filter(F.col("error").isNull())
         line_source.landed(good, entity, loaded_at).write.mode("overwrite").parquet(landing_path)
         loaded = self.spark.read.schema(landing_schema(entity)).parquet(landing_path)
-        line_source.rejects(judged, entity, loaded_at).write.mode("overwrite").parquet(reject_path)
-        rejected = self.spark.read.schema(REJECTS).parquet(reject_path)
+        rejected = self.spark.createDataFrame([], REJECTS)
+        # A clean batch, the usual case, needs no second pass.
+        if seen.get["rejected"]:
+            line_source.rejects(judged, entity, loaded_at).write.mode("overwrite").parquet(
+                reject_path
+            )
+            rejected = self.spark.read.schema(REJECTS).parquet(reject_path)
         label = F.lit(entity.name).alias("target_table")
         history = audit_rows.load_history(
             loaded.select(
@@ -326,9 +340,7 @@ class Archive:
         history.withColumn("recorded_at", F.lit(loaded_at).cast("timestamp")).write.mode(
             "overwrite"
         ).parquet(self._batch_path("audit", entity, batch))
-        known = self.landed_batches(entity).filter(F.col(BATCH) == batch)
-        if known.isEmpty():
-            self._mark("landed", entity, self._named([batch]))
+        self._mark("landed", entity, self._named([batch]))
 
     def conform(
         self,
@@ -350,7 +362,7 @@ class Archive:
             self.typed_table(entity), source, entity.key, F.lit(now).cast("timestamp"),
             announce=lambda buckets: self._announce(entity, buckets),
         )
-        self._mark("conformed", entity, taken.join(self._marks("conformed", entity), BATCH, "left_anti"))
+        self._mark("conformed", entity, taken)
         return report
 
     def _announce(self, entity: Entity, buckets: DataFrame) -> None:

@@ -7,7 +7,7 @@ which this layer tolerates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -65,27 +65,28 @@ def read_lines(
     return lines if pattern is None else lines.filter(F.col("file_path").rlike(pattern))
 
 
-def scanned(lines: DataFrame) -> DataFrame:
+def scanned(lines: DataFrame) -> tuple[DataFrame, int]:
     """The lines, read once and stored, with what each does to an open quoted field.
 
+    Also how many lines open one, which is counted on the way.
+
     ``place`` rises within the lines of one scan split.  ``opens`` says that a line read from a
     record's start ends inside a quoted field; ``within`` says what it does when it starts
     inside one: ``stay`` there, ``close`` the record soundly, or ``break`` it.
     """
     value = F.col("value")
     quoted = value.contains('"')
-    return stored(
-        lines.select(
-            "value", "file_path", "file_modified", "block_start",
-            F.monotonically_increasing_id().alias("place"),
-            (quoted & value.rlike(_OPENS)).alias("opens"),
-            F.when(~quoted | value.rlike(_STAYS), "stay")
-            .when(value.rlike(_CLOSES), "close")
-            .otherwise("break")
-            .alias("within"),
-        ),
-        "lines",
-    )
+    seen = Observation()
+    scan = lines.select(
+        "value", "file_path", "file_modified", "block_start",
+        F.monotonically_increasing_id().alias("place"),
+        (quoted & value.rlike(_OPENS)).alias("opens"),
+        F.when(~quoted | value.rlike(_STAYS), "stay")
+        .when(value.rlike(_CLOSES), "close")
+        .otherwise("break")
+        .alias("within"),
+    ).observe(seen, F.count_if(F.col("opens")).alias("opening"))
+    return stored(scan, "lines"), seen.get["opening"]
 
 
 def _inside_before(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -118,24 +119,27 @@ def _moves(scan: DataFrame) -> DataFrame:
     return _inside_before(moving, SPLIT, "place")
 
 
-def split_states(scan: DataFrame) -> DataFrame:
-    """One row per scan split: its first place, the lines before it, and whether it starts inside.
+def split_counts(scan: DataFrame) -> DataFrame:
+    """One row per scan split: its first place and the lines of the file before it."""
+    counts = scan.groupBy(*SPLIT).agg(F.min("place").alias("first"), F.count("*").alias("lines"))
+    earlier = W.partitionBy("file_path").orderBy("block_start").rowsBetween(W.unboundedPreceding, -1)
+    return counts.select(*SPLIT, "first", F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("before"))
+
+
+def split_states(scan: DataFrame, splits: DataFrame) -> DataFrame:
+    """The splits with ``inside``: whether they start inside a quoted field.
 
     Each split sums up what it does to an open field by itself; the sums of the splits before
     it in the file give its start.
     """
-    counts = scan.groupBy(*SPLIT).agg(F.min("place").alias("first"), F.count("*").alias("lines"))
     end = _moves(scan).groupBy(*SPLIT).agg(
         F.max_by(F.coalesce("sets", F.col("known") != F.col("flips")), "place").alias("sets"),
         F.max_by(F.col("odd") != F.col("flips"), "place").alias("odd_flips"),
     )
     effect = end.select(*SPLIT, "sets", (F.col("sets").isNull() & F.col("odd_flips")).alias("flips"))
-    splits = counts.join(effect, SPLIT, "left").fillna(False, ["flips"])
-    earlier = W.partitionBy("file_path").orderBy("block_start").rowsBetween(W.unboundedPreceding, -1)
-    return _inside_before(splits, ["file_path"], "block_start").select(
-        *SPLIT, "first",
-        F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("before"),
-        F.coalesce("known", "odd").alias("inside"),
+    moved = splits.join(effect, SPLIT, "left").fillna(False, ["flips"])
+    return _inside_before(moved, ["file_path"], "block_start").select(
+        *splits.columns, F.coalesce("known", "odd").alias("inside")
     )
 
 
@@ -173,8 +177,8 @@ def joined_records(scan: DataFrame, splits: DataFrame) -> DataFrame:
 
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add the 1-based line number within the file."""
-    scan = scanned(lines)
-    return _numbered(scan, stored(split_states(scan), "splits"))
+    scan, _ = scanned(lines)
+    return _numbered(scan, stored(split_counts(scan), "splits"))
 
 
 def _numbered(scan: DataFrame, splits: DataFrame) -> DataFrame:
@@ -192,12 +196,12 @@ def read_records(lines: DataFrame) -> DataFrame:
     the quotes of the splits before it, so every split finds its records by itself.  Only
     lines of records that run over several lines are gathered, record by record.
     """
-    scan = scanned(lines)
-    splits = stored(split_states(scan), "splits")
+    scan, opening = scanned(lines)
+    splits = stored(split_counts(scan), "splits")
     numbered = _numbered(scan, splits)
-    runs = stored(joined_records(scan, splits), "runs")
-    if runs.isEmpty():
+    if not opening:
         return numbered
+    runs = stored(joined_records(scan, split_states(scan, splits)), "runs")
     members = runs.select(
         "file_path", "from_line", F.explode(F.sequence("from_line", "to_line")).alias("line_number")
     )
