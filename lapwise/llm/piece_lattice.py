@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,9 @@ MARK = "▁"
 # Bytes of text that are numbered, and later put together, by one task.
 CHUNK_BYTES = 24 << 20
 
+# Documents that join a chunk at once.
+BATCH_TEXTS = 64
+
 # Longest atom of the lattice; only unbroken runs of like characters come near it.  Longer
 # ones are encoded whole, outside it.
 ATOM_CHARS = 1000
@@ -151,31 +155,14 @@ def greatest_path(atom: str, scores: dict[str, float], longest: int, fallback: f
 
 def marked_words(text: str) -> list[str]:
     """The text's words with the spaces in front of each as marks, one added in front."""
-    return list(map(marked, split_words(text)))
-
-
-def split_words(text: str) -> list[str]:
-    """The text's words as keys of which `marked` makes the words.
-
-    In the usual text, without a mark or spaces that follow one another, the word itself.
-    """
-    if MARK not in text and "  " not in text and text and text[0] != " " and text[-1] != " ":
-        return text.split(" ")
     first, *rest = text.split(MARK)
     out = WORDS.findall(MARK + first.replace(" ", MARK)) if text else []
     for part in rest:
         out.append(LITERAL_MARK)
-        # Without a space in front, a word's key starts with the cut.
-        out += [w if w[0] == MARK else CUT + w for w in WORDS.findall(part.replace(" ", MARK))]
+        out += WORDS.findall(part.replace(" ", MARK))
     return out
 
 
-def marked(key: str) -> str:
-    if key[0] == MARK or key == LITERAL_MARK:
-        return key
-    return key[1:] if key[0] == CUT and len(key) > 1 else MARK + key
-
-
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -188,62 +175,117 @@ def gathered(flat: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarr
     return flat[np.repeat(begin, count) + inside]
 
 
-class Chunk:
-    """Documents as numbers of their atoms, the frequent ones small."""
+class Cutter:
+    """Cuts many words into atoms at once.
+
+    Every character of a piece has a small number, all others share 0; ``together`` says
+    which two numbers stand side by side in a piece.
+    """
 
     def __init__(self, pairs: frozenset[str]):
-        self.pairs = pairs
-        self.words: dict[str, int] = {}
-        self.atoms: dict[str, int] = {}
-        self.cut, self.counts = array("i"), array("i")
-        self.documents: list[tuple[int | None, int, np.ndarray]] = []
-        self.size = 0
-
-    def add(self, doc_id: int | None, text: str) -> None:
-        listed, known, atoms = split_words(text), self.words, self.atoms
-        for w in set(listed).difference(known):
-            known[w] = len(known)
-            word = marked(w)
-            # What is an atom already has no place to cut; most words are one, or one and a mark.
-            if word in atoms or word == LITERAL_MARK:
-                cut = [word]
-            elif word[:-1] in atoms and word[-2:] not in self.pairs:
-                cut = [word[:-1], word[-1]]
-            else:
-                cut = atoms_of(word, self.pairs, None)
-            self.cut.extend([atoms.setdefault(a, len(atoms)) for a in cut])
-            self.counts.append(len(cut))
-        codes = np.fromiter(map(known.__getitem__, listed), np.int32, len(listed))
-        data = text.encode()
-        self.size += len(data)
-        self.documents.append((doc_id, zlib.crc32(data), codes))
-
-    def finished(self) -> tuple[bytes, list[str]]:
-        """The chunk's file, and its atoms in the order of their numbers there."""
-        counts, flat = np.asarray(self.counts, np.int32), np.asarray(self.cut, np.int32)
-        begin = np.cumsum(counts, dtype=np.int64) - counts
-        parts = [gathered(flat, begin[c], counts[c]) for _, _, c in self.documents]
-        lengths = list(map(len, parts))
-        numbers = np.concatenate([np.empty(0, np.int32), *parts])
-        del parts
-        by_use = np.argsort(-np.bincount(numbers, minlength=len(self.atoms)), kind="stable")
-        rank = np.empty(len(by_use), np.int32)
-        rank[by_use] = np.arange(len(by_use), dtype=np.int32)
-        numbers = rank[numbers]
-        table = pa.table({
-            "doc_id": pa.array([[d for d, _, _ in self.documents]], pa.list_(pa.int64())),
-            "crc": pa.array([[c for _, c, _ in self.documents]], pa.list_(pa.int64())),
-            "length": pa.array([lengths], pa.list_(pa.int64())),
-            **{
-                f"plane{k}": pa.array([((numbers >> 8 * k) & 255).astype(np.uint8).tobytes()], pa.binary())
-                for k in range(4)
-            },
-        })
-        sink = io.BytesIO()
-        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_table(table)
-        names = list(self.atoms)
-        return sink.getvalue(), [names[i] for i in by_use]
+        letters = sorted({c for p in pairs for c in p})
+        self.number = np.zeros(0x110000, np.uint16)
+        self.number[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.together = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+        first, second = (self.number[[ord(p[i]) for p in pairs]] for i in (0, 1))
+        self.together[first, second] = True
+
+    def cut(self, words: str) -> tuple[list[str], np.ndarray]:
+        """The atoms of all ``words`` in turn, and how many each word has.
+
+        Words come with a space between them and hold none, so spaces keep atoms apart, too.
+        """
+        points = np.frombuffer(words.encode("utf-32-le"), "<u4")
+        number, space = self.number[points], points == 32
+        apart = np.zeros(len(points), bool)
+        apart[1:] = ~(self.together[number[:-1], number[1:]] | space[:-1] | space[1:])
+        at = np.flatnonzero(apart)
+        atoms = np.insert(points, at, 32).tobytes().decode("utf-32-le").split(" ")
+        ends = np.flatnonzero(np.append(space, True))
+        cuts = np.searchsorted(at, ends)
+        return atoms, np.diff(cuts, prepend=0).astype(np.int32) + 1
+
+
+def is_plain(texts: pa.Array) -> pa.Array:
+    """Whether a text's words are what its single spaces keep apart: no mark, no other spaces."""
+    odd = pc.equal(texts, "")
+    for found in (
+        pc.match_substring(texts, MARK), pc.match_substring(texts, "  "),
+        pc.starts_with(texts, " "), pc.ends_with(texts, " "),
+    ):
+        odd = pc.or_(odd, found)
+    return pc.invert(odd)
+
+
+def numbered_words(texts: pa.Array, plain: bool) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Numbers of the words of all texts, how many each text has, and the different words.
+
+    The words of plain texts come without the mark that stands in front of each.
+    """
+    if plain:
+        listed = pc.split_pattern(texts, " ")
+    else:
+        listed = pa.array(list(map(marked_words, texts.to_pylist())), pa.list_(pa.string()))
+    encoded = listed.flatten().dictionary_encode()
+    return encoded.indices.to_numpy(), pc.list_value_length(listed).to_numpy(), encoded.dictionary
+
+
+def checksums(texts: pa.Array) -> list[int]:
+    """CRC of each text's bytes, out of the array's buffer."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].tolist()
+    data = memoryview(texts.buffers()[2] or b"")
+    return [zlib.crc32(data[a:b]) for a, b in zip(ends, ends[1:])]
+
+
+def chunk_file(cutter: Cutter, ids: pa.Array, texts: pa.Array) -> tuple[bytes, pa.Array]:
+    """Documents as numbers of their atoms, the frequent ones small, and the atoms in that order."""
+    plain = is_plain(texts)
+    codes, lengths, cut, counts, order = [], [], [], [], []
+    known = 0
+    for kind in (True, False):
+        mine = plain if kind else pc.invert(plain)
+        own, count, words = numbered_words(texts.filter(mine), kind)
+        codes.append(own.astype(np.int64) + known)
+        lengths.append(count)
+        order.append(np.flatnonzero(mine.to_numpy(zero_copy_only=False)))
+        if not len(words):
+            continue
+        known += len(words)
+        # The literal mark is an atom as it stands; a stand-in keeps its place.
+        literal = pc.index(words, LITERAL_MARK).as_py() if not kind else -1
+        if literal >= 0:
+            words = pc.replace_with_mask(words, pc.equal(words, LITERAL_MARK), pa.scalar(MARK))
+        listed = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+        joined = pc.binary_join(listed, " " + MARK if kind else " ")[0].as_py()
+        found, pieces = cutter.cut(MARK + joined if kind else joined)
+        if literal >= 0:
+            found[int(pieces[:literal].sum())] = LITERAL_MARK
+        cut += found
+        counts.append(pieces)
+    at, size, order = np.concatenate(codes), np.concatenate(lengths), pa.array(np.concatenate(order))
+    counts = np.concatenate([np.empty(0, np.int32), *counts])
+
+    atoms = pa.array(cut, pa.string()).dictionary_encode()
+    flat, begin = atoms.indices.to_numpy(), np.cumsum(counts, dtype=np.int64) - counts
+    numbers = gathered(flat, begin[at], counts[at])
+    ends = np.concatenate([[0], np.cumsum(counts[at], dtype=np.int64)])[np.cumsum(size)]
+    by_use = np.argsort(-np.bincount(numbers, minlength=len(atoms.dictionary)), kind="stable")
+    rank = np.empty(len(by_use), np.int32)
+    rank[by_use] = np.arange(len(by_use), dtype=np.int32)
+    numbers = rank[numbers]
+    table = pa.table({
+        "doc_id": pa.array([ids.take(order).to_pylist()], pa.list_(pa.int64())),
+        "crc": pa.array([checksums(texts.take(order))], pa.list_(pa.int64())),
+        "length": pa.array([np.diff(ends, prepend=0).tolist()], pa.list_(pa.int64())),
+        **{
+            f"plane{k}": pa.array([((numbers >> 8 * k) & 255).astype(np.uint8).tobytes()], pa.binary())
+            for k in range(4)
+        },
+    })
+    sink = io.BytesIO()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue(), atoms.dictionary.take(pa.array(by_use))
 
 
 def number_atoms(folder: str, pairs: frozenset[str]):
@@ -252,37 +294,44 @@ def number_atoms(folder: str, pairs: frozenset[str]):
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
         fs.create_dir(root, recursive=True)
-        part, written = TaskContext.get().partitionId(), 0
+        part, written, cutter = TaskContext.get().partitionId(), 0, Cutter(pairs)
 
-        def close(chunk: Chunk) -> Iterator[pa.RecordBatch]:
+        def close(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             nonlocal written
             name = (part << 24) + written
             written += 1
-            data, atoms = chunk.finished()
+            whole = pa.Table.from_batches(held).combine_chunks()
+            ids, texts = (whole.column(i).combine_chunks() for i in (0, 1))
+            data, atoms = chunk_file(cutter, ids, pc.fill_null(texts.cast(pa.string()), ""))
             # A task that is run again writes the same file; it appears as a whole.
             draft = f"{root}/_{uuid.uuid4().hex}"
             with fs.open_output_stream(draft) as out:
                 out.write(data)
             fs.move(draft, f"{root}/{name:020d}")
             # A chunk without atoms asks for one all the same, so that it is read.
-            atoms = atoms or [MARK]
+            atoms = atoms if len(atoms) else pa.array([MARK])
             for at in range(0, len(atoms), 50_000):
-                listed = atoms[at : at + 50_000]
-                yield pa.RecordBatch.from_pydict({
-                    "chunk": pa.array([name] * len(listed), pa.int64()),
-                    "code": pa.array(range(at, at + len(listed)), pa.int32()),
-                    "atom": listed,
-                })
-
-        chunk = Chunk(pairs)
+                listed = atoms.slice(at, 50_000)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(listed), name)),
+                        pa.array(np.arange(at, at + len(listed), dtype=np.int32)),
+                        listed,
+                    ],
+                    names=["chunk", "code", "atom"],
+                )
+
+        held, size = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                chunk.add(doc_id.as_py(), text.as_py() or "")
-                if chunk.size >= CHUNK_BYTES:
-                    yield from close(chunk)
-                    chunk = Chunk(pairs)
-        if chunk.documents:
-            yield from close(chunk)
+            for at in range(0, batch.num_rows, BATCH_TEXTS):
+                some = batch.slice(at, BATCH_TEXTS)
+                held.append(some)
+                size += pc.sum(pc.binary_length(some.column(1))).as_py() or 0
+                if size >= CHUNK_BYTES:
+                    yield from close(held)
+                    held, size = [], 0
+        if held:
+            yield from close(held)
 
     return number
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import itertools
+import json
 import os
 import re
 import sys
@@ -37,11 +38,54 @@ WRITTEN = "part int, file string, ahead long, n_tokens long"
 READ = "part int, ahead long, doc_id long, first long, n_tokens long, ids_crc32 long, n_sequences long"
 
 
+# The steps before the merges of a tokenizer whose texts may be cut into words.
+CUTTABLE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+# Characters behind which a closing mark may be cut off are looked for below this code point.
+LATIN = 0x250
+CLOSING_MARKS = ".,;:!?"
+
+
+def safe_letters(tokenizer) -> str:
+    """The Latin characters that the tokenizer itself parts from a closing mark behind them."""
+    def parted(c: str) -> bool:
+        return all(
+            [piece for piece, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(c + mark))][-1]
+            == mark
+            for mark in CLOSING_MARKS
+        )
+
+    return "".join(c for c in map(chr, range(33, LATIN)) if c.isalnum() and parted(c))
+
+
 class WordEncoder:
     """Ids of whole texts from the ids of their words.
 
-    The tokenizer never joins characters across white space, so a text's ids are those of
-    its words one after the other, and each different word is encoded once.
+    A tokenizer of the `CUTTABLE` kind never joins characters across white space, nor a
+    letter and the mark that closes a word; a text's ids are then those of its words one after
+    the other, and each different word is encoded once.  Any other tokenizer encodes its
+    texts in one piece.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -50,6 +94,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        spec = json.loads(self.tokenizer.to_str())
+        self.cuttable = all(spec[step] == rule for step, rule in CUTTABLE.items())
+        if self.cuttable:
+            self.closing = re.compile(rf"(?<=[{re.escape(safe_letters(self.tokenizer))}])[{CLOSING_MARKS}](?=\s|$)")
         self.end_id = end_id
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.forget()
@@ -71,7 +119,7 @@ class WordEncoder:
         """Ids of each text with the end id."""
         if len(self.places) > REMEMBERED:
             self.forget()
-        split = list(map(split_words, texts))
+        split = [split_words(t, self.closing) for t in texts] if self.cuttable else [[t] for t in texts]
         new = set(itertools.chain.from_iterable(split)).difference(self.places)
         if new:
             self.learn(list(new))
@@ -100,15 +148,13 @@ def worker_encoder(path: str, end_id: int) -> WordEncoder:
 # White space to Python but not to the tokenizer.
 CONTROL_SEPARATORS = "\x1c\x1d\x1e\x1f"
 
-# A mark that ends a word, behind a letter or digit, is a token of its own.
-CLOSING_MARK = re.compile(r"[.,;:!?](?<=[^\W_].)(?=\s|$)")
-
 
-def split_words(text: str) -> list[str]:
+def split_words(text: str, closing: re.Pattern) -> list[str]:
     """Strings whose ids together are those of the text, few of them different.
 
     In Latin-1 the tokenizer's change of case is Python's; its special tokens, which it
-    looks for before, are kept as they are.
+    looks for before, are kept as they are.  ``closing`` finds the marks that end a word and are
+    tokens of their own.
     """
     if any(c in text for c in CONTROL_SEPARATORS):
         return re.split("[ \t\n\x0b\x0c\r]+", text)
@@ -119,7 +165,7 @@ def split_words(text: str) -> list[str]:
             pass
         else:
             text = text.lower()
-    return CLOSING_MARK.sub(r" \g<0>", text).split()
+    return closing.sub(r" \g<0>", text).split()
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:

@@ -28,7 +28,7 @@ def plain(text):
 
 def test_merges_equal_the_library(spark):
     model = sentencepiece.SentencePieceProcessor(model_file=PATH)
-    rows = edge_rows() + [(500, "a      b", "s"), (501, "    y  z   ", "s"), (502, " ", "s"), (503, "=" * 600, "s")]
+    rows = edge_rows() + [(500, "a      b", "s"), (501, "    y  z   ", "s"), (502, " ", "s"), (503, "=" * 600, "s"), (504, "\x01abc x \x01", "s"), (505, "?\u2581 \u2581\u2581x  y ?", "s")]
     got = piece_lattice.round_trip(edge_docs(spark, rows), PATH).collect()
     assert len(got) == len(rows) and all(r.restored for r in got)
     assert sorted((repr(r.doc_id), r.decoded_crc32) for r in got) == sorted(

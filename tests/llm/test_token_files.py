@@ -51,6 +51,44 @@ def test_words_encode_like_whole_texts():
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [2], repr(text)
 
 
+def test_every_code_point_beside_marks_and_spaces():
+    """Whole texts by the library against words: each character before a mark, in a word, alone."""
+    encoder = token_files.WordEncoder(PATH, 2)
+    tokenizer = Tokenizer.from_file(PATH)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for mark in token_files.CLOSING_MARKS:
+        # Every mark behind Latin and the blocks around it; the full stop behind all.
+        wanted = points if mark == "." else points[:0x3100]
+        texts = [
+            "\n".join(f"x{c}{mark} {c}{mark}y{c} A{c}" for c in wanted[i : i + 2000])
+            for i in range(0, len(wanted), 2000)
+        ]
+        for at in range(0, len(texts), 50):
+            some = texts[at : at + 50]
+            whole = tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            for text, mine, theirs in zip(some, encoder.encode(some), whole):
+                assert mine.tolist() == [*theirs.ids, 2], repr(text[:80])
+        encoder.forget()
+
+
+def test_letters_that_normalise_to_a_letter_and_a_mark():
+    encoder = token_files.WordEncoder(PATH, 2)
+    tokenizer = Tokenizer.from_file(PATH)
+    for text in ("GELDİ.", "क़.", "x\u0958, y", "e\u0301. \u0130! ŉ. ǆ?"):
+        assert encoder.encode([text])[0].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_another_tokenizer_encodes_whole_texts(tmp_path):
+    other = Tokenizer.from_file(PATH)
+    other.normalizer = None
+    path = str(tmp_path / "other.json")
+    other.save(path)
+    encoder = token_files.WordEncoder(path, 2)
+    assert not encoder.cuttable
+    for text in ("The THE. the", "", "a  b"):
+        assert encoder.encode([text])[0].tolist() == [*other.encode(text, add_special_tokens=False).ids, 2]
+
+
 def test_file_layout():
     docs = [(5, np.arange(10, dtype=np.uint16)), (None, np.arange(3, dtype=np.uint16)), (7, np.arange(40, dtype=np.uint16))]
     data = token_files.sequence_file(docs, length=8, per_batch=2)
