@@ -3,7 +3,8 @@
 A pair is reported if it meets ``min_shared`` times.  A member's meetings with any one
 other member are bounded by its entries in each group times the most that another name has
 there, so members whose bound stays below the floor are left out before anybody is paired.
-The self-join runs on the group's key, where AQE splits skewed groups, and meetings are
+The entries of a large group are dealt to blocks, and every two blocks meet under a key of
+their own, so no task has more than two blocks whatever the group's size; meetings are
 summed up before pairs are shuffled.
 """
 
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 from lapwise.functions import flag
 from lapwise.operators.ordered import null_safe_join
 
+# Entries of a block; two blocks meet in one task.
+BLOCK_ROWS = 2000
+
 
 def _entries(rows: DataFrame, group: list[str]) -> DataFrame:
     """One row per group, member and position with its multiplicity."""
@@ -23,34 +27,53 @@ def _entries(rows: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def _meet(a: DataFrame, b: DataFrame, on: Column, keys: list[str]) -> DataFrame:
-    """Join two entry sets and count meetings and who was ahead, per pair of names."""
+def _blocked(entries: DataFrame, group: list[str], block_rows: int) -> DataFrame:
+    """The entries with their block, by the member's hash, and how many blocks their group has.
+
+    Groups of at most ``block_rows`` entries, the usual ones, have one block.
+    """
+    large = (
+        entries.groupBy(*group).agg(F.count("*").alias("__n"))
+        .filter(F.col("__n") > block_rows)
+        .select(*group, F.ceil(F.col("__n") / block_rows).cast("int").alias("blocks"))
+    )
+    dealt = entries.join(large, group, "left").fillna(1, ["blocks"])
+    return dealt.withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
+
+
+def _meet(entries: DataFrame, group: list[str]) -> DataFrame:
+    """Meetings and who was ahead, per team and pair of names; the smaller member comes first."""
+    later = F.explode(F.sequence("block", F.col("blocks") - 1))
+    a = entries.withColumn("other", later).alias("a")
+    b = entries.withColumn("other", F.explode(F.sequence(F.lit(0), "block"))).alias("b")
+    on = (F.col("a.block") == F.col("b.other")) & (F.col("a.other") == F.col("b.block"))
+    for c in group:
+        on = on & (F.col(f"a.{c}") == F.col(f"b.{c}"))
+    # Within a block each pair is met in its order; two blocks have no member in common.
+    on = on & ((F.col("a.member") < F.col("b.member")) | (F.col("a.block") < F.col("b.block")))
+    first = F.col("a.member") < F.col("b.member")
     met = F.col("a.n") * F.col("b.n")
-    ahead_a = flag(F.col("a.position") < F.col("b.position"))
-    ahead_b = flag(F.col("b.position") < F.col("a.position"))
+    a_wins = flag(F.col("a.position") < F.col("b.position"))
+    b_wins = flag(F.col("b.position") < F.col("a.position"))
+
+    def ordered(mine: Column, theirs: Column) -> Column:
+        return F.when(first, mine).otherwise(theirs)
+
     return (
-        a.alias("a")
-        .join(b.alias("b"), on & (F.col("a.member") < F.col("b.member")))
+        a.join(b, on)
         .groupBy(
-            *[F.col(f"a.{k}").alias(k) for k in keys],
-            F.col("a.name").alias("name_a"),
-            F.col("b.name").alias("name_b"),
+            F.col("a.team").alias("team"),
+            ordered(F.col("a.name"), F.col("b.name")).alias("name_a"),
+            ordered(F.col("b.name"), F.col("a.name")).alias("name_b"),
         )
         .agg(
             F.sum(met).alias("shared"),
-            F.sum(met * ahead_a).alias("a_ahead"),
-            F.sum(met * ahead_b).alias("b_ahead"),
+            F.sum(met * ordered(a_wins, b_wins)).alias("a_ahead"),
+            F.sum(met * ordered(b_wins, a_wins)).alias("b_ahead"),
         )
     )
 
 
-def _same(columns: list[str]) -> Column:
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & (F.col(f"a.{c}") == F.col(f"b.{c}"))
-    return condition
-
-
 def _able(entries: DataFrame, group: list[str], min_shared: int) -> DataFrame:
     """Names that could meet some other name ``min_shared`` times over all groups."""
     per_name = entries.groupBy(*group, "team", "name").agg(F.sum("n").alias("n"))
@@ -64,7 +87,9 @@ def _able(entries: DataFrame, group: list[str], min_shared: int) -> DataFrame:
     )
 
 
-def head_to_head(rows: DataFrame, group: list[str], min_shared: int) -> DataFrame:
+def head_to_head(
+    rows: DataFrame, group: list[str], min_shared: int, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """Pairs with at least ``min_shared`` meetings.
 
     ``rows`` holds the ``group`` columns plus ``team`` (fixed within a group, reported
@@ -73,4 +98,4 @@ def head_to_head(rows: DataFrame, group: list[str], min_shared: int) -> DataFram
     """
     entries = _entries(rows, group)
     strong = null_safe_join(entries, _able(entries, group, min_shared), ["team", "name"], "left_semi")
-    return _meet(strong, strong, _same(group), ["team"]).filter(F.col("shared") >= min_shared)
+    return _meet(_blocked(strong, group, block_rows), group).filter(F.col("shared") >= min_shared)

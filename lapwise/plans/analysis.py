@@ -177,10 +177,13 @@ def points_pivot(reliability: DataFrame, seasons: Sequence[int]) -> DataFrame:
 
 
 def rank_divergence(reliability: DataFrame) -> DataFrame:
-    """Reliability rank against points rank, per season."""
+    """Reliability rank against points rank, per season.
+
+    The frame has a row for each season and team, so a season's teams are what a window holds.
+    """
     ranked = reliability
     for value, out in (("finish_rate_pct", "reliability_rank"), ("season_points", "points_rank")):
-        ranked = ordered.rank_by(ranked, ["season_year"], value, out)
+        ranked = ordered.rank_within(ranked, ["season_year"], value, out)
     return ranked.select(
         "season_year", "constructor_name", "entries", "finish_rate_pct", "mechanical_dnfs",
         "incident_dnfs", "season_points", "reliability_rank", "points_rank",

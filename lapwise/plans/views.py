@@ -169,7 +169,7 @@ def pit_performance(
         .join(_teams(star), "constructor_id")
         .filter(F.col("stop_count") >= min_stops)
     )
-    ranked = ordered.rank_by(
+    ranked = ordered.rank_within(
         per_team, ["season_year"], "median_ms", "season_rank", largest_first=False
     )
     with_field = ordered.group_value(ranked, ["season_year"], {"field_ms": F.avg("median_ms")})

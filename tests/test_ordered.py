@@ -123,6 +123,48 @@ def test_composing_starts_no_job(spark, frame):
     assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
 
 
+def test_a_group_tied_on_its_first_column_spreads(spark):
+    """One group of equal times, a third of them NULL: slices follow rows, not values."""
+    data = [(i, "k", START if i % 3 else None, float(i % 5)) for i in range(3000)]
+    frame = spark.createDataFrame(data, "id bigint, k string, ts timestamp, v double")
+    sliced = ordered._row_slices(frame, ["k"], ["ts", "id"], 200)
+    sizes = [r["count"] for r in sliced.groupBy(ordered.SLICE).count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 700
+    got = {r["id"]: (r["n"], r["t"]) for r in ordered.running_sums(
+        ordered.row_index(frame, ["k"], ["ts", "id"], "n", 200), ["k"], ["ts", "id"], {"t": "v"}, 200).collect()}
+    total, expected = 0.0, {}
+    for n, (i, *_, v) in enumerate(sorted(data, key=lambda r: (r[2] is None, r[0])), 1):
+        total += v
+        expected[i] = (n, total)
+    assert got == expected
+    form = ordered.sliding(frame, ["k"], ["ts", "id"], 4, {"n": F.count("*")}, 100, 200)
+    assert sorted(r["n"] for r in form.collect()) == [1, 2, 3, 4] + [5] * 2996
+
+
+def test_small_groups_are_one_slice(frame):
+    sliced = ordered._row_slices(frame, ["k"], ["ts"], 500)
+    assert sliced.select(ordered.SLICE).distinct().count() == 1
+
+
+@pytest.mark.parametrize("slice_rows", [20, 500_000])
+def test_exact_percentiles(frame, rows, slice_rows):
+    got = ordered.exact_percentiles(frame, ["k"], "v", {"mid": 0.5, "high": 0.9}, slice_rows)
+    actual = {r["k"]: (r["mid"], r["high"]) for r in got.collect()}
+    for key, group in by_key(rows).items():
+        values = sorted(r[3] for r in group if r[3] is not None)
+        for fraction, mine in zip((0.5, 0.9), actual[key]):
+            place = (len(values) - 1) * fraction
+            low, high = values[int(place)], values[min(int(place) + 1, len(values) - 1)]
+            assert mine == pytest.approx(low + (high - low) * (place - int(place)))
+    whole = ordered.exact_percentiles(frame, [], "v", {"least": 0.0, "most": 1.0}).collect()
+    assert [tuple(r) for r in whole] == [(-2.25, 1234.51)]
+
+
+def test_rank_within(frame, rows):
+    got = {r["id"]: r["place"] for r in ordered.rank_within(frame, ["k"], "v", "place").collect()}
+    assert got == {r["id"]: r["place"] for r in ordered.rank_by(frame, ["k"], "v", "place").collect()}
+
+
 def test_newest_is_limited_before_the_shuffle(frame, rows):
     got = ordered.newest(frame, ["k"], [descending("ts"), descending("id")])
     expected = {g[-1][0] for g in by_key(rows).values()}

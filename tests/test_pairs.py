@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+from lapwise.operators import pairs
 from lapwise.operators.pairs import head_to_head
 
 SCHEMA = "race int, team string, member int, name string, position int"
@@ -42,13 +43,28 @@ def archive(seed):
     return rows
 
 
+@pytest.mark.parametrize("block_rows", [2000, 7])
 @pytest.mark.parametrize("floor", [1, 2, 3, 6])
-def test_pairs(spark, floor):
+def test_pairs(spark, floor, block_rows):
     rows = archive(floor)
     got = head_to_head(
-        spark.createDataFrame(rows, SCHEMA), ["race"], floor
+        spark.createDataFrame(rows, SCHEMA), ["race"], floor, block_rows
     ).collect()
     found = {(r["team"], r["name_a"], r["name_b"]): (r["shared"], r["a_ahead"], r["b_ahead"])
              for r in got}
     assert len(got) == len(found)
     assert found == brute(rows, floor)
+
+
+def test_a_group_of_20_000_members_is_spread(spark):
+    """Every member enters once; the entries of a pair of blocks are all that shares a key."""
+    members = spark.range(20_000).selectExpr(
+        "1 as race", "'red' as team", "cast(id as int) as member", "concat('n', id) as name", "cast(id % 20 as int) as position"
+    )
+    dealt = pairs._blocked(pairs._entries(members, ["race"]), ["race"], 1000)
+    per_block = [r["count"] for r in dealt.groupBy("block").count().collect()]
+    assert len(per_block) == 20 and max(per_block) < 1300
+    # Only the two members that meet twice can reach the floor; nobody else is paired.
+    again = members.limit(0).unionByName(members.filter("member in (3, 17777)")).selectExpr("2 as race", "team", "member", "name", "position")
+    got = head_to_head(members.unionByName(again), ["race"], 2, 1000).collect()
+    assert [tuple(r) for r in got] == [("red", "n3", "n17777", 2, 2, 0)]
