@@ -21,7 +21,6 @@ BLOCKS_MERGED = 1024
 LANDING_UNITS = 12
 
 UNIT = "rank long, block long, doc_id long, content long, copy long, size long, base long, pi double, source_size long, target double"
-EXACT = 1e-9
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], max_repeat: int) -> DataFrame:
@@ -62,16 +61,22 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], max_repeat: int)
     )
 
 
+def is_open(pi: np.ndarray) -> np.ndarray:
+    """The one test of whether a unit is undecided, however small its fraction."""
+    return (pi > 0) & (pi < 1)
+
+
 def flight(pi: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Move probabilities towards 0 and 1 while their sum and their sum of sizes stay.
 
     Three open units at a time have one direction that both totals ignore; a random step
-    along it, to where the first unit closes, keeps every probability in expectation.  At
-    most two units stay open.
+    along it, to where the first unit closes, keeps every probability in expectation.  The
+    unit that ends the step is closed exactly, so every step closes one and at most two units
+    stay open.
     """
     pi = pi.copy()
     window: list[int] = []
-    rest = iter(np.flatnonzero((pi > EXACT) & (pi < 1 - EXACT)).tolist())
+    rest = iter(np.flatnonzero(is_open(pi)).tolist())
     while True:
         window += itertools.islice(rest, 3 - len(window))
         if len(window) == 3:
@@ -84,26 +89,34 @@ def flight(pi: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.nda
         else:
             return pi
         at = pi[window]
-        moving = step != 0
-        up = np.where(step[moving] > 0, 1 - at[moving], at[moving]) / np.abs(step[moving])
-        down = np.where(step[moving] > 0, at[moving], 1 - at[moving]) / np.abs(step[moving])
+        with np.errstate(divide="ignore"):
+            up = np.where(step > 0, (1 - at) / np.abs(step), np.where(step < 0, at / np.abs(step), np.inf))
+            down = np.where(step > 0, at / np.abs(step), np.where(step < 0, (1 - at) / np.abs(step), np.inf))
         forward, back = up.min(), down.min()
-        at = at + step * (forward if rng.random() * (forward + back) < back else -back)
-        at[at < EXACT] = 0.0
-        at[at > 1 - EXACT] = 1.0
-        pi[window] = at
-        window = [i for i, p in zip(window, at) if 0.0 < p < 1.0]
+        if rng.random() * (forward + back) < back:
+            ends, moved = up, at + step * forward
+            bound = (step > 0).astype(float)
+        else:
+            ends, moved = down, at - step * back
+            bound = (step < 0).astype(float)
+        moved = np.clip(moved, 0.0, 1.0)
+        moved[ends <= ends.min()] = bound[ends <= ends.min()]
+        pi[window] = moved
+        window = [i for i, p in zip(window, moved) if 0.0 < p < 1.0]
 
 
 def landing(pi: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Close the last open units, a dozen or two, by the nearest of all outcomes.
 
     An outcome's distance is its error in size, in mean units, with a light weight on its
-    error in count.
+    error in count.  The nearest is taken, not drawn: here, and only here, probabilities of
+    inclusion are not kept.
     """
-    units = np.flatnonzero((pi > 0) & (pi < 1))
+    units = np.flatnonzero(is_open(pi))
     if not len(units):
         return pi
+    if len(units) > LANDING_UNITS + 2:
+        raise ValueError(f"{len(units)} open units are too many to land")
     outcomes = (np.arange(1 << len(units))[:, None] >> np.arange(len(units))) & 1
     error = outcomes - pi[units]
     distance = np.abs(error @ size[units]) / max(size[units].mean(), 1) + 0.05 * np.abs(error.sum(axis=1))
@@ -210,7 +223,8 @@ def mix(
     A document's size is its words (null text: 0).  A source whose target is ``r`` times its
     size takes every document ``floor(r)`` times and once more with the probability that is
     left; the cube method draws these so that each source's documents and words come to
-    their targets but for the landing of a dozen units.  A null source is a source; one
+    their targets but for the landing of a dozen units, whose nearest outcome is taken instead of
+    drawn.  A null source is a source; one
     without words has target 0 and takes nothing.  The draw depends on the seed and on the
     rows alone.  An empty table gives no rows.
     """

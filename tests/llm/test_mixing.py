@@ -83,6 +83,17 @@ def test_flight_keeps_both_totals():
         assert (moved * size).sum() == pytest.approx((pi * size).sum(), abs=1e-4)
 
 
+@pytest.mark.parametrize("fraction", [5e-10, 1 - 5e-10, 1e-12])
+def test_tiny_fractions_close(spark, fraction):
+    size = np.arange(1, 41)
+    moved = mixing.flight(np.full(40, fraction), size, np.random.default_rng(1))
+    assert mixing.is_open(moved).sum() <= 2
+    assert moved.sum() == pytest.approx(40 * fraction, rel=1e-6)
+    rows = [(0, 0, i, i, 1, int(s), 0, fraction, 10, 1.0) for i, s in enumerate(size)]
+    decided = mixing.cube(spark.createDataFrame(rows, mixing.UNIT), 5).collect()
+    assert len(decided) == 40 and all(r.pi in (0.0, 1.0) for r in decided)
+
+
 def test_inclusion_follows_the_probability():
     size = np.arange(1, 41)
     counts = sum(
