@@ -40,16 +40,24 @@ def shard_by_bytes(
     placed = running_totals(
         rows, ["digest", "doc_id"], {"before": "size", "index": "one"}, "shard-rows"
     )
-    groups = placed.groupBy("digest").agg(
+    by_row = placed.withColumn("own", F.expr(
+        f"cast(least((2 * before + size) * {shards} div (2 * all_before), {shards - 1}) as int)"
+    ))
+    ends = by_row.groupBy("own").agg(
+        F.min_by("digest", "index").alias("first"), F.max_by("digest", "index").alias("last")
+    )
+    # Only a group that begins a shard and ends another can have a cut through it; the middle of
+    # any other lies in its rows' own shard.  At most ``shards`` digests.
+    through = ends.select(F.col("first").alias("digest")).intersect(ends.select("last"))
+    groups = placed.join(F.broadcast(through), "digest").groupBy("digest").agg(
         F.min("before").alias("group_start"), F.sum("size").alias("group_bytes")
     )
     whole = F.col("group_bytes") * shards <= F.col("all_before") * whole_share
-    middle = F.when(whole, 2 * F.col("group_start") + F.col("group_bytes")).otherwise(
-        2 * F.col("before") + F.col("size")
-    )
-    cut = placed.join(groups, "digest").withColumn("twice_middle", middle).withColumn(
+    cut = by_row.join(F.broadcast(groups), "digest", "left").withColumn(
         "shard",
-        F.expr(f"cast(least(twice_middle * {shards} div (2 * all_before), {shards - 1}) as int)"),
+        F.when(whole, F.expr(
+            f"cast(least((2 * group_start + group_bytes) * {shards} div (2 * all_before), {shards - 1}) as int)"
+        )).otherwise(F.col("own")),
     )
     firsts = cut.groupBy("shard").agg(F.min("index").alias("first_index"))
     # At most ``shards`` rows.
