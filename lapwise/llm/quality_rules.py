@@ -23,20 +23,23 @@ class Rule:
     good: str
 
 
-# A rule that looks for a defect says nothing about texts without it; a good vote needs
-# several signs of plain prose at once.
+# Each rule looks at one kind of evidence, votes either way where that is clear and abstains in
+# between, so rules overlap and can disagree.
 RULES = (
-    Rule("symbols_per_word", "10 * n_symbols > n_words", "false"),
-    Rule("symbols_per_char", "50 * n_symbols > word_chars", "false"),
-    Rule("repeated_lines", "10 * n_dup_lines > 3 * n_lines and n_dup_lines > 2", "false"),
-    Rule("repeated_words", "100 * n_repeat_words > 20 * n_words", "false"),
-    Rule("capitals", "2 * n_upper > word_chars", "false"),
-    Rule("word_length", "word_chars > 9 * n_words or word_chars < 3 * n_words", "false"),
-    Rule("plain_prose", "false",
-         "100 * n_symbols <= n_words and n_dup_lines <= 2 and 5 * n_upper < word_chars"
-         " and 100 * n_repeat_words <= 10 * n_words"),
+    Rule("symbols_per_word", "10 * n_symbols > n_words", "100 * n_symbols <= n_words"),
+    Rule("symbols_per_char", "50 * n_symbols > word_chars", "1000 * n_symbols <= word_chars"),
+    Rule("word_length", "2 * word_chars > 13 * n_words or 5 * word_chars < 19 * n_words",
+         "2 * word_chars >= 9 * n_words and word_chars <= 6 * n_words"),
+    Rule("repeated_lines", "10 * n_dup_lines > 3 * n_lines and n_dup_lines > 2",
+         "n_dup_lines = 0 and n_lines >= 3"),
+    Rule("repeated_words", "100 * n_repeat_words > 10 * n_words", "100 * n_repeat_words <= 2 * n_words"),
+    Rule("capitals", "3 * n_upper > word_chars", "8 * n_upper < word_chars"),
 )
 
+# What is believed before any document is seen, and how many documents that belief weighs: a rule
+# seldom accuses a good document and finds three bad ones in ten.
+GOOD_SHARE, GOOD_RIGHT, BAD_FOUND, BELIEF = 0.9, 0.98, 0.3, 20.0
+
 FEATURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper",
 )
@@ -115,17 +118,19 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def posteriors(voted: DataFrame, rounds: int = 25) -> DataFrame:
-    """``pattern, posterior`` from a frame with a ``pattern`` of votes per document.
+def posteriors(voted: DataFrame, rounds: int = 40) -> DataFrame:
+    """``pattern, posterior`` from a frame with ``pattern`` and ``base_failed`` per document.
 
     Documents with the same votes count as one weighted pattern, of which there are at most
-    3 to the power of the number of rules; the EM is a fold over that list.  A rule has one
-    accuracy, taken over the documents it votes on, and rules err independently.  The fold
-    starts from an accuracy of 0.9 and a share of good documents of 0.8; accuracies stay
-    within 0.55 and 0.999, so a rule is never believed less than chance.
+    3 to the power of the number of rules; the EM is a fold over that list.  It learns from
+    the documents that pass the base rule, which the others do not need.  A rule has an
+    accuracy for each class, taken over the documents it votes on: ``a`` is the share of its votes
+    on good documents that are good, ``b`` that of its votes on bad ones that are bad.
+    Abstaining says nothing, and rules err independently.  ``a`` stays at least 0.5 and ``b`` at least
+    ``1 - a``, so a vote never counts for the other side.
     """
     n = len(RULES)
-    patterns = voted.groupBy("pattern").agg(F.count("*").cast("double").alias("c"))
+    patterns = voted.groupBy("pattern").agg(F.count_if(~F.col("base_failed")).cast("double").alias("c"))
     listed = patterns.agg(F.sort_array(F.collect_list(F.struct("pattern", "c"))).alias("ps"))
     signs = ", ".join(
         f"case substr(p.pattern, {j + 1}, 1) when '+' then 1 when '-' then -1 else 0 end"
@@ -135,24 +140,31 @@ def posteriors(voted: DataFrame, rounds: int = 25) -> DataFrame:
         F.expr(f"transform(ps, p -> struct(p.pattern as pattern, p.c as c, array({signs}) as v))").alias("ps")
     )
     log_odds = (
-        "ln(m.prior / (1 - m.prior)) + aggregate(zip_with(p.v, m.acc, (v, a) -> v * ln(a / (1 - a))),"
-        " 0D, (s, x) -> s + x)"
+        f"ln(m.prior / (1 - m.prior)) + aggregate(sequence(0, {n - 1}), 0D, (s, j) -> s + case p.v[j]"
+        " when 1 then ln(m.a[j] / (1 - m.b[j])) when -1 then ln((1 - m.a[j]) / m.b[j]) else 0D end)"
     )
-    judged = f"transform(ps, p -> struct(p.c as c, p.v as v, 1 / (1 + exp(-({log_odds}))) as q))"
+    shared = f"transform(ps, p -> struct(p.c as c, p.v as v, 1 / (1 + exp(-({log_odds}))) as q))"
     total = "greatest(aggregate(qs, 0D, (s, x) -> s + x.c), 1D)"
     good = "aggregate(qs, 0D, (s, x) -> s + x.c * x.q)"
+
+    def seen(vote: str, weight: str) -> str:
+        return f"aggregate(qs, 0D, (s, x) -> s + if(x.v[j] {vote}, x.c * {weight}, 0D))"
+
     right = (
-        "aggregate(qs, 0D, (s, x) -> s + case x.v[j] when 1 then x.c * x.q"
-        " when -1 then x.c * (1 - x.q) else 0D end)"
+        f"({seen('= 1', 'x.q')} + {BELIEF * GOOD_RIGHT}D) / ({seen('<> 0', 'x.q')} + {BELIEF}D)"
+    )
+    found = (
+        f"({seen('= -1', '(1 - x.q)')} + {BELIEF * BAD_FOUND}D) / ({seen('<> 0', '(1 - x.q)')} + {BELIEF}D)"
     )
-    cast = "aggregate(qs, 0D, (s, x) -> s + case when x.v[j] = 0 then 0D else x.c end)"
     step = (
-        f"element_at(transform(array({judged}), qs -> struct("
-        f"least(0.999D, greatest(0.001D, {good} / {total})) as prior,"
-        f" transform(sequence(0, {n - 1}), j -> least(0.999D, greatest(0.55D,"
-        f" ({right} + 1D) / ({cast} + 1.25D)))) as acc)), 1)"
+        f"element_at(transform(array({shared}), qs -> element_at(transform(array("
+        f"transform(sequence(0, {n - 1}), j -> least(0.9999D, greatest(0.5D, {right})))), a -> struct("
+        f"least(0.99D, greatest(0.05D, {good} / {total})) as prior, a as a,"
+        f" transform(sequence(0, {n - 1}), j -> least(0.9999D, greatest(0.0001D, 1 - a[j], {found}))) as b)), 1)), 1)"
+    )
+    start = (
+        f"struct({GOOD_SHARE}D as prior, array_repeat({GOOD_RIGHT}D, {n}) as a, array_repeat({BAD_FOUND}D, {n}) as b)"
     )
-    start = f"struct(0.8D as prior, array_repeat(0.9D, {n}) as acc)"
     fitted = coded.select(
         "ps", F.expr(f"aggregate(sequence(1, {rounds}), {start}, (m, i) -> {step})").alias("m")
     )
@@ -165,11 +177,10 @@ def posteriors(voted: DataFrame, rounds: int = 25) -> DataFrame:
 
 def judged(features: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``features`` with ``base_failed``, ``posterior`` and ``kept``."""
-    voted = features.withColumn("pattern", votes())
+    voted = features.withColumn("pattern", votes()).withColumn("base_failed", base_failed())
     # At most 3 ** len(RULES) rows.
     return (
         voted.join(F.broadcast(posteriors(voted)), "pattern", "left")
-        .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold))
     )
 
@@ -177,7 +188,8 @@ def judged(features: DataFrame, threshold: float = 0.5) -> DataFrame:
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, the features, ``base_failed``, ``posterior`` and ``kept`` for every row.
 
-    A null or empty text has no words and fails the base rule.  Null ids and repeated rows
+    A null or empty text has no words and fails the base rule.  ``n_repeat_words`` compares windows
+    by a 64-bit hash.  Null ids and repeated rows
     are scored like any other row; an empty table gives no rows.  Equal texts always get
     the same verdict.
     """

@@ -36,40 +36,69 @@ def test_features_and_base_rule(spark):
         assert not (failed and r.kept)
 
 
-def posterior_by_hand(patterns, rounds=25):
+def posterior_by_hand(patterns, weights, rounds=40):
     import math
 
-    n = len(quality_rules.RULES)
-    sign = {"+": 1, "-": -1, "0": 0}
-    prior, acc = 0.8, [0.9] * n
+    rules = quality_rules
+    n = len(rules.RULES)
+    prior, good, bad = rules.GOOD_SHARE, [rules.GOOD_RIGHT] * n, [rules.BAD_FOUND] * n
 
     def judge(p):
-        odds = math.log(prior / (1 - prior)) + sum(
-            sign[v] * math.log(a / (1 - a)) for v, a in zip(p, acc)
-        )
+        odds = math.log(prior / (1 - prior))
+        for vote, a, b in zip(p, good, bad):
+            odds += {"+": math.log(a / (1 - b)), "-": math.log((1 - a) / b), "0": 0}[vote]
         return 1 / (1 + math.exp(-odds))
 
     for _ in range(rounds):
         q = {p: judge(p) for p in patterns}
-        total = sum(patterns.values())
-        fresh = []
+        fresh_good, fresh_bad = [], []
         for j in range(n):
-            right = sum(c * (q[p] if p[j] == "+" else 1 - q[p]) for p, c in patterns.items() if p[j] != "0")
-            cast = sum(c for p, c in patterns.items() if p[j] != "0")
-            fresh.append(min(0.999, max(0.55, (right + 1) / (cast + 1.25))))
-        prior = min(0.999, max(0.001, sum(c * q[p] for p, c in patterns.items()) / total))
-        acc = fresh
+            cast = [(p, weights[p]) for p in patterns if p[j] != "0"]
+            a = (sum(c * q[p] for p, c in cast if p[j] == "+") + rules.BELIEF * rules.GOOD_RIGHT) / (
+                sum(c * q[p] for p, c in cast) + rules.BELIEF
+            )
+            b = (sum(c * (1 - q[p]) for p, c in cast if p[j] == "-") + rules.BELIEF * rules.BAD_FOUND) / (
+                sum(c * (1 - q[p]) for p, c in cast) + rules.BELIEF
+            )
+            a = min(0.9999, max(0.5, a))
+            fresh_good.append(a)
+            fresh_bad.append(min(0.9999, max(0.0001, 1 - a, b)))
+        total = max(sum(weights[p] for p in patterns), 1)
+        prior = min(0.99, max(0.05, sum(weights[p] * q[p] for p in patterns) / total))
+        good, bad = fresh_good, fresh_bad
     return {p: judge(p) for p in patterns}
 
 
 def test_posterior_is_that_of_expectation_maximisation(spark):
     got = quality_rules.score(edge_docs(spark)).collect()
-    expected = posterior_by_hand(Counter(r.pattern for r in got))
+    expected = posterior_by_hand(
+        {r.pattern for r in got}, Counter(r.pattern for r in got if not r.base_failed)
+    )
     for r in got:
         assert r.posterior == pytest.approx(expected[r.pattern], rel=1e-9)
         assert r.kept == (not r.base_failed and expected[r.pattern] >= 0.5)
 
 
+def test_evidence_is_weighed(spark):
+    """Documents kept against a bad vote, and dropped although more rules call them good."""
+    import os
+
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    scored = quality_rules.score(spark.read.parquet(f"{folder}/documents.parquet")).where("not base_failed")
+    counts = {(r.pattern, r.kept): r["count"] for r in scored.groupBy("pattern", "kept").count().collect()}
+    against = sum(n for (p, kept), n in counts.items() if kept and "-" in p)
+    outvoted = sum(n for (p, kept), n in counts.items() if not kept and p.count("+") > p.count("-"))
+    assert against >= 20 and outvoted >= 100
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = scored.join(labels, "doc_id").select("quality", "kept", "pattern").collect()
+    assert sum(r.kept == (r.quality == 1) for r in rows) >= 0.998 * len(rows)
+    # Where a single accusation was overruled, that was right.
+    overruled = [r.quality for r in rows if r.kept and "-" in r.pattern]
+    assert overruled and sum(overruled) >= 0.95 * len(overruled)
+
+
 def test_symbols_go_and_prose_stays(spark):
     kept = {r.doc_id: r.kept for r in quality_rules.score(edge_docs(spark)).collect()}
     assert not kept[17] and not kept[12]
