@@ -282,6 +282,11 @@ QUERIES = {
         GROUP BY a.r_name, a.full_name, b.full_name
         HAVING count(*) >= 5""",
     "stop_performance": star_query("SELECT * FROM v_pit"),
+    "price_percentiles": """
+        SELECT l_returnflag,
+               round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.5), 4) AS median_price,
+               round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.9), 4) AS p90_price
+        FROM lineitem GROUP BY l_returnflag""",
     "spread_quartile": star_query("""
         SELECT season_year, constructor_name, stop_count, median_stop_seconds,
                p90_stop_seconds,

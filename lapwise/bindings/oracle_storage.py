@@ -11,6 +11,57 @@ longest AS (
 )
 """
 
+def _duration(ms: str, minutes: bool = True) -> str:
+    """Milliseconds as ``m:ss.SSS``, or ``s.SSS`` without minutes."""
+    fraction = f"lpad(CAST({ms} % 1000 AS VARCHAR), 3, '0')"
+    if not minutes:
+        return f"({ms} // 1000) || '.' || {fraction}"
+    return f"({ms} // 60000) || ':' || lpad(CAST({ms} % 60000 // 1000 AS VARCHAR), 2, '0') || '.' || {fraction}"
+
+
+# Each landed table's columns as SQL over the star.
+_LANDED = {
+    ("circuits", "dim_circuit"): {
+        "circuitId": "circuit_id", "circuitRef": "circuit_ref", "name": "circuit_name",
+        "location": "location", "country": "country", "lat": "CAST(latitude AS DECIMAL(18,4))",
+        "lng": "CAST(longitude AS DECIMAL(18,4))", "alt": "altitude_m",
+    },
+    ("constructors", "dim_constructor"): {
+        "constructorId": "constructor_id", "constructorRef": "constructor_ref",
+        "name": "constructor_name", "nationality": "nationality",
+    },
+    ("drivers", "dim_driver"): {
+        "driverId": "driver_id", "driverRef": "driver_ref", "number": "permanent_number",
+        "code": "driver_code", "forename": "forename || ', \"' || surname || '\"'",
+        "surname": "'#' || surname", "dob": "date_of_birth", "nationality": "nationality",
+    },
+    ("status", "dim_status"): {"statusId": "status_id", "status": "status_description"},
+    ("races", "dim_race"): {
+        "raceId": "race_id", "year": "season_year", "round": "round_number",
+        "circuitId": "circuit_id", "name": "race_name", "date": "race_date",
+    },
+    ("results", "fct_result"): {
+        "resultId": "result_id", "raceId": "race_id", "driverId": "driver_id",
+        "constructorId": "constructor_id", "number": "driver_id % 100", "grid": "grid_position",
+        "position": "finish_position",
+        "positionText": "coalesce(CAST(finish_position AS VARCHAR), 'R')",
+        "positionOrder": "position_order", "points": "CAST(points AS DECIMAL(18,4))",
+        "laps": "laps_completed", "time": _duration("race_duration_ms"),
+        "milliseconds": "race_duration_ms", "fastestLap": "laps_completed + 1",
+        "rank": "position_order", "fastestLapTime": _duration("fastest_lap_ms"),
+        "fastestLapSpeed": "CAST(fastest_lap_speed_kph AS INTEGER)", "statusId": "status_id",
+    },
+    ("pit_stops", "typed_stop JOIN longest USING (race_id, driver_id, stop_number)"): {
+        "raceId": "race_id", "driverId": "driver_id", "stop": "stop_number", "lap": "lap_number",
+        "duration": _duration("longest.duration_ms", minutes=False),
+    },
+}
+_CELLS = " UNION ALL ".join(
+    f"SELECT '{name}' AS tbl, '{column}' AS column_name, CAST({value} AS VARCHAR) AS value FROM {source}"
+    for (name, source), columns in _LANDED.items()
+    for column, value in columns.items()
+)
+
 _MESSAGE = r"""
 message AS (
     SELECT role, concat(conv_id, ',', turn, ',', role, ',',
@@ -68,8 +119,9 @@ QUERIES = {
     "archive_standings": f"""
         WITH {STAR}
         SELECT season_year, championship_position, driver_id, constructor_name,
+               forename || ', "' || surname || '" #' || surname AS driver_name,
                CAST(cumulative_points AS DOUBLE) AS cumulative_points
-        FROM final_rows
+        FROM final_rows JOIN (SELECT driver_id, forename, surname FROM dim_driver) USING (driver_id)
         QUALIFY row_number() OVER (PARTITION BY season_year
                                    ORDER BY championship_position, driver_id) <= 20""",
     "star_refresh": f"""
@@ -124,6 +176,9 @@ QUERIES = {
                    count(*) FILTER (duration_ms NOT BETWEEN 1000 AND 300000) AS metric_value
             FROM longest
             UNION ALL SELECT 'pit_stops', 'DUPLICATE_COUNT', 'pit_stop_key', 0
+            UNION ALL SELECT 'drivers', 'DUPLICATE_COUNT', 'driver_id', 0
+            UNION ALL SELECT 'drivers', 'NULL_COUNT', 'full_name',
+                             count(*) FILTER (full_name IS NULL) FROM dim_driver
             UNION ALL SELECT 'races', 'DUPLICATE_COUNT', 'race_id', 0
             UNION ALL SELECT 'races', 'NULL_COUNT', 'season_year',
                              count(*) FILTER (season_year IS NULL) FROM dim_race
@@ -146,6 +201,31 @@ QUERIES = {
                     ELSE 'OK' END AS status,
                TIMESTAMP '2024-01-01' AS measurement_time
         FROM metric""",
+    "shared_ledger": f"""
+        WITH {STAR},
+        size AS (
+            SELECT count(*) FILTER (race_id // 100 <= 1997) AS half, count(*) AS whole FROM fct_result
+        )
+        SELECT 1 AS step, 'stream' AS way, half AS landed FROM size
+        UNION ALL SELECT 2, 'batch', half FROM size
+        UNION ALL SELECT 3, 'batch', whole FROM size
+        UNION ALL SELECT 4, 'stream', whole FROM size""",
+    "newest_stops": f"""
+        WITH {STAR}
+        SELECT race_id, driver_id, stop_number, max(duration_ms) AS duration_ms, count(*) AS staged
+        FROM typed_stop GROUP BY ALL""",
+    "multiline_records": """
+        SELECT doc_id, lang, md5(text) AS checksum,
+               CAST(len(string_split(text, chr(10))) AS BIGINT) AS lines
+        FROM documents""",
+    "landed_content": f"""
+        WITH {STAR}, {_LONGEST_STOP},
+        cell AS (
+            {_CELLS}
+        )
+        SELECT tbl, column_name, count(value) AS filled, count(DISTINCT value) AS different,
+               CAST(sum(CAST('0x' || substr(md5(value), 1, 8) AS BIGINT)) AS VARCHAR) AS checksum
+        FROM cell GROUP BY tbl, column_name HAVING count(value) > 0""",
     "prepared_files": f"""
         WITH {STAR}
         SELECT CAST(race_id // 100 AS INTEGER) AS season, count(*) AS rows,

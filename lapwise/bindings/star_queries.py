@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lapwise.bindings.sales import event_results, sales_star, shipping_star
+from lapwise.bindings.sales import event_results, sales_star, shipping_star, table
 from lapwise.functions import ascending, to_serving
+from lapwise.operators import ordered
 from lapwise.plans import analysis, feeds, views
 from lapwise.plans.star import Star
 
@@ -55,6 +57,15 @@ def _head_to_head(spark: SparkSession, folder: str) -> DataFrame:
     return analysis.teammates(shipping_star(spark, folder))
 
 
+def price_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Median and 90th percentile of prices in cents, of as many values as there are."""
+    lines = table(spark, folder, "lineitem")
+    found = ordered.exact_percentiles(
+        lines, ["l_returnflag"], "l_extendedprice", {"median_price": 0.5, "p90_price": 0.9}
+    )
+    return found.select("l_returnflag", *[F.round(c, 4).alias(c) for c in ("median_price", "p90_price")])
+
+
 QUERIES: dict[str, Query] = {
     "season_standings": season_standings,
     "headline_top10": _on_star(_headline),
@@ -73,6 +84,7 @@ QUERIES: dict[str, Query] = {
     ),
     "reliability": _on_star(views.reliability),
     "rank_divergence": _on_star(lambda s: analysis.rank_divergence(views.reliability(s))),
+    "price_percentiles": price_percentiles,
     "droughts": _on_events(analysis.droughts),
     "season_list": _on_star(feeds.seasons),
     "progression_feed": _on_star(feeds.progression),

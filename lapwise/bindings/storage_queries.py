@@ -9,6 +9,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -110,8 +112,13 @@ def upsert_report(spark: SparkSession, folder: str) -> DataFrame:
 # -- the archive out of the sales tables -----------------------------------------------
 
 
-def source_rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One entity's file content as text, in file column order, without the season."""
+def source_rows(
+    spark: SparkSession, folder: str, name: str, repeated: bool = False
+) -> DataFrame:
+    """One entity's file content as text, in file column order, without the season.
+
+    ``repeated`` leaves stops of one key their own durations.
+    """
     rows = sales.typed_table(spark, folder, name)
     cells: dict[str, Column]
     if name == "circuits":
@@ -151,14 +158,22 @@ def source_rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
             "positionOrder": F.col("position_order"), "points": F.col("points"),
             "laps": F.col("laps_completed"), "milliseconds": F.col("race_duration_ms"),
             "statusId": F.col("status_id"),
+            "number": F.col("driver_id") % 100,
+            "positionText": F.coalesce(F.col("finish_position").cast("string"), F.lit("R")),
+            "time": sales.duration_text(F.col("race_duration_ms")),
+            "fastestLap": F.col("laps_completed") + 1,
+            "rank": F.col("position_order"),
+            "fastestLapTime": sales.duration_text(F.col("fastest_lap_ms")),
+            "fastestLapSpeed": F.col("fastest_lap_speed_kph").cast("int"),
         }
     else:
-        # Several stops share a key; with one duration each, any of them may be the newest.
-        same = W.partitionBy("race_id", "driver_id", "stop_number")
-        rows = rows.withColumn("duration_ms", F.max("duration_ms").over(same))
+        if not repeated:
+            # Several stops share a key; with one duration each, any of them may be the newest.
+            same = W.partitionBy("race_id", "driver_id", "stop_number")
+            rows = rows.withColumn("duration_ms", F.max("duration_ms").over(same))
         cells = {
             "raceId": F.col("race_id"), "driverId": F.col("driver_id"),
-            "stop": F.col("stop_number"),
+            "stop": F.col("stop_number"), "lap": F.col("lap_number"),
             "duration": sales.duration_text(F.col("duration_ms"), minutes=False),
         }
     nothing = F.lit(None).cast("string")
@@ -256,7 +271,7 @@ def archive_standings(spark: SparkSession, folder: str) -> DataFrame:
     archive = Archive(spark, scratch_path(spark, "archive"))
     archive.bring_up(staged, "first", T0)
     progression = views.season_progression(archive.star())
-    return to_serving(analysis.final_standings(progression)).drop("driver_name")
+    return to_serving(analysis.final_standings(progression))
 
 
 def star_refresh(spark: SparkSession, folder: str) -> DataFrame:
@@ -315,6 +330,58 @@ def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return landed.join(typed, "season")
 
 
+def shared_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows landed after each of four loads that alternate between the stream and the batch.
+
+    Half of the results arrive; the stream takes them, a batch load finds nothing left.  The
+    other half arrives; a batch load takes it, and the stream finds nothing left.
+    """
+    entity = ENTITIES["results"]
+    staged = scratch_path(spark, "arrivals")
+    archive = Archive(spark, scratch_path(spark, "archive"))
+    landed = []
+    for at, window, ways in (
+        (T0, (None, SPLIT_SEASON), ("stream", "batch")), (T1, (SPLIT_SEASON + 1, None), ("batch", "stream")),
+    ):
+        stage(spark, folder, staged, ("results",), *window)
+        for way in ways:
+            if way == "stream":
+                ingest(archive, entity, staged, clock=lambda at=at: at).awaitTermination()
+            else:
+                archive.load(entity, staged, "batch", at)
+            landed.append((len(landed) + 1, way, archive.landing(entity).count()))
+    return spark.createDataFrame(landed, "step int, way string, landed bigint")
+
+
+def landed_content(spark: SparkSession, folder: str) -> DataFrame:
+    """Per landed column: filled cells, different values, and a checksum of the text.
+
+    Decimals and doubles are compared with four places; stops with equal keys come with
+    different durations.
+    """
+    archive, _ = _loaded_archive(spark, folder)
+    parts = []
+    for name, entity in ENTITIES.items():
+        rows = archive.landing(entity)
+        cells = []
+        for c in entity.landing:
+            text = F.col(f"`{c}`")
+            if c in ("lat", "lng", "points"):
+                text = text.cast("decimal(18,4)").cast("string")
+            cells.append(F.struct(F.lit(c).alias("column_name"), text.alias("value")))
+        long = rows.select(F.inline(F.array(*cells)))
+        parts.append(
+            long.groupBy("column_name").agg(
+                F.count("value").alias("filled"),
+                F.count_distinct("value").alias("different"),
+                F.coalesce(
+                    F.sum(F.conv(F.substring(F.md5("value"), 1, 8), 16, 10).cast("bigint")), F.lit(0)
+                ).cast("decimal(38,0)").cast("string").alias("checksum"),
+            ).select(F.lit(name).alias("tbl"), "*")
+        )
+    return reduce(DataFrame.unionByName, parts).filter("filled > 0")
+
+
 def season_partition(spark: SparkSession, folder: str) -> DataFrame:
     """Lines split by the season of their order, within a window, read back from the files.
 
@@ -400,13 +467,78 @@ def audit_record(spark: SparkSession, folder: str) -> DataFrame:
     return inserted.select("*", label).join(total.select("*", label), "k").drop("k")
 
 
+def newest_stops(spark: SparkSession, folder: str) -> DataFrame:
+    """Stops of one key with different durations, a line break in one file: the last line wins.
+
+    Per key: rows staged and the duration kept.  Each race is one file in the order of the
+    durations, so the longest stop of a key stands last.
+    """
+    rows = source_rows(spark, folder, "pit_stops", repeated=True).select(
+        "raceId", "driverId", "stop", "lap", F.lit(None).cast("string").alias("time"), "duration",
+        F.lit(None).cast("string").alias("milliseconds"),
+    )
+    staged = scratch_path(spark, "stops")
+    season = F.substring("raceId", 1, 4).alias("season")
+    lines = rows.select(
+        season, F.col("duration").cast("decimal(18,3)").alias("length"),
+        F.concat_ws(",", *[F.coalesce(F.col(c), F.lit(NULL_TOKEN)) for c in rows.columns]).alias("value"),
+    )
+    # One task for each season's file; the text writer has no header, so a line stands in.
+    header = lines.select("season").distinct().select(
+        "season", F.lit(-1).cast("decimal(18,3)").alias("length"), F.lit(",".join(rows.columns)).alias("value")
+    )
+    lines.unionByName(header).repartition("season").sortWithinPartitions("season", "length").select(
+        "season", "value"
+    ).write.partitionBy("season").text(f"{staged}/pit_stops")
+    archive = Archive(spark, scratch_path(spark, "archive"))
+    entity = replace(ENTITIES["pit_stops"], by_season=False)
+    loaded = line_source.read_lines(spark, f"{staged}/pit_stops")
+    archive.land(entity, loaded, "first", T0)
+    archive.conform(entity, T0)
+    counted = rows.groupBy(
+        F.col("raceId").cast("bigint").alias("race_id"), F.col("driverId").cast("bigint").alias("driver_id"),
+        F.col("stop").cast("int").alias("stop_number"),
+    ).agg(F.count("*").alias("staged"))
+    return archive.typed(entity).select("race_id", "driver_id", "stop_number", "duration_ms").join(
+        counted, ["race_id", "driver_id", "stop_number"]
+    )
+
+
+TEXTS = Entity(
+    name="texts",
+    landing=("doc_id", "text", "lang"),
+    key="doc_id",
+    typed=(("doc_id", "number", "doc_id"),),
+)
+
+
+def multiline_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents, line breaks and quotes included, through quoted CSV, plain and gzipped.
+
+    Per document: the checksum of its landed text, its lines, and whether it was rejected.
+    """
+    path = scratch_path(spark, "texts")
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    records = table(spark, folder, "documents").select(
+        "doc_id", F.concat_ws(",", F.col("doc_id"), quoted, F.col("lang")).alias("value")
+    )
+    for part, options in ((0, {}), (1, {"compression": "gzip"})):
+        records.filter(F.col("doc_id") % 2 == part).select("value").write.options(**options).text(f"{path}/{part}")
+    judged = line_source.judged(line_source.read_lines(spark, path), header_lines=0)
+    landed = line_source.landed(judged.filter("error is null"), TEXTS, T0)
+    return landed.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.md5("text").alias("checksum"),
+        F.size(F.split("text", "\n")).cast("bigint").alias("lines"),
+    )
+
+
 def metric_history(spark: SparkSession, folder: str) -> DataFrame:
-    """Newest stored metrics after two loads, of which the second changes nothing."""
-    names = ("results", "races", "pit_stops")
-    archive, _ = _loaded_archive(spark, folder, names)
+    """Newest stored metrics after two runs, of which the second changes and measures nothing."""
+    staged = scratch_path(spark, "staged")
+    stage(spark, folder, staged)
+    archive = Archive(spark, scratch_path(spark, "archive"))
     for at in (T0, T1):
-        reports = archive.for_each(lambda entity, at=at: archive.conform(entity, at), names)
-        verification.measure_changes(archive, reports, F.lit(at))
+        archive.bring_up(staged, "run", at)
     return verification.latest_metrics(archive).select(
         *quality.RESULT_KEY, "metric_value", "status",
         F.col("measurement_time").cast("timestamp_ntz").alias("measurement_time"),
@@ -459,5 +591,9 @@ QUERIES: dict[str, Query] = {
     "reject_counts": reject_counts,
     "audit_record": audit_record,
     "metric_history": metric_history,
+    "shared_ledger": shared_ledger,
+    "landed_content": landed_content,
+    "newest_stops": newest_stops,
+    "multiline_records": multiline_records,
     "prepared_files": prepared_files,
 }

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from lapwise.operators import quality
 from lapwise.operators.incremental import require_row_local
-from lapwise.operators.tables import BUCKET, BucketTable, table_at
+from lapwise.operators.tables import BUCKET, BucketTable, exists, table_at
 from lapwise.operators.upsert import UpsertReport, only_buckets, upsert
 from lapwise.plans import conform
 from lapwise.plans.metrics import BucketMetrics, suites
@@ -144,11 +144,14 @@ class Archive:
 
     def metrics(self) -> DataFrame:
         """Every stored measurement."""
-        return table_at(self.spark, f"{self.root}/metrics", quality.RESULT)
+        path = f"{self.root}/metrics"
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], quality.RESULT)
+        return self.spark.read.schema(quality.RESULT).option("recursiveFileLookup", "true").parquet(path)
 
-    def store_metrics(self, measured: DataFrame) -> None:
-        """Add measurements to the history."""
-        measured.write.mode("append").parquet(f"{self.root}/metrics")
+    def store_metrics(self, measured: DataFrame, name: str = "all") -> None:
+        """Add measurements to the history; writers at one time need folders of their own."""
+        measured.write.mode("append").parquet(f"{self.root}/metrics/{name}")
 
     def bucket_metrics(self, entity: Entity) -> BucketMetrics:
         """What each bucket of a typed table contributes to its metrics."""
@@ -411,7 +414,7 @@ class Archive:
                 continue
             shares = self.bucket_metrics(entity)
             shares.update(only_buckets(self.typed_table(entity).read(), buckets), buckets, at)
-            self.store_metrics(shares.totals(at))
+            self.store_metrics(shares.totals(at), name)
             self._done("unmeasured", entity)
             measured.append(name)
         return measured

@@ -6,6 +6,9 @@ import os
 import pytest
 import racing_files
 
+from pyspark.sql import functions as F
+
+from lapwise.plans import pipeline, verification
 from lapwise.plans.pipeline import Archive
 from lapwise.sources.entities import ENTITIES
 from lapwise.streaming.ingest import arriving_files, ingest
@@ -127,3 +130,77 @@ def test_a_run_that_died_is_completed_by_the_next(spark, tmp_path, monkeypatch):
     assert reports["status"].inserted == 7 and archive.unconformed(status) == []
     assert archive.landing(status).count() == 7
     assert archive.star().status.count() == 7
+
+
+def test_one_ledger_for_stream_and_batch(spark, tmp_path):
+    staged, archive = str(tmp_path / "staged"), Archive(spark, str(tmp_path / "archive"))
+    status = ENTITIES["status"]
+    racing_files.write(staged)
+    empty = os.path.join(staged, "status", "empty.csv")
+    with open(empty, "w", encoding="utf-8") as out:
+        out.write("statusId,status\n")
+    ingest(archive, status, staged, clock, upserting=True).awaitTermination()
+    # A header alone is a loaded file, too.
+    audit = {os.path.basename(r["file_name"]): r["row_count"] for r in archive.audit().collect()}
+    assert audit == {"status.csv": 7, "empty.csv": 0}
+    assert archive.load(status, staged, "after", clock()) == 0
+    assert archive.landing(status).count() == 7 and len(archive.batches(status)) == 1
+    # A rewritten file is new to the batch load, and then known to both.
+    with open(empty, "a", encoding="utf-8") as out:
+        out.write("9,Gearbox\n")
+    assert archive.load(status, staged, "after", clock()) == 1
+    assert archive.landing(status).count() == 8
+    assert archive.catch_up(status, clock()).inserted == 1
+    ingest(archive, status, staged, clock, upserting=True).awaitTermination()
+    assert archive.landing(status).count() == 8 and archive.typed(status).count() == 8
+
+
+def test_large_arrivals_land_as_several_batches(spark, tmp_path, monkeypatch):
+    staged, archive = str(tmp_path / "staged"), Archive(spark, str(tmp_path / "archive"))
+    status = ENTITIES["status"]
+    folder = tmp_path / "staged" / "status"
+    folder.mkdir(parents=True)
+    for i in range(9):
+        (folder / f"s{i}.csv").write_text(f"statusId,status\n{i},Kind {i}\n")
+    monkeypatch.setattr(pipeline, "FILES_AT_ONCE", 4)
+    assert archive.load(status, staged, "b", clock()) == 9
+    assert len(archive.batches(status)) > 2 and archive.landing(status).count() == 9
+    assert archive.load(status, staged, "b", clock()) == 0
+    assert archive.catch_up(status, clock()).inserted == 9
+
+
+def test_any_number_of_batches_is_one_path(spark, tmp_path):
+    archive, status = Archive(spark, str(tmp_path / "archive")), ENTITIES["status"]
+    names = [f"b{i:04d}" for i in range(300)]
+    rows = spark.createDataFrame(
+        [("1", "x", "f", i, clock(), clock(), n) for i, n in enumerate(names)],
+        pipeline.landing_schema(status).add("batch", "string"),
+    )
+    rows.write.partitionBy("batch").parquet(f"{archive.root}/landing/status")
+    archive._mark("landed", status, archive._named(names[:200]))
+    assert archive.landing(status).count() == 200
+    assert archive.landing(status, ["b0007"]).count() == 1
+    scans = [line for line in archive.landing(status)._jdf.queryExecution().toString().splitlines() if "Location:" in line]
+    assert scans and all("[1 paths]" in line or "(1 paths)" in line for line in scans)
+    assert archive.landing(status).inputFiles()
+
+
+def test_a_run_measures_only_what_changed(spark, tmp_path):
+    staged, archive = str(tmp_path / "staged"), Archive(spark, str(tmp_path / "archive"))
+    racing_files.write(staged, seasons=(2020,))
+    archive.bring_up(staged, "a", clock())
+    first = archive.metrics().count()
+    # The same numbers as measuring the whole tables.
+    whole = {tuple(r)[:4] for r in verification.measure(archive, F.lit(clock())).collect()}
+    assert {tuple(r)[:4] for r in archive.metrics().collect()} == whole
+    archive.bring_up(staged, "b", clock())
+    assert archive.metrics().count() == first and archive.measure(clock()) == []
+    racing_files.write(staged, seasons=(2021,))
+    later = clock() + dt.timedelta(days=1)
+    archive.bring_up(staged, "c", later)
+    changed = archive.metrics().filter(F.col("measurement_time") == F.lit(later))
+    assert {r["table_name"] for r in changed.select("table_name").distinct().collect()} == {"results", "races"}
+    latest = {tuple(r)[:4] for r in verification.latest_metrics(archive).select(
+        "table_name", "metric_name", "argument_names", "metric_value").collect() if r[1] != "FRESHNESS"}
+    whole = {tuple(r)[:4] for r in verification.measure(archive, F.lit(later)).collect() if r[1] != "FRESHNESS"}
+    assert latest == whole

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from lapwise.functions import exact_hash
 from lapwise.operators.incremental import NotIncremental, require_row_local
 from lapwise.operators.tables import BUCKET, BucketTable
-from lapwise.operators.upsert import upsert
+from lapwise.operators.upsert import only_buckets, upsert
 from lapwise.plans import conform
 from lapwise.sources.entities import ENTITIES
 from lapwise.session import scratch_path
@@ -137,3 +137,21 @@ def source_table(spark, frame):
     path = scratch_path(spark, "source")
     frame.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def test_only_reached_buckets_are_opened(spark, table):
+    upsert(table, batch(spark, [(k, "a") for k in range(0, 400, 5)]), "k", at(1))
+    buckets = spark.createDataFrame([(3,), (7,)], f"{BUCKET} bigint")
+    reached = only_buckets(table.read(), buckets)
+    plan = reached._jdf.queryExecution().executedPlan().toString()
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert f"{BUCKET}#" in filters.split("PartitionFilters")[1] and ">= 3" in filters and "<= 7" in filters
+    assert {r[BUCKET] for r in reached.collect()} == {3, 7}
+    assert only_buckets(table.read(), buckets.limit(0)).count() == 0
+
+
+def test_hashed_buckets_spread_an_entity_without_a_range(spark):
+    status = ENTITIES["status"]
+    rows = spark.range(1000).selectExpr("id as status_id").withColumn(BUCKET, conform.bucket(status, 8))
+    sizes = [r["count"] for r in rows.groupBy(BUCKET).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 200
