@@ -18,17 +18,21 @@ GRID_DIMENSIONS = 8
 GRID_BITS = 7
 
 # Index rows of a block, queries of a chunk, and the share of a curve's blocks that a query
-# looks at around its own place.
+# looks at around its own place: in 64 dimensions, and how it grows with them.
 BLOCK_ROWS = 1024
 CHUNK_QUERIES = 4096
 REACH = 0.1
+REACH_GROWTH = 0.18
 
-# Index rows whose norms lie between two neighbouring powers of this power of two share a
-# scale and curves.
+# Index rows whose norms lie within a factor of two to this power share a scale and curves.  The
+# borders are odd powers of two, well away from 1, where norms like to gather.
 BAND_BITS = 2
 
+# Rows that the scale of queries and the grid of each curve are fitted on, for each group of bands.
+FIT_ROWS = 512
+
 KEYED = "curve int, curve_key long, counted long, ids array<long>, embedding array<double>"
-FOUND = "query_id long, found array<struct<score:double,rep:long,ids:array<long>>>"
+FOUND = "query_id long, copy long, score double, head long, mark long, own boolean, ids array<long>"
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -88,32 +92,52 @@ def band_groups(counts: dict[int, int], block_rows: int) -> list[tuple[list[int]
     return groups
 
 
-def keyed(size: int, groups: list[tuple[list[int], int]], seed: int):
+def scaled(rows: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Index rows over the end of their norm band, with one more component that makes them unit vectors."""
+    inside = np.ldexp(rows, -(BAND_BITS * band + BAND_BITS // 2)[:, None])
+    rest = np.sqrt(np.maximum(0, 1 - (inside * inside).sum(axis=1)))
+    return np.hstack([inside, rest[:, None]])
+
+
+def fitted(rows: np.ndarray, band: np.ndarray, seed: int) -> tuple[float, list[tuple[np.ndarray, np.ndarray]]]:
+    """From a sample of a group: the norm queries get, and each curve's grid (begin and width).
+
+    The order of a band by inner product is that by distance from a query of any length; with
+    the length of the group's longer rows, a query lies among its neighbours on the curves.
+    """
+    unit = scaled(rows, band)
+    length = float(np.quantile(np.sqrt((unit[:, :-1] ** 2).sum(axis=1)), 0.9))
+    grids = []
+    for matrix, _ in projections(rows.shape[1] + 1, seed):
+        low, high = np.quantile(unit @ matrix, [0.005, 0.995], axis=0)
+        grids.append((low, np.maximum(high - low, 1e-9)))
+    return min(length, 1.0), grids
+
+
+def keyed(size: int, groups: list[tuple[list[int], int]], fits: list, seed: int):
     """For `mapInArrow` over ``ids, embedding, counted, band``: a row for each curve.
 
-    An index row is scaled by the end of its norm band and gets one more component that
-    makes it a unit vector; a query is scaled to a unit vector with 0 there and asks all
-    groups.  The order of a band by inner product is then that by distance.
+    Index rows go to the curves of their own group; a query asks all groups.
     """
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         curves = projections(size + 1, seed)
         for batch in batches:
-            rows = np.stack(batch.column(1).to_numpy(zero_copy_only=False)).astype(np.float64)
+            rows = batch.column(1).flatten().to_numpy().reshape(-1, size)
             asks, band = batch.column(2).to_numpy() == 0, batch.column(3).to_numpy()
-            top = np.abs(rows).max(axis=1)[:, None]
-            unit = rows / top
+            unit = rows / np.abs(rows).max(axis=1)[:, None]
             unit /= np.sqrt((unit * unit).sum(axis=1))[:, None]
-            scaled = np.ldexp(rows, -BAND_BITS * (band + 1)[:, None])
-            unit = np.where(asks[:, None], unit, scaled)
-            rest = np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1)))
-            unit = np.hstack([unit, np.where(asks, 0, rest)[:, None]])
+            index = scaled(rows, np.where(asks, 0, band))
             number = 0
-            for bands, own in groups:
+            for (bands, own), (length, grids) in zip(groups, fits):
                 taking = np.flatnonzero(asks | np.isin(band, bands))
                 part = batch.take(pa.array(taking))
-                for matrix, shift in curves[:own]:
-                    # A shifted grid of twice the width of the unit ball's projection.
-                    cell = ((unit[taking] @ matrix + 1) / 4 + shift / 2) * (1 << GRID_BITS)
+                query = np.hstack([
+                    length * unit[taking], np.full((len(taking), 1), np.sqrt(max(0.0, 1 - length * length)))
+                ])
+                point = np.where(asks[taking][:, None], query, index[taking])
+                for (matrix, shift), (low, width) in zip(curves[:own], grids):
+                    # A shifted grid of twice the width of the sampled rows' projection.
+                    cell = ((point @ matrix - low) / width / 2 + shift / 2) * (1 << GRID_BITS)
                     cell = np.clip(cell, 0, (1 << GRID_BITS) - 1)
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -132,37 +156,47 @@ def nearest(wanted: int):
     """For cogrouped `applyInArrow`: the best rows of one block for each of its queries.
 
     Candidates are chosen by one matrix product and scored again component by component, so
-    a pair has the same score wherever it is met.
+    a pair has the same score wherever it is met.  ``mark`` is a hash of the vector.
     """
+    names = [c.split()[0] for c in FOUND.split(", ")]
+    kinds = pa.schema(list(zip(names, [
+        pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())
+    ])))
+
     def best(index: pa.Table, queries: pa.Table) -> pa.Table:
-        kinds = pa.schema([
-            ("query_id", pa.int64()),
-            ("found", pa.list_(pa.struct([
-                ("score", pa.float64()), ("rep", pa.int64()), ("ids", pa.list_(pa.int64()))]))),
-        ])
         if not index.num_rows or not queries.num_rows:
             return kinds.empty_table()
         rows = np.stack(index["embedding"].to_numpy())
         asked = np.stack(queries["embedding"].to_numpy())
-        ids = index["ids"].to_pylist()
-        reps = np.fromiter((i[0] for i in ids), np.int64, len(ids))
+        ids = index["ids"].combine_chunks()
+        heads = ids.values.to_numpy()[ids.offsets.to_numpy()[:-1]]
+        factors = np.random.default_rng(7).integers(1, 1 << 63, rows.shape[1], np.uint64) | np.uint64(1)
+        marks = ((rows + 0.0).view(np.uint64) * factors).sum(axis=1).view(np.int64)
+        query = queries["ids"].combine_chunks().flatten().to_numpy().reshape(-1, 2)
         with np.errstate(all="ignore"):
             # Products beyond the range of doubles are infinite, or without a value and last.
             rough = np.nan_to_num(asked @ rows.T, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
         count = min(wanted, len(rows))
         floor = np.partition(rough, len(rows) - count, axis=1)[:, len(rows) - count]
         slack = np.where(np.isfinite(floor), 1e-9 * np.maximum(1, np.abs(floor)), 0)
-        found = []
+        picked, who, scores = [], [], []
         for q, row in enumerate(rough):
             near = np.flatnonzero(row >= floor[q] - slack[q])
             with np.errstate(all="ignore"):
                 score = (rows[near] * asked[q]).sum(axis=1)
-            order = np.lexsort((reps[near], -score))[:wanted]
-            found.append([
-                {"score": float(score[o]), "rep": int(reps[near[o]]), "ids": ids[near[o]]}
-                for o in order
-            ])
-        return pa.table([queries["ids"].combine_chunks().flatten(), pa.array(found, kinds.field(1).type)], schema=kinds)
+            order = np.lexsort((marks[near], heads[near], -score))[:wanted]
+            picked.append(near[order])
+            scores.append(score[order])
+            who.append(np.full(len(order), q))
+        picked, who = np.concatenate(picked), np.concatenate(who)
+        own = (rows[picked] == asked[who]).all(axis=1)
+        return pa.table(
+            [
+                pa.array(query[who, 0]), pa.array(query[who, 1]), pa.array(np.concatenate(scores)),
+                pa.array(heads[picked]), pa.array(marks[picked]), pa.array(own), ids.take(pa.array(picked)),
+            ],
+            schema=kinds,
+        )
 
     return best
 
@@ -186,51 +220,71 @@ def search(
     vectors: DataFrame,
     query_step: int = 20,
     k: int = 20,
-    reach: float = REACH,
+    reach: float | None = None,
     seed: int = 4,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` best rows found for each query.
+    """``query_id, rank, vec_id, score, copy``: the ``k`` best rows found for each query.
 
     Queries are the rows whose id is divisible by ``query_step``; every row takes part as a
     candidate but the query's own.  Equal vectors are one index row with their ``k + 1``
     smallest ids, so a crowd of copies fills no window.  On each curve a query meets the
     blocks around its place, a share ``reach`` of them; in vectors without any structure
-    recall follows this share, which is why it is one.  Rows of like norms have curves of
-    their own, so a few long vectors do not push the others together.  Scores are inner products in double
-    precision of the vectors as given; ties go to the smaller id.
+    recall follows this share, and needs more of it in more dimensions, which is why the default
+    is one and grows.  Rows of like norms have curves of their own, whose grids are fitted on a
+    bounded sample of them, so a few long vectors do not push the others together.  Scores are
+    inner products in double precision of the vectors as given; ties go to the smaller id.
 
     Vectors that are null, empty, zero or hold a null or non-finite component take no part,
     nor do null ids and vectors of another length than the most frequent one (of equally
-    frequent lengths, the greater).  An empty table gives no rows.
+    frequent lengths, the greater).  Rows of one id are rows of their own: each asks for itself,
+    told apart by ``copy`` (from 1, in the order of their vectors), only itself is not its
+    candidate, and each is a candidate of others.  An empty table gives no rows.
     """
     spark = vectors.sparkSession
-    empty = "query_id long, rank int, vec_id long, score double"
+    empty = "query_id long, rank int, vec_id long, score double, copy int"
     rows = usable(vectors, id_col, vector_col)
     sizes = rows.groupBy(F.size("embedding").alias("size")).count()
     first = sizes.orderBy(F.desc("count"), F.desc("size")).first()
     if first is None:
         return spark.createDataFrame([], empty)
     size = first["size"]
+    if reach is None:
+        reach = REACH * max(1.0, size / 64) ** REACH_GROWTH
     rows = rows.where(F.size("embedding") == size)
     # The norm's exponent, taken without leaving the range of doubles.
     top = F.array_max(F.transform("embedding", F.abs))
     parts = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + (x / top) * (x / top))
     exponent = F.log2(top) + F.log2(parts) / 2
-    band = F.floor(exponent / BAND_BITS).cast("int").alias("band")
+    band = F.floor((exponent + BAND_BITS // 2) / BAND_BITS).cast("int").alias("band")
     counts = {r["band"]: r["count"] for r in rows.groupBy(band).count().collect()}
     groups = band_groups(counts, BLOCK_ROWS)
     smallest = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
-    classes = (
+    classes = stored(
         rows.withColumn("n", smallest).where(F.col("n") <= k + 1)
         .groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-        .select("ids", "embedding", F.lit(1).cast("long").alias("counted"), band)
+        .select("ids", "embedding", F.lit(1).cast("long").alias("counted"), band),
+        "curve-classes",
+    )
+    # One row for each norm band, of which doubles have some hundreds.
+    group_of = spark.createDataFrame(
+        [(b, g) for g, (bands, _) in enumerate(groups) for b in bands], "band int, part int"
     )
-    asking = rows.where(F.col("vec_id") % query_step == 0).select(
-        F.array("vec_id").alias("ids"), "embedding", F.lit(0).cast("long").alias("counted"), F.lit(0).alias("band")
+    by_hash = Window.partitionBy("part").orderBy(F.xxhash64("embedding"), "embedding")
+    sampled = (
+        classes.join(F.broadcast(group_of), "band").withColumn("n", F.row_number().over(by_hash))
+        .where(F.col("n") <= FIT_ROWS).select("part", "band", "embedding").collect()
     )
-    placed = classes.unionByName(asking).mapInArrow(keyed(size, groups, seed), KEYED)
+    fits = []
+    for g in range(len(groups)):
+        mine = [r for r in sampled if r["part"] == g]
+        fits.append(fitted(np.array([r["embedding"] for r in mine]), np.array([r["band"] for r in mine]), seed))
+    copy = F.row_number().over(Window.partitionBy("vec_id").orderBy("embedding")).cast("long")
+    asking = rows.where(F.col("vec_id") % query_step == 0).withColumn("copy", copy).select(
+        F.array("vec_id", "copy").alias("ids"), "embedding", F.lit(0).cast("long").alias("counted"), F.lit(0).alias("band")
+    )
+    placed = classes.unionByName(asking).mapInArrow(keyed(size, groups, fits, seed), KEYED)
     ordered = stored(
         running_totals(placed, ["curve", "curve_key"], {"before": "counted"}, "curve-rows"),
         "curve-places",
@@ -262,18 +316,19 @@ def search(
     # Both sides come from one frame; their columns are named anew.
     index, queries = (side.toDF(*side.columns) for side in (index, queries))
     found = index.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(nearest(k + 1), FOUND)
-    merged = found.groupBy("query_id").agg(F.flatten(F.collect_list("found")).alias("found"))
-    ids = F.flatten(F.transform(
-        F.slice(
-            F.array_distinct(F.sort_array(F.transform(
-                "found", lambda x: F.struct((-x["score"]).alias("far"), x["rep"].alias("rep"), x["ids"].alias("ids"))
-            ))), 1, k + 1),
-        lambda x: F.transform(x["ids"], lambda i: F.struct(x["far"].alias("far"), i.alias("vec_id"))),
-    ))
-    others = F.filter(ids, lambda x: x["vec_id"] != F.col("query_id"))
-    return merged.select(
-        "query_id", F.posexplode(F.slice(F.sort_array(others), 1, k)).alias("at", "x")
-    ).select(
-        "query_id", (F.col("at") + 1).cast("int").alias("rank"),
-        F.col("x.vec_id").alias("vec_id"), (-F.col("x.far")).alias("score"),
+    # What a query finds is limited before the shuffle; a class met on several curves counts once.
+    asker = ["query_id", "copy"]
+    place = F.dense_rank().over(Window.partitionBy(*asker).orderBy(F.desc("score"), "head", "mark"))
+    classes_found = (
+        found.withColumn("place", place).where(F.col("place") <= k + 1)
+        .dropDuplicates([*asker, "head", "mark"])
+    )
+    others = F.when(
+        F.col("own"), F.expr("filter(ids, (x, i) -> i + 1 <> array_position(ids, query_id))")
+    ).otherwise(F.col("ids"))
+    rank = F.row_number().over(Window.partitionBy(*asker).orderBy(F.desc("score"), "vec_id"))
+    return (
+        classes_found.select(*asker, "score", F.explode(others).alias("vec_id"))
+        .withColumn("rank", rank.cast("int")).where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score", F.col("copy").cast("int").alias("copy"))
     )

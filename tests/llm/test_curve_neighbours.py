@@ -88,13 +88,83 @@ def test_long_vectors_do_not_crowd_the_others(spark, monkeypatch, tail):
         x[7] *= 1e4 if tail == "one long" else 1e200
     monkeypatch.setattr(curve_neighbours, "BLOCK_ROWS", 50)
     ids = list(range(n))
-    reach = 0.02 if tail == "heavy" else curve_neighbours.REACH
+    reach = 0.02 if tail == "heavy" else None
     got = answer(curve_neighbours.search(frame(spark, ids, x), 20, 20, reach))
     want = exact(ids, x, 20, 20)
     recall = np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want])
     assert recall >= 0.9
 
 
+def without_structure(size, norms, n=6000):
+    rng = np.random.default_rng(size)
+    x = rng.normal(size=(n, size))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    return x * {"one": 1.0, "start": 2.1, "end": 7.8, "band": 2.0 ** rng.uniform(1, 3, n)[:, None]}[norms]
+
+
+def met(x, asked, block):
+    """Rows that each query meets on all curves, from the operator's own placement."""
+    n, size = x.shape
+    norms = np.linalg.norm(x, axis=1)
+    bands = np.floor((np.log2(norms) + 1) / 2).astype(int)
+    assert len(set(bands)) == 1
+    length, grids = curve_neighbours.fitted(x[: curve_neighbours.FIT_ROWS], bands[: curve_neighbours.FIT_ROWS], 4)
+    index = curve_neighbours.scaled(x, bands)
+    query = np.hstack([length * x[asked] / norms[asked][:, None], np.full((len(asked), 1), np.sqrt(1 - length**2))])
+    reach = curve_neighbours.REACH * max(1.0, size / 64) ** curve_neighbours.REACH_GROWTH
+    blocks = -(-n // block)
+    width = min(blocks, int(np.ceil(reach * blocks)) + 1)
+    seen = [set() for _ in asked]
+    bits = curve_neighbours.GRID_BITS
+    for (matrix, shift), (low, wide) in zip(curve_neighbours.projections(size + 1, 4), grids):
+        keys = [
+            curve_neighbours.hilbert_keys(
+                np.clip(((p @ matrix - low) / wide / 2 + shift / 2) * (1 << bits), 0, (1 << bits) - 1), bits
+            )
+            for p in (index, query)
+        ]
+        order = np.argsort(keys[0], kind="stable")
+        place = np.searchsorted(keys[0][order], keys[1]) // block
+        begin = np.clip(place - width // 2, 0, blocks - width)
+        for s, at in zip(seen, begin):
+            s.update(order[at * block : (at + width) * block].tolist())
+    return seen
+
+
+@pytest.mark.parametrize("size", [64, 256, 768])
+@pytest.mark.parametrize("norms", ["one", "start", "end", "band"])
+def test_recall_without_structure(size, norms):
+    """Random directions, 120 blocks, norms at 1, at either end of a band and over all of it."""
+    x = without_structure(size, norms)
+    asked = np.arange(0, len(x), 50)
+    want = exact(range(len(x)), x, 50, 20)
+    found = met(x, asked, 50)
+    recall = [len(s & {i for i, _ in want[q]}) / 20 for q, s in zip(asked.tolist(), found)]
+    assert np.mean(recall) >= 0.95
+
+
+def test_the_query_meets_what_the_placement_says(spark, monkeypatch):
+    """The same recall through Spark, unit vectors of 64 dimensions."""
+    x = without_structure(64, "one", 3000)
+    monkeypatch.setattr(curve_neighbours, "BLOCK_ROWS", 30)
+    got = answer(curve_neighbours.search(frame(spark, range(len(x)), x), 100, 20))
+    want = exact(range(len(x)), x, 100, 20)
+    recall = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]
+    assert np.mean(recall) >= 0.95
+
+
+def test_rows_of_one_id_stay_apart(spark):
+    vectors = [[1, 0], [0, 1], [2, 1], [3, 5], [1, 0], [1, 0]]
+    ids = [20, 20, 3, 3, 20, 7]
+    found = curve_neighbours.search(frame(spark, ids, vectors)).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.copy, r["rank"])):
+        got.setdefault(r.copy, []).append((r.vec_id, r.score))
+    # Copies of 20: [0, 1] first, then the two equal rows.
+    assert got[1] == [(3, 5.0), (3, 1.0), (7, 0.0), (20, 0.0), (20, 0.0)]
+    assert got[2] == got[3] == [(3, 3.0), (3, 2.0), (7, 1.0), (20, 1.0), (20, 0.0)]
+
+
 def test_recall_on_the_test_table(spark):
     folder = "/root/testdata/sf0.1"
     if not os.path.isdir(folder):
