@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,6 @@ SENTENCES = {
     "released under the mit license": "mit-ref",
     "licensed under the mit license": "mit-ref",
     "this project is licensed under the mit license": "mit-ref",
-    "spdx license identifier mit": "mit-ref",
     "mit license": "mit-title",
     "the mit license": "mit-title",
     "the mit license mit": "mit-title",
@@ -25,7 +25,6 @@ SENTENCES = {
     "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software": "mit-liability",
     "licensed under the apache license version 2 0": "apache-2-ref",
     "licensed under the apache license version 2 0 the license": "apache-2-head",
-    "spdx license identifier apache 2 0": "apache-2-ref",
     "you may not use this file except in compliance with the license": "apache-comply",
     "you may not use this work except in compliance with the license": "apache-comply",
     "you may obtain a copy of the license at": "apache-copy",
@@ -62,8 +61,37 @@ SENTENCES = {
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-2-head",
     "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0": "mpl-2-copy",
     "this is free and unencumbered software released into the public domain": "unlicense-head",
+    "this library is free software": "gpl-free",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl-3-terms",
+    "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation": "gpl-2-only-terms",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation": "lgpl-terms",
+    "either version 2 1 of the license or at your option any later version": "lgpl-21-later",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl-3-terms",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl-3-terms",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl-2-head",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "mpl-2-copy",
+    "this software is provided as is without any express or implied warranty": "zlib-as-is",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib-grant",
+    "distributed under the boost software license version 1 0": "bsl-ref",
+    "this work is licensed under a creative commons attribution sharealike 4 0 international license": "cc-by-sa-ref",
+    "this work is licensed under a creative commons attribution noncommercial 4 0 international license": "cc-by-nc-ref",
+    "this work is licensed under a creative commons attribution noderivatives 4 0 international license": "cc-by-nd-ref",
 }
 
+# SPDX identifiers that a licence tag may name.
+SPDX = (
+    "0BSD", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "Artistic-2.0",
+    "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0",
+    "CC-BY-SA-4.0", "CC0-1.0", "CDDL-1.0", "EPL-1.0", "EPL-2.0", "EUPL-1.2", "GPL-2.0",
+    "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "ISC",
+    "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only",
+    "LGPL-3.0-or-later", "MIT", "MPL-2.0", "OFL-1.1", "Unlicense", "WTFPL", "Zlib",
+)
+SPDX_TAG = "spdx license identifier"
+SENTENCES.update(
+    {f"{SPDX_TAG} {re.sub('[^a-z0-9]+', ' ', name.lower())}": f"spdx-{name.lower()}" for name in SPDX}
+)
+
 
 @dataclass(frozen=True)
 class LicenceRule:
@@ -84,6 +112,13 @@ RULES = (
     LicenceRule("Apache-2.0", ("apache-2-head", "apache-comply", "apache-copy")),
     LicenceRule("GPL-2.0-or-later", ("gpl-free", "gpl-terms", "gpl-2-later")),
     LicenceRule("GPL-3.0-or-later", ("gpl-free", "gpl-terms", "gpl-3-later")),
+    LicenceRule("GPL-2.0-only", ("gpl-free", "gpl-2-only-terms")),
+    LicenceRule("GPL-3.0-or-later", ("gpl-free", "gpl-3-terms")),
+    LicenceRule("LGPL-2.1-or-later", ("gpl-free", "lgpl-terms", "lgpl-21-later")),
+    LicenceRule("LGPL-3.0-or-later", ("gpl-free", "lgpl-3-terms")),
+    LicenceRule("AGPL-3.0-or-later", ("gpl-free", "agpl-3-terms")),
+    LicenceRule("Zlib", ("zlib-as-is", "zlib-grant")),
+    LicenceRule("BSL-1.0", ("bsl-ref",)),
     LicenceRule("ISC", ("isc-grant", "isc-as-is")),
     LicenceRule("MPL-2.0", ("mpl-2-head", "mpl-2-copy")),
     LicenceRule("MPL-2.0", ("mpl-2-head",)),
@@ -103,6 +138,7 @@ RULES = (
     LicenceRule("CC-BY-ND-4.0", ("cc-by-nd-ref",)),
     LicenceRule("CC0-1.0", ("cc0-ref",)),
     LicenceRule("Unlicense", ("unlicense-head",)),
+    *(LicenceRule(name, (f"spdx-{name.lower()}",)) for name in SPDX),
 )
 
 # Recognised sentences further apart than this do not belong to one rule.
@@ -111,9 +147,15 @@ MAX_GAP = 3
 # A sentence that speaks of licensing, known or not.
 SPEAKS = "(^| )(license|licensed|licence|licenced|copyright|warranty|warranties)( |$)"
 
-# Steps that mark the ends of sentences with \u0001 and reduce the rest to words: after a
-# stop and white space, at an empty line, and where a new line starts like a sentence.
+# Steps that mark the ends of sentences with \u0001 and reduce the rest to words.  Comment leaders
+# go from the starts of lines; the word License that a line break parts from the name before it
+# comes back to it; a licence tag and what it names are a sentence.  Then sentences end after
+# a stop and white space, at an empty line, and where a new line starts like a sentence.
 CLEANING = (
+    ("(^|\\n)[ \\t]*(//+|#+|/\\*+|\\*+/?|--+|;+|%+)", "$1"),
+    ("([A-Za-z,])[ \\t\\r]*\\n[ \\t]*(License[ ,])", "$1 $2"),
+    ("(?i)(SPDX-License-Identifier:[ \\t]*[A-Z0-9.-]+)[+]", "$1-or-later"),
+    ("(?i)SPDX-License-Identifier:[ \\t]*[(]?([A-Z0-9.-]+)", "\u0001spdx license identifier $1\u0001"),
     ("([.;:!?])[ \\t\\r\\n]+", "$1\u0001"),
     ("\\n[ \\t\\r]*\\n", "\u0001"),
     ("\\n[ \\t\\r]*([A-Z][a-z])", "\u0001$1"),
@@ -145,7 +187,9 @@ def scan(
     ``identifiers`` are the known sentences in text order, ``licences`` the distinct
     licences of the rules that matched, both joined by commas (empty if there are none).
     ``n_unmatched`` counts known sentences that no rule took and ``n_unknown`` sentences
-    that speak of licensing but are not known.
+    that speak of licensing but are not known.  Comment leaders do not matter, and of a licence tag
+    the first identifier is read.  A rule takes sentences in its order with at most two others
+    between neighbours (`MAX_GAP`): further apart they belong to different notices.
 
     Sentences and rules are a bounded table held in the plan, so a document is scanned
     within its row and nothing is shuffled.  A null or empty text has no sentences; null
