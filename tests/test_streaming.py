@@ -204,3 +204,15 @@ def test_a_run_measures_only_what_changed(spark, tmp_path):
         "table_name", "metric_name", "argument_names", "metric_value").collect() if r[1] != "FRESHNESS"}
     whole = {tuple(r)[:4] for r in verification.measure(archive, F.lit(later)).collect() if r[1] != "FRESHNESS"}
     assert latest == whole
+
+
+def test_a_file_of_one_empty_line_is_audited(spark, tmp_path):
+    staged, archive = str(tmp_path / "staged"), Archive(spark, str(tmp_path / "archive"))
+    status = ENTITIES["status"]
+    folder = tmp_path / "staged" / "status"
+    folder.mkdir(parents=True)
+    (folder / "nothing.csv").write_text("\n")
+    assert archive.load(status, staged, "a", clock()) == 1
+    assert [r["row_count"] for r in archive.audit().collect()] == [0]
+    assert archive.landing(status).count() == 0 and archive.load(status, staged, "b", clock()) == 0
+    assert not archive.catch_up(status, clock()).changed
