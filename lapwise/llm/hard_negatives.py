@@ -20,6 +20,9 @@ DIRECTIONS = 64
 CLUSTER_ANCHORS = 256
 STEP = 128
 
+# Rows of a list that are walked before anything is ruled out: a block, or several small ones.
+HOME_ROWS = 2048
+
 # Angles and products are widened by these, far above the rounding of doubles.
 ANGLE_SLACK = 1e-6
 SLACK = 1e-9
@@ -82,7 +85,7 @@ def floors_of(asks: pa.Array, count: int) -> np.ndarray:
 
 
 def worth_visiting(size: int, first: bool):
-    """For `pairs`: the first block of the cluster's list, or the others it may have to walk."""
+    """For `pairs`: the first blocks of the cluster's list, or the others it may have to walk."""
 
     def compare(summaries: pa.Array, chunk: dict):
         ids = summaries.field("block").to_numpy()
@@ -91,15 +94,18 @@ def worth_visiting(size: int, first: bool):
         apart = angles(centres, chunk["centre"].values.to_numpy()) - reach - ANGLE_SLACK
         tops = summaries.field("top").to_numpy()
         bounds = widest(tops, apart)
-        home = np.lexsort((ids, -bounds))[0]
+        ranked = np.lexsort((ids, -bounds))
+        sizes = summaries.field("rows").to_numpy()[ranked]
+        home = np.zeros(len(ids), bool)
+        home[ranked] = np.cumsum(sizes) - sizes < HOME_ROWS
         lengths = chunk["lengths"].values.to_numpy()
         floor = floors_of(chunk["asks"].values, len(lengths))
         for b in range(len(ids)):
             if first:
-                members = np.isfinite(floor) if b == home else np.zeros(len(floor), bool)
+                members = np.isfinite(floor) & home[b]
             else:
                 most = lengths * bounds[b] + SLACK * (lengths * tops[b] + 1)
-                members = (most >= floor) & (b != home)
+                members = (most >= floor) & ~home[b]
             if members.any():
                 yield int(ids[b]), np.flatnonzero(members).astype(np.int32)
 
@@ -201,8 +207,8 @@ def mine(
     Anchors near each other form a cluster with a centre and a widest angle.  A candidate's angle to
     the centre, less the widest, bounds its score with every member; candidates are sorted by that
     bound once for the cluster, block by block, and each member walks the list until the
-    bound certifies that nothing left can be among its rows.  The list's first block is walked
-    first; what it yields rules out later blocks before they are read.
+    bound certifies that nothing left can be among its rows.  The list's first blocks are walked
+    first; what they yield rules out later blocks before they are read.
 
     Rows with a null label, a null or empty vector or a null or non-finite component take no part,
     nor do null ids, vectors of another length than the most frequent one (of equally
@@ -233,14 +239,14 @@ def mine(
     def describe(x: np.ndarray, part: pa.Table) -> list:
         unit, norms = units(x)
         centre, radius = middle(unit, norms)
-        return [part["label"].to_pylist(), centre.tolist(), radius, norms.tolist(), float(norms.max())]
+        return [len(x), part["label"].to_pylist(), centre.tolist(), radius, norms.tolist(), float(norms.max())]
 
-    extra = "labels array<bigint>, centre array<double>, radius double, lengths array<double>, top double"
+    extra = "rows bigint, labels array<bigint>, centre array<double>, radius double, lengths array<double>, top double"
     blocks = packed(index, place, describe, size, block_rows(size), "negative-blocks", extra)
     clusters = packed(
         asked(rows, anchor_step, "label"), place, describe, size, min(CLUSTER_ANCHORS, block_rows(size)),
         "negative-clusters", extra,
-    ).withColumnRenamed("block", "chunk").drop("top")
+    ).withColumnRenamed("block", "chunk").drop("rows", "top")
     blocks = blocks.drop("lengths")
 
     def walked(asks: DataFrame, same: bool, wanted: int, first: bool, label: str) -> DataFrame:
@@ -249,10 +255,10 @@ def mine(
         )
         asking = clusters.join(gathered, "chunk")
         chosen = pairs(
-            blocks, asking.select("chunk", "centre", "radius", "lengths", "asks"), ["centre", "radius", "top"],
+            blocks, asking.select("chunk", "centre", "radius", "lengths", "asks"), ["rows", "centre", "radius", "top"],
             worth_visiting(size, first), f"{label}-pairs",
         )
-        found = visits(chosen, asking, blocks.drop("centre", "radius", "top"), walk(size, same, wanted), FOUND)
+        found = visits(chosen, asking, blocks.drop("rows", "centre", "radius", "top"), walk(size, same, wanted), FOUND)
         return stored(first_rows(found, ["query_id", "copy", "slot"], wanted), label)
 
     def both(asks: DataFrame, same: bool, wanted: int, label: str) -> DataFrame:

@@ -19,6 +19,9 @@ PIVOTS = 32
 CHUNK_QUERIES = 1024
 STEP = 128
 
+# Rows that a query meets before anything is ruled out: a block, or several small ones.
+HOME_ROWS = 2048
+
 # Bounds are widened by this share of the squared norms, far above the rounding of doubles.
 SLACK = 1e-9
 
@@ -50,7 +53,7 @@ def score_bounds(norms: np.ndarray, tops: np.ndarray, apart: np.ndarray) -> np.n
 
 
 def worth_visiting(first: bool, count: int):
-    """For `pairs`: each query's most promising block, or all others that can still matter."""
+    """For `pairs`: each query's most promising blocks, or all others that can still matter."""
 
     def compare(summaries: pa.Array, chunk: dict):
         ids = summaries.field("block").to_numpy()
@@ -62,15 +65,13 @@ def worth_visiting(first: bool, count: int):
             mine = table[:, p : p + 1]
             np.maximum(apart, np.maximum(mine - high[:, p], low[:, p] - mine), out=apart)
         bounds = score_bounds(table[:, 0], high[:, 0], apart)
-        # A block's number breaks ties, so both rounds agree on the first one.
+        # A block's number breaks ties, so both rounds agree on the first ones.
         order = np.argsort(ids)
-        home = order[bounds[:, order].argmax(1)]
-        if first:
-            chosen = np.zeros(bounds.shape, bool)
-            chosen[np.arange(len(home)), home] = True
-        else:
-            chosen = bounds >= chunk["least"].values.to_numpy()[:, None]
-            chosen[np.arange(len(home)), home] = False
+        ranked = order[np.argsort(-bounds[:, order], axis=1, kind="stable")]
+        sizes = summaries.field("rows").to_numpy()[ranked]
+        home = np.zeros(bounds.shape, bool)
+        np.put_along_axis(home, ranked, np.cumsum(sizes, axis=1) - sizes < HOME_ROWS, axis=1)
+        chosen = home if first else (bounds >= chunk["least"].values.to_numpy()[:, None]) & ~home
         for b in np.flatnonzero(chosen.any(0)):
             yield int(ids[b]), np.flatnonzero(chosen[:, b]).astype(np.int32)
 
@@ -140,7 +141,7 @@ def search(
     ties go to the smaller id.  Distances of all rows to the pivots are computed once.
     By the triangle inequality the largest difference of a query's and a candidate's distance to
     one pivot is a lower bound of theirs, which bounds the score from above.  Each query first
-    visits its most promising block; its ``k``-th score rules out blocks by the
+    visits its most promising blocks; its ``k``-th score rules out blocks by the
     ranges of their distances, and in the others candidates are evaluated in the order of
     their bounds until the next bound is too small.  Pivots come from a bounded sample; they
     decide the work, never the result.
@@ -168,22 +169,22 @@ def search(
 
     def describe(x: np.ndarray, part: pa.Table) -> list:
         far = pivot_table(x, table)
-        return [np.ascontiguousarray(far, "<f8").tobytes(), far.min(0).tolist(), far.max(0).tolist()]
+        return [len(x), np.ascontiguousarray(far, "<f8").tobytes(), far.min(0).tolist(), far.max(0).tolist()]
 
-    extra = "table binary, low array<double>, high array<double>"
+    extra = "rows bigint, table binary, low array<double>, high array<double>"
     blocks = packed(index, place, describe, size, block_rows(size), "pivot-blocks", extra)
     chunks = packed(
         asked(rows, query_step), place, describe, size, min(CHUNK_QUERIES, block_rows(size)), "pivot-chunks", extra
-    ).withColumnRenamed("block", "chunk").drop("low", "high")
+    ).withColumnRenamed("block", "chunk").drop("rows", "low", "high")
     nothing = F.array_repeat(F.lit(float("-inf")), F.size("ids"))
     open_chunks = chunks.withColumn("least", nothing)
 
     def round_of(taking: DataFrame, first: bool) -> DataFrame:
         name = "first" if first else "other"
         chosen = pairs(
-            blocks, taking.select("chunk", "table", "least"), ["low", "high"], worth_visiting(first, count), f"pivot-{name}-pairs"
+            blocks, taking.select("chunk", "table", "least"), ["rows", "low", "high"], worth_visiting(first, count), f"pivot-{name}-pairs"
         )
-        found = visits(chosen, taking, blocks, eliminate(size, count, wanted), FOUND)
+        found = visits(chosen, taking, blocks.drop("rows", "low", "high"), eliminate(size, count, wanted), FOUND)
         return stored(first_rows(found, ["query_id", "copy"], wanted), f"pivot-{name}")
 
     nearest = round_of(open_chunks, True)

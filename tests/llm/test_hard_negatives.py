@@ -45,6 +45,7 @@ def test_edge_rows_against_brute_force(spark, monkeypatch, size):
     monkeypatch.setattr(hard_negatives, "CLUSTER_ANCHORS", 7)
     monkeypatch.setattr(hard_negatives, "STEP", 16)
     monkeypatch.setattr(vector_blocks, "SUMMARY_ROWS", 2)
+    monkeypatch.setattr(hard_negatives, "HOME_ROWS", 100)
     from pyspark.sql import functions as F
 
     rows = random_rows(size + 1, 400, size, groups=6) + awkward(size)

@@ -32,6 +32,7 @@ def test_edge_rows_against_brute_force(spark, monkeypatch, size):
     monkeypatch.setattr(vector_blocks, "BLOCK_ROWS", 70)
     monkeypatch.setattr(pivot_search, "CHUNK_QUERIES", 9)
     monkeypatch.setattr(vector_blocks, "SUMMARY_ROWS", 2)
+    monkeypatch.setattr(pivot_search, "HOME_ROWS", 100)
     rows = random_rows(size, 300, size, groups=6) + awkward(size)
     got = found(frame(spark, rows), query_step=10, k=5)
     assert got == brute(whole(rows, size), 10, 5)
