@@ -38,8 +38,9 @@ MARK = "▁"
 # Bytes of text that are numbered, and later put together, by one task.
 CHUNK_BYTES = 24 << 20
 
-# Documents that join a chunk at once.
+# Documents that join a chunk at once, and words that are cut at once.
 BATCH_TEXTS = 64
+WORDS_CUT = 65_536
 
 # Longest atom of the lattice; only unbroken runs of like characters come near it.  Longer
 # ones are encoded whole, outside it.
@@ -171,8 +172,11 @@ LITERAL_PATH = CUT.join(LITERAL_MARK)
 
 def gathered(flat: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Runs of ``flat`` of the given begins and lengths, one after the other."""
-    inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    return flat[np.repeat(begin, count) + inside]
+    size = int(count.sum())
+    kind = np.int32 if max(size, len(flat)) < 1 << 31 else np.int64
+    place = np.repeat((begin - (np.cumsum(count) - count)).astype(kind), count)
+    place += np.arange(size, dtype=kind)
+    return flat[place]
 
 
 class Cutter:
@@ -237,6 +241,20 @@ def checksums(texts: pa.Array) -> list[int]:
     return [zlib.crc32(data[a:b]) for a, b in zip(ends, ends[1:])]
 
 
+def cut_words(cutter: Cutter, words: pa.Array, plain: bool) -> tuple[pa.Array, np.ndarray]:
+    """The atoms of some words in turn, and how many each has."""
+    # The literal mark is an atom as it stands; a stand-in keeps its place.
+    literal = -1 if plain else pc.index(words, LITERAL_MARK).as_py()
+    if literal >= 0:
+        words = pc.replace_with_mask(words, pc.equal(words, LITERAL_MARK), pa.scalar(MARK))
+    listed = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+    joined = pc.binary_join(listed, " " + MARK if plain else " ")[0].as_py()
+    found, pieces = cutter.cut(MARK + joined if plain else joined)
+    if literal >= 0:
+        found[int(pieces[:literal].sum())] = LITERAL_MARK
+    return pa.array(found, pa.string()), pieces
+
+
 def chunk_file(cutter: Cutter, ids: pa.Array, texts: pa.Array) -> tuple[bytes, pa.Array]:
     """Documents as numbers of their atoms, the frequent ones small, and the atoms in that order."""
     plain = is_plain(texts)
@@ -245,30 +263,28 @@ def chunk_file(cutter: Cutter, ids: pa.Array, texts: pa.Array) -> tuple[bytes, p
     for kind in (True, False):
         mine = plain if kind else pc.invert(plain)
         own, count, words = numbered_words(texts.filter(mine), kind)
-        codes.append(own.astype(np.int64) + known)
+        codes.append(own + np.int32(known))
         lengths.append(count)
         order.append(np.flatnonzero(mine.to_numpy(zero_copy_only=False)))
         if not len(words):
             continue
         known += len(words)
-        # The literal mark is an atom as it stands; a stand-in keeps its place.
-        literal = pc.index(words, LITERAL_MARK).as_py() if not kind else -1
-        if literal >= 0:
-            words = pc.replace_with_mask(words, pc.equal(words, LITERAL_MARK), pa.scalar(MARK))
-        listed = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
-        joined = pc.binary_join(listed, " " + MARK if kind else " ")[0].as_py()
-        found, pieces = cutter.cut(MARK + joined if kind else joined)
-        if literal >= 0:
-            found[int(pieces[:literal].sum())] = LITERAL_MARK
-        cut += found
-        counts.append(pieces)
+        for begin in range(0, len(words), WORDS_CUT):
+            found, pieces = cut_words(cutter, words.slice(begin, WORDS_CUT), kind)
+            cut.append(found)
+            counts.append(pieces)
+    del plain, own, count, words
     at, size, order = np.concatenate(codes), np.concatenate(lengths), pa.array(np.concatenate(order))
+    del codes
     counts = np.concatenate([np.empty(0, np.int32), *counts])
 
-    atoms = pa.array(cut, pa.string()).dictionary_encode()
+    atoms = pa.concat_arrays([pa.array([], pa.string()), *cut]).dictionary_encode()
+    del cut
     flat, begin = atoms.indices.to_numpy(), np.cumsum(counts, dtype=np.int64) - counts
-    numbers = gathered(flat, begin[at], counts[at])
-    ends = np.concatenate([[0], np.cumsum(counts[at], dtype=np.int64)])[np.cumsum(size)]
+    per_word = counts[at]
+    numbers = gathered(flat, begin[at], per_word)
+    ends = np.concatenate([[0], np.cumsum(per_word, dtype=np.int64)])[np.cumsum(size)]
+    del at, per_word
     by_use = np.argsort(-np.bincount(numbers, minlength=len(atoms.dictionary)), kind="stable")
     rank = np.empty(len(by_use), np.int32)
     rank[by_use] = np.arange(len(by_use), dtype=np.int32)
@@ -300,9 +316,14 @@ def number_atoms(folder: str, pairs: frozenset[str]):
             nonlocal written
             name = (part << 24) + written
             written += 1
-            whole = pa.Table.from_batches(held).combine_chunks()
+            whole = pa.Table.from_batches(held)
+            held.clear()
             ids, texts = (whole.column(i).combine_chunks() for i in (0, 1))
+            del whole
             data, atoms = chunk_file(cutter, ids, pc.fill_null(texts.cast(pa.string()), ""))
+            del ids, texts
+            # Arrow keeps what a chunk has used; the executor's memory is not its own.
+            pa.default_memory_pool().release_unused()
             # A task that is run again writes the same file; it appears as a whole.
             draft = f"{root}/_{uuid.uuid4().hex}"
             with fs.open_output_stream(draft) as out:
