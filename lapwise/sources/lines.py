@@ -7,7 +7,7 @@ which this layer tolerates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -40,6 +40,9 @@ CSV_OPTIONS = {
     "mode": "PERMISSIVE",
 }
 
+# Consecutive lines of a file that meet the runs among them in one task.
+CHUNK_LINES = 10_000
+
 SPLIT = ["file_path", "block_start"]
 UNCLOSED_QUOTE = "unclosed or misplaced quote"
 
@@ -120,10 +123,14 @@ def _moves(scan: DataFrame) -> DataFrame:
 
 
 def split_counts(scan: DataFrame) -> DataFrame:
-    """One row per scan split: its first place and the lines of the file before it."""
+    """One row per scan split: its first place, the lines of the file before it, the file's number."""
     counts = scan.groupBy(*SPLIT).agg(F.min("place").alias("first"), F.count("*").alias("lines"))
-    earlier = W.partitionBy("file_path").orderBy("block_start").rowsBetween(W.unboundedPreceding, -1)
-    return counts.select(*SPLIT, "first", F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("before"))
+    own = W.partitionBy("file_path")
+    earlier = own.orderBy("block_start").rowsBetween(W.unboundedPreceding, -1)
+    return counts.select(
+        *SPLIT, "first", F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("before"),
+        F.min("first").over(own).alias("file"),
+    )
 
 
 def split_states(scan: DataFrame, splits: DataFrame) -> DataFrame:
@@ -144,7 +151,7 @@ def split_states(scan: DataFrame, splits: DataFrame) -> DataFrame:
 
 
 def joined_records(scan: DataFrame, splits: DataFrame) -> DataFrame:
-    """``file_path, from_line, to_line`` of every record that runs over several lines.
+    """``file, from_line, to_line`` of every record that runs over several lines.
 
     A record that opens a quoted field goes on to the line that closes it soundly.  Where a
     line breaks the field, or none closes it, no lines are joined and each is judged alone.
@@ -163,32 +170,56 @@ def joined_records(scan: DataFrame, splits: DataFrame) -> DataFrame:
     # A split's last event is followed by the first one of a later split.
     later = W.partitionBy("file_path").orderBy("block_start").rowsBetween(1, W.unboundedFollowing)
     firsts = (
-        splits.select(*SPLIT)
+        splits.select(*SPLIT, "file")
         .join(events.groupBy(*SPLIT).agg(F.min_by(event, "line").alias("first_event")), SPLIT, "left")
-        .select(*SPLIT, F.first("first_event", ignorenulls=True).over(later).alias("after"))
+        .select(*SPLIT, "file", F.first("first_event", ignorenulls=True).over(later).alias("after"))
     )
     return (
         own.filter("starts").join(firsts, SPLIT)
         .withColumn("next", F.coalesce("next", "after"))
         .filter("next.ends")
-        .select("file_path", F.col("line").alias("from_line"), F.col("next.line").alias("to_line"))
+        .select("file", F.col("line").alias("from_line"), F.col("next.line").alias("to_line"))
     )
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add the 1-based line number within the file."""
     scan, _ = scanned(lines)
-    return _numbered(scan, stored(split_counts(scan), "splits"))
+    return _numbered(scan, stored(split_counts(scan), "splits")).drop("file")
 
 
 def _numbered(scan: DataFrame, splits: DataFrame) -> DataFrame:
     # Joined on the split, unhinted: Spark broadcasts the stored splits while they are small.
-    return scan.join(splits.select(*SPLIT, "first", "before"), SPLIT).select(
-        "value", "file_path", "file_modified",
+    return scan.join(splits, SPLIT).select(
+        "value", "file_path", "file_modified", "file",
         (F.col("before") + F.col("place") - F.col("first") + 1).alias("line_number"),
     )
 
 
+def _with_run(numbered: DataFrame, runs: DataFrame) -> DataFrame:
+    """The lines with ``from_line``, the first line of the run they are in, else NULL.
+
+    Lines and runs meet in chunks of a file, which each run enters once: nothing has a row for
+    every line of a run, so there is nothing that Spark could take for small and broadcast.
+    """
+
+    def chunk(line: str) -> Column:
+        return F.floor((F.col(line) - 1) / CHUNK_LINES)
+
+    run = F.struct("from_line", "to_line")
+    entered = runs.select(
+        "file", run.alias("run"), "from_line", F.explode(F.sequence(chunk("from_line"), chunk("to_line"))).alias("chunk")
+    ).select(
+        "file", "chunk", "run", F.greatest("from_line", F.col("chunk") * CHUNK_LINES + 1).alias("line_number")
+    )
+    both = numbered.withColumn("chunk", chunk("line_number")).unionByName(entered, allowMissingColumns=True)
+    # A frame by value takes the run that enters at the line itself along.
+    upto = W.partitionBy("file", "chunk").orderBy("line_number")
+    latest = both.withColumn("latest", F.last("run", ignorenulls=True).over(upto)).filter(F.col("run").isNull())
+    inside = F.col("latest.to_line") >= F.col("line_number")
+    return latest.select(*numbered.columns, F.when(inside, F.col("latest.from_line")).alias("from_line"))
+
+
 def read_records(lines: DataFrame) -> DataFrame:
     """Records with the number of their first line; a line break inside quotes is kept as ``\\n``.
 
@@ -200,20 +231,18 @@ def read_records(lines: DataFrame) -> DataFrame:
     splits = stored(split_counts(scan), "splits")
     numbered = _numbered(scan, splits)
     if not opening:
-        return numbered
+        return numbered.drop("file")
     runs = stored(joined_records(scan, split_states(scan, splits)), "runs")
-    members = runs.select(
-        "file_path", "from_line", F.explode(F.sequence("from_line", "to_line")).alias("line_number")
-    )
-    marked = numbered.join(members, ["file_path", "line_number"], "left")
+    marked = _with_run(numbered, runs)
     whole = (
         marked.filter("from_line is not null")
-        .groupBy("file_path", F.col("from_line").alias("line_number"))
+        .groupBy("file", F.col("from_line").alias("line_number"))
         .agg(
             F.array_join(
                 F.transform(F.sort_array(F.collect_list(F.struct("line_number", "value"))), lambda x: x["value"]),
                 "\n",
             ).alias("value"),
+            F.first("file_path").alias("file_path"),
             F.max("file_modified").alias("file_modified"),
         )
     )

@@ -93,5 +93,23 @@ def test_the_text_is_read_once_and_nothing_is_hinted(spark, tmp_path, monkeypatc
     assert "ResolvedHint" not in out._jdf.queryExecution().toString()
 
 
+def test_no_row_for_every_line_of_a_record_is_broadcast(spark, tmp_path):
+    """Few records of many lines: their table is small, a table of their lines is not."""
+    text = "k,v\n" + "".join(f'{i},"{"x" + chr(10)}{(f"line{chr(10)}" * 999)}"\n' for i in range(5))
+    (tmp_path / "a.csv").write_text(text)
+    out = lines.judged(lines.read_lines(spark, str(tmp_path)))
+    assert "explode(sequence(from_line" not in plan(out)
+    assert sorted(r["line_number"] for r in out.collect()) == [2 + 1001 * i for i in range(5)]
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3])
+def test_records_run_across_chunks(spark, tmp_path, monkeypatch, chunk):
+    monkeypatch.setattr(lines, "CHUNK_LINES", chunk)
+    text = 'k,v\n1,"a\nb\nc\nd"\n2,e\n3,"f\ng"\n4,"h\n\ni"\n5,"j\n'
+    (tmp_path / "a.csv").write_text(text)
+    got = {(r["line_number"], r["value"]) for r in lines.read_records(lines.read_lines(spark, str(tmp_path))).collect()}
+    assert got == set(by_hand(text))
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
