@@ -1,6 +1,7 @@
 """Upserts: idempotent, order-insensitive, untouched buckets stay."""
 
 import datetime as dt
+import importlib
 import os
 import random
 
@@ -16,6 +17,8 @@ from lapwise.plans import conform
 from lapwise.sources.entities import ENTITIES
 from lapwise.session import scratch_path
 
+upsert_module = importlib.import_module("lapwise.operators.upsert")
+
 SCHEMA = T.StructType(
     [T.StructField("k", T.LongType()), T.StructField("v", T.StringType()),
      T.StructField("row_hash", T.StringType()), T.StructField("dw_inserted_at", T.TimestampType()),
@@ -155,3 +158,35 @@ def test_hashed_buckets_spread_an_entity_without_a_range(spark):
     rows = spark.range(1000).selectExpr("id as status_id").withColumn(BUCKET, conform.bucket(status, 8))
     sizes = [r["count"] for r in rows.groupBy(BUCKET).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 200
+
+
+def test_a_first_load_is_neither_joined_nor_stored(spark, table, monkeypatch):
+    """Nothing to compare with: only the list of buckets is stored, and long digests are not shuffled."""
+    stored, plans = [], []
+    keep, write = upsert_module.stored, BucketTable.replace
+    monkeypatch.setattr(upsert_module, "stored", lambda df, label: stored.append(label) or keep(df, label))
+
+    def replace(self, rows, buckets, gathered=False):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(self, rows, buckets, gathered)
+
+    monkeypatch.setattr(BucketTable, "replace", replace)
+    raw = batch(spark, [(1, "a"), (2, None), (11, "c")]).drop("row_hash")
+    report = upsert(
+        table, raw, "k", at(1), finish=lambda rows: rows.withColumn("row_hash", exact_hash(["v"])), buckets=raw)
+    assert (report.inserted, report.updated, report.unchanged) == (3, 0, 0)
+    assert state(table) == {1: ("a", 1, 1), 2: (None, 1, 1), 11: ("c", 1, 1)}
+    assert stored == ["upsert-buckets"] and "Join" not in plans[0]
+    assert plans[0].index("sha2") < plans[0].index("Exchange")
+    # The same rows again change nothing; a bucket the table lacks is added beside the others.
+    finish = lambda rows: rows.withColumn("row_hash", exact_hash(["v"]))
+    assert not upsert(table, raw, "k", at(2), finish=finish, buckets=raw).changed
+    more = batch(spark, [(95, "z")]).drop("row_hash")
+    assert upsert(table, more, "k", at(3), finish=finish, buckets=more).inserted == 1
+    assert set(state(table)) == {1, 2, 11, 95}
+
+
+def test_tables_are_written_with_a_codec_that_shrinks_digests(spark, table):
+    upsert(table, batch(spark, [(1, "a"), (11, "c")]), "k", at(1))
+    names = [n for b in files(table).values() for n in b if n.startswith("part")]
+    assert names and all(n.endswith(".zstd.parquet") for n in names)
