@@ -16,7 +16,7 @@ from lapwise.bindings import (
     text_queries,
 )
 
-from lapwise.session import tune
+from lapwise.session import tune, widen
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _tuned(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return query(tune(spark), folder)
+        return query(widen(tune(spark)), folder)
 
     return run
 
