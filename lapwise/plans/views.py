@@ -90,11 +90,11 @@ def _entry_totals(
     )
 
 
-def season_progression(star: Star, season: int | None = None) -> DataFrame:
-    """Running points and standing after each round.
+def running_points(star: Star, season: int | None = None) -> DataFrame:
+    """Running points after each round, without the standing.
 
     Per driver the running frame holds one row per round and team, so it is bounded
-    by the calendar.  The standing ranks everybody in a round, in slices.
+    by the calendar.
     """
     per_round = (
         _entry_totals(
@@ -116,14 +116,18 @@ def season_progression(star: Star, season: int | None = None) -> DataFrame:
     ]
     in_season = W.partitionBy("season_year", "driver_id").orderBy(*order)
     so_far = in_season.rowsBetween(W.unboundedPreceding, W.currentRow)
-    cumulative = per_round.withColumns(
+    return per_round.withColumns(
         {
             "cumulative_points": F.sum("round_points").over(so_far),
             "previous_round_finish": F.lag("finish_position", 1).over(in_season),
         }
     )
+
+
+def season_progression(star: Star, season: int | None = None) -> DataFrame:
+    """Running points and standing after each round, which ranks everybody in it, in slices."""
     return ordered.rank_by(
-        cumulative, ["season_year", "round_number"], "cumulative_points",
+        running_points(star, season), ["season_year", "round_number"], "cumulative_points",
         "championship_position",
     ).select(
         "season_year", "round_number", "race_name", "race_date", "driver_id", "driver_name",

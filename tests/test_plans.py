@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lapwise.bindings import sales, star_queries, text_queries
+from lapwise.bindings import registry, sales, star_queries, text_queries
 from lapwise.plans import analysis, feeds, views
 from lapwise.plans.star import Star
 
@@ -106,3 +106,23 @@ def test_a_hot_key_is_cut_down_before_the_shuffle(spark):
                if "WindowGroupLimit" in line and "Partial" in line]
     exchange = [at for at, line in enumerate(text.splitlines()) if "Exchange hashpart" in line]
     assert partial and exchange and partial[0] > exchange[0]
+
+
+def test_title_margin_and_leader_gap_rank_nobody(spark, star):
+    """Neither reports a standing, so no round is sliced and ranked for them."""
+    for name in ("title_margin", "leader_gap"):
+        assert "percentile_approx" not in plan(star_queries.QUERIES[name](spark, FOLDER))
+    ranked = views.season_progression(star)
+    assert content(feeds.title_margin(ranked)) == content(feeds.title_margin(views.running_points(star)))
+
+
+def test_shuffles_begin_with_many_partitions(spark):
+    """A task's sorts and hash tables stay small however few partitions the session names."""
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "4")
+    registry.QUERIES["price_percentiles"](session, FOLDER)
+    assert int(session.conf.get(first)) >= 192
+    session.conf.set(first, "7")
+    registry.QUERIES["price_percentiles"](session, FOLDER)
+    assert session.conf.get(first) == "7"
