@@ -273,15 +273,31 @@ def exact_percentiles(
 ) -> DataFrame:
     """Interpolated percentiles ``{output: fraction}`` of any number of distinct values, as doubles.
 
-    Equal values are counted first.  Running counts over the sliced values tell which value
-    stands at a place, and only the two places around each percentile are kept, so no task
-    ever holds a group's values.  NULL values do not count; a group without any has no row.
+    Equal values are counted first.  The counts of slices of the values tell which slices hold the
+    two places around each percentile; running counts over those alone tell which value stands
+    there, so no task ever holds a group's values.  NULL values do not count; a group without
+    any has no row.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__weight"))
     keyed, keys_ = (counted, list(keys)) if keys else (counted.withColumn("__one", F.lit(0)), ["__one"])
-    totals = keyed.groupBy(*keys_).agg((F.sum("__weight") - 1).alias("__last"))
-    upto = running_sums(keyed, keys_, [value], {"__upto": "__weight"}, slice_rows)
-    rows = null_safe_join(upto, totals, keys_)
+    sliced = _sliced(keyed, keys_, value)
+    every = W.partitionBy(*keys_)
+    earlier = every.orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+    held = sliced.groupBy(*keys_, SLICE).agg(F.sum("__weight").alias("__held")).withColumns(
+        {
+            "__last": F.sum("__held").over(every) - 1,
+            BEFORE: F.coalesce(F.sum("__held").over(earlier), F.lit(0)),
+        }
+    )
+    places = [f(F.col("__last") * F.lit(p)) for p in fractions.values() for f in (F.floor, F.ceil)]
+    wanted = held.filter(
+        reduce(lambda a, b: a | b, [(p >= F.col(BEFORE)) & (p < F.col(BEFORE) + F.col("__held")) for p in places])
+    ).drop("__held")
+    few = null_safe_join(sliced, wanted, [*keys_, SLICE]).withColumnsRenamed({SLICE: "__part", BEFORE: "__ahead"})
+    in_slice = [*keys_, "__part"]
+    rows = running_sums(few, in_slice, [value], {"__within": "__weight"}, slice_rows).withColumn(
+        "__upto", F.col("__within") + F.col("__ahead")
+    )
 
     def at(place: Column) -> Column:
         here = (place < F.col("__upto")) & (place >= F.col("__upto") - F.col("__weight"))
