@@ -26,6 +26,7 @@ BLOCK_COLUMNS = 4096
 SIEVE_BITS = np.int64((1 << 48) - 1)
 
 SKETCH = "doc_id long, content long, key long, n long, need long, prefix array<long>"
+PACKED = "id long, none boolean, content long, packed binary"
 SETS = "key long, n long, grams array<long>"
 PRODUCT = "key long, hub long, links long"
 
@@ -86,11 +87,11 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For `mapInArrow` over ``doc_id, text``: the texts compressed, to travel."""
+    """For `mapInArrow` over ``id, none, content, text``: the texts compressed, to travel."""
     for batch in batches:
-        texts = [packed_text(t.as_py()) for t in batch.column(1)]
+        texts = [packed_text(t.as_py()) for t in batch.column(3)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(texts, pa.binary())], names=["doc_id", "packed"]
+            [*batch.columns[:3], pa.array(texts, pa.binary())], names=["id", "none", "content", "packed"]
         )
 
 
@@ -162,27 +163,34 @@ def product(table: pa.Table) -> pa.Table:
 def candidate_sets(docs: DataFrame, sketches: DataFrame) -> DataFrame:
     """``key, n, grams`` of the sets that may link, ``grams`` as ``(df, gram)`` rarest first.
 
-    A set whose prefix shares too little with all other prefixes is left out, then a set of
-    which less than the least overlap is found in other remaining sets.
+    A set whose prefix shares too little with the prefixes of other sets is left out, then a
+    set of which less than the least overlap is found in other remaining sets.  Copies of a
+    set are not other sets.  Grams are shuffled once, by value, and read from there twice.
     """
-    postings = sketches.select("rid", F.explode("prefix").alias("gram"))
-    shared = postings.groupBy("gram").count().where("count > 1").select("gram")
-    hits = postings.join(shared, "gram").groupBy("rid").agg(F.count("*").alias("hits"))
+    postings = sketches.select("key", F.explode("prefix").alias("gram")).repartition("gram")
+    shared = (
+        postings.groupBy("gram").agg(F.min("key").alias("least"), F.max("key").alias("most"))
+        .where("least < most").select("gram")
+    )
+    # Every copy of a set counts, so their needs are summed up as well.
+    hits = postings.join(shared, "gram").groupBy("key").agg(F.count("*").alias("hits"))
+    place = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.isnull("doc_id").alias("none"), F.col("content")]
     # One document for each set is read again.
     owners = (
-        sketches.select("rid", "doc_id", "key", "need").join(hits, "rid").where("hits >= need")
-        .groupBy("key").agg(F.min("doc_id").alias("owner"))
-        .select("owner").distinct()
+        sketches.where("n > 0").groupBy("key")
+        .agg(F.sum("need").alias("need"), F.min(F.struct(*place)).alias("owner"))
+        .join(hits, "key").where("hits >= need").select("owner.*")
     )
+    at = ["id", "none", "content"]
     sets = stored(
-        docs.select("doc_id", "text").mapInArrow(pack, "doc_id long, packed binary")
-        .join(owners, F.col("doc_id").eqNullSafe(F.col("owner")), "left_semi")
-        .select("packed").mapInArrow(full_sets, SETS).where("n > 0").dropDuplicates(["key"])
+        docs.select(*place, "text").mapInArrow(pack, PACKED)
+        .join(owners, at, "left_semi").dropDuplicates(at)
+        .select("packed").mapInArrow(full_sets, SETS).where("n > 0")
         .withColumn("rid", F.monotonically_increasing_id()),
         "gram-sets",
     )
-    entries = sets.select("rid", F.explode("grams").alias("gram"))
-    frequent = entries.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
+    entries = sets.select("rid", F.explode("grams").alias("gram")).repartition("gram")
+    frequent = entries.groupBy("gram").agg(F.count("rid").alias("df")).where("df > 1")
     return stored(
         entries.join(frequent, "gram")
         .groupBy("rid")

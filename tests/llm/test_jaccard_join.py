@@ -103,3 +103,22 @@ def test_reference_sql(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     assert oracle.differences(jaccard_join.join(docs), oracle.connect(folder), oracles.JACCARD_LINKS) == []
+
+
+def test_copies_alone_are_not_read_again(spark, monkeypatch):
+    """Sets that are shared by copies only do not pass the sieve, and those left are read once."""
+    rows = {}
+
+    def counted(df, label):
+        out = stored(df, label)
+        rows[label] = out.count()
+        return out
+
+    stored = jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", counted)
+    texts = [" ".join(f"t{i}w{j}" for j in range(60)) for i in range(20)]
+    near = texts[0] + " more"
+    docs = [(i, t) for i, t in enumerate(texts * 3)] + [(900, near), (900, near), (None, near)]
+    frame = spark.createDataFrame(docs, "doc_id int, text string")
+    assert answer(jaccard_join.join(frame)) == by_hand(docs)
+    assert rows["gram-sets"] == 2
