@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwise.llm.common import SEPARATORS, packed_text, pick, rows_of, unpacked, with_row
+from lapwise.llm.common import SEPARATORS, marked, packed_text, pick, rows_of, unpacked, with_row
 from lapwise.llm.graphs import components
 from lapwise.session import stored
 
@@ -27,7 +27,7 @@ SIEVE_BITS = np.int64((1 << 48) - 1)
 
 SKETCH = "doc_id long, content long, key long, n long, need long, prefix array<long>"
 PACKED = "id long, none boolean, content long, packed binary"
-SETS = "key long, n long, grams array<long>"
+SETS = "key long, grams array<long>"
 PRODUCT = "key long, hub long, links long"
 
 
@@ -96,17 +96,13 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For `mapInArrow` over packed texts: key, size and all grams of each document."""
+    """For `mapInArrow` over packed texts: key and all grams of each document."""
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
             sets = [shingles(unpacked(t.as_py())) for t in batch.column(0).slice(at, 1000)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([set_key(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    ragged(sets),
-                ],
-                names=["key", "n", "grams"],
+                [pa.array([set_key(s) for s in sets], pa.int64()), ragged(sets)],
+                names=["key", "grams"],
             )
 
 
@@ -160,44 +156,51 @@ def product(table: pa.Table) -> pa.Table:
     return pa.table({"key": key, "hub": hub, "links": linked @ weight})
 
 
+def place() -> list[Column]:
+    """Where a document stands: its id, whether that is null, and its text's hash."""
+    return [
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+        F.isnull("doc_id").alias("none"),
+        F.col("content"),
+    ]
+
+
 def candidate_sets(docs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """``key, n, grams`` of the sets that may link, ``grams`` as ``(df, gram)`` rarest first.
+    """``key, n, grams`` of the sets that may link, ``grams`` rarest first.
 
     A set whose prefix shares too little with the prefixes of other sets is left out, then a
     set of which less than the least overlap is found in other remaining sets.  Copies of a
-    set are not other sets.  Grams are shuffled once, by value, and read from there twice.
+    set are not other sets.  Each time the grams are shuffled once, by value, and windows
+    over a value's rows tell how many have it.
     """
-    postings = sketches.select("key", F.explode("prefix").alias("gram")).repartition("gram")
-    shared = (
-        postings.groupBy("gram").agg(F.min("key").alias("least"), F.max("key").alias("most"))
-        .where("least < most").select("gram")
+    same_gram = Window.partitionBy("gram")
+    hits = (
+        sketches.select("key", F.explode("prefix").alias("gram"))
+        .select("key", F.min("key").over(same_gram).alias("least"), F.max("key").over(same_gram).alias("most"))
+        .where("least < most")
+        .groupBy("key").agg(F.count("*").alias("hits"))
     )
-    # Every copy of a set counts, so their needs are summed up as well.
-    hits = postings.join(shared, "gram").groupBy("key").agg(F.count("*").alias("hits"))
-    place = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.isnull("doc_id").alias("none"), F.col("content")]
-    # One document for each set is read again.
-    owners = (
+    # One document for each set is read again.  Every copy of a set counts, so their needs are summed up.
+    owners = stored(
         sketches.where("n > 0").groupBy("key")
-        .agg(F.sum("need").alias("need"), F.min(F.struct(*place)).alias("owner"))
-        .join(hits, "key").where("hits >= need").select("owner.*")
-    )
-    at = ["id", "none", "content"]
-    sets = stored(
-        docs.select(*place, "text").mapInArrow(pack, PACKED)
-        .join(owners, at, "left_semi").dropDuplicates(at)
-        .select("packed").mapInArrow(full_sets, SETS).where("n > 0")
-        .withColumn("rid", F.monotonically_increasing_id()),
+        .agg(F.first("n").alias("n"), F.sum("need").alias("need"), F.min(F.struct(*place())).alias("owner"))
+        .join(hits, "key").where("hits >= need").select("key", "n", "owner.*"),
         "gram-sets",
     )
-    entries = sets.select("rid", F.explode("grams").alias("gram")).repartition("gram")
-    frequent = entries.groupBy("gram").agg(F.count("rid").alias("df")).where("df > 1")
+    at = ["id", "none", "content"]
+    # Few documents own a remaining set: the texts of most others are not shuffled.
+    texts = marked(docs.select(*place(), "text"), "content", owners).where("marked").drop("marked")
     return stored(
-        entries.join(frequent, "gram")
-        .groupBy("rid")
+        texts.mapInArrow(pack, PACKED)
+        .join(owners, at, "left_semi").dropDuplicates(at)
+        .select("packed").mapInArrow(full_sets, SETS)
+        .select("key", F.explode("grams").alias("gram"))
+        .withColumn("df", F.count("*").over(same_gram)).where("df > 1")
+        .groupBy("key")
         .agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("grams"))
-        .join(sets.select("rid", "key", "n"), "rid")
+        .join(owners.select("key", "n"), "key")
         .where(100 * F.size("grams") >= PERCENT * F.col("n"))
-        .select("key", "n", "grams"),
+        .select("key", "n", F.transform("grams", lambda g: g["gram"]).alias("grams")),
         "gram-candidates",
     )
 
@@ -209,8 +212,8 @@ def candidate_components(candidates: DataFrame) -> DataFrame:
         "key",
         F.explode(
             F.slice("grams", F.lit(1), F.greatest(F.lit(1), (F.size("grams") - least + 1).cast("int")))
-        ).alias("x"),
-    ).select("key", F.col("x.gram").alias("gram"))
+        ).alias("gram"),
+    )
     hubs = prefix.groupBy("gram").agg(F.min("key").alias("hub"))
     edges = prefix.join(hubs, "gram").where("key <> hub")
     return components(edges.select(F.col("key").alias("a"), F.col("hub").alias("b")), "gram-groups")
@@ -222,16 +225,18 @@ def links(candidates: DataFrame, groups: DataFrame, weights: DataFrame) -> DataF
     The sets of a candidate component are dealt to blocks of bounded rows and entries;
     every two blocks of a component meet in a task of their own.
     """
-    members = stored(
-        candidates.join(groups, F.col("key") == F.col("node"))
-        .join(weights, "key")
-        .select("root", "key", "n", "weight", F.transform("grams", lambda g: g["gram"]).alias("grams")),
-        "gram-members",
+    # Places are found without the grams, which are shuffled to them and then to their pairs.
+    members = candidates.join(groups, F.col("key") == F.col("node")).select(
+        "root", "key", F.size("grams").alias("entries")
     )
     blocks = members.groupBy("root").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum(F.size("grams")) / BLOCK_ENTRIES)).alias("blocks")
+        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("entries") / BLOCK_ENTRIES)).alias("blocks")
     )
-    dealt = members.join(blocks, "root").withColumn("side", F.pmod(F.xxhash64("key"), "blocks"))
+    places = (
+        members.drop("entries").join(blocks, "root").join(weights, "key")
+        .withColumn("side", F.pmod(F.xxhash64("key"), "blocks"))
+    )
+    dealt = candidates.join(places, "key")
     pairs = (
         dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .withColumn("i", F.least("side", "other"))
@@ -295,20 +300,20 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Null ids count as largest; of rows with one id the one whose text has the smaller hash
     stays, and of rows with equal id and text any.  Every row without words stays.
     """
-    kept = (
-        _joined(docs, id_col, text_col).where("n > 0").groupBy("root")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "content")).alias("x"))
-        .select(F.col("x.doc_id").alias("kept"), F.col("x.content").alias("c"))
+    # Rows that link with none stay where they are; only the others are looked up.
+    grouped = stored(
+        _joined(docs, id_col, text_col).where("n_links > 0").select(*place(), "root"), "gram-grouped"
     )
+    at = ["id", "none", "content"]
+    kept = grouped.groupBy("root").agg(F.min(F.struct("none", "id", "content")).alias("x")).select("x.*")
+    gone = grouped.select(*at).distinct().join(kept, at, "left_anti")
     packed = with_row(docs, id_col, text_col).toDF("doc_id", "text", "row").withColumn(
         "content", F.xxhash64("text")
     )
     wordless = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), SEPARATORS + "+", "")) == 0
-    stay = (
-        packed.where(~wordless).drop("text")
-        .join(kept, F.col("doc_id").eqNullSafe(F.col("kept")) & (F.col("content") == F.col("c")), "left_semi")
-        .dropDuplicates(["doc_id", "content"])
-    )
+    judged = marked(packed.select(*place(), "row", wordless.alias("wordless")), "content", grouped)
+    looked_up = F.col("marked") & ~F.col("wordless")
+    stay = judged.where(looked_up).join(gone, at, "left_anti").dropDuplicates(at)
     return rows_of(
-        packed.where(wordless).select("row").unionByName(stay.select("row")), docs
+        judged.where(~looked_up).select("row").unionByName(stay.select("row")), docs
     )

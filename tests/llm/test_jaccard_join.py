@@ -7,7 +7,7 @@ import oracle
 import pytest
 from cases import edge_docs, edge_rows, prose
 
-from lapwise.llm import jaccard_join, oracles
+from lapwise.llm import common, jaccard_join, oracles
 
 
 def gram_set(text):
@@ -122,3 +122,43 @@ def test_copies_alone_are_not_read_again(spark, monkeypatch):
     frame = spark.createDataFrame(docs, "doc_id int, text string")
     assert answer(jaccard_join.join(frame)) == by_hand(docs)
     assert rows["gram-sets"] == 2
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grams_are_shuffled_once(spark, monkeypatch):
+    """Neither the sieve nor the sets left shuffle their grams a second time to count them."""
+    plans = {}
+
+    def planned(df, label):
+        plans[label] = plan_of(df)
+        return stored(df, label)
+
+    stored = jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", planned)
+    jaccard_join.join(edge_docs(spark)).count()
+    by_gram = [plan.count("Exchange hashpartitioning(gram#") for plan in plans.values()]
+    assert sum(by_gram) == 2 and max(by_gram) == 1
+
+
+def test_rows_marked_in_vain(spark, monkeypatch):
+    """A full map marks every row and changes nothing."""
+    docs = edge_docs(spark)
+
+    def kept():
+        rows = jaccard_join.keep_one(docs).toDF(*[f"c{i}" for i in range(len(docs.columns))])
+        return sorted(map(repr, rows.select("c0", "c1").collect()))
+
+    expected = kept()
+    monkeypatch.setattr(common, "MAP_BITS", 1)
+    assert kept() == expected
+
+
+def test_marked_misses_no_hash(spark):
+    hashes = [(h,) for h in (0, -1, 7, 8, 2**15 - 1, 2**15, -(2**63), 2**63 - 1, 123456789)]
+    rows = spark.createDataFrame([*hashes, (9,), (1 << 20,)], "h long")
+    found = common.marked(rows, "h", spark.createDataFrame(hashes, "h long"))
+    assert found.columns == ["h", "marked"]
+    assert {r.h for r in found.where("marked").collect()} == {h for h, in hashes}
