@@ -190,3 +190,51 @@ def test_tables_are_written_with_a_codec_that_shrinks_digests(spark, table):
     upsert(table, batch(spark, [(1, "a"), (11, "c")]), "k", at(1))
     names = [n for b in files(table).values() for n in b if n.startswith("part")]
     assert names and all(n.endswith(".zstd.parquet") for n in names)
+
+
+def test_a_batch_goes_part_by_part_and_leaves_no_scratch(spark, table, monkeypatch):
+    """Few rows a part: the same table and report, each part announced and written by itself."""
+    monkeypatch.setattr(upsert_module, "PART_ROWS", 4)
+    upsert(table, batch(spark, [(k, "a") for k in range(0, 60, 5)]), "k", at(1))
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/lapwise"
+    before, kept = files(table), {n for n in os.listdir(folder)}
+    seen = []
+    changed = [(k, "A" if k == 25 else "a") for k in range(0, 50, 5)] + [(3, "n"), (47, "n"), (99, "n")]
+    report = upsert(
+        table, batch(spark, changed), "k", at(2), lambda buckets: seen.append(sorted(r[0] for r in buckets.collect()))
+    )
+    assert (report.inserted, report.updated, report.unchanged) == (3, 1, 9)
+    assert len(seen) > 1 and sorted(sum(seen, [])) == [0, 2, 4, 9]
+    want = {k: ("a", 1, 1) for k in range(0, 60, 5)} | {25: ("A", 1, 2), 3: ("n", 2, 2), 47: ("n", 2, 2), 99: ("n", 2, 2)}
+    assert state(table) == want
+    after = files(table)
+    assert [b for b in before if after[b] == before[b]] == [f"{BUCKET}={b}" for b in (1, 3, 5)]
+    assert set(os.listdir(folder)) == kept
+    hashes = dict(table.read().select("k", "row_hash").collect())
+    assert hashes == dict(table.read().select("k", exact_hash(["v"])).collect())
+
+
+def test_packed_texts_come_back(spark):
+    digest = "0123456789abcdef" * 4
+    texts = [digest, digest.upper(), digest + "\n", digest[1:], "", "é", "\x01" + digest, None, "g" * 64]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k bigint, t string")
+    packed = upsert_module.packed(rows, "k", "t")
+    assert dict(packed.dtypes) == {"k": "bigint", "t": "binary"}
+    assert [len(r["t"]) for r in packed.orderBy("k").limit(2).collect()] == [33, 65]
+    assert [r["t"] for r in upsert_module.unpacked(packed, "k", "t").orderBy("k").collect()] == texts
+
+
+def test_text_keys_meet_as_bytes(spark):
+    """Digests as keys, and a key that is none, update their rows and are stored as the texts they are."""
+    schema = T.StructType([T.StructField("k", T.StringType()), *SCHEMA.fields[1:]])
+    table = BucketTable(spark, scratch_path(spark, "texts"), schema)
+
+    def rows(value):
+        keys = spark.createDataFrame([("x",), ("y",)], "n string").select(F.sha2("n", 256).alias("k"), F.lit(value).alias("v"))
+        both = keys.unionByName(spark.createDataFrame([("plain", value)], "k string, v string"))
+        return both.withColumns({"row_hash": exact_hash(["v"]), BUCKET: F.lit(0).cast("bigint")})
+
+    upsert(table, rows("a"), "k", at(1))
+    assert upsert(table, rows("b"), "k", at(2)).updated == 3
+    assert {(r["k"], r["v"], r["row_hash"]) for r in table.read().collect()} == {
+        (r["k"], "b", r["row_hash"]) for r in rows("b").collect()}
