@@ -3,24 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapwise.llm.common import pick, running_totals
-from lapwise.session import stored
+from lapwise.session import passing, release, stored
 
 # Curves, and the dimensions and bits of the projected grid each runs through.
 CURVES = 16
 GRID_DIMENSIONS = 8
 GRID_BITS = 7
 
-# Index rows of a block, queries of a chunk, and the share of a curve's blocks that a query
-# looks at around its own place: in 64 dimensions, and how it grows with them.
+# Index rows of a block, and the share of a curve's blocks that a query looks at around its own
+# place: in 64 dimensions, and how it grows with them.
 BLOCK_ROWS = 1024
-CHUNK_QUERIES = 4096
 REACH = 0.1
 REACH_GROWTH = 0.18
 
@@ -31,7 +32,19 @@ BAND_BITS = 2
 # Rows that the scale of queries and the grid of each curve are fitted on, for each group of bands.
 FIT_ROWS = 512
 
-KEYED = "curve int, curve_key long, counted long, ids array<long>, embedding array<double>"
+# Rows that are placed on curves at one time; where there are more, one curve goes after the other.
+PASS_ROWS = 1 << 18
+
+# Bytes of a span's vectors, products that a task holds, and queries of a span that is not shared
+# out, unless more than `UNEVEN` times as many meet a span on average.
+SPAN_BYTES = 32 * 1024**2
+PRODUCTS = 1 << 22
+CHUNK_QUERIES = 4096
+UNEVEN = 4
+
+KEYED = "curve int, curve_key long, mark long, counted long"
+ASKED = "curve int, span int, n long"
+SPANNED = "curve int, span int, chunk int, asks boolean, block int, ids array<long>, embedding array<double>"
 FOUND = "query_id long, copy long, score double, head long, mark long, own boolean, ids array<long>"
 
 
@@ -114,98 +127,242 @@ def fitted(rows: np.ndarray, band: np.ndarray, seed: int) -> tuple[float, list[t
     return min(length, 1.0), grids
 
 
-def keyed(size: int, groups: list[tuple[list[int], int]], fits: list, seed: int):
-    """For `mapInArrow` over ``ids, embedding, counted, band``: a row for each curve.
+def doubles(embedding: pa.Array, size: int) -> np.ndarray:
+    return embedding.flatten().to_numpy().astype(np.float64).reshape(-1, size)
 
-    Index rows go to the curves of their own group; a query asks all groups.
-    """
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        curves = projections(size + 1, seed)
-        for batch in batches:
-            rows = batch.column(1).flatten().to_numpy().reshape(-1, size)
-            asks, band = batch.column(2).to_numpy() == 0, batch.column(3).to_numpy()
-            unit = rows / np.abs(rows).max(axis=1)[:, None]
-            unit /= np.sqrt((unit * unit).sum(axis=1))[:, None]
-            index = scaled(rows, np.where(asks, 0, band))
-            number = 0
-            for (bands, own), (length, grids) in zip(groups, fits):
-                taking = np.flatnonzero(asks | np.isin(band, bands))
-                part = batch.take(pa.array(taking))
+
+def marks(rows: np.ndarray) -> np.ndarray:
+    """A hash of each vector."""
+    factors = np.random.default_rng(7).integers(1, 1 << 63, rows.shape[1], np.uint64) | np.uint64(1)
+    return ((rows + 0.0).view(np.uint64) * factors).sum(axis=1).view(np.int64)
+
+
+@dataclass(frozen=True)
+class Curves:
+    """Where rows lie on some of the curves: those of ``numbers``, counted over all groups."""
+
+    size: int
+    groups: list[tuple[list[int], int]]
+    fits: list
+    seed: int
+    numbers: frozenset[int]
+
+    def keys(self, rows: np.ndarray, asks: np.ndarray, band: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each curve its number, the rows on it and their keys.
+
+        Index rows are on the curves of their own group; a query is on those of all groups.
+        """
+        curves = projections(self.size + 1, self.seed)
+        unit = rows / np.abs(rows).max(axis=1)[:, None]
+        unit /= np.sqrt((unit * unit).sum(axis=1))[:, None]
+        index = scaled(rows, np.where(asks, 0, band))
+        first = 0
+        for (bands, own), (length, grids) in zip(self.groups, self.fits):
+            mine = [c for c in range(own) if first + c in self.numbers]
+            taking = np.flatnonzero(asks | np.isin(band, bands)) if mine else []
+            if len(taking):
                 query = np.hstack([
                     length * unit[taking], np.full((len(taking), 1), np.sqrt(max(0.0, 1 - length * length)))
                 ])
                 point = np.where(asks[taking][:, None], query, index[taking])
-                for (matrix, shift), (low, width) in zip(curves[:own], grids):
-                    # A shifted grid of twice the width of the sampled rows' projection.
-                    cell = ((point @ matrix - low) / width / 2 + shift / 2) * (1 << GRID_BITS)
-                    cell = np.clip(cell, 0, (1 << GRID_BITS) - 1)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(taking), number, np.int32)),
-                            pa.array(hilbert_keys(cell, GRID_BITS)),
-                            part.column(2), part.column(0), part.column(1),
-                        ],
-                        names=[c.split()[0] for c in KEYED.split(", ")],
-                    )
-                    number += 1
+            for c in mine if len(taking) else ():
+                (matrix, shift), (low, width) = curves[c], grids[c]
+                # A shifted grid of twice the width of the sampled rows' projection.
+                cell = ((point @ matrix - low) / width / 2 + shift / 2) * (1 << GRID_BITS)
+                cell = np.clip(cell, 0, (1 << GRID_BITS) - 1)
+                yield first + c, taking, hilbert_keys(cell, GRID_BITS)
+            first += own
+
+
+def keyed(curves: Curves):
+    """For `mapInArrow` over classes: a row for each class and curve, without the vector."""
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                rows = doubles(batch.column(1), curves.size)
+                mark, band = marks(rows), batch.column(3).to_numpy()
+                for number, taking, key in curves.keys(rows, np.zeros(len(rows), bool), band):
+                    yield record(KEYED, [np.full(len(taking), number, np.int32), key, mark[taking], np.ones(len(taking), np.int64)])
 
     return place
 
 
-def nearest(wanted: int):
-    """For cogrouped `applyInArrow`: the best rows of one block for each of its queries.
+def record(columns: str, arrays: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [a if isinstance(a, pa.Array) else pa.array(a) for a in arrays],
+        names=[c.split()[0] for c in columns.split(", ")],
+    )
+
+
+@dataclass(frozen=True)
+class Blocks:
+    """One curve's blocks: where each begins, how many a query meets, and how many are a span."""
+
+    begins: np.ndarray
+    width: int
+    span: int
+    hot: dict[int, int] = field(default_factory=dict)
+
+    def own(self, key: np.ndarray, mark: np.ndarray) -> np.ndarray:
+        """The block of each place: the last one that begins there or before."""
+        places = np.empty(len(key), self.begins.dtype)
+        places["key"], places["mark"] = key, mark
+        low = np.searchsorted(self.begins["key"], key, "left")
+        high = np.searchsorted(self.begins["key"], key, "right")
+        tied = np.flatnonzero(low < high)
+        high[tied] = np.searchsorted(self.begins, places[tied], "right")
+        return np.maximum(high - 1, 0)
+
+    def spans(self, own: np.ndarray, asks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each row's first block (a class has its own only), and rows with the spans they go to."""
+        met = np.maximum(0, np.minimum(own - self.width // 2, len(self.begins) - self.width))
+        begin = np.where(asks, met, own)
+        first = begin // self.span
+        count = np.where(asks, (begin + self.width - 1) // self.span - first + 1, 1)
+        who = np.repeat(np.arange(len(own)), count)
+        return begin, who, first[who] + np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def asked_spans(curves: Curves, blocks: dict[int, Blocks]):
+    """For `mapInArrow` over queries: how many of a batch meet each span."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                rows, asks = doubles(batch.column(1), curves.size), np.ones(batch.num_rows, bool)
+                mark = marks(rows)
+                for number, taking, key in curves.keys(rows, asks, batch.column(3).to_numpy()):
+                    curve = blocks[number]
+                    span, n = np.unique(curve.spans(curve.own(key, mark[taking]), asks[taking])[2], return_counts=True)
+                    yield record(ASKED, [np.full(len(span), number, np.int32), span.astype(np.int32), n.astype(np.int64)])
+
+    return count
+
+
+def spanned(curves: Curves, blocks: dict[int, Blocks]):
+    """For `mapInArrow` over classes and queries: classes go to the span of their block, queries to all they meet.
 
-    Candidates are chosen by one matrix product and scored again component by component, so
-    a pair has the same score wherever it is met.  ``mark`` is a hash of the vector.
+    A span that very many queries meet is there several times, each for a share of them.
     """
-    names = [c.split()[0] for c in FOUND.split(", ")]
-    kinds = pa.schema(list(zip(names, [
-        pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())
-    ])))
-
-    def best(index: pa.Table, queries: pa.Table) -> pa.Table:
-        if not index.num_rows or not queries.num_rows:
-            return kinds.empty_table()
-        rows = np.stack(index["embedding"].to_numpy())
-        asked = np.stack(queries["embedding"].to_numpy())
-        ids = index["ids"].combine_chunks()
-        heads = ids.values.to_numpy()[ids.offsets.to_numpy()[:-1]]
-        factors = np.random.default_rng(7).integers(1, 1 << 63, rows.shape[1], np.uint64) | np.uint64(1)
-        marks = ((rows + 0.0).view(np.uint64) * factors).sum(axis=1).view(np.int64)
-        query = queries["ids"].combine_chunks().flatten().to_numpy().reshape(-1, 2)
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = doubles(batch.column(1), curves.size)
+            mark, asks, band = marks(rows), batch.column(2).to_numpy() == 0, batch.column(3).to_numpy()
+            for number, taking, key in curves.keys(rows, asks, band):
+                curve, asking = blocks[number], asks[taking]
+                begin, who, span = curve.spans(curve.own(key, mark[taking]), asking)
+                chunk = np.zeros(len(who), np.int32)
+                for hot, chunks in curve.hot.items():
+                    here = np.flatnonzero(span == hot)
+                    queries, index = here[asking[who[here]]], who[here[~asking[who[here]]]]
+                    asked = batch.column(0).take(pa.array(taking[who[queries]])).flatten().to_numpy().reshape(-1, 2)
+                    mixed = (asked[:, 0] + (asked[:, 1] << 40)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                    chunk[queries] = (mixed >> np.uint64(33)) % np.uint64(chunks)
+                    who = np.append(who, np.repeat(index, chunks - 1))
+                    span = np.append(span, np.full(len(index) * (chunks - 1), hot))
+                    chunk = np.append(chunk, np.tile(np.arange(1, chunks, dtype=np.int32), len(index)))
+                part = batch.take(pa.array(taking[who]))
+                yield record(SPANNED, [
+                    np.full(len(who), number, np.int32), span.astype(np.int32), chunk, asking[who],
+                    begin[who].astype(np.int32), part.column(0), part.column(1),
+                ])
+
+    return place
+
+
+class Span:
+    """The index rows of one span, in the order of their blocks."""
+
+    def __init__(self, key: tuple[int, int, int], size: int, width: int) -> None:
+        self.key, self.size, self.width = key, size, width
+        self.parts: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
+        self.rows: np.ndarray | None = None
+
+    def add(self, run: pa.RecordBatch) -> None:
+        self.parts.append((run.column("block").to_numpy(), doubles(run.column("embedding"), self.size), run.column("ids")))
+
+    def best(self, queries: pa.RecordBatch, wanted: int) -> Iterator[pa.RecordBatch]:
+        """The best rows of the blocks that each query meets.
+
+        Candidates are chosen by one matrix product and scored again component by component, so
+        a pair has the same score wherever it is met.
+        """
+        if self.rows is None:
+            self.block, self.rows = np.concatenate([p[0] for p in self.parts]), np.concatenate([p[1] for p in self.parts])
+            self.ids = pa.concat_arrays([p[2] for p in self.parts])
+            self.heads = pa.compute.list_element(self.ids, 0).to_numpy()
+            self.marks, self.parts = marks(self.rows), []
+        begin = queries.column("block").to_numpy()
+        low, high = np.searchsorted(self.block, begin), np.searchsorted(self.block, begin + self.width)
+        asked = doubles(queries.column("embedding"), self.size)
+        query = queries.column("ids").flatten().to_numpy().reshape(-1, 2)
+        step = max(1, PRODUCTS // len(self.rows))
+        for at in range(0, len(asked), step):
+            yield self._best(asked[at : at + step], query[at : at + step], low[at : at + step], high[at : at + step], wanted)
+
+    def _best(self, asked: np.ndarray, query: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: int) -> pa.RecordBatch:
+        start = low.min()
         with np.errstate(all="ignore"):
             # Products beyond the range of doubles are infinite, or without a value and last.
-            rough = np.nan_to_num(asked @ rows.T, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
-        count = min(wanted, len(rows))
-        floor = np.partition(rough, len(rows) - count, axis=1)[:, len(rows) - count]
-        slack = np.where(np.isfinite(floor), 1e-9 * np.maximum(1, np.abs(floor)), 0)
-        picked, who, scores = [], [], []
-        for q, row in enumerate(rough):
-            near = np.flatnonzero(row >= floor[q] - slack[q])
+            products = np.nan_to_num(
+                asked @ self.rows[start : high.max()].T, nan=-np.inf, posinf=np.inf, neginf=-np.inf
+            )
+        picked, who, scores = [np.zeros(0, int)], [np.zeros(0, int)], [np.zeros(0)]
+        for q, row in enumerate(products):
+            rough = row[low[q] - start : high[q] - start]
+            if not len(rough):
+                continue
+            count = min(wanted, len(rough))
+            floor = np.partition(rough, len(rough) - count)[len(rough) - count]
+            slack = 1e-9 * max(1, abs(floor)) if np.isfinite(floor) else 0
+            near = low[q] + np.flatnonzero(rough >= floor - slack)
             with np.errstate(all="ignore"):
-                score = (rows[near] * asked[q]).sum(axis=1)
-            order = np.lexsort((marks[near], heads[near], -score))[:wanted]
+                score = (self.rows[near] * asked[q]).sum(axis=1)
+            order = np.lexsort((self.marks[near], self.heads[near], -score))[:wanted]
             picked.append(near[order])
             scores.append(score[order])
             who.append(np.full(len(order), q))
         picked, who = np.concatenate(picked), np.concatenate(who)
-        own = (rows[picked] == asked[who]).all(axis=1)
-        return pa.table(
-            [
-                pa.array(query[who, 0]), pa.array(query[who, 1]), pa.array(np.concatenate(scores)),
-                pa.array(heads[picked]), pa.array(marks[picked]), pa.array(own), ids.take(pa.array(picked)),
-            ],
-            schema=kinds,
-        )
+        own = (self.rows[picked] == asked[who]).all(axis=1)
+        return record(FOUND, [
+            query[who, 0], query[who, 1], np.concatenate(scores), self.heads[picked], self.marks[picked], own,
+            self.ids.take(pa.array(picked)),
+        ])
+
+
+def nearest(wanted: int, size: int, widths: dict[int, int]):
+    """For `mapInArrow` over rows sorted by span, classes first: the best rows of a span for each of its queries.
+
+    A span is held, queries pass by.
+    """
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("curve", "span", "chunk", "asks")])
+            starts = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)))
+            for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+                *key, asks = keys[:, start].tolist()
+                run = batch.slice(start, end - start)
+                if not asks:
+                    if held is None or held.key != tuple(key):
+                        held = Span(tuple(key), size, widths[key[0]])
+                    held.add(run)
+                elif held is not None and held.key == tuple(key):
+                    yield from held.best(run, wanted)
 
     return best
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``vec_id, embedding`` (doubles) of the rows that take part."""
-    rows = pick(vectors, id_col, vector_col).select(
+    """``vec_id, embedding`` of the rows that take part; floats stay floats, others become doubles."""
+    rows = pick(vectors, id_col, vector_col)
+    kind = dict(rows.dtypes)[vector_col]
+    rows = rows.select(
         F.col(id_col).cast("long").alias("vec_id"),
-        F.col(vector_col).cast("array<double>").alias("embedding"),
+        F.col(vector_col).cast(kind if kind == "array<float>" else "array<double>").alias("embedding"),
     )
     finite = F.forall(
         "embedding",
@@ -216,6 +373,82 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     ).where(F.coalesce(finite, F.lit(False)) & F.exists("embedding", lambda x: x != 0))
 
 
+def passes(totals: list[int]) -> list[list[int]]:
+    """The curves that are searched at one time, of which each takes ``totals`` rows."""
+    out, taken = [], PASS_ROWS
+    for number, total in enumerate(totals):
+        if taken + total > PASS_ROWS:
+            out.append([])
+            taken = 0
+        out[-1].append(number)
+        taken += total
+    return out
+
+
+def blocks_of(classes: DataFrame, curves: Curves, totals: dict[int, int], reach: float) -> dict[int, Blocks]:
+    """The blocks of each curve, from the place of every `BLOCK_ROWS`-th row along it.
+
+    Rows are ordered without their vectors; the driver gets one row for each block.
+    """
+    placed = classes.mapInArrow(keyed(curves), KEYED)
+    ordered = running_totals(placed, ["curve", "curve_key", "mark"], {"before": "counted"}, "curve-rows")
+    bases, base = [], 0
+    for number in sorted(totals):
+        bases.append((number, base))
+        base += totals[number]
+    begins = (
+        ordered.join(F.broadcast(classes.sparkSession.createDataFrame(bases, "curve int, base long")), "curve")
+        .where((F.col("before") - F.col("base")) % BLOCK_ROWS == 0).select("curve", "curve_key", "mark").collect()
+    )
+    at: dict[int, list] = {}
+    for r in begins:
+        at.setdefault(r["curve"], []).append((r["curve_key"], r["mark"]))
+    most, out = max(1, SPAN_BYTES // (8 * curves.size * BLOCK_ROWS)), {}
+    for number, places in at.items():
+        width = min(len(places), int(np.ceil(reach * len(places))) + 1)
+        begin = np.array(sorted(places), dtype=[("key", np.int64), ("mark", np.int64)])
+        out[number] = Blocks(begin, width, min(most, -(-width // 2)))
+    return out
+
+
+def met(
+    classes: DataFrame, asking: DataFrame, curves: Curves, totals: dict[int, int], reach: float, k: int
+) -> DataFrame:
+    """The best rows of each span for the queries that meet blocks of it, on some of the curves.
+
+    A span of neighbouring blocks and the queries that meet any of them are sorted together;
+    a task holds the span's vectors while the queries pass by.
+    """
+    blocks = blocks_of(classes, curves, totals, reach)
+    asked = asking.mapInArrow(asked_spans(curves, blocks), ASKED).groupBy("curve", "span").agg(F.sum("n").alias("n"))
+    spans = {n: -(-len(b.begins) // b.span) for n, b in blocks.items()}
+    partitions = sum(spans.values())
+    # One row for each span.
+    counts = asked.collect()
+    share = max(CHUNK_QUERIES, UNEVEN * sum(r["n"] for r in counts) // partitions)
+    for r in counts:
+        if r["n"] > share:
+            blocks[r["curve"]].hot[r["span"]] = -(-r["n"] // share)
+            partitions += -(-r["n"] // share) - 1
+    kind = SPANNED.replace("array<double>", dict(classes.dtypes)["embedding"])
+    keys = ["curve", "span", "chunk"]
+    return (
+        classes.unionByName(asking).mapInArrow(spanned(curves, blocks), kind)
+        .repartition(partitions, *keys).sortWithinPartitions(*keys, "asks", "block")
+        .mapInArrow(nearest(k + 1, curves.size, {n: b.width for n, b in blocks.items()}), FOUND)
+    )
+
+
+def closest(found: DataFrame, k: int) -> DataFrame:
+    """The ``k + 1`` best classes found for each query; one that was met on several curves counts once."""
+    asker = ["query_id", "copy"]
+    place = F.dense_rank().over(Window.partitionBy(*asker).orderBy(F.desc("score"), "head", "mark"))
+    return (
+        found.withColumn("place", place).where(F.col("place") <= k + 1)
+        .dropDuplicates([*asker, "head", "mark"]).drop("place")
+    )
+
+
 def search(
     vectors: DataFrame,
     query_step: int = 20,
@@ -254,81 +487,62 @@ def search(
         reach = REACH * max(1.0, size / 64) ** REACH_GROWTH
     rows = rows.where(F.size("embedding") == size)
     # The norm's exponent, taken without leaving the range of doubles.
-    top = F.array_max(F.transform("embedding", F.abs))
-    parts = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + (x / top) * (x / top))
+    wide = F.col("embedding").cast("array<double>")
+    top = F.array_max(F.transform(wide, F.abs))
+    parts = F.aggregate(wide, F.lit(0.0), lambda s, x: s + (x / top) * (x / top))
     exponent = F.log2(top) + F.log2(parts) / 2
     band = F.floor((exponent + BAND_BITS // 2) / BAND_BITS).cast("int").alias("band")
     counts = {r["band"]: r["count"] for r in rows.groupBy(band).count().collect()}
     groups = band_groups(counts, BLOCK_ROWS)
     smallest = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
-    classes = stored(
-        rows.withColumn("n", smallest).where(F.col("n") <= k + 1)
-        .groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-        .select("ids", "embedding", F.lit(1).cast("long").alias("counted"), band),
-        "curve-classes",
-    )
-    # One row for each norm band, of which doubles have some hundreds.
-    group_of = spark.createDataFrame(
-        [(b, g) for g, (bands, _) in enumerate(groups) for b in bands], "band int, part int"
-    )
-    by_hash = Window.partitionBy("part").orderBy(F.xxhash64("embedding"), "embedding")
-    sampled = (
-        classes.join(F.broadcast(group_of), "band").withColumn("n", F.row_number().over(by_hash))
-        .where(F.col("n") <= FIT_ROWS).select("part", "band", "embedding").collect()
-    )
-    fits = []
-    for g in range(len(groups)):
-        mine = [r for r in sampled if r["part"] == g]
-        fits.append(fitted(np.array([r["embedding"] for r in mine]), np.array([r["band"] for r in mine]), seed))
     copy = F.row_number().over(Window.partitionBy("vec_id").orderBy("embedding")).cast("long")
-    asking = rows.where(F.col("vec_id") % query_step == 0).withColumn("copy", copy).select(
-        F.array("vec_id", "copy").alias("ids"), "embedding", F.lit(0).cast("long").alias("counted"), F.lit(0).alias("band")
-    )
-    placed = classes.unionByName(asking).mapInArrow(keyed(size, groups, fits, seed), KEYED)
-    ordered = stored(
-        running_totals(placed, ["curve", "curve_key"], {"before": "counted"}, "curve-rows"),
-        "curve-places",
-    )
-    totals = dict(ordered.groupBy("curve").agg(F.sum("counted")).collect())
-    chunks = -(-(ordered.where("counted = 0 and curve = 0").count()) // CHUNK_QUERIES)
-    places, base = [], 0
-    for curve in sorted(totals):
-        blocks = -(-totals[curve] // BLOCK_ROWS)
-        places.append((curve, base, blocks, min(blocks, int(np.ceil(reach * blocks)) + 1)))
-        base += totals[curve]
-    # One row for each curve.
-    ordered = ordered.join(
-        F.broadcast(spark.createDataFrame(places, "curve int, base long, blocks int, width int")), "curve"
-    )
-    own = F.least(F.expr(f"cast((before - base) div {BLOCK_ROWS} as int)"), F.col("blocks") - 1)
-    index = ordered.where("counted = 1").select(
-        "curve", own.alias("block"), "ids", "embedding",
-        F.explode(F.sequence(F.lit(0), F.lit(max(chunks, 1) - 1))).alias("chunk"),
-    )
-    begin = F.greatest(F.lit(0), F.least(own - F.expr("cast(width div 2 as int)"), F.col("blocks") - F.col("width")))
-    queries = ordered.where("counted = 0").select(
-        "curve",
-        F.explode(F.sequence(begin, begin + (F.col("width") - 1))).alias("block"),
-        "ids", "embedding",
-        F.pmod(F.xxhash64("ids"), F.lit(max(chunks, 1))).cast("int").alias("chunk"),
-    )
-    keys = ["curve", "block", "chunk"]
-    # Both sides come from one frame; their columns are named anew.
-    index, queries = (side.toDF(*side.columns) for side in (index, queries))
-    found = index.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(nearest(k + 1), FOUND)
-    # What a query finds is limited before the shuffle; a class met on several curves counts once.
+    with passing(spark):
+        classes = stored(
+            rows.withColumn("n", smallest).where(F.col("n") <= k + 1)
+            .groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+            .select("ids", "embedding", F.lit(1).cast("long").alias("counted"), band),
+            "curve-classes",
+        )
+        release(spark)
+        # One row for each norm band, of which doubles have some hundreds.
+        sizes = dict(classes.groupBy("band").count().collect())
+        group_of = spark.createDataFrame(
+            [(b, g) for g, (bands, _) in enumerate(groups) for b in bands], "band int, part int"
+        )
+        by_hash = Window.partitionBy("part").orderBy(F.xxhash64(wide), "embedding")
+        sampled = (
+            classes.join(F.broadcast(group_of), "band").withColumn("n", F.row_number().over(by_hash))
+            .where(F.col("n") <= FIT_ROWS).select("part", "band", wide.alias("embedding")).collect()
+        )
+        fits = []
+        for g in range(len(groups)):
+            mine = [r for r in sampled if r["part"] == g]
+            fits.append(fitted(np.array([r["embedding"] for r in mine]), np.array([r["band"] for r in mine]), seed))
+        asking = stored(
+            rows.where(F.col("vec_id") % query_step == 0).withColumn("copy", copy).select(
+                F.array("vec_id", "copy").alias("ids"), "embedding", F.lit(0).cast("long").alias("counted"),
+                F.lit(0).alias("band"),
+            ),
+            "curve-queries",
+        )
+        totals = [sum(sizes[b] for b in bands) for bands, own in groups for _ in range(own)]
+        best, stays = None, []
+        for numbers in passes(totals):
+            with passing(spark) as paths:
+                paths += stays
+                curves = Curves(size, groups, fits, seed, frozenset(numbers))
+                found = met(classes, asking, curves, {n: totals[n] for n in numbers}, reach, k)
+                better = stored(closest(found if best is None else found.unionByName(best), k), "curve-best")
+                # What has been found so far goes when the next pass has taken it along.
+                best, stays = better, [paths.pop()]
+            release(spark)
     asker = ["query_id", "copy"]
-    place = F.dense_rank().over(Window.partitionBy(*asker).orderBy(F.desc("score"), "head", "mark"))
-    classes_found = (
-        found.withColumn("place", place).where(F.col("place") <= k + 1)
-        .dropDuplicates([*asker, "head", "mark"])
-    )
     others = F.when(
         F.col("own"), F.expr("filter(ids, (x, i) -> i + 1 <> array_position(ids, query_id))")
     ).otherwise(F.col("ids"))
     rank = F.row_number().over(Window.partitionBy(*asker).orderBy(F.desc("score"), "vec_id"))
     return (
-        classes_found.select(*asker, "score", F.explode(others).alias("vec_id"))
+        best.select(*asker, "score", F.explode(others).alias("vec_id"))
         .withColumn("rank", rank.cast("int")).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score", F.col("copy").cast("int").alias("copy"))
     )

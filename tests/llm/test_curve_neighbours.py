@@ -185,3 +185,53 @@ def test_recall_on_the_test_table(spark):
 def test_empty(spark):
     assert curve_neighbours.search(frame(spark, [1], [[1.0]]).limit(0)).count() == 0
     assert curve_neighbours.search(frame(spark, [20], [[1.0]])).count() == 0
+
+
+def scratch(spark):
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/lapwise"
+    return {n for n in os.listdir(folder) if n.startswith("curve-")} if os.path.isdir(folder) else set()
+
+
+def test_curve_by_curve_and_in_shares_is_the_same_search(spark, monkeypatch):
+    """All curves at once, one after the other, spans shared out: equal rows, and only the last ones stay on disk."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 8)).astype(np.float32)
+    x[::40] = x[0]
+    vectors = spark.createDataFrame(
+        [(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>").repartition(3)
+    monkeypatch.setattr(curve_neighbours, "BLOCK_ROWS", 40)
+
+    def found():
+        return sorted(map(tuple, curve_neighbours.search(vectors, 10, 5, 0.05).collect()))
+
+    want = found()
+    assert len(want) == 150 * 5
+    before = scratch(spark)
+    monkeypatch.setattr(curve_neighbours, "PASS_ROWS", 1500 * 6)
+    assert found() == want
+    left = scratch(spark) - before
+    assert len(left) == 1 and left.pop().startswith("curve-best")
+    monkeypatch.setattr(curve_neighbours, "CHUNK_QUERIES", 4)
+    monkeypatch.setattr(curve_neighbours, "UNEVEN", 0)
+    assert found() == want
+
+
+def test_a_class_is_shuffled_once_a_curve_and_a_query_a_few_times():
+    """The numbers do not grow with the blocks that a query meets."""
+    for blocks, width in ((50, 6), (500, 51), (5000, 501)):
+        begins = np.zeros(blocks, [("key", np.int64), ("mark", np.int64)])
+        curve = curve_neighbours.Blocks(begins, width, -(-width // 2))
+        own, asks = np.arange(blocks).repeat(2), np.tile([False, True], blocks)
+        begin, who, span = curve.spans(own, asks)
+        assert (np.bincount(who)[~asks] == 1).all() and np.bincount(who)[asks].max() <= 3
+        for q in np.flatnonzero(asks)[:: blocks // 50]:
+            met = range(begin[q], begin[q] + width)
+            assert own[q] in met and set(span[who == q]) == {b // curve.span for b in met}
+
+
+def test_places_with_equal_keys_are_told_apart_by_their_marks():
+    begins = np.array([(0, 5), (7, -3), (7, 2), (7, 9), (8, 0)], [("key", np.int64), ("mark", np.int64)])
+    curve = curve_neighbours.Blocks(begins, 1, 1)
+    places = [(0, 1), (0, 5), (6, 9), (7, -4), (7, -3), (7, 8), (7, 9), (8, -1), (8, 0), (9, 0)]
+    key, mark = np.array(places).T
+    assert curve.own(key, mark).tolist() == [0, 0, 0, 0, 1, 2, 3, 3, 4, 4]
